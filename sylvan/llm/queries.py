@@ -5,7 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from . import jpeg, kdtree, licences, linededup, mixing, packing, secrets, toxicity, warc
 from .neardup import NearDup, near_duplicates
 from .work import table
 
@@ -14,9 +16,50 @@ def op1_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), NearDup(words=4))
 
 
+def op2_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.digest(licences.scan(table(spark, sf_dir, "documents")))
+
+
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive(table(spark, sf_dir, "pages"))[0].select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.digest(secrets.scan(table(spark, sf_dir, "documents")))
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, conf = table(spark, sf_dir, "documents"), toxicity.Toxicity()
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"), conf)
+    return toxicity.scored(docs, model, conf).select("doc_id", toxicity.held_out(conf).alias("held_out"), "score", "predicted")
+
+
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixed(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "source")
+
+
+def op7_linededup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linededup.digest(linededup.repeats(table(spark, sf_dir, "documents")))
+
+
+def op8_kdtree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kdtree.top_k(table(spark, sf_dir, "embeddings"))
+
+
+def op9_jpeg(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jpeg.features(jpeg.media(table(spark, sf_dir, "documents"))).select(
+        "doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "width", "height", F.sha2("thumbnail", 256).alias("thumbnail_sha256")
+    )
+
+
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_neardup": op1_neardup}
+    own = (op1_neardup, op2_licences, op3_warc, op4_secrets, op5_toxicity, op6_mixing, op7_linededup, op8_kdtree, op9_jpeg, op10_packing)
+    return {f.__name__: f for f in own}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op2_licences": licences.SQL, "op3_warc": warc.SQL, "op4_secrets": secrets.SQL, "op7_linededup": linededup.SQL, "op8_kdtree": kdtree.SQL}

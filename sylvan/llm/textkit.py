@@ -64,11 +64,11 @@ def pieces(offsets: np.ndarray, limit: int = 4 << 20) -> Iterator[tuple[int, int
         first = last
 
 
-def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """First and end byte of each word, and the number of words in each row."""
+def words(data: np.ndarray, offsets: np.ndarray, between: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First and end byte of each word, and the number of words in each row; `between` marks the bytes that separate."""
     if not len(data):
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(len(offsets) - 1, np.int64)
-    space = SPACE[data]
+    space = between[data]
     fresh = np.empty(len(data), bool)
     fresh[0] = True
     fresh[1:] = space[:-1]
