@@ -107,7 +107,7 @@ SQL = f"""
 WITH t(i, licence, tp) AS (VALUES {_VALUES}),
 lines AS (SELECT doc_id, unnest(range(len(ls))) AS line, unnest(ls) AS s FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents)),
 w AS (SELECT doc_id, line, string_split(trim(regexp_replace(lower(s), '[^0-9a-z]+', ' ', 'g')), ' ') AS w FROM lines),
-p AS (SELECT doc_id, line, list_distinct(list_transform(range(1, len(w)), k -> w[k] || ' ' || w[k + 1])) AS p FROM w WHERE len(w) > 1),
+p AS (SELECT doc_id, line, list_distinct(list_transform(range(1, len(w)), lambda k: w[k] || ' ' || w[k + 1])) AS p FROM w WHERE len(w) > 1),
 d AS (SELECT doc_id, line, licence, i, len(list_intersect(p, tp)) AS common, len(p) + len(tp) AS total FROM p, t),
 b AS (SELECT *, row_number() OVER (PARTITION BY doc_id, line ORDER BY common / total DESC, i) AS r FROM d WHERE common * 200 >= total * 80),
 g AS (

@@ -85,7 +85,7 @@ def digest(found: DataFrame) -> DataFrame:
 SQL = """
 WITH l AS (SELECT doc_id, unnest(range(1, len(ls) + 1)) AS i, unnest(ls) AS s FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents)),
 u AS (SELECT doc_id, s, CAST(sum(length(s) + 1) OVER (PARTITION BY doc_id ORDER BY i) - length(s) - 1 AS BIGINT) AS a FROM l),
-n AS (SELECT doc_id, a, a + length(s) AS e, list_filter(string_split_regex(lower(s), '\\s+'), x -> x <> '') AS w FROM u),
+n AS (SELECT doc_id, a, a + length(s) AS e, list_filter(string_split_regex(lower(s), '\\s+'), lambda x: x <> '') AS w FROM u),
 k AS (SELECT doc_id, a, e, array_to_string(w, ' ') AS k FROM n WHERE len(w) >= 10),
 r AS (SELECT *, row_number() OVER (PARTITION BY k ORDER BY doc_id, a) AS r FROM k),
 g AS (SELECT doc_id, count(*) AS n_repeats, sum(e - a) AS removed_chars, string_agg(a || ':' || e, ',' ORDER BY a) AS removed FROM r WHERE r > 1 GROUP BY doc_id)

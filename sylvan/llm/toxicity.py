@@ -33,7 +33,8 @@ for _first, _last in ((48, 57), (65, 90), (97, 122)):
 
 @dataclass(frozen=True)
 class Toxicity:
-    """sample: labelled rows that are fitted, at most. step: words between windows. grams: n-gram lengths in bytes."""
+    """sample: labelled rows that are fitted, at most. step: words between windows. grams: n-gram lengths in bytes. rounds:
+    choices of the highest windows, each followed by `passes` over them."""
 
     sample: int = 2500
     window: int = 32
@@ -43,8 +44,9 @@ class Toxicity:
     grams: tuple[int, ...] = (3, 4, 5)
     word_bits: int = 16
     gram_bits: int = 17
-    rounds: int = 10
-    batch: int = 128
+    rounds: int = 4
+    passes: int = 3
+    batch: int = 64
     rate: float = 0.02
     folds: int = 5
     seed: int = 5
@@ -63,20 +65,19 @@ def vocabulary(data: np.ndarray, offsets: np.ndarray, conf: Toxicity):
     inner = np.arange(len(marked)) - np.repeat(begin, length)
     body = (inner > 0) & (inner < np.repeat(length, length) - 1)
     marked[body] = data[(np.repeat(starts[first], length) + inner - 1)[body]]
+    # n-grams of growing length from every byte on; in rows by byte they come out in order of the word
     left = np.repeat(length, length) - inner
-    found, owner = [], []
-    word = np.repeat(np.arange(len(distinct)), length)
-    for n in conf.grams:
-        at = np.flatnonzero(left >= n)
-        with np.errstate(over="ignore"):
-            h = np.full(len(at), n, U64)
-            for k in range(n):
-                h = h * U64(0x100000001B3) + marked[at + k]
-        found.append((mix(h) >> U64(64 - conf.gram_bits)).astype(np.int64))
-        owner.append(word[at])
-    grams, owner = np.concatenate(found), np.concatenate(owner)
-    order = np.argsort(owner, kind="stable")
-    return bucket, grams[order], np.bincount(owner, minlength=len(distinct)), place, count
+    tail = np.concatenate([marked, np.zeros(max(conf.grams), np.uint8)])
+    found, inside = np.empty((len(marked), len(conf.grams)), np.int64), left[:, None] >= np.asarray(conf.grams)
+    h, n = np.zeros(len(marked), U64), 0
+    with np.errstate(over="ignore"):
+        for column, size in enumerate(conf.grams):
+            for n in range(n, size):
+                h = h * U64(0x100000001B3) + tail[n : n + len(marked)] + U64(1)
+            n = size
+            found[:, column] = mix(h + U64(size)) >> U64(64 - conf.gram_bits)
+    per = np.add.reduceat(inside.sum(1), begin) if len(begin) else np.zeros(0, np.int64)
+    return bucket, found[inside], per, place, count
 
 
 def windows(place: np.ndarray, count: np.ndarray, conf: Toxicity) -> tuple[np.ndarray, np.ndarray]:
@@ -241,30 +242,38 @@ def fit(texts: list[str], labels: np.ndarray, conf: Toxicity) -> Network | float
     mean, square = ({k: np.zeros_like(v) for k, v in net.weights.items()} for _ in range(2))
     turn = 0
     adapt_word, adapt_gram = np.full(net.words.shape, 1e-3, np.float32), np.full(net.grams.shape, 1e-3, np.float32)
-    gram_owner = np.repeat(np.arange(len(bucket)), per)
+    gram_begin = np.cumsum(per) - per
+
+    def adjust(rows: np.ndarray, seen: np.ndarray, at: np.ndarray, d: np.ndarray) -> None:
+        """An Adagrad step for the rows that occur."""
+        which, place = np.unique(at, return_inverse=True)
+        total = np.zeros((len(which), rows.shape[1]), np.float32)
+        np.add.at(total, place, d)
+        seen[which] += total**2
+        rows[which] -= conf.rate * total / np.sqrt(seen[which])
+
     for _ in range(conf.rounds):
         table = table_of()  # inputs follow the embeddings once a round
         _, top = net.highest(table, shifted, text, len(labels))
-        for some in np.array_split(rng.permutation(len(labels)), max(1, len(labels) // conf.batch)):
-            logit, traced = net.forward(table, shifted[top[some]], True)
+        order = np.concatenate([rng.permutation(len(labels)) for _ in range(conf.passes)])
+        for some in np.array_split(order, max(1, len(order) // conf.batch)):
+            # the words of these windows alone, so that a step costs what its windows hold
+            used, local = np.unique(shifted[top[some]], return_inverse=True)
+            local = local.reshape(len(some), -1) - (used[0] < 0)
+            near = np.concatenate([table[used[used >= 0]], table[-1:]])
+            logit, traced = net.forward(near, local, True)
             d_logit = ((sigmoid(logit) - labels[some]) * weight[some] / len(some)).astype(np.float32)
-            g, d_table = net.backward(table, traced, d_logit)
+            g, d_near = net.backward(near, traced, d_logit)
             turn += 1
             for k, v in net.weights.items():
                 mean[k] = 0.9 * mean[k] + 0.1 * g[k]
                 square[k] = 0.99 * square[k] + 0.01 * g[k] ** 2
                 v -= conf.rate * (mean[k] / (1 - 0.9**turn)) / (np.sqrt(square[k] / (1 - 0.99**turn)) + 1e-6) + conf.rate * 1e-3 * v
-            d_in = d_table[: size - 1] + d_table[size:-1]
-            hit = np.flatnonzero(np.abs(d_in).sum(1))
-            by_bucket = np.zeros_like(net.words)
-            np.add.at(by_bucket, bucket[hit], d_in[hit, 2 : 2 + conf.width])
-            adapt_word += by_bucket**2
-            net.words -= conf.rate * by_bucket / np.sqrt(adapt_word)
-            of_hit = np.isin(gram_owner, hit)
-            by_bucket = np.zeros_like(net.grams)
-            np.add.at(by_bucket, grams[of_hit], d_in[gram_owner[of_hit], 2 + conf.width :] / per[gram_owner[of_hit]][:, None])
-            adapt_gram += by_bucket**2
-            net.grams -= conf.rate * by_bucket / np.sqrt(adapt_gram)
+            hit, d_in = used[used >= 0] % size, d_near[:-1]
+            adjust(net.words, adapt_word, bucket[hit], d_in[:, 2 : 2 + conf.width])
+            n = per[hit]
+            within = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+            adjust(net.grams, adapt_gram, grams[np.repeat(gram_begin[hit], n) + within], np.repeat(d_in[:, 2 + conf.width :] / np.maximum(n, 1)[:, None], n, axis=0))
     high, _ = net.highest(table_of(), shifted, text, len(labels))
     net.scale = calibrate(high.astype(np.float64), labels)
     return net
