@@ -21,14 +21,15 @@ def clamped(x: Column) -> Column:
 
 def response_rows(responses: DataFrame) -> DataFrame:
     """`responses(leaf_id, ord, response)` to `(leaf_id, ord, pos, found_id, score, rationale)`, one row a scored leaf that
-    a response holds: a list under `leaves` or `items`, the object itself, or a map by leaf id."""
+    a response holds: a list under `leaves` or `items`, the object itself, or a map by leaf id. Any other response is one
+    row, with whatever id it has."""
     with_object = responses.withColumn("v", json_object(F.col("response")))
     get = lambda path, kind: F.try_variant_get("v", path, kind)
     listed = F.coalesce(get("$.leaves", "array<variant>"), get("$.items", "array<variant>"))
     own = F.when(F.coalesce(get("$.leaf_id", "string"), get("$.id", "string")) == F.col("leaf_id"), F.array("v"))
     by_id = F.try_element_at(get("$", "map<string,variant>"), F.col("leaf_id"))
     mapped = F.when(by_id.isNotNull(), F.array(by_id))
-    rows = with_object.select("leaf_id", "ord", (listed.isNull() & own.isNull()).alias("keyed"), F.posexplode(F.coalesce(listed, own, mapped)).alias("pos", "x"))
+    rows = with_object.select("leaf_id", "ord", (listed.isNull() & own.isNull() & mapped.isNotNull()).alias("keyed"), F.posexplode(F.coalesce(listed, own, mapped, F.array("v"))).alias("pos", "x"))
     field = lambda name, kind: F.try_variant_get("x", f"$.{name}", kind)
     found = F.coalesce(field("leaf_id", "string"), field("id", "string"), F.when(F.col("keyed"), F.col("leaf_id")))
     number = F.schema_of_variant(field("score", "variant")).rlike("^(BIGINT|DOUBLE|DECIMAL)")

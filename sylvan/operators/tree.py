@@ -75,37 +75,47 @@ def tree_scores(nodes: DataFrame, scores: DataFrame, depth: int | None = None) -
     return reduce(DataFrame.unionByName, levels)
 
 
+def with_paths(nodes: DataFrame) -> DataFrame:
+    """`path`: a node's ancestors from the root down, by level; nodes that have it already keep it."""
+    if "path" in nodes.columns:
+        return nodes
+    above = nodes.filter("depth = 0").withColumn("path", F.array().cast("array<string>"))
+    levels = [above]
+    for d in range(1, depth_of(nodes) + 1):
+        parent = above.select("tree_id", F.col("node_id").alias("parent_id"), F.concat("path", F.array("node_id")).alias("path"))
+        above = nodes.filter(F.col("depth") == d).join(parent, ["tree_id", "parent_id"])
+        levels.append(above)
+    return reduce(DataFrame.unionByName, levels)
+
+
 def prune_to(nodes: DataFrame, category: str = CATEGORIES[0]) -> DataFrame:
     """The leaves of a category and exactly their ancestors; weights stay, internal categories go. A tree of which
-    nothing is left keeps its root as a leaf of that category, without a fine category."""
-    wanted = leaves(nodes).filter(F.col("task_category") == category).withColumn("is_leaf", F.lit(True))
-    keep, frontier = [wanted.select(*KEY, "is_leaf")], wanted.select("tree_id", "parent_id")
-    for _ in range(depth_of(nodes)):
-        up = nodes.join(frontier.filter("parent_id is not null").select("tree_id", F.col("parent_id").alias("node_id")).distinct(), KEY, "left_semi")
-        keep.append(up.select(*KEY, F.lit(False).alias("is_leaf")))
-        frontier = up.select("tree_id", "parent_id")
-    kept = reduce(DataFrame.union, keep).groupBy(*KEY).agg(F.max("is_leaf").alias("is_leaf"))
-    lost = nodes.filter("depth = 0").join(kept, KEY, "left_anti").select(*KEY, F.lit(True).alias("is_leaf"))
-    out = nodes.join(kept.union(lost), KEY)
-    emptied = F.col("is_leaf") & (F.col("depth") == 0)
-    cleared = {"task_category": F.when(F.col("is_leaf"), F.lit(category))}
+    nothing is left keeps its root as a leaf of that category, without a fine category.
+
+    Leaves name their ancestors by path, so one explode, combined before the shuffle, finds all that stays."""
+    nodes = with_paths(nodes)
+    wanted = leaves(nodes).filter(F.col("task_category") == category)
+    named = wanted.select("tree_id", F.explode(F.concat(F.transform("path", lambda p: F.struct(p.alias("node_id"), F.lit(False).alias("is_leaf"))), F.array(F.struct("node_id", F.lit(True).alias("is_leaf"))))).alias("x"))
+    kept = named.select("tree_id", "x.*").groupBy(*KEY).agg(F.max("is_leaf").alias("is_leaf"))
+    alive = kept.select(F.col("tree_id").alias("alive")).distinct()
+    out = nodes.join(kept, KEY, "left").join(alive, F.col("tree_id") == F.col("alive"), "left")
+    emptied = F.col("alive").isNull() & (F.col("depth") == 0)
+    out = out.filter(F.col("is_leaf").isNotNull() | emptied)
+    cleared = {"task_category": F.when(F.col("is_leaf") | emptied, F.lit(category))}
     if "fine_category" in nodes.columns:
         cleared["fine_category"] = F.when(F.col("is_leaf") & ~emptied, F.col("fine_category"))
-    return out.withColumns(cleared).drop("is_leaf")
+    return out.withColumns(cleared).drop("is_leaf", "alive")
 
 
 def leaf_contexts(nodes: DataFrame, separator: str = " > ") -> DataFrame:
     """Each leaf with its ancestors' requirements from the root down, blank ones left out."""
-    depth = depth_of(nodes)
-    text = F.when(F.trim("requirements") != "", F.array("requirements")).otherwise(F.array().cast("array<string>"))
-    above = nodes.filter("depth = 0").withColumn("chain", F.array().cast("array<string>")).withColumn("with_self", text)
-    levels = [above]
-    for d in range(1, depth + 1):
-        parent = above.select("tree_id", F.col("node_id").alias("parent_id"), F.col("with_self").alias("chain"))
-        above = nodes.filter(F.col("depth") == d).join(parent, ["tree_id", "parent_id"]).withColumn("with_self", F.concat("chain", text))
-        levels.append(above)
-    every = reduce(DataFrame.unionByName, levels).drop("with_self")
-    return leaves(every).withColumn("context", F.array_join("chain", separator)).drop("chain")
+    nodes = with_paths(nodes)
+    ends = leaves(nodes)
+    texts = nodes.select("tree_id", F.col("node_id").alias("ancestor"), F.col("requirements").alias("text")).filter(F.trim("text") != "")
+    chain = ends.select(*KEY, F.posexplode("path").alias("pos", "ancestor")).join(texts, ["tree_id", "ancestor"])
+    joined = chain.groupBy(*KEY).agg(F.array_sort(F.collect_list(F.struct("pos", "text"))).alias("c"))
+    context = F.coalesce(F.array_join(F.transform("c", lambda x: x["text"]), separator), F.lit(""))
+    return ends.join(joined, KEY, "left").withColumn("context", context).drop("c")
 
 
 def tree_stats(nodes: DataFrame) -> DataFrame:

@@ -18,11 +18,11 @@ def _files(spark, sf):
     name = F.when(F.col("doc_id") % 50 == 7, F.lit("README.md")).when(F.col("doc_id") % 50 == 9, F.lit("results.json")).when(F.col("doc_id") % 31 == 3, F.concat(F.lit(".git/f"), "doc_id")).otherwise(F.concat(F.lit("file-"), "doc_id", F.lit("."), suffix))
     top = F.element_at(F.array(*map(F.lit, ("environment", "tests", "solution", "notes"))), (F.col("doc_id") % 4 + 1).cast("int"))
     docs = table(spark, sf, "documents").select("doc_id", "text", "lang", "source")
-    return docs.select(F.col("lang").alias("submission_id"), F.concat_ws("/", top, "source", name).alias("path"), F.octet_length("text").cast("long").alias("bytes"), "text")
+    return docs.select(F.col("lang").alias("submission_id"), F.concat_ws("/", top, "source", F.concat(F.lit("d"), "doc_id"), name).alias("path"), F.octet_length("text").cast("long").alias("bytes"), "text")
 
 
 FILES = """files AS (
-  SELECT lang AS submission_id, (['environment', 'tests', 'solution', 'notes'])[doc_id % 4 + 1] || '/' || source || '/' ||
+  SELECT lang AS submission_id, (['environment', 'tests', 'solution', 'notes'])[doc_id % 4 + 1] || '/' || source || '/d' || doc_id || '/' ||
     CASE WHEN doc_id % 50 = 7 THEN 'README.md' WHEN doc_id % 50 = 9 THEN 'results.json' WHEN doc_id % 31 = 3 THEN '.git/f' || doc_id
       ELSE 'file-' || doc_id || '.' || (['py', 'md', 'json', 'bin', 'csv', 'ipynb', 'png', 'gz'])[doc_id % 8 + 1] END AS path,
     CAST(strlen(text) AS BIGINT) AS bytes, text FROM documents
@@ -95,9 +95,12 @@ def url_rewrite(spark, sf):
 def file_kind_profile(spark, sf):
     files = _files(spark, sf).select(F.col("submission_id").alias("set_id"), "path", "bytes")
     p = profile.data_profile(files)
-    long = p.select("set_id", F.explode(F.map_concat(*(F.transform_keys(m, lambda k, v, m=m: F.concat(F.lit(m.split("_")[0] + ":"), k)) for m in ("kind_counts", "scope_counts")))).alias("name", "files"))
-    size = p.select(F.col("set_id").alias("s"), F.explode(F.map_concat(*(F.transform_keys(m, lambda k, v, m=m: F.concat(F.lit(m.split("_")[0] + ":"), k)) for m in ("kind_bytes", "scope_bytes")))).alias("n", "bytes"))
-    return long.join(size, (F.col("set_id") == F.col("s")) & (F.col("name") == F.col("n"))).select("set_id", "name", "files", "bytes")
+
+    def rows(measure, value):
+        named = [F.transform_keys(f"{part}_{measure}", lambda k, v: F.concat(F.lit("kind:"), k) if part == "kind" else F.concat(F.lit("scope:"), k)) for part in ("kind", "scope")]  # noqa: B023
+        return p.select("set_id", F.explode(F.map_concat(*named)).alias("name", value))
+
+    return rows("counts", "files").join(rows("bytes", "bytes"), ["set_id", "name"])
 
 
 def largest_files(spark, sf):

@@ -17,18 +17,28 @@ def _union(parts: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def order_tree(spark: SparkSession, sf: str, weight: str = "1 + o_orderkey % 3") -> DataFrame:
-    level = lambda name, *cols: table(spark, sf, name).selectExpr("'T' AS tree_id", *cols)
-    row = lambda node, parent, key, depth, w, category, text: (
-        f"{node} AS node_id", f"{parent} AS parent_id", f"CAST({key} AS BIGINT) AS ord", f"{depth} AS depth", f"CAST({w} AS BIGINT) AS weight",
-        f"CAST({category} AS STRING) AS task_category", f"{text} AS requirements",
-    )
+def order_tree(spark: SparkSession, sf: str, weight: str = "1 + o_orderkey % 3", paths: bool = False) -> DataFrame:
+    """With `paths`, each node also names its ancestors, which takes a join by customer."""
+    nation, customer, orders = (table(spark, sf, n) for n in ("nation", "customer", "orders"))
+    if paths:
+        customer = customer.join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
+        orders = orders.join(customer.select("c_custkey", "c_nationkey", "n_regionkey"), F.col("o_custkey") == F.col("c_custkey"))
+
+    def level(rows, path, key, depth, w, category, text):
+        """path: SQL for the ids from the root to the node itself."""
+        return rows.selectExpr(
+            "'T' AS tree_id", f"{path[-1]} AS node_id", f"{path[-2] if path[1:] else 'CAST(NULL AS STRING)'} AS parent_id", f"CAST({key} AS BIGINT) AS ord", f"{depth} AS depth",
+            f"CAST({w} AS BIGINT) AS weight", f"CAST({category} AS STRING) AS task_category", f"{text} AS requirements",
+            *([f"CAST(array({', '.join(path[:-1])}) AS ARRAY<STRING>) AS path"] if paths else []),
+        )
+
+    root, region = "'root'", "concat('r', {})".format
     return _union([
-        spark.range(1).selectExpr("'T' AS tree_id", *row("'root'", "CAST(NULL AS STRING)", "0", 0, "1", "NULL", "'all orders'")),
-        level("region", *row("concat('r', r_regionkey)", "'root'", "r_regionkey", 1, "1 + r_regionkey % 3", "NULL", "r_name")),
-        level("nation", *row("concat('n', n_nationkey)", "concat('r', n_regionkey)", "n_nationkey", 2, "1 + n_nationkey % 3", "NULL", "n_name")),
-        level("customer", *row("concat('c', c_custkey)", "concat('n', c_nationkey)", "c_custkey", 3, "1 + c_custkey % 3", "NULL", "c_mktsegment")),
-        level("orders", *row("concat('o', o_orderkey)", "concat('c', o_custkey)", "o_orderkey", 4, weight, CATEGORY.format(k="o_orderkey"), "o_orderpriority")),
+        level(spark.range(1), [root], "0", 0, "1", "NULL", "'all orders'"),
+        level(table(spark, sf, "region"), [root, region("r_regionkey")], "r_regionkey", 1, "1 + r_regionkey % 3", "NULL", "r_name"),
+        level(nation, [root, region("n_regionkey"), "concat('n', n_nationkey)"], "n_nationkey", 2, "1 + n_nationkey % 3", "NULL", "n_name"),
+        level(customer, [root, region("n_regionkey"), "concat('n', c_nationkey)", "concat('c', c_custkey)"], "c_custkey", 3, "1 + c_custkey % 3", "NULL", "c_mktsegment"),
+        level(orders, [root, region("n_regionkey"), "concat('n', c_nationkey)", "concat('c', o_custkey)", "concat('o', o_orderkey)"], "o_orderkey", 4, weight, CATEGORY.format(k="o_orderkey"), "o_orderpriority"),
     ])
 
 
@@ -133,7 +143,7 @@ DOC_TREE = """tree AS (
 
 
 def code_only_prune(spark, sf):
-    return tree.prune_to(order_tree(spark, sf)).select("node_id", "parent_id", "depth", "weight", "task_category")
+    return tree.prune_to(order_tree(spark, sf, paths=True)).select("node_id", "parent_id", "depth", "weight", "task_category")
 
 
 PRUNED = f"""{LEAVES.format(t="tree")}, k4 AS (SELECT node_id, parent_id FROM leaves WHERE task_category = 'Code Development'),
@@ -142,11 +152,11 @@ pruned AS (SELECT t.* REPLACE (CASE WHEN t.depth = 4 THEN t.task_category END AS
 
 
 def code_only_score(spark, sf):
-    return _rounded(tree.tree_scores(tree.prune_to(order_tree(spark, sf)), order_scores(spark, sf), 4), 2)
+    return _rounded(tree.tree_scores(tree.prune_to(order_tree(spark, sf, paths=True)), order_scores(spark, sf), 4), 2)
 
 
 def leaf_contexts(spark, sf):
-    return tree.leaf_contexts(order_tree(spark, sf)).select("node_id", "context")
+    return tree.leaf_contexts(order_tree(spark, sf, paths=True)).select("node_id", "context")
 
 
 def tree_stats(spark, sf):
