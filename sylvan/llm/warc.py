@@ -174,21 +174,31 @@ class LoserTree:
             self.winner = i
 
 
+_MERGED = f"{_INDEX}, part int, place long"
+
+
 def _merger(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    part, place = TaskContext.get().partitionId(), 0
     runs: dict[str, list[tuple]] = {}
     for batch in batches:
         for row in zip(*(batch.column(c).to_pylist() for c in _NAMES), strict=True):
             runs.setdefault(row[3], []).append(row)
     for run in runs.values():
         run.sort(key=_order)  # in order already unless the shuffle dealt a run's blocks in another one
+
+    def placed(rows: list[tuple]) -> pa.RecordBatch:
+        batch = _entries(rows)
+        where = [pa.array([part] * len(rows), pa.int32()), pa.array(range(place, place + len(rows)), pa.int64())]
+        return pa.RecordBatch.from_arrays([*batch.columns, *where], [*_NAMES, "part", "place"])
+
     out = []
     for entry in LoserTree(list(runs.values())) if runs else ():
         out.append(entry)
         if len(out) >= 20_000:
-            yield _entries(out)
-            out = []
+            yield placed(out)
+            out, place = [], place + len(out)
     if out:
-        yield _entries(out)
+        yield placed(out)
 
 
 def write(pages: DataFrame, folder: str, conf: Warc = Warc()) -> DataFrame:
@@ -205,9 +215,9 @@ def write(pages: DataFrame, folder: str, conf: Warc = Warc()) -> DataFrame:
 
 
 def merge(index: DataFrame) -> DataFrame:
-    """The runs as one index, ordered by URL key, timestamp and page over all partitions."""
+    """The runs as one index, ordered by URL key, timestamp and page: `part` numbers the ranges, `place` the entries of one."""
     n = int(index.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return index.repartitionByRange(n, "url_key", "stamp", F.col("page_id").asc_nulls_first(), "archive", "at").mapInArrow(_merger, _INDEX)
+    return index.repartitionByRange(n, "url_key", "stamp", F.col("page_id").asc_nulls_first(), "archive", "at").mapInArrow(_merger, _MERGED)
 
 
 def read(index: DataFrame, folder: str) -> DataFrame:

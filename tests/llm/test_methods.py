@@ -37,14 +37,16 @@ def brute_components(texts, size, percent=80):
             x = parent[x]
         return x
 
-    ids = sorted(texts)
-    for n, a in enumerate(ids):
-        for b in ids[n + 1 :]:
-            x, y = sets[a], sets[b]
-            if x and y and 100 * len(x & y) >= percent * len(x | y):
-                p, q = sorted((find(a), find(b)))
-                parent[q] = p
-    return {i: (len(sets[i]), find(i)) for i in ids}
+    common, having = Counter(), {}
+    for i in sorted(texts):
+        for shingle in sets[i]:
+            common.update((k, i) for k in having.setdefault(shingle, []))
+            having[shingle].append(i)
+    for (a, b), n in common.items():
+        if 100 * n >= percent * len(sets[a] | sets[b]):
+            p, q = sorted((find(a), find(b)))
+            parent[q] = p
+    return {i: (len(sets[i]), find(i)) for i in texts}
 
 
 @pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
@@ -268,11 +270,12 @@ def test_packing_cuts_all_ids(spark):
 
 def test_pipeline_stages_take_effect(spark):
     """Each stage against what brute force says about its own input."""
-    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    folder = SF.replace("0.001", "0.01")
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
     sizes = [docs.count()]
     for k, (_, stage) in enumerate(corpus_pipeline.STAGES[:4]):
         before = {r.doc_id: r for r in docs.collect()}
-        docs = stage(spark, docs, SF).cache()
+        docs = stage(spark, docs, folder).cache()
         after = docs.collect()
         sizes.append(len(after))
         if k == 1:
