@@ -153,8 +153,8 @@ def top_k(vectors: DataFrame, conf: Search = Search()) -> DataFrame:
         kth = home.groupBy("query_id").agg(F.count("*").alias("m"), F.min("score").alias("kth"))
         known = asked.join(kth, asked["vec_id"] == kth["query_id"], "left").withColumn("floor", F.when(F.col("m") >= conf.k, F.col("kth")).otherwise(low))
         everywhere = known.withColumn("to", F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))).filter("to <> shard")
-        everywhere = everywhere.select("vec_id", "embedding", "width", F.col("to").alias("shard"), "block", "floor")
-        copies = usable.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+        everywhere = everywhere.select(*(F.col(c).alias(c) for c in ("vec_id", "embedding", "width")), F.col("to").alias("shard"), F.col("block").alias("block"), "floor")
+        copies = usable.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))).select(*(F.col(c).alias(c) for c in ("vec_id", "embedding", "width", "shard", "block")))
         away = copies.groupBy("width", "shard", "block").cogroup(everywhere.groupBy("width", "shard", "block")).applyInArrow(_searcher(conf), _FOUND)
         found = home.union(away)
     order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
