@@ -1,60 +1,88 @@
-"""Substring dedup by line or paragraph hashing: units are normalised, their digests grouped over all documents, the
-earliest occurrence (smallest doc_id, then offset) is kept and all others are given with their original offsets.
+"""Substring dedup by hashing units: units are normalised, their digests grouped over all documents, the earliest
+occurrence (smallest doc_id, then offset) is kept and all others are given with their original offsets.
+
+Units are lines, and segments of a few words that end at words chosen by their hash. A passage that was put into the
+middle of a line is no line of its own, but has the same segments everywhere, up to its edges. A repeated line counts by
+itself from `least` words on; repeated segments count where they follow each other for `run` words or more, so that
+chance repeats of short segments don't.
 
 A digest's earliest occurrence is a minimum that is combined before the shuffle, however common the unit. Only digests
 that occur twice or more are joined back, and that join has no state per key, so a common line's rows can be split.
 
-Units shorter than `least` words stay. Offsets count code points, ends are exclusive. Nulls: a null text is empty and
-has no units; rows without a doc_id come last in rank. Of repeated rows of one doc_id and text each reports the same
-spans, those of the first occurrence excepted in all. Further columns are ignored."""
+A to Z are lower-cased, white space within a unit doesn't count. Offsets count code points, ends are exclusive; spans of
+a document are disjoint. Nulls: a null text is empty and has no units; rows without a doc_id come last in rank, and none
+of them gives way to another one. Repeated rows of one doc_id and text count once and report the same spans. Further columns are ignored."""
 
 from __future__ import annotations
 
-import hashlib
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .textkit import LOWER, U64, keys, mix, pieces, text_bytes, word_hashes, words
 from .work import Workspace
 
 
 @dataclass(frozen=True)
 class LineDedup:
-    """between: what separates units; `\\n` for lines, `\\n\\s*\\n` for paragraphs. least: words of a unit that counts."""
+    """least: words of a line that counts. segment: mean words of a segment. run: words of segments in a row that count."""
 
-    between: str = r"\n"
     least: int = 10
-
-
-_UNIT = "doc_id long, starts long, ends long, digest binary"
-_SPACE = re.compile(r"[\x20\x09-\x0D]+")
-
-
-def _units(conf: LineDedup):
-    cut = re.compile(conf.between)
-
+    segment: int = 7
+    run: int = 18
+
+
+#: A unit's row is small, as units outweigh texts: span is start << 32 | end; place is -1 or -2 for a line and else number << 32 |
+#: words << 1, and a line is -2 and a segment odd if the same unit stands earlier in the same text.
+_UNIT = "doc_id long, span long, place long, digest long"
+
+
+def units(data: np.ndarray, offsets: np.ndarray, conf: LineDedup) -> tuple[np.ndarray, ...]:
+    """(row, is a segment, number in the text, start, end, words, digest) of all lines and segments."""
+    plain = LOWER[data]
+    first, stop, count = words(plain, offsets)
+    n = len(first)
+    hashed = word_hashes(plain, first, stop)
+    row = np.repeat(np.arange(len(count)), count)
+    points = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
+    opens = np.zeros(n, bool)
+    opens[(np.cumsum(count) - count)[count > 0]] = True
+    line = np.concatenate([[0], np.cumsum(data == 10)])[first]
+    closed = (hashed >> U64(33)) % U64(conf.segment) == 0
+    out = []
+    for segment, begins in ((False, opens | (np.diff(line, prepend=-1) > 0)), (True, opens | np.concatenate([[False], closed[:-1]])[:n])):
+        at = np.flatnonzero(begins)
+        if not n:
+            out.append((at,) * 7)
+            continue
+        length = np.diff(np.append(at, n))
+        within = np.arange(n) - np.repeat(at, length)
+        with np.errstate(over="ignore"):
+            weight = keys(int(length.max()), 53) | U64(1)
+            digest = mix(np.add.reduceat(hashed * weight[within], at) + length.astype(U64) * U64(2) + U64(segment)).view(np.int64)
+        base = points[offsets[row[at]]]
+        number = np.arange(len(at)) - np.searchsorted(row[at], row[at])
+        unit = (row[at], np.full(len(at), segment), number, points[first[at]] - base, points[stop[at + length - 1]] - base, length, digest)
+        out.append(unit if segment else tuple(u[length >= conf.least] for u in unit))
+    return tuple(np.concatenate(p) for p in zip(*out, strict=True))
+
+
+def _unit_rows(conf: LineDedup):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i in range(0, batch.num_rows, 1024):
-                names, starts, ends, digests = [], [], [], []
-                for name, text in zip(batch.column("doc_id")[i : i + 1024].to_pylist(), batch.column("text")[i : i + 1024].to_pylist(), strict=True):
-                    at = 0
-                    for m in [*cut.finditer(text or ""), None]:
-                        end = m.start() if m else len(text or "")
-                        words = (text or "")[at:end].lower().split()
-                        if len(words) >= conf.least:
-                            names.append(name)
-                            starts.append(at)
-                            ends.append(end)
-                            digests.append(hashlib.blake2b(" ".join(words).encode(), digest_size=16).digest())
-                        at = m.end() if m else end
+            data, offsets = text_bytes(batch.column("text"))
+            for i, j in pieces(offsets):
+                row, segment, number, starts, ends, count, digest = units(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], conf)
+                order = np.lexsort((starts, digest, row))
+                again = np.zeros(len(row), bool)
+                again[order[1:]] = (np.diff(row[order]) == 0) & (np.diff(digest[order]) == 0)
+                place = np.where(segment, number << 32 | count << 1 | again, np.where(again, -2, -1))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(names, pa.int64()), pa.array(np.asarray(starts, np.int64)), pa.array(np.asarray(ends, np.int64)), pa.array(digests, pa.binary())], ["doc_id", "starts", "ends", "digest"]
+                    [batch.column("doc_id")[i:j].take(pa.array(row, pa.int64())), *(pa.array(x, pa.int64()) for x in (starts << 32 | ends, place, digest))], [c.split()[0] for c in _UNIT.split(", ")]
                 )
 
     return run
@@ -64,14 +92,32 @@ def repeats(docs: DataFrame, conf: LineDedup = LineDedup()) -> DataFrame:
     """`docs(doc_id, text)` to `(doc_id, n_repeats, removed)`, removed being a sorted array of (starts, ends)."""
     work = Workspace(docs.sparkSession, "linededup")
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    units = work.keep(docs.mapInArrow(_units(conf), _UNIT), "units")
-    rank = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "starts")
-    groups = units.groupBy("digest").agg(F.min(rank).alias("first"), F.count("*").alias("n")).filter("n > 1")
-    again = units.join(groups, "digest").filter(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "starts") != F.col("first"))
-    spans = again.groupBy("doc_id").agg(F.array_sort(F.collect_set(F.struct("starts", "ends"))).alias("removed"))
+    every = work.keep(docs.mapInArrow(_unit_rows(conf), _UNIT), "units")
+    rank = F.coalesce("doc_id", F.lit((1 << 63) - 1))
+    groups = every.groupBy("digest").agg(F.min(rank).alias("first"), F.count("*").alias("n")).filter("n > 1").drop("n")
+    repeated = (rank != F.col("first")) | (F.col("place") == -2) | ((F.col("place") >= 0) & (F.col("place") % 2 == 1))
+    low = lambda c, bits: F.col(c).bitwiseAND((1 << bits) - 1)
+    again = every.join(groups, "digest").filter(repeated).select(
+        "doc_id", F.shiftright("span", 32).alias("starts"), low("span", 32).alias("ends"), (F.col("place") >= 0).alias("segment"), F.shiftright("place", 32).alias("ordinal"),
+        F.shiftright(low("place", 32), 1).alias("words"),
+    )
+    again = work.keep(again, "again")
+    work.drop(every)
+
+    by_doc = Window.partitionBy("doc_id")
+    parts = again.filter("segment").select("doc_id", "ordinal", "starts", "ends", "words").distinct()
+    island = F.col("ordinal") - F.row_number().over(by_doc.orderBy("ordinal"))
+    runs = parts.withColumn("island", island).groupBy("doc_id", "island").agg(F.min("starts").alias("starts"), F.max("ends").alias("ends"), F.sum("words").alias("words"))
+    spans = runs.filter(F.col("words") >= conf.run).select("doc_id", "starts", "ends").union(again.filter("not segment").select("doc_id", "starts", "ends"))
+    # spans that meet become one
+    before = F.max("ends").over(by_doc.orderBy("starts", "ends").rowsBetween(Window.unboundedPreceding, -1))
+    fresh = spans.withColumn("fresh", F.coalesce(F.col("starts") > before, F.lit(True)).cast("int"))
+    group = F.sum("fresh").over(by_doc.orderBy("starts", "ends").rowsBetween(Window.unboundedPreceding, 0))
+    merged = fresh.withColumn("group", group).groupBy("doc_id", "group").agg(F.min("starts").alias("starts"), F.max("ends").alias("ends"))
+    merged = merged.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("starts", "ends"))).alias("removed"))
     ids = docs.select(F.col("doc_id").alias("id"))
     none = F.array().cast("array<struct<starts:bigint,ends:bigint>>")
-    out = ids.join(spans, F.col("id").eqNullSafe(F.col("doc_id")), "left")
+    out = ids.join(merged, F.col("id").eqNullSafe(F.col("doc_id")), "left")
     removed = F.coalesce("removed", none)
     return out.select(F.col("id").alias("doc_id"), F.size(removed).cast("long").alias("n_repeats"), removed.alias("removed"))
 
@@ -80,15 +126,3 @@ def digest(found: DataFrame) -> DataFrame:
     listed = F.array_join(F.transform("removed", lambda x: F.concat_ws(":", x["starts"], x["ends"])), ",")
     length = F.aggregate("removed", F.lit(0).cast("long"), lambda s, x: s + x["ends"] - x["starts"])
     return found.select("doc_id", "n_repeats", length.alias("removed_chars"), listed.alias("removed"))
-
-
-SQL = """
-WITH l AS (SELECT doc_id, unnest(range(1, len(ls) + 1)) AS i, unnest(ls) AS s FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents)),
-u AS (SELECT doc_id, s, CAST(sum(length(s) + 1) OVER (PARTITION BY doc_id ORDER BY i) - length(s) - 1 AS BIGINT) AS a FROM l),
-n AS (SELECT doc_id, a, a + length(s) AS e, list_filter(string_split_regex(lower(s), '\\s+'), lambda x: x <> '') AS w FROM u),
-k AS (SELECT doc_id, a, e, array_to_string(w, ' ') AS k FROM n WHERE len(w) >= 10),
-r AS (SELECT *, row_number() OVER (PARTITION BY k ORDER BY doc_id, a) AS r FROM k),
-g AS (SELECT doc_id, count(*) AS n_repeats, sum(e - a) AS removed_chars, string_agg(a || ':' || e, ',' ORDER BY a) AS removed FROM r WHERE r > 1 GROUP BY doc_id)
-SELECT doc_id, coalesce(n_repeats, 0) AS n_repeats, CAST(coalesce(removed_chars, 0) AS BIGINT) AS removed_chars, coalesce(removed, '') AS removed
-FROM documents LEFT JOIN g USING (doc_id)
-"""

@@ -62,4 +62,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_licences": licences.SQL, "op3_warc": warc.SQL, "op4_secrets": secrets.SQL, "op7_linededup": linededup.SQL, "op8_kdtree": kdtree.SQL}
+    return {"op2_licences": licences.SQL, "op3_warc": warc.SQL, "op4_secrets": secrets.SQL, "op8_kdtree": kdtree.SQL}
