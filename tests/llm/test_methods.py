@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from conftest import SF, same_rows
-from sylvan.llm import jpeg, kdtree, mixing, packing, queries, secrets, toxicity, warc
+from sylvan.llm import jpeg, kdtree, linededup, mixing, packing, queries, secrets, toxicity, warc
 from sylvan.llm.neardup import NearDup, near_duplicates, one_permutation, shingle_sets
 from sylvan.llm.textkit import pieces, text_bytes, words
 
@@ -86,6 +86,47 @@ def test_one_permutation_agrees_with_the_similarity():
         assert abs((sig[0] == sig[1]).mean() - similarity) < 0.12 and not sig[2].any()
 
 
+def brute_repeats(texts, conf):
+    """Spans by walking all documents in order."""
+    ids, seen, out = sorted(texts), set(), {}
+    data, offsets = text_bytes(pa.array([texts[i] or "" for i in ids], pa.large_string()))
+    rows = sorted(zip(*(x.tolist() for x in linededup.units(data, offsets, conf)), strict=True), key=lambda u: (u[0], u[3], u[1]))
+    for place, i in enumerate(ids):
+        cover, run = set(), []
+        for _, segment, number, start, end, words, digest in (u for u in rows if u[0] == place):
+            old = (segment, digest) in seen
+            seen.add((segment, digest))
+            if not segment:
+                cover |= set(range(start, end)) if old else set()
+            elif old and run and run[-1][0] == number - 1:
+                run[-1] = (number, run[-1][1], end, run[-1][3] + words)
+            elif old:
+                run.append((number, start, end, words))
+        for _, start, end, words in run:
+            cover |= set(range(start, end)) if words >= conf.run else set()
+        out[i] = cover
+    return out
+
+
+def test_repeats_equal_walking_all_documents(spark):
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    got = {r.doc_id: {c for a, b in r.removed for c in range(a, b)} for r in linededup.repeats(spark.read.parquet(f"{SF}/documents.parquet")).collect()}
+    assert got == brute_repeats(texts, linededup.LineDedup())
+
+
+def test_passage_inside_lines_is_found(spark):
+    rng = random.Random(11)
+    prose = lambda n: " ".join(f"w{rng.randrange(10**6)}" for _ in range(n))
+    passage = prose(60)
+    rows = [(i, f"{prose(40)} {passage} {prose(30)}\n{prose(20)}") for i in range(20)] + [(i, f"{prose(90)}\n{prose(30)}") for i in range(20, 60)]
+    texts = dict(rows)
+    got = {r.doc_id: r.removed for r in linededup.repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[0] == [] and all(got[i] == [] for i in range(20, 60))
+    for i in range(1, 20):
+        cut = " ".join(texts[i][a:b] for a, b in got[i])
+        assert cut in passage and len(cut) > 0.5 * len(passage)
+
+
 @settings(max_examples=50, deadline=None)
 @given(st.lists(st.text(alphabet="aB é\t\n\x0b", max_size=30), max_size=8))
 def test_words_of_buffers(texts):
