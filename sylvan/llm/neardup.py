@@ -249,3 +249,18 @@ def _labelled(rows: DataFrame, label: DataFrame, node: str, name: str) -> DataFr
     """`name`: the component of `node`, itself where it has no link."""
     known = label.select(F.col("node").alias(node), F.col("component").alias(name))
     return rows.join(known, node, "left").withColumn(name, F.coalesce(name, node))
+
+
+#: The default links at four words in SQL, by counting the shingles that two documents share.
+SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
+), s AS (
+  SELECT doc_id, CASE WHEN len(w) >= 4 THEN list_distinct(list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' '))) WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END AS s FROM w
+), n AS (SELECT doc_id, len(s) AS n FROM s), e AS (SELECT doc_id, unnest(s) AS x FROM s),
+c AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM e a JOIN e b ON a.x = b.x AND a.doc_id < b.doc_id GROUP BY ALL),
+l AS (SELECT a, b FROM c JOIN n p ON p.doc_id = a JOIN n q ON q.doc_id = b WHERE 100 * k >= 80 * (p.n + q.n - k)),
+both_ AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r AS (SELECT doc_id, doc_id AS t FROM documents UNION SELECT r.doc_id, b FROM r JOIN both_ ON both_.a = r.t)
+SELECT doc_id, n AS n_shingles, min(t) AS component_id, doc_id = min(t) AS kept FROM n JOIN r USING (doc_id) GROUP BY doc_id, n
+"""

@@ -7,13 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import jpeg, kdtree, licences, linededup, mixing, packing, secrets, toxicity, warc
-from .neardup import NearDup, near_duplicates
+from . import jpeg, kdtree, licences, linededup, mixing, neardup, packing, secrets, toxicity, warc
 from .work import table
 
 
 def op1_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(table(spark, sf_dir, "documents"), NearDup(words=4))
+    found = neardup.near_duplicates(table(spark, sf_dir, "documents"), neardup.NearDup(words=4))
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
 def op2_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -62,4 +62,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_licences": licences.SQL, "op3_warc": warc.SQL, "op4_secrets": secrets.SQL, "op8_kdtree": kdtree.SQL}
+    return {"op1_neardup": neardup.SQL, "op2_licences": licences.SQL, "op3_warc": warc.SQL, "op4_secrets": secrets.SQL, "op8_kdtree": kdtree.SQL}
