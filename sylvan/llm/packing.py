@@ -44,18 +44,34 @@ class Packing:
 
 #: Two plain separators in a row, or white space of another kind: word by word would differ from the whole text.
 _UNEVEN = re.compile(r"[^\S \n]|[ \n][ \n]")
-_LETTERS = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([^A-Za-zÀ-ÖØ-öø-ÿ].*)", re.DOTALL)
+_LETTERS = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)(.*)", re.DOTALL)
+
+
+def _byte_letters() -> dict[int, str]:
+    """For a blank and letters up to U+00FF: the letters that stand for their UTF-8 bytes in a byte-level vocabulary.
+    Printable bytes stand for themselves, the others for the code points from 256 on."""
+    printable = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    stands = {b: chr(b) for b in printable} | {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in printable)}
+    return {c: "".join(stands[b] for b in chr(c).encode()) for c in (32, *range(0xC0, 0x100))}
+
+
+_AS_BYTES = _byte_letters()
 
 
 class _Remembered(dict):
     """Ids of a word, little-endian 16-bit, by its text; `before` is what precedes it."""
 
-    def __init__(self, encode, before: str, most: int):
-        self.encode, self.before, self.most, self.tail = encode, before, most, self
+    def __init__(self, encode, plain, before: str, most: int):
+        self.encode, self.plain, self.before, self.most, self.tail = encode, plain, before, most, self
 
     def __missing__(self, word: str) -> bytes:
         cut = _LETTERS.fullmatch(word)
-        ids = self[cut[1]] + self.tail[cut[2]] if cut else self.encode(self.before + word)
+        if not cut:
+            ids = self.encode(self.before + word)
+        elif cut[2]:
+            ids = self[cut[1]] + self.tail[cut[2]]
+        else:
+            ids = self.plain(self.before + word)
         if len(self) >= self.most:
             self.clear()
         self[word] = ids
@@ -65,7 +81,8 @@ class _Remembered(dict):
 class Encoder:
     """Ids of whole texts. The vocabulary's own splitting never joins across a single space or line break between words
     (the space belongs to the word after it), nor from a letter to what is none, so each distinct word is looked up
-    once; texts with other white space are encoded as a whole."""
+    once, and a word of letters goes to the vocabulary's merges at once; texts with other white space are encoded as a
+    whole."""
 
     def __init__(self, vocabulary: str, entries: int):
         from tokenizers import Tokenizer
@@ -74,14 +91,18 @@ class Encoder:
         self.tokenizer.encode_special_tokens = True
         if self.tokenizer.get_vocab_size() > 1 << 16:
             raise ValueError("ids need more than 16 bits")
-        self.first = _Remembered(self.whole, "", entries)
-        self.spaced = _Remembered(self.whole, " ", entries)
+        self.model = self.tokenizer.model
+        self.first = _Remembered(self.whole, self.letters, "", entries)
+        self.spaced = _Remembered(self.whole, self.letters, " ", entries)
         self.spaced.tail = self.first
         self.line = self.whole("\n")
 
     def whole(self, text: str) -> bytes:
         return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u2").tobytes()
 
+    def letters(self, word: str) -> bytes:
+        return np.asarray([t.id for t in self.model.tokenize(word.translate(_AS_BYTES))], "<u2").tobytes()
+
     def __call__(self, text: str) -> bytes:
         if _UNEVEN.search(text):
             return self.whole(text)
