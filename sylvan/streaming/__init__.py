@@ -1 +1 @@
-
+"""There is no streaming operator to rebuild; batches are read and published whole."""
