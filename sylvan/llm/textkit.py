@@ -84,14 +84,17 @@ def words(data: np.ndarray, offsets: np.ndarray, between: np.ndarray = SPACE) ->
     return starts, ends, count
 
 
-def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each word: a multilinear sum over its bytes, then mixed with its length."""
-    if not len(starts):
-        return np.zeros(0, U64)
-    length = ends - starts
-    first = np.cumsum(length) - length
-    within = np.arange(int(length.sum())) - np.repeat(first, length)
-    at = np.repeat(starts, length) + within
-    with np.errstate(over="ignore"):
-        part = _BYTE_KEYS[data[at]] * _position_keys(int(length.max()))[within]
-        return mix(np.add.reduceat(part, first) + length.astype(U64) * U64(0xD6E8FEB86659FD93))
+def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, block: int = 1 << 17) -> np.ndarray:
+    """A 64-bit hash of each word: a multilinear sum over its bytes, then mixed with its length. Memory follows the bytes
+    of `block` words."""
+    out = np.zeros(len(starts), U64)
+    for a in range(0, len(starts), block):
+        begin = starts[a : a + block]
+        length = ends[a : a + block] - begin
+        first = np.cumsum(length) - length
+        within = np.arange(int(length.sum())) - np.repeat(first, length)
+        at = np.repeat(begin, length) + within
+        with np.errstate(over="ignore"):
+            part = _BYTE_KEYS[data[at]] * _position_keys(int(length.max()))[within]
+            out[a : a + block] = mix(np.add.reduceat(part, first) + length.astype(U64) * U64(0xD6E8FEB86659FD93))
+    return out

@@ -68,7 +68,7 @@ def vocabulary(data: np.ndarray, offsets: np.ndarray, conf: Toxicity):
     # n-grams of growing length from every byte on; in rows by byte they come out in order of the word
     left = np.repeat(length, length) - inner
     tail = np.concatenate([marked, np.zeros(max(conf.grams), np.uint8)])
-    found, inside = np.empty((len(marked), len(conf.grams)), np.int64), left[:, None] >= np.asarray(conf.grams)
+    found, inside = np.empty((len(marked), len(conf.grams)), np.int32), left[:, None] >= np.asarray(conf.grams)
     h, n = np.zeros(len(marked), U64), 0
     with np.errstate(over="ignore"):
         for column, size in enumerate(conf.grams):
@@ -104,6 +104,12 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
     return 0.5 * np.tanh(0.5 * x) + 0.5
 
 
+def alone(table: np.ndarray, index: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The rows of `table` that `index` names, and its last one, with the index into them: a step costs what it holds."""
+    used, local = np.unique(index, return_inverse=True)
+    return np.concatenate([table[used[used >= 0]], table[-1:]]), local.reshape(index.shape) - (used[0] < 0)
+
+
 @dataclass
 class Network:
     conf: Toxicity
@@ -129,12 +135,15 @@ class Network:
         """A row for each distinct word, and one of zeros."""
         by_word, by_gram = tables or (self.word_evidence, self.gram_evidence)
         out = np.zeros((len(bucket) + 1, 2 * self.conf.width + 2), np.float32)
-        some = np.flatnonzero(per)
-        begin = (np.cumsum(per) - per)[some]
         out[:-1, 0], out[:-1, 2 : 2 + self.conf.width] = by_word[bucket], self.words[bucket]
-        if len(some):
-            out[some, 1] = np.maximum.reduceat(by_gram[grams], begin)
-            out[some, 2 + self.conf.width :] = np.add.reduceat(self.grams[grams], begin) / per[some][:, None]
+        begin = np.cumsum(per) - per
+        for a in range(0, len(per), 1 << 15):
+            some = a + np.flatnonzero(per[a : a + (1 << 15)])
+            if len(some):
+                own = grams[begin[some[0]] : begin[some[-1]] + per[some[-1]]]
+                cut = begin[some] - begin[some[0]]
+                out[some, 1] = np.maximum.reduceat(by_gram[own], cut)
+                out[some, 2 + self.conf.width :] = np.add.reduceat(self.grams[own], cut) / per[some][:, None]
         return out
 
     def forward(self, table: np.ndarray, index: np.ndarray, trace: bool = False):
@@ -199,7 +208,7 @@ class Network:
 
     def highest(self, table: np.ndarray, index: np.ndarray, text: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
         """Each text's highest logit and the window that has it."""
-        logit = np.concatenate([self.forward(table, index[k : k + 4096]) for k in range(0, len(index), 4096)])
+        logit = np.concatenate([self.forward(*alone(table, index[k : k + 4096])) for k in range(0, len(index), 4096)])
         order = np.lexsort((logit, text))
         last = order[np.searchsorted(text[order], np.arange(n), "right") - 1]
         return logit[last], last
@@ -222,13 +231,13 @@ def fit(texts: list[str], labels: np.ndarray, conf: Toxicity) -> Network | float
     bucket, grams, per, place, count = vocabulary(data, offsets, conf)
     index, text = windows(place, count, conf)
     # documents of each label that have a word or an n-gram
-    gram_of = np.split(grams, np.cumsum(per)[:-1])
+    gram_begin = np.cumsum(per) - per
     by_word, by_gram = np.zeros((2, 1 << conf.word_bits)), np.zeros((2, 1 << conf.gram_bits))
     for d, (a, n) in enumerate(zip(np.cumsum(count) - count, count, strict=True)):
         own = np.unique(place[a : a + n])
         by_word[int(labels[d]), np.unique(bucket[own])] += 1
         if len(own):
-            by_gram[int(labels[d]), np.unique(np.concatenate([gram_of[u] for u in own]))] += 1
+            by_gram[int(labels[d]), np.unique(np.concatenate([grams[gram_begin[u] : gram_begin[u] + per[u]] for u in own]))] += 1
     n1, n0 = int(labels.sum()), int((1 - labels).sum())
     net.word_evidence, net.gram_evidence = evidence(by_word[1], by_word[0], n1, n0), evidence(by_gram[1], by_gram[0], n1, n0)
     less = lambda y: tuple(evidence(x[1] - y, x[0] - (1 - y), n1 - y, n0 - (1 - y)) for x in (by_word, by_gram))
@@ -242,7 +251,6 @@ def fit(texts: list[str], labels: np.ndarray, conf: Toxicity) -> Network | float
     mean, square = ({k: np.zeros_like(v) for k, v in net.weights.items()} for _ in range(2))
     turn = 0
     adapt_word, adapt_gram = np.full(net.words.shape, 1e-3, np.float32), np.full(net.grams.shape, 1e-3, np.float32)
-    gram_begin = np.cumsum(per) - per
 
     def adjust(rows: np.ndarray, seen: np.ndarray, at: np.ndarray, d: np.ndarray) -> None:
         """An Adagrad step for the rows that occur."""
@@ -257,10 +265,8 @@ def fit(texts: list[str], labels: np.ndarray, conf: Toxicity) -> Network | float
         _, top = net.highest(table, shifted, text, len(labels))
         order = np.concatenate([rng.permutation(len(labels)) for _ in range(conf.passes)])
         for some in np.array_split(order, max(1, len(order) // conf.batch)):
-            # the words of these windows alone, so that a step costs what its windows hold
-            used, local = np.unique(shifted[top[some]], return_inverse=True)
-            local = local.reshape(len(some), -1) - (used[0] < 0)
-            near = np.concatenate([table[used[used >= 0]], table[-1:]])
+            used = np.unique(shifted[top[some]])
+            near, local = alone(table, shifted[top[some]])
             logit, traced = net.forward(near, local, True)
             d_logit = ((sigmoid(logit) - labels[some]) * weight[some] / len(some)).astype(np.float32)
             g, d_near = net.backward(near, traced, d_logit)
