@@ -10,6 +10,7 @@ often as they occur. Further columns are ignored. An empty table gives no rows."
 from __future__ import annotations
 
 import re
+import unicodedata
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -47,6 +48,11 @@ _UNEVEN = re.compile(r"[^\S \n]|[ \n][ \n]")
 _LETTERS = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)(.*)", re.DOTALL)
 
 
+def _ends_letters(rest: str) -> bool:
+    """Whether a row of letters surely ends before `rest`: what Python doesn't know may be a letter to the vocabulary."""
+    return unicodedata.category(rest[0])[0] != "L" and unicodedata.category(rest[0]) != "Cn"
+
+
 def _byte_letters() -> dict[int, str]:
     """For a blank and letters up to U+00FF: the letters that stand for their UTF-8 bytes in a byte-level vocabulary.
     Printable bytes stand for themselves, the others for the code points from 256 on."""
@@ -66,7 +72,7 @@ class _Remembered(dict):
 
     def __missing__(self, word: str) -> bytes:
         cut = _LETTERS.fullmatch(word)
-        if not cut:
+        if not cut or cut[2] and not _ends_letters(cut[2]):
             ids = self.encode(self.before + word)
         elif cut[2]:
             ids = self[cut[1]] + self.tail[cut[2]]
@@ -81,8 +87,8 @@ class _Remembered(dict):
 class Encoder:
     """Ids of whole texts. The vocabulary's own splitting never joins across a single space or line break between words
     (the space belongs to the word after it), nor from a letter to what is none, so each distinct word is looked up
-    once, and a word of letters goes to the vocabulary's merges at once; texts with other white space are encoded as a
-    whole."""
+    once, and a word of letters up to U+00FF goes to the vocabulary's merges at once; where other letters follow, the
+    word is encoded undivided. Texts with other white space are encoded as a whole."""
 
     def __init__(self, vocabulary: str, entries: int):
         from tokenizers import Tokenizer

@@ -294,6 +294,16 @@ def test_ids_equal_the_whole_texts(spark):
         assert encoder(text) == encoder.whole(text)
 
 
+def test_ids_of_words_that_mix_letters():
+    encoder = packing.Encoder(packing._default_vocabulary(), 50)
+    assert np.frombuffer(encoder("Erdoğan"), "<u2").tolist() == [36, 4372, 48030]
+    rng = random.Random(6)
+    letters = "aeZéßªğışŁžœʼʰаяωЖ한字ǅ\u0301\U0001e900"
+    for _ in range(2000):
+        text = " ".join("".join(rng.choice(letters + "an-'1²") for _ in range(rng.randrange(1, 9))) for _ in range(3))
+        assert encoder(text) == encoder.whole(text)
+
+
 def test_packing_cuts_all_ids(spark):
     encoder = packing.Encoder(packing._default_vocabulary(), 10_000)
     texts = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
