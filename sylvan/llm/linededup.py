@@ -4,7 +4,9 @@ occurrence (smallest doc_id, then offset) is kept and all others are given with
 Units are lines, and segments of a few words that end at words chosen by their hash. A passage that was put into the
 middle of a line is no line of its own, but has the same segments everywhere, up to its edges. A repeated line counts by
 itself from `least` words on; repeated segments count where they follow each other for `run` words or more, so that
-chance repeats of short segments don't.
+chance repeats of short segments don't. Segments alone can miss a passage with few closing words, so there are seeds: of
+all rows of `run` words in each `passage` words, the one with the least digest. Two equal rows of `passage` words or more
+share a seed wherever they stand, and a repeated seed counts by itself, so no passage of that length is missed as a whole.
 
 A digest's earliest occurrence is a minimum that is combined before the shuffle, however common the unit. Only digests
 that occur twice or more are joined back, and that join has no state per key, so a common line's rows can be split.
@@ -29,20 +31,51 @@ from .work import Workspace
 
 @dataclass(frozen=True)
 class LineDedup:
-    """least: words of a line that counts. segment: mean words of a segment. run: words of segments in a row that count."""
+    """least: words of a line that counts. segment: mean words of a segment. run: words of segments in a row that count,
+    and of a seed. passage: words of a repeat that is always found, `run` at least."""
 
     least: int = 10
     segment: int = 7
     run: int = 18
+    passage: int = 40
 
 
 #: A unit's row is small, as units outweigh texts: span is start << 32 | end; place is -1 or -2 for a line and else number << 32 |
-#: words << 1, and a line is -2 and a segment odd if the same unit stands earlier in the same text.
+#: words << 1, and a line or seed is -2 and a segment odd if the same unit stands earlier in the same text.
 _UNIT = "doc_id long, span long, place long, digest long"
 
 
+def _seeds(hashed: np.ndarray, row: np.ndarray, conf: LineDedup) -> tuple[np.ndarray, np.ndarray]:
+    """First words and digests of the seeds. A seed that overlaps the first equal one of its text is none."""
+    none, n = (np.zeros(0, np.int64), np.zeros(0, np.int64)), len(hashed) - conf.run + 1
+    apart = conf.passage - conf.run + 1
+    m = n - apart + 1
+    if m < 1:
+        return none
+    gram = np.zeros(n, U64)
+    with np.errstate(over="ignore"):
+        for j, weight in enumerate(keys(conf.run, 97) | U64(1)):
+            gram += hashed[j : j + n] * weight
+    gram = mix(gram + U64(conf.run))
+    least, at = gram[:m].copy(), np.zeros(m, np.int64)
+    for j in range(1, apart):
+        less = gram[j : j + m] < least
+        least[less] = gram[j : j + m][less]
+        at[less] = j
+    at = np.unique((np.arange(m) + at)[row[:m] == row[conf.passage - 1 :]])
+    order = np.lexsort((at, gram[at], row[at]))
+    at = at[order]
+    if not len(at):
+        return none
+    fresh = np.concatenate([[True], (np.diff(row[at]) != 0) | (np.diff(gram[at].view(np.int64)) != 0)])
+    since = at - at[np.flatnonzero(fresh)[np.cumsum(fresh) - 1]]
+    at = np.sort(at[fresh | (since >= conf.run)])
+    return at, gram[at].view(np.int64)
+
+
 def units(data: np.ndarray, offsets: np.ndarray, conf: LineDedup) -> tuple[np.ndarray, ...]:
-    """(row, is a segment, number in the text, start, end, words, digest) of all lines and segments."""
+    """(row, is a segment, number in the text, start, end, words, digest) of all lines, seeds and segments; seeds are told
+    from lines by their digests alone."""
     plain = LOWER[data]
     first, stop, count = words(plain, offsets)
     n = len(first)
@@ -68,6 +101,10 @@ def units(data: np.ndarray, offsets: np.ndarray, conf: LineDedup) -> tuple[np.nd
         number = np.arange(len(at)) - np.searchsorted(row[at], row[at])
         unit = (row[at], np.full(len(at), segment), number, points[first[at]] - base, points[stop[at + length - 1]] - base, length, digest)
         out.append(unit if segment else tuple(u[length >= conf.least] for u in unit))
+    if n:
+        at, digest = _seeds(hashed, row, conf)
+        base, size = points[offsets[row[at]]], np.full(len(at), conf.run)
+        out.append((row[at], np.zeros(len(at), bool), np.arange(len(at)), points[first[at]] - base, points[stop[at + conf.run - 1]] - base, size, digest))
     return tuple(np.concatenate(p) for p in zip(*out, strict=True))
 
 

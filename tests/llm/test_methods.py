@@ -127,6 +127,18 @@ def test_passage_inside_lines_is_found(spark):
         assert cut in passage and len(cut) > 0.5 * len(passage)
 
 
+def test_no_passage_of_fifty_words_is_missed(spark):
+    rng = random.Random(12)
+    prose = lambda n: " ".join(f"w{rng.randrange(10**6)}" for _ in range(n))
+    passages = [prose(n) for n in (40, 50, 60) for _ in range(150)]
+    rows = [(k * len(passages) + i, f"{prose(30)} {p} {prose(25)}") for k in range(2) for i, p in enumerate(passages)]
+    texts = dict(rows)
+    got = {r.doc_id: r.removed for r in linededup.repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for i, p in enumerate(passages):
+        j = len(passages) + i
+        assert got[i] == [] and got[j] and all(texts[j][a:b] in p and texts[j][a:b].count(" ") >= 17 for a, b in got[j])
+
+
 @settings(max_examples=50, deadline=None)
 @given(st.lists(st.text(alphabet="aB é\t\n\x0b", max_size=30), max_size=8))
 def test_words_of_buffers(texts):
