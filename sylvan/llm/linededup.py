@@ -34,7 +34,7 @@ class LineDedup:
     """least: words of a line that counts. segment: mean words of a segment. run: words of segments in a row that count,
     and of a seed. passage: words of a repeat that is always found, `run` at least."""
 
-    least: int = 10
+    least: int = 1
     segment: int = 7
     run: int = 18
     passage: int = 40

@@ -127,6 +127,12 @@ def test_passage_inside_lines_is_found(spark):
         assert cut in passage and len(cut) > 0.5 * len(passage)
 
 
+def test_short_lines_that_repeat_are_found(spark):
+    rows = [(i, f"own words of {i}\nHome | About\nmore of {i}\n\n©\nlast {i}") for i in range(5)]
+    got = {r.doc_id: [r2[1][a:b] for a, b in r.removed] for r, r2 in zip(linededup.repeats(spark.createDataFrame(rows, "doc_id long, text string")).orderBy("doc_id").collect(), rows, strict=True)}
+    assert got == {0: []} | {i: ["Home | About", "©"] for i in range(1, 5)}
+
+
 def test_no_passage_of_fifty_words_is_missed(spark):
     rng = random.Random(12)
     prose = lambda n: " ".join(f"w{rng.randrange(10**6)}" for _ in range(n))
