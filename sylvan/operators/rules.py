@@ -78,6 +78,14 @@ def node_rules(code_only: bool = False) -> list[Rule]:
     return [*rules, Rule("leaf is of another category", leaf & (category != tree.CATEGORIES[0]))] if code_only else rules
 
 
+def effective_violations(nodes: DataFrame) -> DataFrame:
+    """(tree_id, severity, rule) of the rules on effective weights."""
+    effective = tree.leaves(tree.effective_weights(nodes)).groupBy("tree_id").agg(F.sum("effective").alias("total"), F.count_if((F.col("effective") > 0) & (F.col("effective") < 0.001)).alias("tiny"))
+    return violations(
+        effective, [Rule("effective weights do not sum to 1", F.abs(F.col("total") - 1) > 1e-8 * F.greatest(F.lit(1.0), F.abs("total"))), Rule("leaf weighs below a thousandth", F.col("tiny") > 0, "warning")], ["tree_id"]
+    )
+
+
 def tree_violations(nodes: DataFrame, code_only: bool = False) -> DataFrame:
     """(tree_id, node_id, severity, rule) over `nodes(tree_id, node_id, parent_id, depth, requirements, weight,
     task_category, fine_category)`. Rules of the whole tree have no node_id."""
@@ -89,11 +97,7 @@ def tree_violations(nodes: DataFrame, code_only: bool = False) -> DataFrame:
     single = violations(full, node_rules(code_only), tree.KEY)
     counted = full.groupBy("tree_id").agg(*(F.count_if((F.col("children") == 0) & (F.col("task_category") == c)).alias(f"c{i}") for i, c in enumerate(tree.CATEGORIES)))
     absent = violations(counted, [Rule(f"no leaf of category {c}", F.col(f"c{i}") == 0, "warning") for i, c in enumerate(tree.CATEGORIES)], ["tree_id"])
-    effective = tree.leaves(tree.effective_weights(nodes)).groupBy("tree_id").agg(F.sum("effective").alias("total"), F.count_if((F.col("effective") > 0) & (F.col("effective") < 0.001)).alias("tiny"))
-    summed = violations(
-        effective, [Rule("effective weights do not sum to 1", F.abs(F.col("total") - 1) > 1e-8 * F.greatest(F.lit(1.0), F.abs("total"))), Rule("leaf weighs below a thousandth", F.col("tiny") > 0, "warning")], ["tree_id"]
-    )
-    whole = absent.union(summed).select("tree_id", F.lit(None).cast("string").alias("node_id"), "severity", "rule")
+    whole = absent.union(effective_violations(nodes)).select("tree_id", F.lit(None).cast("string").alias("node_id"), "severity", "rule")
     return single.unionByName(whole)
 
 

@@ -224,6 +224,11 @@ def rule_violations(spark, sf):
     return rules.tree_violations(faulty_nodes(spark, sf)).filter("rule not like 'effective%' and rule not like 'leaf weighs%'").groupBy("severity", "rule").agg(F.count("*").alias("n"), F.min("node_id").alias("first_node"))
 
 
+def effective_rule_violations(spark, sf):
+    """The rules on effective weights, which `rule_violations` and its SQL leave out."""
+    return rules.effective_violations(faulty_nodes(spark, sf)).select("tree_id", "severity", "rule")
+
+
 _HIT = "(depth = {d} AND ord % {n} = {r})"
 _O = lambda n, r: _HIT.format(d=4, n=n, r=r)
 RULE_SQL = f"""WITH {tree_sql()}, f0 AS (
@@ -293,7 +298,7 @@ def branch_subtree_zip(spark, sf):
 
 QUERIES = (
     tree_adjacency, sibling_share, effective_leaf_weight, effective_weight_sum_check, tree_score, tree_score_zero_weight_group, doc_tree_score_missing_zero, code_only_prune, code_only_score,
-    leaf_contexts, tree_stats, category_histogram, depth_histogram, batch_scale_stats, judge_waves, rule_violations, weight_plan_apply, weight_plan_audit, branch_subtree_zip,
+    leaf_contexts, tree_stats, category_histogram, depth_histogram, batch_scale_stats, judge_waves, rule_violations, effective_rule_violations, weight_plan_apply, weight_plan_audit, branch_subtree_zip,
 )
 _SCORED = "SELECT node_id, depth, round(score, 6) AS score FROM scored WHERE depth <= 2"
 _KIDS = "kids AS (SELECT tree_id, parent_id AS node_id, count(*) AS children FROM tree WHERE parent_id IS NOT NULL GROUP BY ALL)"

@@ -89,3 +89,17 @@ def test_leaf_scores_are_binary(spark):
     rows = score.response_rows(spark.createDataFrame(answers, "leaf_id string, ord long, response string"))
     got = {r.leaf_id: (r.score, r.invalid) for r in score.leaf_scores(rows).collect()}
     assert got == {"a": (1.0, 0), "b": (0.0, 1), "c": (1.0, 0), "d": (0.0, 2), "e": (0.0, 1)}
+
+
+def test_rules_on_effective_weights(spark, monkeypatch):
+    from sylvan.plans import trees
+
+    row = lambda t, n, parent, k, depth, w: (t, n, parent, k, depth, w, None if n in ("root", "a") else DEV, FINE, "it is there")
+    fixture = [row(t, "root", None, 0, 0, 1.0) for t in ("even", "least", "tiny", "nought")]
+    fixture += [row("even", "x", "root", 0, 1, 1.0), row("even", "y", "root", 1, 1, 1.0)]
+    fixture += [row("least", "x", "root", 0, 1, 1.0), row("least", "y", "root", 1, 1, 998.0)]
+    fixture += [row("tiny", "x", "root", 0, 1, 1.0), row("tiny", "y", "root", 1, 1, 1001.0)]
+    fixture += [row("nought", "a", "root", 0, 1, 1.0), row("nought", "y", "root", 1, 1, 3.0), row("nought", "x", "a", 0, 2, 0.0)]
+    monkeypatch.setattr(trees, "faulty_nodes", lambda *_: spark.createDataFrame(fixture, NODES))
+    got = {tuple(r) for r in {f.__name__: f for f in trees.QUERIES}["effective_rule_violations"](spark, "").collect()}
+    assert got == {("tiny", "warning", "leaf weighs below a thousandth"), ("nought", "error", "effective weights do not sum to 1")}
