@@ -3,9 +3,14 @@ candidate edges, each confirmed on the full shingle sets.
 
 Documents with equal shingle sets are one vertex from the start, so copies never form pairs. A bucket of m vertices
 gives m - 1 candidate edges to its hub, the member with the most company in all its buckets. A vertex is compared with its
-heaviest hub first, and with others only where it is still apart from them. Where that leaves a bucket in several
-components, the members outside its largest one are compared with all others whose minima agree in as many bins as those of
-a similar pair do (all but one in 1,400 of the pairs at just the least similarity); no bucket is capped.
+heaviest hub first, and with others only where it is still apart from them.
+
+Where that leaves a hub's members in several components, links between two of them are still open. Each member is then
+held as what it differs in from its hub: for sets x, y and a hub h, x and y differ in as many shingles as their differences
+from h do, so a link needs a known number of common shingles of those differences. In order of their rarity among the hub's
+members a link's first common shingle stands early in both (prefix and position bounds of exact set joins); only pairs that
+share such a shingle are compared. Nothing is lost by it, no bucket is capped, and independent edits of one text share no
+rare shingle, so that the pairs follow the links and not the square of the group.
 
 Nulls: a null text is empty; empty documents have no shingles and no links. A row with a null doc_id keeps its
 n_shingles, has a null component_id and is not kept. Repeated rows give repeated rows. Rows that share a doc_id but not
@@ -19,7 +24,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .graph import components
@@ -96,31 +101,6 @@ def band_keys(minima: np.ndarray, bands: int, rows: int) -> np.ndarray:
         return mix((cells * multiplier).sum(axis=2, dtype=U64) + keys(bands, 5)).view(np.int64)
 
 
-def nibbles(minima: np.ndarray) -> np.ndarray:
-    """Four bits of each minimum, sixteen minima a number; minima that aren't there are 0."""
-    rows, bins = minima.shape
-    four = np.zeros((rows, -(-bins // 16) * 16), U64)
-    four[:, :bins] = minima & U64(15)
-    return (four.reshape(rows, -1, 16) << (np.arange(16, dtype=U64) * U64(4))).sum(axis=2, dtype=U64).view(np.int64)
-
-
-def least_agreement(conf: NearDup) -> int:
-    """Bins in which two sets of just the least similarity agree, less 3.2 standard deviations. Four bits of unequal
-    minima are equal by chance once in sixteen times."""
-    bins, p = conf.bands * conf.rows, conf.percent / 100 + (1 - conf.percent / 100) / 16
-    return int(bins * p - 3.2 * (bins * p * (1 - p)) ** 0.5)
-
-
-def _agreement(bins: int, one: str, two: str) -> str:
-    """SQL for the bins in which two arrays of `nibbles` agree."""
-    parts = []
-    for k in range(-(-bins // 16)):
-        x = f"({one}[{k}] ^ {two}[{k}])"
-        x = f"({x} | shiftrightunsigned({x}, 1))"
-        parts.append(f"bit_count(({x} | shiftrightunsigned({x}, 2)) & 1229782938247303441L)")  # the lowest bit of each four
-    return f"{bins} - ({' + '.join(parts)})"
-
-
 def _sketcher(conf: NearDup):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -128,13 +108,12 @@ def _sketcher(conf: NearDup):
             for i, j in pieces(offsets):
                 sets = shingle_sets(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], conf.words)
                 minima = one_permutation(sets, conf.bands * conf.rows)
-                bands, bits = band_keys(minima, conf.bands, conf.rows), nibbles(minima)
+                bands = band_keys(minima, conf.bands, conf.rows)
                 count = np.fromiter(map(len, sets), np.int64, len(sets))
                 digest = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets]
-                lists = [pa.ListArray.from_arrays(pa.array(np.arange(0, x.size + 1, x.shape[1], dtype=np.int32)), pa.array(x.reshape(-1))) for x in (bands, bits)]
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id")[i:j], pa.array(count), pa.array(digest, pa.binary()), *lists], ["doc_id", "n_shingles", "digest", "bands", "bits"]
-                )
+                listed = pa.ListArray.from_arrays(pa.array(np.arange(0, bands.size + 1, conf.bands, dtype=np.int32)), pa.array(bands.reshape(-1)))
+                own = [batch.column(c)[i:j] for c in ("doc_id", "h")]
+                yield pa.RecordBatch.from_arrays([*own, pa.array(count), pa.array(digest, pa.binary()), listed], ["doc_id", "h", "n_shingles", "digest", "bands"])
 
     return run
 
@@ -146,23 +125,9 @@ def _setter(conf: NearDup):
             for i, j in pieces(offsets):
                 sets = shingle_sets(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], conf.words)
                 digest = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets]
-                yield pa.RecordBatch.from_arrays([pa.array(digest, pa.binary()), pa.array([s.tobytes() for s in sets], pa.binary())], ["digest", "shingles"])
-
-    return run
-
-
-def _confirmer(percent: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            left, right, keep = batch.column("left"), batch.column("right"), []
-            for k in range(batch.num_rows):
-                a, b = (np.frombuffer(x[k].as_buffer(), U64) for x in (left, right))
-                if len(a) > len(b):
-                    a, b = b, a
-                at = np.searchsorted(b, a)
-                common = int((b[np.minimum(at, len(b) - 1)] == a).sum())
-                keep.append(100 * common >= percent * (len(a) + len(b) - common))
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+                ends = np.cumsum([0, *map(len, sets)], dtype=np.int32)
+                listed = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(sets).view(np.int64)))
+                yield pa.RecordBatch.from_arrays([pa.array(digest, pa.binary()), listed], ["digest", "shingles"])
 
     return run
 
@@ -171,71 +136,58 @@ def near_duplicates(docs: DataFrame, conf: NearDup = NearDup()) -> DataFrame:
     """`docs(doc_id, text)` to `(doc_id, n_shingles, component_id, kept, n_links)`; n_links counts the confirmed
     candidate edges of the document's class."""
     work = Workspace(docs.sparkSession, "neardup")
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    sketch = work.keep(docs.mapInArrow(_sketcher(conf), "doc_id long, n_shingles long, digest binary, bands array<long>, bits array<long>"), "sketch")
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("h"))
+    sketch = work.keep(docs.mapInArrow(_sketcher(conf), "doc_id long, h long, n_shingles long, digest binary, bands array<long>"), "sketch")
 
     some = sketch.filter("n_shingles > 0 and doc_id is not null")
-    classes = work.keep(some.groupBy("digest").agg(F.min("doc_id").alias("rep")), "classes")
+    least = F.min(F.struct("doc_id", "h")).alias("least")
+    classes = work.keep(some.groupBy("digest").agg(least).select("digest", F.col("least.doc_id").alias("rep"), F.col("least.h").alias("h")), "classes")
     # the vertices: one row a class
-    same = (some["digest"] == classes["digest"]) & (some["doc_id"] == classes["rep"])
-    vertex = some.join(classes, same).select("rep", some["digest"], F.col("n_shingles").alias("n"), "bands", "bits")
-    rows = vertex.select("rep", "digest", "n", F.posexplode("bands").alias("band", "bucket"))
+    same = (some["digest"] == classes["digest"]) & (some["doc_id"] == classes["rep"]) & (some["h"] == classes["h"])
+    vertex = some.join(classes, same).select("rep", some["h"], some["digest"], F.col("n_shingles").alias("n"), "bands")
+    rows = vertex.select("rep", "h", "digest", "n", F.posexplode("bands").alias("band", "bucket"))
     shared = rows.groupBy("bucket").agg(F.count("*").alias("members")).filter("members > 1")
     rows = work.keep(rows.join(shared, "bucket").distinct(), "shared")
     weight = rows.groupBy("rep").agg(F.sum("members").alias("weight"))
-    rows, bare = work.keep(rows.join(weight, "rep").drop("members"), "buckets"), rows
+    rows, bare = work.keep(rows.join(weight, "rep").drop("members", "band"), "buckets"), rows
     work.drop(bare)
 
-    # texts of vertices in shared buckets only; never a broadcast, as these grow with the input
-    involved = rows.select(F.col("rep").alias("doc_id")).distinct().hint("merge")
-    texts = docs.join(involved, "doc_id", "left_semi").withColumn("h", F.xxhash64("text")).dropDuplicates(["doc_id", "h"])
-    sets = work.keep(texts.mapInArrow(_setter(conf), "digest binary, shingles binary"), "sets")
-
-    def confirm(pairs: DataFrame) -> DataFrame:
-        """(a, b) of `pairs(a, da, b, db)` whose full sets are near enough."""
-        one = sets.select(F.col("digest").alias("db"), F.col("shingles").alias("right")).hint("merge")
-        two = sets.select(F.col("digest").alias("da"), F.col("shingles").alias("left")).hint("merge")
-        return pairs.join(one, "db").join(two, "da").select("a", "b", "left", "right").mapInArrow(_confirmer(conf.percent), "a long, b long")
-
-    def sized(one: str, two: str) -> Column:
-        return 100 * F.least(one, two) >= conf.percent * F.greatest(one, two)
-
-    # every bucket is a star around its heaviest member; a member tries its heaviest hub first
-    hub = F.max(F.struct("weight", (-F.col("rep")).alias("order"), "n", "digest"))
-    hubs = rows.groupBy("bucket").agg(hub.alias("h")).select("bucket", (-F.col("h.order")).alias("a"), F.col("h.digest").alias("da"), F.col("h.n").alias("na"), F.col("h.weight").alias("hub_weight"))
-    stars = rows.join(hubs, "bucket").filter((F.col("a") != F.col("rep")) & sized("na", "n"))
-    stars = work.keep(stars.select("a", "da", "hub_weight", F.col("rep").alias("b"), F.col("digest").alias("db")).distinct(), "stars")
-    first = stars.groupBy("b", "db").agg(F.max(F.struct("hub_weight", (-F.col("a")).alias("order"), "da")).alias("h"))
-    links = work.keep(confirm(first.select((-F.col("h.order")).alias("a"), F.col("h.da").alias("da"), "b", "db")), "links")
+    # texts of vertices in shared buckets only, one row each; never a broadcast, as these grow with the input
+    involved = rows.select(F.col("rep").alias("doc_id"), "h").distinct().hint("merge")
+    texts = docs.join(involved, ["doc_id", "h"], "left_semi").dropDuplicates(["doc_id", "h"])
+    sets = work.keep(texts.mapInArrow(_setter(conf), "digest binary, shingles array<long>"), "sets")
+
+    # every bucket is a star around its heaviest member
+    hub = F.min(F.struct((-F.col("weight")).alias("light"), "rep", "n", "digest")).alias("h")
+    hubs = rows.groupBy("bucket").agg(hub).select("bucket", F.col("h.rep").alias("hub"), F.col("h.digest").alias("hub_digest"), F.col("h.n").alias("hub_n"), F.col("h.light").alias("light"))
+    members = rows.join(hubs, "bucket").filter("hub <> rep").select("hub", "hub_digest", "hub_n", "light", "rep", "digest", "n")
+    members = work.keep(members.distinct(), "members")
+    stars = members.filter(_sized("hub_n", "n", conf))
+
+    # a member tries its heaviest hub first
+    first = stars.groupBy("rep", "digest").agg(F.min(F.struct("light", "hub", "hub_digest")).alias("h"))
+    first = work.keep(first.select(F.col("h.hub").alias("a"), F.col("h.hub_digest").alias("da"), F.col("rep").alias("b"), F.col("digest").alias("db")), "first")
+    links = work.keep(_confirmed(first, sets, conf), "links")
     label = components(links, work)
 
     # then the other hubs of members that are still apart from them
-    apart = _labelled(_labelled(stars, label, "a", "ca"), label, "b", "cb").filter("ca <> cb")
-    links = work.keep(links.union(confirm(apart.select("a", "da", "b", "db"))).distinct(), "links")
-    label = components(links, work)
-
-    # and last, in buckets that are still in several components, all members outside the largest one with all others that
-    # their minima don't rule out; a pair that shares several such buckets is compared in the first of them
-    now = _labelled(rows, label, "rep", "component")
-    by_part = now.groupBy("bucket", "component").agg(F.count("*").alias("m"))
-    parts = by_part.groupBy("bucket").agg(F.max(F.struct("m", "component")).alias("top"), F.count("*").alias("parts")).filter("parts > 1")
-    now = now.join(parts.select("bucket", F.col("top.component").alias("main")), "bucket").drop("weight")
-    mixed = work.keep(now.join(vertex.select("rep", "bands", "bits").dropDuplicates(["rep"]), "rep"), "mixed")
-    few, all_ = mixed.filter("component <> main").alias("f"), mixed.alias("p")
-    new = F.expr("forall(sequence(0, f.band), i -> i = f.band OR f.bands[i] <> p.bands[i])")
-    alike = F.expr(f"{_agreement(conf.bands * conf.rows, 'f.bits', 'p.bits')} >= {least_agreement(conf)}")
-    once = (F.col("p.component") == F.col("p.main")) | (F.col("f.rep") < F.col("p.rep"))
-    rest = few.join(all_, (F.col("f.bucket") == F.col("p.bucket")) & (F.col("f.component") != F.col("p.component")) & once & sized("f.n", "p.n") & alike & new)
-    rest = rest.select(F.col("f.rep").alias("a"), F.col("f.digest").alias("da"), F.col("p.rep").alias("b"), F.col("p.digest").alias("db")).distinct()
-    more = work.keep(confirm(rest), "links")
-    if not more.isEmpty():
-        links = work.keep(links.union(more).distinct(), "links")
-        label = components(links, work)
+    others = stars.select(F.col("hub").alias("a"), F.col("hub_digest").alias("da"), F.col("rep").alias("b"), F.col("digest").alias("db")).join(first, ["a", "b"], "left_anti")
+    apart = work.keep(_labelled(_labelled(others, label, "a", "ca"), label, "b", "cb").filter("ca <> cb").drop("ca", "cb"), "apart")
+    links, label = _more(links, label, apart, sets, conf, work)
+
+    # and last, pairs of members of one hub that are still apart
+    now = _labelled(members, label, "rep", "component")
+    by_part = now.groupBy("hub", "component").agg(F.count("*").alias("m"))
+    parts = by_part.groupBy("hub").agg(F.max(F.struct("m", "component")).alias("top"), F.count("*").alias("parts")).filter("parts > 1")
+    mixed = work.keep(now.join(parts.select("hub", F.col("top.component").alias("main")), "hub").withColumn("few", F.col("component") != F.col("main")).drop("main", "light"), "mixed")
+    if not mixed.isEmpty():
+        rest = work.keep(_pairs_of_differences(mixed, sets, conf, work), "rest")
+        links, label = _more(links, label, rest, sets, conf, work)
 
     degree = links.select(F.col("a").alias("rep")).union(links.select(F.col("b").alias("rep"))).groupBy("rep").agg(F.count("*").alias("n_links"))
     known = _labelled(classes, label, "rep", "component_id").join(degree, "rep", "left")
     known = work.keep(known.select("digest", "component_id", F.coalesce("n_links", F.lit(0)).alias("n_links")), "known")
-    for done in (sets, rows, stars, mixed):
+    for done in (sets, rows, members, mixed, first, apart, classes, links, label):
         work.drop(done)
     own = sketch.select("doc_id", "n_shingles", "digest").join(known, "digest", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
@@ -245,6 +197,59 @@ def near_duplicates(docs: DataFrame, conf: NearDup = NearDup()) -> DataFrame:
     )
 
 
+def _sized(one: str, two: str, conf: NearDup) -> Column:
+    """Whether sets of these sizes can be near enough."""
+    return F.expr(f"100 * least({one}, {two}) >= {conf.percent} * greatest({one}, {two})")
+
+
+def _confirmed(pairs: DataFrame, sets: DataFrame, conf: NearDup) -> DataFrame:
+    """(a, b) of `pairs(a, da, b, db)` whose full sets are near enough: a row at a time in the JVM, however long."""
+    one = sets.select(F.col("digest").alias("db"), F.col("shingles").alias("right")).hint("merge")
+    two = sets.select(F.col("digest").alias("da"), F.col("shingles").alias("left")).hint("merge")
+    near = F.expr(f"{100 + conf.percent}L * size(array_intersect(left, right)) >= {conf.percent}L * (size(left) + size(right))")
+    return pairs.join(one, "db").join(two, "da").filter(near).select("a", "b")
+
+
+def _more(links: DataFrame, label: DataFrame, pairs: DataFrame, sets: DataFrame, conf: NearDup, work: Workspace) -> tuple[DataFrame, DataFrame]:
+    """The links with those among `pairs`, a written table, and their components."""
+    if pairs.isEmpty():
+        return links, label
+    found = work.keep(_confirmed(pairs, sets, conf), "found")
+    if found.isEmpty():
+        return links, label
+    after = work.keep(links.union(found).distinct(), "links")
+    for done in (links, found, label):
+        work.drop(done)
+    return after, components(after, work)
+
+
+def _pairs_of_differences(mixed: DataFrame, sets: DataFrame, conf: NearDup, work: Workspace) -> DataFrame:
+    """Pairs (a, da, b, db) of members of one hub in different components that the differences from the hub don't rule out.
+    `mixed(hub, hub_digest, hub_n, rep, digest, n, component, few)`; a pair has a member that is one of the few.
+
+    With I the least common shingles of sizes x and y and d, e their differences from the hub, the differences of a link have
+    at least I - (x + y - d - e) / 2 shingles in common, and no partner needs more than the first n * (100 - percent) /
+    percent + 1 of them. Shingles that only one member differs in come first in its order and are never written."""
+    own = sets.select(F.col("digest"), F.col("shingles").alias("own")).hint("merge")
+    its = sets.select(F.col("digest").alias("hub_digest"), F.col("shingles").alias("its")).hint("merge")
+    differs = F.concat(F.array_except("own", "its"), F.array_except("its", "own"))
+    wide = mixed.join(own, "digest").join(its, "hub_digest").select("hub", "rep", "digest", "n", "component", "few", differs.alias("differs"))
+    each = work.keep(wide.select("hub", "rep", "digest", "n", "component", "few", F.size("differs").alias("d"), F.explode("differs").alias("x")), "differences")
+    common = each.groupBy("hub", "x").agg(F.count("*").alias("n_members"), F.count_if("few").alias("n_few")).filter("n_members > 1 and n_few > 0")
+    by_member = Window.partitionBy("hub", "digest")
+    shared = each.join(common.drop("n_few"), ["hub", "x"])
+    place = F.col("d") - F.count("*").over(by_member) + F.row_number().over(by_member.orderBy("n_members", "x"))
+    early = work.keep(shared.withColumn("place", place).filter(f"place <= n * {100 - conf.percent} div {conf.percent} + 1").drop("n_members"), "early")
+    work.drop(each)
+    one, two = early.filter("few").alias("f"), early.alias("o")
+    least = F.expr(f"ceil({conf.percent} * (f.n + o.n) / {100 + conf.percent}) - (f.n + o.n - f.d - o.d) div 2")
+    left = F.expr("least(f.d - f.place, o.d - o.place) + 1")
+    once = F.expr("f.component <> o.component and (not o.few or f.rep < o.rep)")
+    on = F.expr("f.hub = o.hub and f.x = o.x") & once & _sized("f.n", "o.n", conf) & (left >= least)
+    pairs = one.join(two.hint("merge"), on)
+    return pairs.select(F.col("f.rep").alias("a"), F.col("f.digest").alias("da"), F.col("o.rep").alias("b"), F.col("o.digest").alias("db")).distinct()
+
+
 def _labelled(rows: DataFrame, label: DataFrame, node: str, name: str) -> DataFrame:
     """`name`: the component of `node`, itself where it has no link."""
     known = label.select(F.col("node").alias(node), F.col("component").alias(name))
