@@ -12,17 +12,23 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The folder that the cluster names in spark.checkpoint.dir; in a session without one, a temporary folder
-    (tests and single-machine runs only)."""
+    """The folder that the cluster names in spark.checkpoint.dir. A session on a single machine may go without one and
+    gets a temporary folder; on a cluster that would lose rows, so it is refused."""
     root = spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not root:
         root = spark.conf.get("spark.sylvan.scratch", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         root = "file://" + tempfile.mkdtemp(prefix="sylvan-")
         spark.conf.set("spark.sylvan.scratch", root)
     return root.rstrip("/")
 
 
+#: Bytes of an Arrow batch that goes to Python; rows of texts of any length are bounded by it and not by their number.
+BATCH = 16 << 20
+
+
 class Workspace:
     """One run's folder below the shared root. `keep` writes a DataFrame there and reads it back."""
 
@@ -30,6 +36,9 @@ class Workspace:
         self.spark = spark
         self.path = f"{shared_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
         self._n = 0
+        size = "spark.sql.execution.arrow.maxBytesPerBatch"
+        if int(spark.conf.get(size).removesuffix("b")) > BATCH:
+            spark.conf.set(size, BATCH)
         atexit.register(self.clear)
 
     def keep(self, df: DataFrame, label: str) -> DataFrame:
