@@ -9,8 +9,7 @@ often as they occur. Further columns are ignored. An empty table gives no rows."
 
 from __future__ import annotations
 
-import re
-import unicodedata
+import json
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -33,95 +32,75 @@ def _default_vocabulary() -> str:
 @dataclass(frozen=True)
 class Packing:
     """window: tokens in a sequence. closing: the id after each document. vocabulary: a tokenizers file, by default the
-    installed byte-level one. entries: texts of words that a task remembers. broadcast: partitions at most whose totals
+    installed byte-level one. broadcast: partitions at most whose totals
     are broadcast (16 bytes each); beyond that they are joined."""
 
     window: int = 2048
     closing: int = 1
     vocabulary: str | None = None
-    entries: int = 400_000
     broadcast: int = 1_000_000
 
 
-#: Two plain separators in a row, or white space of another kind: word by word would differ from the whole text.
-_UNEVEN = re.compile(r"[^\S \n]|[ \n][ \n]")
-_LETTERS = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)(.*)", re.DOTALL)
-
-
-def _ends_letters(rest: str) -> bool:
-    """Whether a row of letters surely ends before `rest`: what Python doesn't know may be a letter to the vocabulary."""
-    return unicodedata.category(rest[0])[0] != "L" and unicodedata.category(rest[0]) != "Cn"
-
-
-def _byte_letters() -> dict[int, str]:
-    """For a blank and letters up to U+00FF: the letters that stand for their UTF-8 bytes in a byte-level vocabulary.
-    Printable bytes stand for themselves, the others for the code points from 256 on."""
+def _byte_of() -> dict[str, int]:
+    """The byte that each character of a byte-level vocabulary stands for: printable bytes stand for themselves, the
+    others for the code points from 256 on."""
     printable = {*range(33, 127), *range(161, 173), *range(174, 256)}
-    stands = {b: chr(b) for b in printable} | {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in printable)}
-    return {c: "".join(stands[b] for b in chr(c).encode()) for c in (32, *range(0xC0, 0x100))}
-
+    others = [b for b in range(256) if b not in printable]
+    return {chr(b): b for b in printable} | {chr(256 + i): b for i, b in enumerate(others)}
 
-_AS_BYTES = _byte_letters()
 
-
-class _Remembered(dict):
-    """Ids of a word, little-endian 16-bit, by its text; `before` is what precedes it."""
-
-    def __init__(self, encode, plain, before: str, most: int):
-        self.encode, self.plain, self.before, self.most, self.tail = encode, plain, before, most, self
-
-    def __missing__(self, word: str) -> bytes:
-        cut = _LETTERS.fullmatch(word)
-        if not cut or cut[2] and not _ends_letters(cut[2]):
-            ids = self.encode(self.before + word)
-        elif cut[2]:
-            ids = self[cut[1]] + self.tail[cut[2]]
-        else:
-            ids = self.plain(self.before + word)
-        if len(self) >= self.most:
-            self.clear()
-        self[word] = ids
-        return ids
+#: Fixed value: how a byte-level vocabulary splits a text before its merges.
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
 class Encoder:
-    """Ids of whole texts. The vocabulary's own splitting never joins across a single space or line break between words
-    (the space belongs to the word after it), nor from a letter to what is none, so each distinct word is looked up
-    once, and a word of letters up to U+00FF goes to the vocabulary's merges at once; where other letters follow, the
-    word is encoded undivided. Texts with other white space are encoded as a whole."""
+    """Ids of whole texts as `tokenizers` gives them by default: a special token's string in a text is that token.
 
-    def __init__(self, vocabulary: str, entries: int):
+    A plain byte-level vocabulary whose merges stand in order of their ids is also one of ranked byte pairs; those are
+    merged by `tiktoken`, which gives the same ids for a quarter of the time. Texts with the string of an added token, and all
+    texts of vocabularies of another kind, go to `tokenizers` itself."""
+
+    def __init__(self, vocabulary: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(vocabulary)
-        self.tokenizer.encode_special_tokens = True
         if self.tokenizer.get_vocab_size() > 1 << 16:
             raise ValueError("ids need more than 16 bits")
-        self.model = self.tokenizer.model
-        self.first = _Remembered(self.whole, self.letters, "", entries)
-        self.spaced = _Remembered(self.whole, self.letters, " ", entries)
-        self.spaced.tail = self.first
-        self.line = self.whole("\n")
+        with open(vocabulary, encoding="utf-8") as f:
+            known = json.load(f)
+        self.added = [t["content"] for t in known.get("added_tokens", [])]
+        self.ranked = self._ranked(known)
+
+    def _ranked(self, known: dict):
+        """The vocabulary as ranked byte pairs, or None where it is more than that."""
+        model, byte = known["model"], _byte_of()
+        split = known.get("pre_tokenizer") or {}
+        plain = known.get("normalizer") is None and split.get("type") == "ByteLevel" and split.get("use_regex", True) and not split.get("add_prefix_space", True)
+        odd = ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "fuse_unk", "byte_fallback", "ignore_merges")
+        if not plain or model.get("type") != "BPE" or any(model.get(k) for k in odd):
+            return None
+        own = {t: i for t, i in model["vocab"].items() if t not in self.added}
+        pairs = [x.split(" ") if isinstance(x, str) else x for x in model["merges"]]
+        made = [own.get(a + b, -1) for a, b in pairs]
+        single = len(own) - len(made) == 256 and all(c in own for c in byte)
+        if not single or any(a >= b for a, b in zip(made, made[1:], strict=False)) or max(own[c] for c in byte) > made[0]:
+            return None
+        import tiktoken
+
+        return tiktoken.Encoding("ranked", pat_str=SPLIT, mergeable_ranks={bytes(byte[c] for c in t): i for t, i in own.items()}, special_tokens={})
 
     def whole(self, text: str) -> bytes:
         return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u2").tobytes()
 
-    def letters(self, word: str) -> bytes:
-        return np.asarray([t.id for t in self.model.tokenize(word.translate(_AS_BYTES))], "<u2").tobytes()
-
     def __call__(self, text: str) -> bytes:
-        if _UNEVEN.search(text):
+        if self.ranked is None or any(t in text for t in self.added):
             return self.whole(text)
-        first, spaced, lines = self.first.__getitem__, self.spaced.__getitem__, []
-        for line in text.split("\n"):
-            head, *rest = line.split(" ")
-            lines.append((first(head) if head else b"") + b"".join(map(spaced, rest)))
-        return self.line.join(lines)
+        return np.asarray(self.ranked.encode_ordinary(text), "<u2").tobytes()
 
 
 def _tokenize(conf: Packing):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(conf.vocabulary or _default_vocabulary(), conf.entries)
+        encoder = Encoder(conf.vocabulary or _default_vocabulary())
         closing = np.asarray([conf.closing], "<u2").tobytes()
         part, before = TaskContext.get().partitionId(), 0
         for batch in batches:

@@ -303,29 +303,58 @@ def test_jpeg_with_runs_and_colour_is_decoded():
         jpeg.parse(data.replace(b"\xff\xc0", b"\xff\xc2"))
 
 
-def test_ids_equal_the_whole_texts(spark):
-    encoder = packing.Encoder(packing._default_vocabulary(), 50)
+def plain_ids(text):
+    """Ids as the library gives them when it is asked plainly, without anything of the operator."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    global _PLAIN
+    _PLAIN = _PLAIN or Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    return _PLAIN.encode(text, add_special_tokens=False).ids
+
+
+_PLAIN = None
+
+
+def test_ids_equal_the_whole_texts():
+    encoder = packing.Encoder(packing._default_vocabulary())
+    assert encoder.ranked is not None and np.frombuffer(encoder("a <|endoftext|> b"), "<u2").tolist() == [64, 220, 50256, 275]
     rng = random.Random(5)
-    bits = ["the", "Äußere", "été's", "don't", " ", "  ", "\n", "\n\n", "\t", "12", "x²", "<|endoftext|>", "😀", "'s", ".", ",", "ñ", " ", "İ", "…"]
-    for _ in range(400):
+    bits = ["the", "Äußere", "été's", "don't", " ", "  ", "\n", "\n\n", "\t", "12", "x²", "<|endoftext|>", "😀", "'s", ".", ",", "ñ", " ", "İ", "…", "\u00a0", "\u3000", "日本", "\x85"]
+    for _ in range(600):
         text = "".join(rng.choice(bits) + rng.choice((" ", "", "\n")) for _ in range(rng.randrange(25)))
-        assert encoder(text) == encoder.whole(text)
+        assert np.frombuffer(encoder(text), "<u2").tolist() == plain_ids(text)
+
+
+def test_ids_of_every_character():
+    """Words, blanks and digits beside each code point that a text can hold."""
+    encoder = packing.Encoder(packing._default_vocabulary())
+    points = [c for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    for k in range(0, len(points), 500):
+        text = "".join(f"a{chr(c)}b {chr(c)}1{chr(c)}" for c in points[k : k + 500 : 7 if k > 0x3000 else 1])
+        assert np.frombuffer(encoder(text), "<u2").tolist() == plain_ids(text)
 
 
 def test_ids_of_words_that_mix_letters():
-    encoder = packing.Encoder(packing._default_vocabulary(), 50)
+    encoder = packing.Encoder(packing._default_vocabulary())
     assert np.frombuffer(encoder("Erdoğan"), "<u2").tolist() == [36, 4372, 48030]
     rng = random.Random(6)
     letters = "aeZéßªğışŁžœʼʰаяωЖ한字ǅ\u0301\U0001e900"
     for _ in range(2000):
         text = " ".join("".join(rng.choice(letters + "an-'1²") for _ in range(rng.randrange(1, 9))) for _ in range(3))
-        assert encoder(text) == encoder.whole(text)
+        assert np.frombuffer(encoder(text), "<u2").tolist() == plain_ids(text)
+
+
+def test_other_vocabularies_go_to_their_library():
+    import public_tokenizers
+
+    encoder = packing.Encoder(public_tokenizers.path("word_bpe_49k.json"))
+    assert encoder.ranked is None and encoder("Some words") == encoder.whole("Some words") != b""
 
 
 def test_packing_cuts_all_ids(spark):
-    encoder = packing.Encoder(packing._default_vocabulary(), 10_000)
     texts = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
-    ids = {i: np.append(np.frombuffer(encoder.whole(t or ""), "<u2"), 1).astype("<u4") for i, t in texts.items()}
+    ids = {i: np.asarray([*plain_ids(t or ""), 1], "<u4") for i, t in texts.items()}
     seen, places = Counter(), {}
     for r in queries.op10_packing(spark, SF).collect():
         assert zlib.crc32(ids[r.doc_id][r.start : r.start + r.length].tobytes()) == r.ids_crc32 and r.doc_tokens == len(ids[r.doc_id])
