@@ -1,14 +1,18 @@
 """WARC archives with revisit records, and a globally ordered capture index by external merge.
 
 Every task writes its rows as gzip members into archive files in the shared folder, one WARC record each, and gives the
-index entries of what it wrote as a run that is sorted by (URL key, timestamp, page). Runs are dealt by ranges of that
-key; for each range a loser tree merges the pieces of all runs. The ranges follow each other, so the capture histories
-are ordered over all partitions. A task that is run again writes to new files, and only files named in the committed
-index are ever read.
+index entries of what it wrote as runs that are sorted by (URL key, timestamp, page). Runs are dealt by ranges of that
+key and of the record's place, so that even captures of one URL spread over tasks, and there are as many ranges as keep each
+within `run` entries or so; for each range a loser tree merges the pieces of all runs, which arrive in order. The ranges follow
+each other, so the capture histories are ordered over all partitions. A task that is run again writes to new files, and
+only files named in the committed index are ever read.
+
+Payloads stay where they are: what decides between response and revisit is a table of the digests that occur twice or more,
+which is broadcast up to `broadcast` rows of some 40 bytes; beyond that it is joined, and then payloads are shuffled once.
 
 Of captures with equal payloads (`least` bytes or more) the one with the largest page_id is the response; the others
 are revisits that name it and hold only headers. Nulls: a null html is an empty payload; a null url has the empty URL
-key; a capture without a page_id is a revisit where another one has an id, else a response. Repeated rows of one
+key; control characters in a URL are percent-encoded, so that none can end a header line; a capture without a page_id is a revisit where another one has an id, else a response. Repeated rows of one
 page_id are repeated records. Further columns are ignored; an empty table gives no rows."""
 
 from __future__ import annotations
@@ -20,7 +24,6 @@ import uuid
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
-from datetime import UTC, datetime, timedelta
 
 import pyarrow as pa
 from pyarrow import fs
@@ -34,15 +37,24 @@ from .work import Workspace
 @dataclass(frozen=True)
 class Warc:
     """least: bytes from which equal payloads are revisits. roll: bytes after which a new archive file begins.
-    run: index entries that a task sorts at once."""
+    run: index entries that a task sorts at once, and about as many that it merges. broadcast: see above."""
 
     least: int = 0
     roll: int = 64 << 20
     run: int = 200_000
+    broadcast: int = 500_000
+
+
+#: Captures without a time of their own follow each other by a second per page_id from this day on, for SPAN seconds.
+EPOCH, SPAN = "2024-01-01", 10**9
 
 
-#: Captures without a time of their own follow each other by a second per page_id from here on.
-EPOCH = datetime(2024, 1, 1, tzinfo=UTC)
+def _stamp(page: Column) -> Column:
+    """A UTC time from integers and a date alone: neither the session's zone nor the size of an id matters."""
+    second = F.pmod(F.coalesce(page, F.lit(0)), F.lit(SPAN))
+    two = lambda x: F.lpad(x.cast("int").cast("string"), 2, "0")
+    day = F.date_add(F.lit(EPOCH).cast("date"), F.floor(second / 86400).cast("int")).cast("string")
+    return F.concat(day, F.lit("T"), two(F.floor(second / 3600) % 24), F.lit(":"), two(F.floor(second / 60) % 60), F.lit(":"), two(second % 60), F.lit("Z"))
 
 
 def url_key(url: Column | str) -> Column:
@@ -55,6 +67,10 @@ def url_key(url: Column | str) -> Column:
     return F.when(url == "", F.lit("")).otherwise(key)
 
 
+#: What may stand in no header value.
+_CONTROL = {c: f"%{c:02X}" for c in (*range(32), 127)}
+
+
 def base32_sha1(payload: bytes) -> str:
     return base64.b32encode(hashlib.sha1(payload).digest()).decode()
 
@@ -64,7 +80,7 @@ def record(page: int | None, url: str, stamp: str, kind: str, original: int | No
     http = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: %d\r\n\r\n" % len(payload)
     head = [
         "WARC/1.1", f"WARC-Type: {kind}", f"WARC-Record-ID: <urn:page:{'' if page is None else page}>", f"WARC-Date: {stamp}",
-        f"WARC-Target-URI: {url}", f"WARC-Payload-Digest: sha1:{base32_sha1(payload)}", "Content-Type: application/http;msgtype=response",
+        f"WARC-Target-URI: {url.translate(_CONTROL)}", f"WARC-Payload-Digest: sha1:{base32_sha1(payload)}", "Content-Type: application/http;msgtype=response",
     ]
     if kind == "revisit":
         head += ["WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest", f"WARC-Refers-To: <urn:page:{original}>"]
@@ -110,22 +126,21 @@ def _writer(folder: str, conf: Warc):
         store, root = fs.FileSystem.from_uri(folder)
         task = f"{TaskContext.get().partitionId():06d}-{uuid.uuid4().hex[:12]}"
         out, name, at, files, entries, runs = None, "", 0, 0, [], 0
-        for batch in batches:
-            for row in batch.to_pylist():
-                if out is None:
-                    store.create_dir(root, recursive=True)
-                    name, at, files = f"{task}-{files:04d}.warc.gz", 0, files + 1
-                    out = store.open_output_stream(f"{root}/{name}", compression=None)
-                data = gzip.compress(record(row["page_id"], row["url"] or "", row["stamp"], row["kind"], row["original"], (row["html"] or "").encode()), 1, mtime=0)
-                out.write(data)
-                entries.append((row["url_key"], row["stamp"], row["page_id"], f"{task}-{runs}", name, at, len(data)))
-                at += len(data)
-                if at >= conf.roll:
-                    out.close()
-                    out = None
-                if len(entries) >= conf.run:
-                    yield _entries(sorted(entries, key=_order))
-                    entries, runs = [], runs + 1
+        for row in (row for batch in batches for a in range(0, batch.num_rows, 64) for row in batch.slice(a, 64).to_pylist()):
+            if out is None:
+                store.create_dir(root, recursive=True)
+                name, at, files = f"{task}-{files:04d}.warc.gz", 0, files + 1
+                out = store.open_output_stream(f"{root}/{name}", compression=None)
+            data = gzip.compress(record(row["page_id"], row["url"] or "", row["stamp"], row["kind"], row["original"], (row["html"] or "").encode()), 1, mtime=0)
+            out.write(data)
+            entries.append((row["url_key"], row["stamp"], row["page_id"], f"{task}-{runs}", name, at, len(data)))
+            at += len(data)
+            if at >= conf.roll:
+                out.close()
+                out = None
+            if len(entries) >= conf.run:
+                yield _entries(sorted(entries, key=_order))
+                entries, runs = [], runs + 1
         if out is not None:
             out.close()
         if entries:
@@ -179,12 +194,15 @@ _MERGED = f"{_INDEX}, part int, place long"
 
 def _merger(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     part, place = TaskContext.get().partitionId(), 0
-    runs: dict[str, list[tuple]] = {}
+    pieces: list[list[tuple]] = []
+    open_: dict[str, int] = {}
     for batch in batches:
         for row in zip(*(batch.column(c).to_pylist() for c in _NAMES), strict=True):
-            runs.setdefault(row[3], []).append(row)
-    for run in runs.values():
-        run.sort(key=_order)  # in order already unless the shuffle dealt a run's blocks in another one
+            at = open_.get(row[3])
+            if at is None or _order(row) < _order(pieces[at][-1]):  # blocks of a run that arrive in another order are pieces
+                open_[row[3]] = at = len(pieces)
+                pieces.append([])
+            pieces[at].append(row)
 
     def placed(rows: list[tuple]) -> pa.RecordBatch:
         batch = _entries(rows)
@@ -192,7 +210,7 @@ def _merger(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return pa.RecordBatch.from_arrays([*batch.columns, *where], [*_NAMES, "part", "place"])
 
     out = []
-    for entry in LoserTree(list(runs.values())) if runs else ():
+    for entry in LoserTree(pieces) if pieces else ():
         out.append(entry)
         if len(out) >= 20_000:
             yield placed(out)
@@ -201,23 +219,29 @@ def _merger(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield placed(out)
 
 
-def write(pages: DataFrame, folder: str, conf: Warc = Warc()) -> DataFrame:
+def write(pages: DataFrame, folder: str, conf: Warc = Warc(), work: Workspace | None = None) -> DataFrame:
     """Write `pages(page_id, url, html[, stamp])` below `folder`; the index entries, in runs. Each run's order is that
     of its rows in the DataFrame."""
+    work = work or Workspace(pages.sparkSession, "warc")
     html = F.coalesce("html", F.lit(""))
-    stamp = F.col("stamp") if "stamp" in pages.columns else F.date_format(F.timestamp_seconds(F.lit(int(EPOCH.timestamp())) + F.coalesce("page_id", F.lit(0))), "yyyy-MM-dd'T'HH:mm:ss'Z'")
-    rows = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", html.alias("html"), stamp.alias("stamp"), url_key("url").alias("url_key"), F.sha1(html).alias("digest"))
-    first = rows.groupBy(F.col("digest").alias("same")).agg(F.max("page_id").alias("largest"))
-    both = rows.join(first, F.col("digest") == F.col("same"))
-    kind = F.when((F.octet_length("html") < conf.least) | F.col("largest").isNull() | F.coalesce(F.col("page_id") == F.col("largest"), F.lit(False)), "response").otherwise("revisit")
+    page = F.col("page_id").cast("long")
+    rows = pages.select(page.alias("page_id"), "url", html.alias("html"), (F.col("stamp") if "stamp" in pages.columns else _stamp(page)).alias("stamp"), url_key("url").alias("url_key"), F.sha1(html).alias("digest"))
+    same = rows.filter(F.octet_length("html") >= conf.least).groupBy(F.col("digest").alias("same")).agg(F.max("page_id").alias("largest"), F.count("*").alias("n"))
+    same = work.keep(same.filter("n > 1 and largest is not null").drop("n"), "same")
+    same = F.broadcast(same) if same.count() <= conf.broadcast else same.hint("merge")
+    both = rows.join(same, F.col("digest") == F.col("same"), "left")
+    own = (F.octet_length("html") < conf.least) | F.col("largest").isNull() | F.coalesce(F.col("page_id") == F.col("largest"), F.lit(False))
+    kind = F.when(own, "response").otherwise("revisit")
     both = both.select("page_id", "url", "html", "stamp", "url_key", kind.alias("kind"), F.when(kind == "revisit", F.col("largest")).alias("original"))
     return both.mapInArrow(_writer(folder, conf), _INDEX)
 
 
-def merge(index: DataFrame) -> DataFrame:
-    """The runs as one index, ordered by URL key, timestamp and page: `part` numbers the ranges, `place` the entries of one."""
-    n = int(index.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return index.repartitionByRange(n, "url_key", "stamp", F.col("page_id").asc_nulls_first(), "archive", "at").mapInArrow(_merger, _MERGED)
+def merge(index: DataFrame, conf: Warc = Warc()) -> DataFrame:
+    """The runs, a written table, as one index, ordered by URL key, timestamp and page: `part` numbers the ranges, `place` the
+    entries of one."""
+    n = max(1, -(-index.count() // conf.run), int(index.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    own = index.withColumn("run", F.concat_ws("-", "run", F.spark_partition_id()))  # a run may be read in several tasks
+    return own.repartitionByRange(n, "url_key", "stamp", F.col("page_id").asc_nulls_first(), "archive", "at").mapInArrow(_merger, _MERGED)
 
 
 def read(index: DataFrame, folder: str) -> DataFrame:
@@ -250,8 +274,8 @@ def archive(pages: DataFrame, conf: Warc = Warc()) -> tuple[DataFrame, DataFrame
     """Archives of all pages, as (records read back, merged index, folder)."""
     work = Workspace(pages.sparkSession, "warc")
     folder = f"{work.path}/archives"
-    runs = work.keep(write(pages, folder, conf), "runs")
-    index = work.keep(merge(runs), "index")
+    runs = work.keep(write(pages, folder, conf, work), "runs")
+    index = work.keep(merge(runs, conf), "index")
     return read(index, folder), index, folder
 
 
