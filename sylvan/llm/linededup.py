@@ -1,19 +1,23 @@
 """Substring dedup by hashing units: units are normalised, their digests grouped over all documents, the earliest
-occurrence (smallest doc_id, then offset) is kept and all others are given with their original offsets.
+occurrence is kept and all others are given with their original offsets.
 
-Units are lines, and segments of a few words that end at words chosen by their hash. A passage that was put into the
-middle of a line is no line of its own, but has the same segments everywhere, up to its edges. A repeated line counts by
-itself from `least` words on; repeated segments count where they follow each other for `run` words or more, so that
-chance repeats of short segments don't. Segments alone can miss a passage with few closing words, so there are seeds: of
-all rows of `run` words in each `passage` words, the one with the least digest. Two equal rows of `passage` words or more
-share a seed wherever they stand, and a repeated seed counts by itself, so no passage of that length is missed as a whole.
+Units are lines, and for passages that don't fill a line also seeds: of all rows of `run` words in each `passage` words of a
+document, the one with the least digest. Two equal rows of `passage` words share a seed wherever they stand. A repeated seed is
+held against the earliest occurrence of it: seeds that follow each other in both texts are one chain, and its ends are
+extended word by word as far as both texts agree. So a repeat is known to the word, and it is removed if it has `passage`
+words or more. A repeated line of `least` words or more is removed by itself; shorter ones, such as menus and licence lines, are given
+apart as `lines`, so that a caller who wants every line once removes those too.
 
-A digest's earliest occurrence is a minimum that is combined before the shuffle, however common the unit. Only digests
-that occur twice or more are joined back, and that join has no state per key, so a common line's rows can be split.
+Earliest is by doc_id, then by a hash of the text (for texts that share a doc_id), then by place. A unit's earliest
+occurrence is a minimum that is combined before the shuffle, and only units that occur twice are looked at again; they are
+joined to a written table of minima, so the rows of a common unit can be split over tasks. Texts are tokenized twice and
+shuffled once, to the places where chains and lines begin and end; those are at most a document's own words.
 
 A to Z are lower-cased, white space within a unit doesn't count. Offsets count code points, ends are exclusive; spans of
-a document are disjoint. Nulls: a null text is empty and has no units; rows without a doc_id come last in rank, and none
-of them gives way to another one. Repeated rows of one doc_id and text count once and report the same spans. Further columns are ignored."""
+a document are disjoint. Nulls: a null text is empty and has no units; a document without a doc_id is one of its own, told by
+its text, and comes last in rank. Repeated rows of one doc_id and text are one document and report the same spans; texts that share a
+doc_id are documents each. Further columns are ignored. A repeat is compared with the earliest occurrence of its seeds alone:
+where that occurrence is shorter than `passage`, a longer repeat of a later document may go unseen."""
 
 from __future__ import annotations
 
@@ -22,7 +26,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .textkit import LOWER, U64, keys, mix, pieces, text_bytes, word_hashes, words
@@ -31,27 +35,25 @@ from .work import Workspace
 
 @dataclass(frozen=True)
 class LineDedup:
-    """least: words of a line that counts. segment: mean words of a segment. run: words of segments in a row that count,
-    and of a seed. passage: words of a repeat that is always found, `run` at least."""
+    """least: words of a repeated line that is removed by itself. run: words of a seed. passage: words of a repeat that is
+    removed, `run` at least."""
 
-    least: int = 1
-    segment: int = 7
+    least: int = 40
     run: int = 18
     passage: int = 40
 
+    @property
+    def reach(self) -> int:
+        """Words that a repeat can go on beyond its last seed."""
+        return self.passage - self.run
 
-#: A unit's row is small, as units outweigh texts: span is start << 32 | end; place is -1 or -2 for a line and else number << 32 |
-#: words << 1, and a line or seed is -2 and a segment odd if the same unit stands earlier in the same text.
-_UNIT = "doc_id long, span long, place long, digest long"
 
-
-def _seeds(hashed: np.ndarray, row: np.ndarray, conf: LineDedup) -> tuple[np.ndarray, np.ndarray]:
+def seeds(hashed: np.ndarray, row: np.ndarray, conf: LineDedup) -> tuple[np.ndarray, np.ndarray]:
     """First words and digests of the seeds. A seed that overlaps the first equal one of its text is none."""
-    none, n = (np.zeros(0, np.int64), np.zeros(0, np.int64)), len(hashed) - conf.run + 1
-    apart = conf.passage - conf.run + 1
+    n, apart = len(hashed) - conf.run + 1, conf.reach + 1
     m = n - apart + 1
     if m < 1:
-        return none
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
     gram = np.zeros(n, U64)
     with np.errstate(over="ignore"):
         for j, weight in enumerate(keys(conf.run, 97) | U64(1)):
@@ -66,100 +68,196 @@ def _seeds(hashed: np.ndarray, row: np.ndarray, conf: LineDedup) -> tuple[np.nda
     order = np.lexsort((at, gram[at], row[at]))
     at = at[order]
     if not len(at):
-        return none
+        return at, at
     fresh = np.concatenate([[True], (np.diff(row[at]) != 0) | (np.diff(gram[at].view(np.int64)) != 0)])
     since = at - at[np.flatnonzero(fresh)[np.cumsum(fresh) - 1]]
     at = np.sort(at[fresh | (since >= conf.run)])
     return at, gram[at].view(np.int64)
 
 
-def units(data: np.ndarray, offsets: np.ndarray, conf: LineDedup) -> tuple[np.ndarray, ...]:
-    """(row, is a segment, number in the text, start, end, words, digest) of all lines, seeds and segments; seeds are told
-    from lines by their digests alone."""
+def lines(hashed: np.ndarray, row: np.ndarray, line: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First words, numbers of words and digests of the lines; `line` counts the line breaks before each word."""
+    n = len(hashed)
+    if not n:
+        return (np.zeros(0, np.int64),) * 3
+    at = np.flatnonzero((np.diff(row, prepend=-1) != 0) | (np.diff(line, prepend=-1) > 0))
+    length = np.diff(np.append(at, n))
+    within = np.arange(n) - np.repeat(at, length)
+    with np.errstate(over="ignore"):
+        weight = keys(int(length.max()), 53) | U64(1)
+        return at, length, mix(np.add.reduceat(hashed * weight[within], at) + length.astype(U64) * U64(2)).view(np.int64)
+
+
+def _hashed(data: np.ndarray, offsets: np.ndarray):
+    """Words of the texts: first and end bytes, hashes, the text of each and the first word of each text."""
     plain = LOWER[data]
     first, stop, count = words(plain, offsets)
-    n = len(first)
-    hashed = word_hashes(plain, first, stop)
-    row = np.repeat(np.arange(len(count)), count)
-    points = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
-    opens = np.zeros(n, bool)
-    opens[(np.cumsum(count) - count)[count > 0]] = True
-    line = np.concatenate([[0], np.cumsum(data == 10)])[first]
-    closed = (hashed >> U64(33)) % U64(conf.segment) == 0
-    out = []
-    for segment, begins in ((False, opens | (np.diff(line, prepend=-1) > 0)), (True, opens | np.concatenate([[False], closed[:-1]])[:n])):
-        at = np.flatnonzero(begins)
-        if not n:
-            out.append((at,) * 7)
-            continue
-        length = np.diff(np.append(at, n))
-        within = np.arange(n) - np.repeat(at, length)
-        with np.errstate(over="ignore"):
-            weight = keys(int(length.max()), 53) | U64(1)
-            digest = mix(np.add.reduceat(hashed * weight[within], at) + length.astype(U64) * U64(2) + U64(segment)).view(np.int64)
-        base = points[offsets[row[at]]]
-        number = np.arange(len(at)) - np.searchsorted(row[at], row[at])
-        unit = (row[at], np.full(len(at), segment), number, points[first[at]] - base, points[stop[at + length - 1]] - base, length, digest)
-        out.append(unit if segment else tuple(u[length >= conf.least] for u in unit))
-    if n:
-        at, digest = _seeds(hashed, row, conf)
-        base, size = points[offsets[row[at]]], np.full(len(at), conf.run)
-        out.append((row[at], np.zeros(len(at), bool), np.arange(len(at)), points[first[at]] - base, points[stop[at + conf.run - 1]] - base, size, digest))
-    return tuple(np.concatenate(p) for p in zip(*out, strict=True))
-
-
-def _unit_rows(conf: LineDedup):
+    return first, stop, word_hashes(plain, first, stop), np.repeat(np.arange(len(count)), count), np.cumsum(count) - count
+
+
+#: size: words of a line, 0 for a seed.
+_UNIT = "doc_id long, h long, at long, size long, digest long"
+
+
+def _units(conf: LineDedup):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = text_bytes(batch.column("text"))
             for i, j in pieces(offsets):
-                row, segment, number, starts, ends, count, digest = units(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], conf)
-                order = np.lexsort((starts, digest, row))
-                again = np.zeros(len(row), bool)
-                again[order[1:]] = (np.diff(row[order]) == 0) & (np.diff(digest[order]) == 0)
-                place = np.where(segment, number << 32 | count << 1 | again, np.where(again, -2, -1))
+                part = data[offsets[i] : offsets[j]]
+                first, _, hashed, row, base = _hashed(part, offsets[i : j + 1] - offsets[i])
+                at, size, digest = lines(hashed, row, np.concatenate([[0], np.cumsum(part == 10)])[first])
+                seed, seed_digest = seeds(hashed, row, conf)
+                at, size, digest = np.concatenate([at, seed]), np.concatenate([size, np.zeros_like(seed)]), np.concatenate([digest, seed_digest])
+                own = pa.array(row[at] + i)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id")[i:j].take(pa.array(row, pa.int64())), *(pa.array(x, pa.int64()) for x in (starts << 32 | ends, place, digest))], [c.split()[0] for c in _UNIT.split(", ")]
+                    [batch.column("doc_id").take(own), batch.column("h").take(own), *(pa.array(x, pa.int64()) for x in (at - base[row[at]], size, digest))], [c.split()[0] for c in _UNIT.split(", ")]
                 )
 
     return run
 
 
+_POINT = "doc_id long, h long, w long, before binary, after binary, starts array<int>, ends array<int>"
+
+
+def _points(conf: LineDedup):
+    """For each wanted word number w of a text: hashes of the `reach` words before it, from the last, and of those from it on,
+    and where words begin (w and those before it) and end (the one before w and those from it on). 0 is no word."""
+    reach = conf.reach
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data, offsets = text_bytes(batch.column("text"))
+            wanted = batch.column("wanted")
+            for i, j in pieces(offsets):
+                part = data[offsets[i] : offsets[j]]
+                first, stop, hashed, row, base = _hashed(part, offsets[i : j + 1] - offsets[i])
+                code = np.concatenate([[0], np.cumsum((part & 0xC0) != 0x80)])
+                count = np.bincount(row, minlength=j - i)
+                some = wanted[i:j]
+                own = np.repeat(np.arange(j - i), np.asarray(some.value_lengths()))
+                at = np.asarray(some.flatten())
+                for a in range(0, len(at), 20_000):
+                    text, w = own[a : a + 20_000], at[a : a + 20_000]
+                    # a column of the words before the text, the text's words, and one after
+                    step = np.arange(reach + 1)
+                    back, ahead = w[:, None] - step, w[:, None] + step - 1
+                    origin = code[offsets[i + text] - offsets[i]][:, None]
+                    limit = count[text][:, None]
+                    word = lambda k: np.clip(base[text][:, None] + k, 0, max(len(hashed) - 1, 0))  # noqa: B023, E731
+                    inside = lambda k: (k >= 0) & (k < limit)  # noqa: B023, E731
+                    starts = np.where(inside(back), code[first[word(back)]] - origin, -1).astype(np.int32)
+                    ends = np.where(inside(ahead), code[stop[word(ahead)]] - origin, -1).astype(np.int32)
+                    plain = hashed | U64(1)
+                    before = np.where(inside(back[:, 1:]), plain[word(back[:, 1:])], U64(0))
+                    after = np.where(inside(ahead[:, 1:]), plain[word(ahead[:, 1:])], U64(0))
+                    listed = [pa.ListArray.from_arrays(pa.array(np.arange(0, x.size + 1, x.shape[1], dtype=np.int32)), pa.array(x.reshape(-1))) for x in (starts, ends)]
+                    raw = [pa.array([r.tobytes() for r in (x >> U64(32)).astype("<u4")], pa.binary()) for x in (before, after)]
+                    rows = pa.array(text + i)
+                    yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(rows), batch.column("h").take(rows), pa.array(w), *raw, *listed], [c.split()[0] for c in _POINT.split(", ")])
+
+    return run
+
+
+def _extended(conf: LineDedup):
+    """Spans of chains in code points, and their words after both ends went on as far as the texts agree."""
+
+    def agree(one: pa.Array, two: pa.Array) -> np.ndarray:
+        a, b = (np.frombuffer(b"".join(x.to_pylist()), "<u4").reshape(len(x), conf.reach) for x in (one, two))
+        return np.cumprod((a == b) & (a != 0), axis=1).sum(1) if conf.reach else np.zeros(len(one), np.int64)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lead, trail = agree(batch.column("before"), batch.column("its_before")), agree(batch.column("after"), batch.column("its_after"))
+            pick = lambda c, k: np.asarray(batch.column(c).flatten()).reshape(len(k), -1)[np.arange(len(k)), k].astype(np.int64)  # noqa: B023, E731
+            size = np.asarray(batch.column("size")) + lead + trail
+            out = [batch.column("doc_id"), batch.column("h"), pa.array(pick("starts", lead)), pa.array(pick("ends", trail)), pa.array(size)]
+            yield pa.RecordBatch.from_arrays(out, ["doc_id", "h", "starts", "ends", "size"])
+
+    return run
+
+
+def _rank() -> Column:
+    """An occurrence's rank: null ids last, then by text, then by place."""
+    return F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("doc_id"), F.col("h").alias("h"), F.col("at").alias("at"))
+
+
+def _of(table: DataFrame, name: str, *columns: str) -> DataFrame:
+    """`table` with its document's columns, w and `columns` under names of their own."""
+    return table.select(*(F.col(c).alias(f"{name}_{c}") for c in ("doc_id", "h", "w", *columns)))
+
+
+def _at(name: str, doc_id: str, h: str, w: str | Column) -> Column:
+    w = F.col(w) if isinstance(w, str) else w
+    return F.col(doc_id).eqNullSafe(F.col(f"{name}_doc_id")) & (F.col(h) == F.col(f"{name}_h")) & (w == F.col(f"{name}_w"))
+
+
 def repeats(docs: DataFrame, conf: LineDedup = LineDedup()) -> DataFrame:
-    """`docs(doc_id, text)` to `(doc_id, n_repeats, removed)`, removed being a sorted array of (starts, ends)."""
+    """`docs(doc_id, text)` to `(doc_id, h, n_repeats, removed, lines)`; `removed` and `lines` are sorted arrays of (starts, ends),
+    `lines` those repeated lines that don't lie within a span of `removed`; h is a hash of the text."""
     work = Workspace(docs.sparkSession, "linededup")
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    every = work.keep(docs.mapInArrow(_unit_rows(conf), _UNIT), "units")
-    rank = F.coalesce("doc_id", F.lit((1 << 63) - 1))
-    groups = every.groupBy("digest").agg(F.min(rank).alias("first"), F.count("*").alias("n")).filter("n > 1").drop("n")
-    repeated = (rank != F.col("first")) | (F.col("place") == -2) | ((F.col("place") >= 0) & (F.col("place") % 2 == 1))
-    low = lambda c, bits: F.col(c).bitwiseAND((1 << bits) - 1)
-    again = every.join(groups, "digest").filter(repeated).select(
-        "doc_id", F.shiftright("span", 32).alias("starts"), low("span", 32).alias("ends"), (F.col("place") >= 0).alias("segment"), F.shiftright("place", 32).alias("ordinal"),
-        F.shiftright(low("place", 32), 1).alias("words"),
-    )
-    again = work.keep(again, "again")
-    work.drop(every)
-
-    by_doc = Window.partitionBy("doc_id")
-    parts = again.filter("segment").select("doc_id", "ordinal", "starts", "ends", "words").distinct()
-    island = F.col("ordinal") - F.row_number().over(by_doc.orderBy("ordinal"))
-    runs = parts.withColumn("island", island).groupBy("doc_id", "island").agg(F.min("starts").alias("starts"), F.max("ends").alias("ends"), F.sum("words").alias("words"))
-    spans = runs.filter(F.col("words") >= conf.run).select("doc_id", "starts", "ends").union(again.filter("not segment").select("doc_id", "starts", "ends"))
-    # spans that meet become one
-    before = F.max("ends").over(by_doc.orderBy("starts", "ends").rowsBetween(Window.unboundedPreceding, -1))
-    fresh = spans.withColumn("fresh", F.coalesce(F.col("starts") > before, F.lit(True)).cast("int"))
-    group = F.sum("fresh").over(by_doc.orderBy("starts", "ends").rowsBetween(Window.unboundedPreceding, 0))
-    merged = fresh.withColumn("group", group).groupBy("doc_id", "group").agg(F.min("starts").alias("starts"), F.max("ends").alias("ends"))
-    merged = merged.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("starts", "ends"))).alias("removed"))
-    ids = docs.select(F.col("doc_id").alias("id"))
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("h"))
+    every = work.keep(docs.mapInArrow(_units(conf), _UNIT), "units")
+    twice = every.groupBy("digest").agg(F.count("*").alias("n")).filter("n > 1").select("digest")
+    twice = work.keep(twice, "twice")
+    again = work.keep(every.join(twice.hint("merge"), "digest").distinct(), "again")
+    first = work.keep(again.groupBy("digest").agg(F.min(_rank()).alias("first")), "first")
+    later = again.join(first.hint("merge"), "digest").filter(_rank() != F.col("first"))
+    later = later.select("doc_id", "h", "at", "size", F.col("first.doc_id").alias("from_id"), F.col("first.h").alias("from_h"), F.col("first.at").alias("from_at"))
+    later = work.keep(later, "later")
+    for done in (every, twice, again, first):
+        work.drop(done)
+
+    # seeds that follow each other in both texts, without a gap, are one chain
+    in_doc = Window.partitionBy("doc_id", "h").orderBy("at")
+    before = lambda c: F.lag(c).over(in_doc)
+    same = F.col("from_id").eqNullSafe(before("from_id")) & (F.col("from_h") == before("from_h")) & (F.col("at") - F.col("from_at") == before(F.col("at") - F.col("from_at")))
+    goes_on = F.coalesce(same & (F.col("at") - before("at") <= conf.run), F.lit(False))
+    parts = later.filter("size = 0").withColumn("fresh", (~goes_on).cast("long"))
+    parts = parts.withColumn("chain", F.sum("fresh").over(in_doc.rowsBetween(Window.unboundedPreceding, 0)))
+    chains = parts.groupBy("doc_id", "h", "chain").agg(
+        F.min("at").alias("at"), (F.max("at") - F.min("at") + conf.run).alias("size"), F.first("from_id").alias("from_id"), F.first("from_h").alias("from_h"), F.min("from_at").alias("from_at")
+    )
+    chains = work.keep(chains.drop("chain"), "chains")
+    short = later.filter("size > 0").select("doc_id", "h", "at", "size")
+    ends = lambda rows, doc_id, h, at: rows.select(F.col(doc_id).alias("doc_id"), F.col(h).alias("h"), F.explode(F.array(F.col(at), F.col(at) + F.col("size"))).alias("w"))
+    wanted = ends(chains, "doc_id", "h", "at").union(ends(chains, "from_id", "from_h", "from_at")).union(ends(short, "doc_id", "h", "at"))
+    wanted = wanted.distinct().groupBy(F.col("doc_id").alias("id"), F.col("h").alias("text_h")).agg(F.collect_list("w").alias("wanted"))
+    texts = docs.join(wanted.hint("merge"), F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("h") == F.col("text_h"))).select("doc_id", "h", "text", "wanted")
+    points = work.keep(texts.mapInArrow(_points(conf), _POINT).dropDuplicates(["doc_id", "h", "w"]), "points")
+
+    stop = F.col("at") + F.col("size")
+    found = (
+        chains.join(_of(points, "a", "before", "starts").hint("merge"), _at("a", "doc_id", "h", "at"))
+        .join(_of(points, "b", "after", "ends").hint("merge"), _at("b", "doc_id", "h", stop))
+        .join(_of(points, "c", "before").hint("merge"), _at("c", "from_id", "from_h", "from_at"))
+        .join(_of(points, "d", "after").hint("merge"), _at("d", "from_id", "from_h", F.col("from_at") + F.col("size")))
+        .select("doc_id", "h", "size", F.col("a_before").alias("before"), F.col("c_before").alias("its_before"), F.col("b_after").alias("after"), F.col("d_after").alias("its_after"), F.col("a_starts").alias("starts"), F.col("b_ends").alias("ends"))
+    )
+    passages = found.mapInArrow(_extended(conf), "doc_id long, h long, starts long, ends long, size long")
+    of_lines = (
+        short.join(_of(points, "a", "starts").hint("merge"), _at("a", "doc_id", "h", "at"))
+        .join(_of(points, "b", "ends").hint("merge"), _at("b", "doc_id", "h", stop))
+        .select("doc_id", "h", F.col("a_starts")[0].cast("long").alias("starts"), F.col("b_ends")[0].cast("long").alias("ends"), (F.col("size") >= conf.least).alias("counts"))
+    )
+    spans = passages.filter(F.col("size") >= conf.passage).select("doc_id", "h", "starts", "ends", F.lit(True).alias("counts")).union(of_lines)
+    # spans to remove that overlap become one; short lines within them are nothing of their own
+    by_doc = Window.partitionBy("doc_id", "h").orderBy("starts", F.col("ends").desc())
+    till = F.max(F.when(F.col("counts"), F.col("ends"))).over(by_doc.rowsBetween(Window.unboundedPreceding, -1))
+    spans = spans.withColumn("till", till).filter(F.col("counts") | F.coalesce(F.col("ends") > F.col("till"), F.lit(True)))
+    fresh = F.coalesce(F.col("starts") > F.col("till"), F.lit(True)) | ~F.col("counts")
+    group = F.when(F.col("counts"), F.sum(F.when(F.col("counts") & fresh, 1).otherwise(0)).over(by_doc.rowsBetween(Window.unboundedPreceding, 0)))
+    merged = spans.withColumn("group", group).groupBy("doc_id", "h", "counts", F.coalesce("group", -F.col("starts") - 1).alias("group")).agg(F.min("starts").alias("starts"), F.max("ends").alias("ends"))
+    collect = lambda which: F.array_sort(F.collect_list(F.when(which, F.struct("starts", "ends"))))
+    merged = merged.groupBy(F.col("doc_id").alias("id"), F.col("h").alias("text_h")).agg(collect(F.col("counts")).alias("removed"), collect(~F.col("counts")).alias("lines"))
     none = F.array().cast("array<struct<starts:bigint,ends:bigint>>")
-    out = ids.join(merged, F.col("id").eqNullSafe(F.col("doc_id")), "left")
+    out = docs.select("doc_id", "h").join(merged, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("h") == F.col("text_h")), "left")
     removed = F.coalesce("removed", none)
-    return out.select(F.col("id").alias("doc_id"), F.size(removed).cast("long").alias("n_repeats"), removed.alias("removed"))
+    return out.select("doc_id", "h", F.size(removed).cast("long").alias("n_repeats"), removed.alias("removed"), F.coalesce("lines", none).alias("lines"))
 
 
 def digest(found: DataFrame) -> DataFrame:
-    listed = F.array_join(F.transform("removed", lambda x: F.concat_ws(":", x["starts"], x["ends"])), ",")
+    """`repeats`' rows with spans as text."""
+    listed = lambda spans: F.array_join(F.transform(spans, lambda x: F.concat_ws(":", x["starts"], x["ends"])), ",")
     length = F.aggregate("removed", F.lit(0).cast("long"), lambda s, x: s + x["ends"] - x["starts"])
-    return found.select("doc_id", "n_repeats", length.alias("removed_chars"), listed.alias("removed"))
+    return found.select("doc_id", "n_repeats", length.alias("removed_chars"), listed("removed").alias("removed"), F.size("lines").cast("long").alias("n_lines"), listed("lines").alias("lines"))
