@@ -37,7 +37,7 @@ def test_neardup(spark):
 def test_licences(spark):
     got = licences.digest(licences.scan(docs(spark, [*TEXTS, (20, "x\nReleased under the MIT License.\n"), (21, "ALL rights -- reserved")])))
     assert got.count() == len(TEXTS) + 2
-    assert rows(got.filter("n_lines > 0"), "doc_id", "licences", "hits") == [(20, "MIT", "1:MIT"), (21, "all-rights-reserved", "0:all-rights-reserved")]
+    assert rows(got.filter("n_found > 0"), "doc_id", "licences", "hits") == [(20, "MIT", "MIT:1:6"), (21, "all-rights-reserved", "all-rights-reserved:0:3")]
     assert licences.digest(licences.scan(docs(spark, []))).count() == 0
 
 
@@ -51,6 +51,16 @@ def test_warc(spark):
     assert by_id[2, "revisit"].payload_bytes == 4 and by_id[2, "revisit"].payload_digest == warc.base32_sha1(b"same") and by_id[5, "response"].payload_bytes == 500_000
     assert sum(r.page_id == 3 and r.record_type == "response" for r in got) == 2
     assert [r.url_key for r in index.orderBy("part", "place").collect()] == sorted(r.url_key for r in got)
+    hostile = [(2**63 - 1, "http://a/\r\n\r\nx", "p"), (-(2**63), "http://b/\r\nWARC-Type: revisit", "q"), (10**15, "http://c/\x00\x7f\n", "q"), (7, "\r", "p")]
+    frame = spark.createDataFrame([(*p, "x", "y", 1) for p in hostile], schema)
+    want = [(-(2**63), "revisit", 10**15), (7, "revisit", 2**63 - 1), (10**15, "response", None), (2**63 - 1, "response", None)]
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    stamps = {r.page_id: r.stamp for r in warc.archive(spark.createDataFrame([(3661, "u", "z", "x", "y", 1)], schema))[1].collect()}
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert stamps == {3661: "2024-01-01T01:01:01Z"}
+    for conf in (warc.Warc(), warc.Warc(broadcast=0, run=1)):
+        got = sorted((r.page_id, r.record_type, r.refers_to) for r in warc.archive(frame, conf)[0].collect())
+        assert got == want
     empty = spark.createDataFrame([], schema)
     assert warc.archive(empty)[0].count() == 0
 
@@ -87,13 +97,21 @@ def test_mixing(spark):
 
 def test_linededup(spark):
     line = "a line that has ten words or rather more, it is"
-    got = linededup.repeats(docs(spark, [*TEXTS, (20, f"ä😀\n{line}\nend\n{line.upper()}"), (21, f"{line}  \n\n")]))
-    got = {r.doc_id: [tuple(s) for s in r.removed] for r in got.collect()}
+    some = docs(spark, [*TEXTS, (20, f"ä😀\n{line}\nend\n{line.upper()}"), (21, f"{line}  \n\n")])
+    apart = {r.doc_id: [tuple(s) for s in r.lines] for r in linededup.repeats(some).collect()}
+    assert apart[20] == [(8 + len(line), 8 + 2 * len(line))] and apart[21] == [(0, len(line))] and apart[7] == []
+    got = {r.doc_id: [tuple(s) for s in r.removed] for r in linededup.repeats(some, linededup.LineDedup(least=1)).collect()}
     assert got[20] == [(8 + len(line), 8 + 2 * len(line))] and got[21] == [(0, len(line))]
     assert got[6] == got[9] == [(0, len(SAME))] and got[5] == got[1] == got[8] == got[None] == []
     ((start, end),) = got[7]  # the text repeats itself from word 10,007 on
     assert len(LONG) - end < 100 and abs(len(LONG[:start].split()) - 10_007) < 100
     assert linededup.repeats(docs(spark, [])).count() == 0
+    long = " ".join(f"q{i}" for i in range(60))
+    odd = [(None, "nothing of the others"), (None, f"a b {long} c"), (5, f"x {long}"), (5, "another text"), (5, f"yy zz {long}"), (None, f"a b {long} c")]
+    got = sorted((str(r.doc_id), [tuple(s) for s in r.removed]) for r in linededup.repeats(docs(spark, odd)).collect())
+    n = len(long)
+    assert got[0] == ("5", []) and sorted(x for i, x in got if i == "5") in ([[], [], [(2, 2 + n)]], [[], [], [(6, 6 + n)]])
+    assert [x for i, x in got if i == "None"] == [[], [(4, 4 + n)], [(4, 4 + n)]]
 
 
 def test_kdtree(spark):
