@@ -4,10 +4,13 @@ A document of a source with target t and size s is due t / s copies. The whole c
 probability. Two documents at a time, expected words move from one to the other, up or down at random and fair, until
 one of the two probabilities is 0 or 1; so a source's expected words never change, and only one document of a source is
 left undecided in the end. Blocks of a source run apart; what each leaves undecided meets further up a reduction tree.
-The random numbers are hashes of the documents' ids, so reruns agree whatever the partitioning.
+The random numbers are hashes of the documents' ids and texts, so reruns agree whatever the partitioning. Rows that are alike in
+both are numbered, within each input partition and then from partition to partition, so that they are dealt to blocks like
+all others; which of them has which number doesn't matter.
 
 Nulls: a null text has size 0, is due nothing and takes no part in rounding; a null source is a source of its own, the
-last. Repeated rows count as often as they occur. Further columns are ignored. An empty table gives no rows."""
+last. Null and repeated doc_ids are documents each. Repeated rows count as often as they occur. The targets are worked out in one
+task with a row a source. Further columns are ignored. An empty table gives no rows."""
 
 from __future__ import annotations
 
@@ -61,7 +64,7 @@ def targets(sizes: DataFrame, conf: Mixing) -> DataFrame:
 
 def pivot(ids: np.ndarray, sizes: np.ndarray, p: np.ndarray, seed: int) -> int:
     """Round `p` in place, in the given order; the index that is left undecided, or -1."""
-    ids = ids.astype(np.int64).view(U64)
+    ids = np.ascontiguousarray(ids, np.int64).view(U64)
     left = -1
     with np.errstate(over="ignore"):
         mark = mix(ids * U64(0x9E3779B97F4A7C15) + U64(seed))
@@ -85,14 +88,14 @@ def pivot(ids: np.ndarray, sizes: np.ndarray, p: np.ndarray, seed: int) -> int:
     return left
 
 
-_ROW = "doc_id long, source string, size long, source_size long, target double, whole long, p double, block long, done boolean"
+_ROW = "doc_id long, h long, mark long, source string, size long, source_size long, target double, whole long, p double, block long, done boolean"
 
 
 def _rounder(seed: int, last: bool):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.assign(id=pdf["doc_id"].fillna(-1).astype("int64")).sort_values(["size", "id"], ascending=[False, True], kind="stable")
+        pdf = pdf.sort_values(["size", "mark"], ascending=[False, True], kind="stable")
         p = pdf["p"].to_numpy(float).copy()
-        ids = pdf["id"].to_numpy()
+        ids = pdf["mark"].to_numpy()
         left = pivot(ids, pdf["size"].to_numpy(float), p, seed)
         done = np.ones(len(p), bool)
         if left >= 0 and last:
@@ -101,24 +104,59 @@ def _rounder(seed: int, last: bool):
             p[left] = float(u < p[left])
         elif left >= 0:
             done[left] = False
-        return pdf.drop(columns="id").assign(p=p, done=done)
+        return pdf.assign(p=p, done=done)
 
     return run
 
 
+def row_hash(columns: list[str]) -> Column:
+    """Of the columns' values, and of which of them are null."""
+    return F.xxhash64(*columns, *(F.col(c).isNull() for c in columns))
+
+
+def numbered(rows: DataFrame, work: Workspace) -> DataFrame:
+    """`rows(doc_id, source, h, part, ...)`, a written table, with `nth` from 0 among the rows that share doc_id, source and h: a
+    running number in each `part`, from the count of the parts before it on."""
+    same = ["source", "doc_id", "h"]
+    by_part = rows.groupBy("part", *same).agg(F.count("*").alias("n"))
+    earlier = F.sum("n").over(Window.partitionBy(*same).orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
+    counts = by_part.withColumn("earlier", earlier).filter("earlier > 0").select("earlier", F.col("part").alias("part_"), *(F.col(c).alias(f"{c}_") for c in same))
+    counts = work.keep(counts, "earlier")
+    within = F.row_number().over(Window.partitionBy("part", *same).orderBy(F.lit(0))) - 1
+    on = F.col("part") == F.col("part_")
+    for c in same:
+        on = on & F.col(c).eqNullSafe(F.col(f"{c}_"))
+    return rows.withColumn("nth", within).join(counts, on, "left").withColumn("nth", F.col("nth") + F.coalesce("earlier", F.lit(0))).drop(*counts.columns)
+
+
+def mixture(docs: DataFrame, conf: Mixing = Mixing()) -> DataFrame:
+    """The rows of `docs`, each as often as the mix takes it."""
+    columns = docs.columns
+    own = docs.select(F.struct(*columns).alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text", "source", row_hash(columns).alias("h"))
+    due = mixed(own, conf).filter("copies > 0").groupBy("doc_id", "source", "h").agg(F.sum("copies").alias("copies"))
+    due = due.select("copies", *(F.col(c).alias(f"{c}_") for c in ("doc_id", "source", "h")))
+    on = F.col("doc_id").eqNullSafe(F.col("doc_id_")) & F.col("source").eqNullSafe(F.col("source_")) & (F.col("h") == F.col("h_"))
+    once = own.dropDuplicates(["doc_id", "source", "h"]).drop("text")
+    return once.join(due, on).withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).select("row.*")
+
+
 def mixed(docs: DataFrame, conf: Mixing = Mixing()) -> DataFrame:
-    """`docs(doc_id, text, source)` to `(doc_id, source, size, source_size, target, copies, taken)`."""
+    """`docs(doc_id, text, source[, h])` to `(doc_id, h, source, size, source_size, target, copies, taken)`; h tells documents of one
+    doc_id apart, a hash of the text where `docs` has no long of that name."""
     work = Workspace(docs.sparkSession, "mixing")
-    sized = work.keep(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "source", word_count().alias("size")), "sized")
+    own = F.col("h") if dict(docs.dtypes).get("h") == "bigint" else F.xxhash64("text")
+    sized = docs.select(F.col("doc_id").cast("long").alias("doc_id"), own.alias("h"), "source", word_count().alias("size"), F.spark_partition_id().alias("part"))
+    sized = work.keep(sized, "sized")
     sums = sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n"))
     plan = work.keep(targets(sums.drop("n"), conf).withColumnRenamed("source", "s").join(sums.select("source", "n"), F.col("s").eqNullSafe(F.col("source"))).drop("s"), "plan")
     due = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     near = F.when(F.abs(due - F.round(due)) < 1e-12, F.round(due)).otherwise(due)
     blocks = F.ceil(F.col("n") / conf.block)
+    sized = numbered(sized, work).withColumn("mark", F.xxhash64("doc_id", "h", "nth"))
     rows = sized.join(plan.withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s"))).drop("s")
     rows = rows.withColumn("due", near).select(
-        "doc_id", "source", "size", "source_size", "target", F.floor("due").cast("long").alias("whole"), F.when(F.col("size") > 0, F.col("due") - F.floor("due")).otherwise(0.0).alias("p"),
-        F.pmod(F.xxhash64("doc_id", F.lit(conf.seed)), blocks).alias("block"),
+        "doc_id", "h", "mark", "source", "size", "source_size", "target", F.floor("due").cast("long").alias("whole"), F.when(F.col("size") > 0, F.col("due") - F.floor("due")).otherwise(0.0).alias("p"),
+        F.pmod(F.xxhash64("mark", F.lit(conf.seed)), blocks).alias("block"),
     )
     most = plan.agg(F.max(F.ceil(F.col("n") / conf.block))).first()[0] or 1
     out, level = [], 0
@@ -134,4 +172,4 @@ def mixed(docs: DataFrame, conf: Mixing = Mixing()) -> DataFrame:
     for more in out[1:]:
         done = done.union(more)
     copies = F.col("whole") + F.col("p").cast("long")
-    return done.select("doc_id", "source", "size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).alias("taken"))
+    return done.select("doc_id", "h", "source", "size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).alias("taken"))
