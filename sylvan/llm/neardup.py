@@ -179,7 +179,8 @@ def near_duplicates(docs: DataFrame, conf: NearDup = NearDup()) -> DataFrame:
     now = _labelled(members, label, "rep", "component")
     by_part = now.groupBy("hub", "component").agg(F.count("*").alias("m"))
     parts = by_part.groupBy("hub").agg(F.max(F.struct("m", "component")).alias("top"), F.count("*").alias("parts")).filter("parts > 1")
-    mixed = work.keep(now.join(parts.select("hub", F.col("top.component").alias("main")), "hub").withColumn("few", F.col("component") != F.col("main")).drop("main", "light"), "mixed")
+    parts = work.keep(parts.select("hub", F.col("top.component").alias("main")), "parts")
+    mixed = work.keep(now.join(parts, "hub").withColumn("few", F.col("component") != F.col("main")).drop("main", "light"), "mixed")
     if not mixed.isEmpty():
         rest = work.keep(_pairs_of_differences(mixed, sets, conf, work), "rest")
         links, label = _more(links, label, rest, sets, conf, work)
@@ -197,6 +198,23 @@ def near_duplicates(docs: DataFrame, conf: NearDup = NearDup()) -> DataFrame:
     )
 
 
+def representatives(docs: DataFrame, conf: NearDup = NearDup()) -> DataFrame:
+    """The rows of `docs` of which one stays of each group of near duplicates: the one with the smallest doc_id, and of several
+    texts or rows of one doc_id the one that a hash of the row puts first. Rows without a doc_id come last and stay
+    where no other row is near them; equal rows are one. Numbers that follow this order stand for the rows."""
+    work = Workspace(docs.sparkSession, "representatives")
+    columns = docs.columns
+    h = F.xxhash64(*columns, *(F.col(c).isNull() for c in columns))
+    rows = docs.select(F.struct(*columns).alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text", h.alias("h"))
+    order = [F.col("doc_id").asc_nulls_last(), "h"]
+    ids = rows.select("doc_id", "h").distinct().repartitionByRange(*order).sortWithinPartitions(*order)
+    ids = work.keep(ids.select(F.col("doc_id").alias("doc_id_"), F.col("h").alias("h_"), F.monotonically_increasing_id().alias("id")), "ids")
+    named = rows.join(ids.hint("merge"), F.col("doc_id").eqNullSafe(F.col("doc_id_")) & (F.col("h") == F.col("h_")))
+    named = work.keep(named.dropDuplicates(["id"]).select("id", "row"), "named")
+    found = near_duplicates(named.select(F.col("id").alias("doc_id"), F.col("row.text").alias("text")), conf)
+    return named.join(found.filter("kept").select(F.col("doc_id").alias("id")).hint("merge"), "id", "left_semi").select("row.*")
+
+
 def _sized(one: str, two: str, conf: NearDup) -> Column:
     """Whether sets of these sizes can be near enough."""
     return F.expr(f"100 * least({one}, {two}) >= {conf.percent} * greatest({one}, {two})")
