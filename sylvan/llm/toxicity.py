@@ -7,7 +7,9 @@ log-odds of a label's documents, counted in the training sample; in training, a
 Training takes each document's highest window in turn (a label holds for the document, not for all its windows), and
 ends with a logistic calibration of the documents' highest windows.
 
-The model is fitted on the driver on at most `sample` labelled rows, chosen by a hash of doc_id; all else covers every row.
+The model is fitted on the driver on at most `sample` labelled documents of `sample_bytes` in all, chosen by a hash of doc_id; a
+document that doesn't fit into what is left of the bytes is passed over, and of several texts of a doc_id one counts. All else
+covers every row.
 Nulls: a null text is empty; an empty text has one window without words and a score of its own. A null label counts as
 no label; of several labels of a doc_id the greatest counts. A null doc_id is never held out. Without a label of each kind all
 scores are the share of label 1, or 0 without labels. Repeated rows are scored alike. Further columns are ignored."""
@@ -33,10 +35,11 @@ for _first, _last in ((48, 57), (65, 90), (97, 122)):
 
 @dataclass(frozen=True)
 class Toxicity:
-    """sample: labelled rows that are fitted, at most. step: words between windows. grams: n-gram lengths in bytes. rounds:
+    """sample, sample_bytes: labelled documents that are fitted, at most, and bytes of their texts. step: words between windows. grams: n-gram lengths in bytes. rounds:
     choices of the highest windows, each followed by `passes` over them."""
 
     sample: int = 2500
+    sample_bytes: int = 32 << 20
     window: int = 32
     step: int = 16
     hidden: int = 8
@@ -310,11 +313,19 @@ def train(docs: DataFrame, labels: DataFrame, conf: Toxicity = Toxicity()) -> Ne
     rows = rows.groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
     chosen = rows.join(docs.select(F.col("doc_id").cast("long").alias("doc_id")).distinct(), "doc_id", "left_semi")
     chosen = chosen.orderBy(F.xxhash64("doc_id", F.lit(conf.seed)), "doc_id").limit(conf.sample)
+    # at most `sample` rows of 12 bytes, and then of 28
     ids = docs.sparkSession.createDataFrame(chosen.toPandas(), "doc_id long, toxic int")
-    # at most `sample` ids of 12 bytes
-    picked = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(ids), "doc_id").toPandas()
-    picked = picked.sort_values(["doc_id", "text"], kind="stable")
-    return fit(picked["text"].fillna("").tolist(), picked["toxic"].to_numpy(), conf)
+    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).withColumn("h", F.xxhash64("text"))
+    sizes = own.select("doc_id", F.struct("h", F.octet_length("text").alias("size")).alias("s")).join(F.broadcast(ids), "doc_id").groupBy("doc_id", "toxic").agg(F.min("s").alias("s"))
+    left, taken = conf.sample_bytes, []
+    for r in sizes.select("doc_id", "toxic", "s.*").orderBy(F.xxhash64("doc_id", F.lit(conf.seed)), "doc_id").collect():
+        if r["size"] <= left:
+            left -= r["size"]
+            taken.append((r["doc_id"], r["h"], r["toxic"]))
+    taken = docs.sparkSession.createDataFrame(taken, "doc_id long, h long, toxic int")
+    picked = own.join(F.broadcast(taken), ["doc_id", "h"]).dropDuplicates(["doc_id"]).select("doc_id", "text", "toxic").toPandas()
+    picked = picked.sort_values("doc_id", kind="stable")
+    return fit(picked["text"].tolist(), picked["toxic"].to_numpy(), conf)
 
 
 def scored(docs: DataFrame, model: Network | float, conf: Toxicity = Toxicity(), carry: tuple[str, ...] = ()) -> DataFrame:
