@@ -1,6 +1,7 @@
 """Nulls, empty and long texts, ties, repeated rows, empty tables and further columns, for every operator and stage."""
 
 import hashlib
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -92,6 +93,12 @@ def test_mixing(spark):
     assert rows(got, "doc_id", "taken") == rows(mixing.mixed(docs(spark).repartition(3)), "doc_id", "taken")
     assert got.filter("source is null").select("source_size").distinct().count() == 1
     assert mixing.mixed(docs(spark, [])).count() == 0
+    alike = docs(spark, [(None, "a b c")] * 500 + [(3, "d e")] * 500 + [(None, f"f{i}") for i in range(500)])
+    conf = mixing.Mixing(block=50)
+    got, again = mixing.mixed(alike, conf), mixing.mixed(alike.repartition(7), conf)
+    assert got.count() == 1500 and rows(got, "doc_id", "size", "taken") == rows(again, "doc_id", "size", "taken")
+    ((words, target),) = got.groupBy("target").agg(F.sum("taken").alias("words")).select("words", "target").collect()
+    assert abs(words - target) <= 3
     assert mixing.mixed(docs(spark, [(1, None)])).first().taken == 0
 
 
@@ -151,4 +158,25 @@ def test_stages_take_odd_rows_and_none(spark, stage):
     assert got.count() > 0
     if stage < len(corpus_pipeline.STAGES) - 1:
         assert got.columns == list(corpus_pipeline.COLUMNS)
+        before, after = Counter((r.doc_id, r.text) for r in docs(spark).collect()), Counter((r.doc_id, r.text) for r in got.collect())
+        if name in ("toxicity", "near duplicates"):
+            assert not after - before
+        if name == "near duplicates":
+            assert after == Counter({k: 1 for k in before if k[0] not in (6, 9)})  # 5 stays of 5, 6, 6 and 9
+        if name == "secrets":
+            assert after == before
+        if name == "mixing":
+            assert set(after) <= set(before) and all(n <= 3 * before[k] for k, n in after.items())
+            size = lambda rows: sum(n * len((t or "").split()) for (_, t), n in rows.items())
+            assert abs(size(after) - size(before)) <= 2 * 30_000
     assert run(spark, docs(spark, []), SF).count() == 0
+
+
+def test_stages_tell_rows_apart_by_more_than_their_ids(spark):
+    long = " ".join(f"v{i}" for i in range(80))
+    odd = docs(spark, [(5, long), (5, "another text of the same id, quite unlike"), (None, long + " end"), (None, "only this one has these words in it"), (8, long)])
+    got = corpus_pipeline.without_near_duplicates(spark, odd, SF).collect()
+    assert sorted((str(r.doc_id), r.text) for r in got) == [("5", "another text of the same id, quite unlike"), ("5", long), ("None", "only this one has these words in it")]
+    same = docs(spark, [(1, "one two three")] * 3 + [(None, "four five")] * 2)
+    got = Counter(r.text for r in corpus_pipeline.mixed(spark, same, SF).collect())
+    assert abs(3 * got["one two three"] + 2 * got["four five"] - 13) <= 3 and got["one two three"] <= 9

@@ -138,12 +138,13 @@ def repeated_words(texts, size):
 def test_repeats_equal_walking_all_documents(spark):
     texts = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
     conf = linededup.LineDedup()
-    loose, want, want_lines = repeated_words(texts, conf.passage)
+    _, want, want_lines = repeated_words(texts, conf.passage)
+    loose, _, _ = repeated_words(texts, conf.run)
     hit = total = 0
     for r in linededup.repeats(spark.read.parquet(f"{SF}/documents.parquet"), conf).collect():
         inside = lambda a, b, spans: any(x.starts <= a and b <= x.ends for x in spans)
         cut = {(a, b) for _, a, b in plain_words(texts[r.doc_id]) if inside(a, b, r.removed)}
-        # what goes is a repeat to the word
+        # every word that goes stands in a row of `run` words that occurs earlier
         long_line = {(a, b) for s, e in want_lines[r.doc_id] for _, a, b in plain_words(texts[r.doc_id]) if s <= a and b <= e}
         assert cut <= loose[r.doc_id] | long_line
         hit, total = hit + len(cut & want[r.doc_id]), total + len(want[r.doc_id])
@@ -178,7 +179,7 @@ def test_short_lines_that_repeat_are_found(spark):
 def test_no_passage_of_fifty_words_is_missed(spark):
     rng = random.Random(12)
     prose = lambda n: " ".join(f"w{rng.randrange(10**6)}" for _ in range(n))
-    passages = [prose(n) for n in (40, 50, 60) for _ in range(150)]
+    passages = [prose(n) for n in (40, 50, 60, 90) for _ in range(150)]
     rows = [(k * len(passages) + i, f"{prose(30)} {p} {prose(25)}") for k in range(2) for i, p in enumerate(passages)]
     texts = dict(rows)
     got = {r.doc_id: r.removed for r in linededup.repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
