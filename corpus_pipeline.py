@@ -1,15 +1,15 @@
 """From raw documents to packed training sequences: five stages, each writing its rows before the next one reads them.
 
-Every stage but the last returns the columns of documents: doc_id, text, lang, source, n_chars. Documents without a
-doc_id can't be decided on and leave at the near-duplicate stage; repeated rows of a doc_id leave one row there."""
+Every stage but the last returns the columns of documents: doc_id, text, lang, source, n_chars. Rows are told apart by all their
+columns, never by doc_id alone: rows without a doc_id stay unless a near duplicate with one is there, texts that share a
+doc_id are documents each, and equal rows leave one at the near-duplicate stage and are counted one by one at all others."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sylvan.llm import mixing, packing, secrets, toxicity
-from sylvan.llm.neardup import NearDup, near_duplicates
+from sylvan.llm import mixing, neardup, packing, secrets, toxicity
 from sylvan.llm.work import Workspace, table
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -23,8 +23,7 @@ def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates stays, the one with the smallest doc_id."""
-    kept = near_duplicates(docs, NearDup()).filter("kept").select("doc_id")
-    return docs.select(*COLUMNS).join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return neardup.representatives(docs.select(*COLUMNS))
 
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,9 +34,7 @@ def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """A row for each copy that the mix takes of a document."""
-    due = mixing.mixed(docs).filter("copies > 0").select("doc_id", "copies")
-    copies = docs.select(*COLUMNS).join(due, "doc_id")
-    return copies.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(*COLUMNS)
+    return mixing.mixture(docs.select(*COLUMNS))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
