@@ -310,12 +310,56 @@ def test_trees_find_what_comparing_all_finds(seed, spread):
     ids, vectors = rng.permutation(400)[:300], rng.integers(-spread, spread + 1, (300, 5)).astype(float)
     asked = vectors[:40]
     tree = kdtree.Tree(ids, vectors, 16)
-    row, name, score = kdtree.search(tree, ids[:40], asked, np.full(40, -1e18), 7)
+    row, name, score = kdtree.search(tree, ids[:40], asked, np.full(40, -1e18), 7, together=rng.integers(1, 50))
     for q in range(40):
         every = sorted((-(vectors[i] @ asked[q]), ids[i]) for i in range(300) if ids[i] != ids[q])[:7]
         assert [(-s, n) for s, n in zip(score[row == q], name[row == q], strict=True)] == every
 
 
+@pytest.mark.parametrize("clusters", [1, 6])
+def test_top_k_over_many_shards_equals_comparing_all(spark, clusters):
+    rng = np.random.default_rng(clusters)
+    vectors = np.round(rng.standard_normal((900, 6)) + 40 * rng.standard_normal((clusters, 6))[rng.integers(0, clusters, 900)], 3)
+    vectors[100:300] = vectors[100]  # equal vectors, and so many ties
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id long, embedding array<double>")
+    conf = kdtree.Search(k=5, every=9, shard=60, sample=20, block=40, leaf=8, together=16)
+    got = [(r.query_id, r.rank, r.vec_id, r.score) for r in kdtree.top_k(frame, conf).orderBy("query_id", "rank").collect()]
+    whole = [[int(x) for x in np.floor(64 * v)] for v in vectors]
+    want = []
+    for q in range(0, 900, 9):
+        scores = sorted((-sum(a * b for a, b in zip(whole[q], whole[i], strict=True)), i) for i in range(900) if i != q)[:5]
+        want += [(q, k + 1, i, -x) for k, (x, i) in enumerate(scores)]
+    assert got == want
+
+
+def test_boxes_keep_queries_from_far_shards():
+    """In separate clusters most queries see few leaves, and most shards are ruled out."""
+    rng = np.random.default_rng(2)
+    vectors = np.floor(rng.standard_normal((4000, 4)) + 500 * rng.standard_normal((8, 4))[rng.integers(0, 8, 4000)])
+    tree, seen = kdtree.Tree(np.arange(4000), vectors, 32), []
+    tree.leaves = [leaf and _Seen(leaf, seen) for leaf in tree.leaves]
+    kdtree.search(tree, np.arange(200), vectors[:200], np.full(200, -1e18), 5, together=1)
+    assert len(seen) < 0.3 * 200 * sum(leaf is not None for leaf in tree.leaves)
+
+
+class _Seen(tuple):
+    def __new__(cls, leaf, seen):
+        own = super().__new__(cls, leaf)
+        own.seen = seen
+        return own
+
+    def __iter__(self):
+        self.seen.append(1)
+        return super().__iter__()
+
+
+def test_large_products_are_exact(spark):
+    rows = [(0, [1e7, 3.0]), (20, [1e7, 1.0]), (1, [1e7, 2.0]), (2, [-1e7, 0.0]), (3, [3e38, 1.0]), (4, [2.0, 1.0])]
+    got = [(r.query_id, r.vec_id, r.score) for r in kdtree.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).orderBy("query_id", "rank").collect()]
+    big = 64 * 10**7
+    assert got[:5] == [(0, 3, 2**63 - 1), (0, 1, big**2 + 192 * 128), (0, 20, big**2 + 192 * 64), (0, 4, big * 128 + 192 * 64), (0, 2, -(big**2))] and len(got) == 10
+
+
 @settings(max_examples=30, deadline=None)
 @given(st.lists(st.binary(max_size=900), min_size=1, max_size=6))
 def test_jpeg_round_trip(texts):
