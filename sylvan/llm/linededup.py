@@ -2,22 +2,21 @@
 occurrence is kept and all others are given with their original offsets.
 
 Units are lines, and for passages that don't fill a line also seeds: of all rows of `run` words in each `passage` words of a
-document, the one with the least digest. Two equal rows of `passage` words share a seed wherever they stand. A repeated seed is
-held against the earliest occurrence of it: seeds that follow each other in both texts are one chain, and its ends are
-extended word by word as far as both texts agree. So a repeat is known to the word, and it is removed if it has `passage`
-words or more. A repeated line of `least` words or more is removed by itself; shorter ones, such as menus and licence lines, are given
-apart as `lines`, so that a caller who wants every line once removes those too.
+document, the one with the least digest. Two equal rows of `passage` words share a seed wherever they stand. Repeated seeds
+that meet or overlap are one chain, so each word of a chain stands in a row of `run` words that occurs earlier; its two ends
+are extended word by word as far as the text agrees with the earliest occurrence of the first and of the last seed. A chain of
+`passage` words or more is removed. A repeated line of `least` words or more is removed by itself; shorter ones, such as menus and
+licence lines, are given apart as `lines`, so that a caller who wants every line once removes those too.
 
 Earliest is by doc_id, then by a hash of the text (for texts that share a doc_id), then by place. A unit's earliest
 occurrence is a minimum that is combined before the shuffle, and only units that occur twice are looked at again; they are
 joined to a written table of minima, so the rows of a common unit can be split over tasks. Texts are tokenized twice and
-shuffled once, to the places where chains and lines begin and end; those are at most a document's own words.
+shuffled once, to the places where chains begin and end; those are at most a document's own words.
 
 A to Z are lower-cased, white space within a unit doesn't count. Offsets count code points, ends are exclusive; spans of
-a document are disjoint. Nulls: a null text is empty and has no units; a document without a doc_id is one of its own, told by
+`removed` are disjoint. Nulls: a null text is empty and has no units; a document without a doc_id is one of its own, told by
 its text, and comes last in rank. Repeated rows of one doc_id and text are one document and report the same spans; texts that share a
-doc_id are documents each. Further columns are ignored. A repeat is compared with the earliest occurrence of its seeds alone:
-where that occurrence is shorter than `passage`, a longer repeat of a later document may go unseen."""
+doc_id are documents each. Further columns are ignored."""
 
 from __future__ import annotations
 
@@ -36,10 +35,10 @@ from .work import Workspace
 @dataclass(frozen=True)
 class LineDedup:
     """least: words of a repeated line that is removed by itself. run: words of a seed. passage: words of a repeat that is
-    removed, `run` at least."""
+    removed, `run` at least and less than twice `run`, so that the seeds of a passage meet."""
 
     least: int = 40
-    run: int = 18
+    run: int = 21
     passage: int = 40
 
     @property
@@ -95,8 +94,8 @@ def _hashed(data: np.ndarray, offsets: np.ndarray):
     return first, stop, word_hashes(plain, first, stop), np.repeat(np.arange(len(count)), count), np.cumsum(count) - count
 
 
-#: size: words of a line, 0 for a seed.
-_UNIT = "doc_id long, h long, at long, size long, digest long"
+#: at: number of the first word. size: words of a line, 0 for a seed. span: start << 32 | end in code points.
+_UNIT = "doc_id long, h long, at long, size int, span long, digest long"
 
 
 def _units(conf: LineDedup):
@@ -105,25 +104,29 @@ def _units(conf: LineDedup):
             data, offsets = text_bytes(batch.column("text"))
             for i, j in pieces(offsets):
                 part = data[offsets[i] : offsets[j]]
-                first, _, hashed, row, base = _hashed(part, offsets[i : j + 1] - offsets[i])
+                first, stop, hashed, row, base = _hashed(part, offsets[i : j + 1] - offsets[i])
                 at, size, digest = lines(hashed, row, np.concatenate([[0], np.cumsum(part == 10)])[first])
                 seed, seed_digest = seeds(hashed, row, conf)
                 at, size, digest = np.concatenate([at, seed]), np.concatenate([size, np.zeros_like(seed)]), np.concatenate([digest, seed_digest])
+                code = np.concatenate([[0], np.cumsum((part & 0xC0) != 0x80)])
+                origin = code[offsets[row[at] + i] - offsets[i]]
+                span = (code[first[at]] - origin) << 32 | (code[stop[at + np.where(size > 0, size, conf.run) - 1]] - origin)
                 own = pa.array(row[at] + i)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id").take(own), batch.column("h").take(own), *(pa.array(x, pa.int64()) for x in (at - base[row[at]], size, digest))], [c.split()[0] for c in _UNIT.split(", ")]
+                    [batch.column("doc_id").take(own), batch.column("h").take(own), pa.array(at - base[row[at]]), pa.array(size, pa.int32()), pa.array(span), pa.array(digest, pa.int64())],
+                    [c.split()[0] for c in _UNIT.split(", ")],
                 )
 
     return run
 
 
-_POINT = "doc_id long, h long, w long, before binary, after binary, starts array<int>, ends array<int>"
+_POINT = "doc_id long, h long, w long, ahead boolean, near binary, places binary"
 
 
 def _points(conf: LineDedup):
-    """For each wanted word number w of a text: hashes of the `reach` words before it, from the last, and of those from it on,
-    and where words begin (w and those before it) and end (the one before w and those from it on). 0 is no word."""
-    reach = conf.reach
+    """For each wanted end of a chain (w * 2, or w * 2 + 1 where words from w on are wanted): hashes of the `reach` words before w,
+    from the last, or of those from w on, 0 where no word is; and where those words begin or end, after where a chain begins
+    or ends that none of them joins."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -135,44 +138,35 @@ def _points(conf: LineDedup):
                 code = np.concatenate([[0], np.cumsum((part & 0xC0) != 0x80)])
                 count = np.bincount(row, minlength=j - i)
                 some = wanted[i:j]
-                own = np.repeat(np.arange(j - i), np.asarray(some.value_lengths()))
-                at = np.asarray(some.flatten())
-                for a in range(0, len(at), 20_000):
-                    text, w = own[a : a + 20_000], at[a : a + 20_000]
-                    # a column of the words before the text, the text's words, and one after
-                    step = np.arange(reach + 1)
-                    back, ahead = w[:, None] - step, w[:, None] + step - 1
-                    origin = code[offsets[i + text] - offsets[i]][:, None]
-                    limit = count[text][:, None]
-                    word = lambda k: np.clip(base[text][:, None] + k, 0, max(len(hashed) - 1, 0))  # noqa: B023, E731
-                    inside = lambda k: (k >= 0) & (k < limit)  # noqa: B023, E731
-                    starts = np.where(inside(back), code[first[word(back)]] - origin, -1).astype(np.int32)
-                    ends = np.where(inside(ahead), code[stop[word(ahead)]] - origin, -1).astype(np.int32)
-                    plain = hashed | U64(1)
-                    before = np.where(inside(back[:, 1:]), plain[word(back[:, 1:])], U64(0))
-                    after = np.where(inside(ahead[:, 1:]), plain[word(ahead[:, 1:])], U64(0))
-                    listed = [pa.ListArray.from_arrays(pa.array(np.arange(0, x.size + 1, x.shape[1], dtype=np.int32)), pa.array(x.reshape(-1))) for x in (starts, ends)]
-                    raw = [pa.array([r.tobytes() for r in (x >> U64(32)).astype("<u4")], pa.binary()) for x in (before, after)]
+                owner, ends = np.repeat(np.arange(j - i), np.asarray(some.value_lengths())), np.asarray(some.flatten())
+                for a in range(0, len(ends), 20_000):
+                    text, w, ahead = owner[a : a + 20_000], ends[a : a + 20_000] >> 1, (ends[a : a + 20_000] & 1).astype(bool)
+                    # the chain's own word beside the end, and then the words beyond it
+                    number = np.where(ahead[:, None], w[:, None] - 1 + np.arange(conf.reach + 1), w[:, None] - np.arange(conf.reach + 1))
+                    inside = (number >= 0) & (number < count[text][:, None])
+                    word = np.clip(base[text][:, None] + number, 0, max(len(hashed) - 1, 0))
+                    place = np.where(ahead[:, None], code[stop[word]], code[first[word]]) - code[offsets[i + text] - offsets[i]][:, None]
+                    near = np.where(inside, hashed[word] >> U64(32) | U64(1), U64(0))[:, 1:].astype("<u4")
+                    raw = [pa.array([r.tobytes() for r in x], pa.binary()) for x in (near, place.astype("<i4"))]
                     rows = pa.array(text + i)
-                    yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(rows), batch.column("h").take(rows), pa.array(w), *raw, *listed], [c.split()[0] for c in _POINT.split(", ")])
+                    yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(rows), batch.column("h").take(rows), pa.array(w), pa.array(ahead), *raw], [c.split()[0] for c in _POINT.split(", ")])
 
     return run
 
 
 def _extended(conf: LineDedup):
-    """Spans of chains in code points, and their words after both ends went on as far as the texts agree."""
-
-    def agree(one: pa.Array, two: pa.Array) -> np.ndarray:
-        a, b = (np.frombuffer(b"".join(x.to_pylist()), "<u4").reshape(len(x), conf.reach) for x in (one, two))
-        return np.cumprod((a == b) & (a != 0), axis=1).sum(1) if conf.reach else np.zeros(len(one), np.int64)
+    """Spans of chains in code points, and their words, after both ends went on as far as the texts agree."""
+    table = lambda x, kind, width: np.frombuffer(b"".join(x.to_pylist()), kind).reshape(len(x), width)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            lead, trail = agree(batch.column("before"), batch.column("its_before")), agree(batch.column("after"), batch.column("its_after"))
-            pick = lambda c, k: np.asarray(batch.column(c).flatten()).reshape(len(k), -1)[np.arange(len(k)), k].astype(np.int64)  # noqa: B023, E731
-            size = np.asarray(batch.column("size")) + lead + trail
-            out = [batch.column("doc_id"), batch.column("h"), pa.array(pick("starts", lead)), pa.array(pick("ends", trail)), pa.array(size)]
-            yield pa.RecordBatch.from_arrays(out, ["doc_id", "h", "starts", "ends", "size"])
+            size, spans = np.asarray(batch.column("size")).copy(), []
+            for end in ("start", "stop"):
+                own, its = (table(batch.column(f"{end}_{c}"), "<u4", conf.reach) for c in ("near", "its"))
+                more = np.cumprod((own == its) & (own != 0), axis=1, dtype=np.int64).sum(1)
+                size += more
+                spans.append(table(batch.column(f"{end}_places"), "<i4", conf.reach + 1)[np.arange(len(more)), more].astype(np.int64))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("h"), *map(pa.array, (*spans, size))], ["doc_id", "h", "starts", "ends", "size"])
 
     return run
 
@@ -182,14 +176,18 @@ def _rank() -> Column:
     return F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("doc_id"), F.col("h").alias("h"), F.col("at").alias("at"))
 
 
-def _of(table: DataFrame, name: str, *columns: str) -> DataFrame:
-    """`table` with its document's columns, w and `columns` under names of their own."""
-    return table.select(*(F.col(c).alias(f"{name}_{c}") for c in ("doc_id", "h", "w", *columns)))
+def _ends(chains: DataFrame, of: str, columns: tuple[str, str]) -> DataFrame:
+    """Both ends of the chains, as (doc_id, h, w): the words of their own text or of the earlier one."""
+    sides = [F.struct(*(F.col(f"{side}.{c}").alias(n) for c, n in zip((*columns, of), ("doc_id", "h", "w"), strict=True)), F.lit(k).alias("k")) for k, side in enumerate(("start", "stop"))]
+    return chains.select(F.explode(F.array(*sides)).alias("e")).select("e.doc_id", "e.h", (F.col("e.w") * 2 + F.col("e.k")).alias("w"))
 
 
-def _at(name: str, doc_id: str, h: str, w: str | Column) -> Column:
-    w = F.col(w) if isinstance(w, str) else w
-    return F.col(doc_id).eqNullSafe(F.col(f"{name}_doc_id")) & (F.col(h) == F.col(f"{name}_h")) & (w == F.col(f"{name}_w"))
+def _with_point(chains: DataFrame, points: DataFrame, side: str, key: tuple[str, str, str], *names: str) -> DataFrame:
+    """`chains` with near and places of the point that `key` names in the struct `side`, under the given names."""
+    ahead = points.filter("ahead" if side == "stop" else "not ahead")
+    own = ahead.select(F.col("doc_id").alias("p_id"), F.col("h").alias("p_h"), F.col("w").alias("p_w"), *(F.col(c).alias(n) for c, n in zip(("near", "places"), names, strict=False)))
+    doc_id, h, w = (F.col(f"{side}.{c}") for c in key)
+    return chains.join(own.hint("merge"), doc_id.eqNullSafe(F.col("p_id")) & (h == F.col("p_h")) & (w == F.col("p_w"))).drop("p_id", "p_h", "p_w")
 
 
 def repeats(docs: DataFrame, conf: LineDedup = LineDedup()) -> DataFrame:
@@ -198,47 +196,36 @@ def repeats(docs: DataFrame, conf: LineDedup = LineDedup()) -> DataFrame:
     work = Workspace(docs.sparkSession, "linededup")
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("h"))
     every = work.keep(docs.mapInArrow(_units(conf), _UNIT), "units")
-    twice = every.groupBy("digest").agg(F.count("*").alias("n")).filter("n > 1").select("digest")
-    twice = work.keep(twice, "twice")
-    again = work.keep(every.join(twice.hint("merge"), "digest").distinct(), "again")
+    twice = work.keep(every.groupBy("digest").agg(F.count("*").alias("n")).filter("n > 1").select("digest"), "twice")
+    again = work.keep(every.join(twice.hint("merge"), "digest"), "again")
+    work.drop(every)
     first = work.keep(again.groupBy("digest").agg(F.min(_rank()).alias("first")), "first")
     later = again.join(first.hint("merge"), "digest").filter(_rank() != F.col("first"))
-    later = later.select("doc_id", "h", "at", "size", F.col("first.doc_id").alias("from_id"), F.col("first.h").alias("from_h"), F.col("first.at").alias("from_at"))
-    later = work.keep(later, "later")
-    for done in (every, twice, again, first):
+    later = work.keep(later.select("doc_id", "h", "at", "size", "span", F.col("first.doc_id").alias("from_id"), F.col("first.h").alias("from_h"), F.col("first.at").alias("from_at")).distinct(), "later")
+    for done in (twice, again, first):
         work.drop(done)
 
-    # seeds that follow each other in both texts, without a gap, are one chain
+    # seeds that meet are one chain
     in_doc = Window.partitionBy("doc_id", "h").orderBy("at")
-    before = lambda c: F.lag(c).over(in_doc)
-    same = F.col("from_id").eqNullSafe(before("from_id")) & (F.col("from_h") == before("from_h")) & (F.col("at") - F.col("from_at") == before(F.col("at") - F.col("from_at")))
-    goes_on = F.coalesce(same & (F.col("at") - before("at") <= conf.run), F.lit(False))
-    parts = later.filter("size = 0").withColumn("fresh", (~goes_on).cast("long"))
+    parts = later.filter("size = 0").withColumn("fresh", F.coalesce(F.col("at") - F.lag("at").over(in_doc) > conf.run, F.lit(True)).cast("long"))
     parts = parts.withColumn("chain", F.sum("fresh").over(in_doc.rowsBetween(Window.unboundedPreceding, 0)))
-    chains = parts.groupBy("doc_id", "h", "chain").agg(
-        F.min("at").alias("at"), (F.max("at") - F.min("at") + conf.run).alias("size"), F.first("from_id").alias("from_id"), F.first("from_h").alias("from_h"), F.min("from_at").alias("from_at")
-    )
-    chains = work.keep(chains.drop("chain"), "chains")
-    short = later.filter("size > 0").select("doc_id", "h", "at", "size")
-    ends = lambda rows, doc_id, h, at: rows.select(F.col(doc_id).alias("doc_id"), F.col(h).alias("h"), F.explode(F.array(F.col(at), F.col(at) + F.col("size"))).alias("w"))
-    wanted = ends(chains, "doc_id", "h", "at").union(ends(chains, "from_id", "from_h", "from_at")).union(ends(short, "doc_id", "h", "at"))
-    wanted = wanted.distinct().groupBy(F.col("doc_id").alias("id"), F.col("h").alias("text_h")).agg(F.collect_list("w").alias("wanted"))
+    side = lambda *more: F.struct("at", "doc_id", "h", "from_id", "from_h", *more)
+    chains = parts.groupBy(F.col("doc_id").alias("id"), F.col("h").alias("text_h"), "chain").agg(F.min(side("from_at")).alias("start"), F.max(side("from_at")).alias("last"))
+    # a chain's stop is the word after its last seed, here and there
+    stop = F.struct((F.col("last.at") + conf.run).alias("at"), *(f"last.{c}" for c in ("doc_id", "h", "from_id", "from_h")), (F.col("last.from_at") + conf.run).alias("from_at"))
+    chains = work.keep(chains.select("start", stop.alias("stop")), "chains")
+    wanted = _ends(chains, "at", ("doc_id", "h")).union(_ends(chains, "from_at", ("from_id", "from_h"))).distinct()
+    wanted = wanted.groupBy(F.col("doc_id").alias("id"), F.col("h").alias("text_h")).agg(F.collect_list("w").alias("wanted"))
     texts = docs.join(wanted.hint("merge"), F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("h") == F.col("text_h"))).select("doc_id", "h", "text", "wanted")
-    points = work.keep(texts.mapInArrow(_points(conf), _POINT).dropDuplicates(["doc_id", "h", "w"]), "points")
-
-    stop = F.col("at") + F.col("size")
-    found = (
-        chains.join(_of(points, "a", "before", "starts").hint("merge"), _at("a", "doc_id", "h", "at"))
-        .join(_of(points, "b", "after", "ends").hint("merge"), _at("b", "doc_id", "h", stop))
-        .join(_of(points, "c", "before").hint("merge"), _at("c", "from_id", "from_h", "from_at"))
-        .join(_of(points, "d", "after").hint("merge"), _at("d", "from_id", "from_h", F.col("from_at") + F.col("size")))
-        .select("doc_id", "h", "size", F.col("a_before").alias("before"), F.col("c_before").alias("its_before"), F.col("b_after").alias("after"), F.col("d_after").alias("its_after"), F.col("a_starts").alias("starts"), F.col("b_ends").alias("ends"))
-    )
+    points = work.keep(texts.mapInArrow(_points(conf), _POINT).dropDuplicates(["doc_id", "h", "w", "ahead"]), "points")
+    found = chains
+    for end in ("start", "stop"):
+        found = _with_point(found, points, end, ("doc_id", "h", "at"), f"{end}_near", f"{end}_places")
+        found = _with_point(found, points, end, ("from_id", "from_h", "from_at"), f"{end}_its")
+    found = found.select("start.doc_id", "start.h", (F.col("stop.at") - F.col("start.at")).alias("size"), *(f"{end}_{c}" for end in ("start", "stop") for c in ("near", "its", "places")))
     passages = found.mapInArrow(_extended(conf), "doc_id long, h long, starts long, ends long, size long")
-    of_lines = (
-        short.join(_of(points, "a", "starts").hint("merge"), _at("a", "doc_id", "h", "at"))
-        .join(_of(points, "b", "ends").hint("merge"), _at("b", "doc_id", "h", stop))
-        .select("doc_id", "h", F.col("a_starts")[0].cast("long").alias("starts"), F.col("b_ends")[0].cast("long").alias("ends"), (F.col("size") >= conf.least).alias("counts"))
+    of_lines = later.filter("size > 0").select(
+        "doc_id", "h", F.shiftright("span", 32).alias("starts"), F.col("span").bitwiseAND((1 << 32) - 1).alias("ends"), (F.col("size") >= conf.least).alias("counts")
     )
     spans = passages.filter(F.col("size") >= conf.passage).select("doc_id", "h", "starts", "ends", F.lit(True).alias("counts")).union(of_lines)
     # spans to remove that overlap become one; short lines within them are nothing of their own
