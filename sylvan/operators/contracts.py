@@ -41,13 +41,21 @@ def plan_rules() -> list[Rule]:
     ]
 
 
+def subtree_answers(answers: DataFrame) -> DataFrame:
+    """`answers(plan_id, pos, answer)` variants to `(plan_id, pos, is_object, id, requirements)`, for `assemble`."""
+    get = lambda path: F.try_variant_get("answer", path, "string")
+    is_object = F.coalesce(F.startswith(F.schema_of_variant("answer"), F.lit("OBJECT")), F.lit(False))
+    return answers.select("plan_id", "pos", is_object.alias("is_object"), F.when(is_object, get("$.id")).alias("id"), F.when(is_object, get("$.requirements")).alias("requirements"))
+
+
 def assemble(plan: DataFrame, subtrees: DataFrame) -> DataFrame:
     """`plan(plan_id, pos, id, requirements, weight)` with `subtrees(plan_id, pos, id, requirements)`, one to one by place; the
     plan's weight counts. `problem` tells what doesn't fit."""
     a, b = plan.alias("a"), subtrees.alias("b")
     both = a.join(b, (F.col("a.plan_id") == F.col("b.plan_id")) & (F.col("a.pos") == F.col("b.pos")), "full_outer")
     problem = (
-        F.when(F.col("b.plan_id").isNull(), "no subtree").when(F.col("a.plan_id").isNull(), "no branch").when(~F.col("a.id").eqNullSafe(F.col("b.id")), "other id")
+        F.when(F.col("b.plan_id").isNull(), "no subtree").when(F.col("a.plan_id").isNull(), "no branch").when(~F.col("b.is_object") if "is_object" in subtrees.columns else F.lit(False), "subtree is no object")
+        .when(~F.col("a.id").eqNullSafe(F.col("b.id")), "other id")
         .when(~F.col("a.requirements").eqNullSafe(F.col("b.requirements")), "other requirements")
     )
     return both.select(F.coalesce("a.plan_id", "b.plan_id").alias("plan_id"), F.coalesce("a.pos", "b.pos").alias("pos"), F.col("a.id").alias("id"), F.col("a.weight").alias("weight"), problem.alias("problem"))
@@ -55,7 +63,8 @@ def assemble(plan: DataFrame, subtrees: DataFrame) -> DataFrame:
 
 def gate_rules(artefacts: Iterable[str], tag: str | None = None) -> list[Rule]:
     """Rules of a draft before it is published: a row with `artefacts` (array), `tag`, `tree_errors`, `addendum_errors`,
-    `blocking_issues`, `unresolved`, `weights_valid`, `recorded_hash`, `actual_hash`, `targets`, `replace`."""
+    `blocking_issues`, `unresolved`, `weights_valid`, `recorded_hash`, `actual_hash`, `targets`, `replace`, and with a tag the `draft_hash`
+    and the `pruned_hash` that pruning the complete tree again gives (see `tree_hash`)."""
     wanted = F.array(*map(F.lit, artefacts))
     some = lambda name: F.coalesce(F.col(name), F.lit(0)) > 0
     rules = [
@@ -64,7 +73,11 @@ def gate_rules(artefacts: Iterable[str], tag: str | None = None) -> list[Rule]:
         Rule("target is there", some("targets") & ~F.coalesce("replace", F.lit(False))),
     ]
     if tag is not None:
-        rules += [Rule("derivation is another one", ~F.col("tag").eqNullSafe(F.lit(tag))), Rule("complete tree has changed", ~F.col("recorded_hash").eqNullSafe(F.col("actual_hash")))]
+        rules += [
+            Rule("derivation is another one", ~F.col("tag").eqNullSafe(F.lit(tag))), Rule("no complete tree", F.col("actual_hash").isNull()),
+            Rule("complete tree has changed", F.col("actual_hash").isNotNull() & ~F.col("recorded_hash").eqNullSafe(F.col("actual_hash"))),
+            Rule("draft is not the complete tree's part", ~F.col("draft_hash").eqNullSafe(F.col("pruned_hash"))),
+        ]
     return rules
 
 
@@ -83,6 +96,50 @@ def conversion_rules(tag: str | None = None, approved: bool = False) -> list[Rul
     return rules
 
 
+def tree_hash(nodes: DataFrame) -> DataFrame:
+    """(tree_id, sha256) of a tree's nodes in order of their ids: equal for equal trees, whatever the order of rows. Each node is
+    hashed for itself, so that what is gathered for a tree is 32 bytes a node."""
+    columns = [c for c in ("node_id", "parent_id", "ord", "requirements", "weight", "task_category", "fine_category") if c in nodes.columns]
+    own = F.sha2(F.to_json(F.struct(*(F.col(c).cast("string").alias(c) for c in columns))), 256)
+    rows = nodes.groupBy("tree_id").agg(F.array_sort(F.collect_list(F.struct("node_id", own.alias("own")))).alias("rows"))
+    return rows.select("tree_id", F.sha2(F.array_join(F.transform("rows", lambda r: r["own"]), ","), 256).alias("sha256"))
+
+
+def option_rules() -> list[Rule]:
+    """Rules of a row of options `chunk_chars, workers, paper_workers, overwrite, resume, switch_model, switch_after, papers, batch_id,
+    timeouts` (array) and `total_timeout, needed`."""
+    least = lambda name, n: ~F.coalesce(F.col(name) >= n, F.lit(False))
+    switch = F.col("switch_model").isNotNull()
+    return [
+        Rule("chunk is too small", least("chunk_chars", 10_000)), Rule("no worker", least("workers", 1)), Rule("no worker for papers", least("paper_workers", 1)),
+        Rule("overwrite and resume exclude each other", F.col("overwrite") & F.col("resume")), Rule("half of a model switch", switch != F.col("switch_after").isNotNull()),
+        Rule("switch does not split the list", switch & ~F.coalesce((F.col("switch_after") > 0) & (F.col("switch_after") < F.col("papers")), F.lit(True))),
+        Rule("batch id is not of its form", ~F.coalesce(F.col("batch_id").rlike(r"^[A-Za-z0-9][A-Za-z0-9_-]*$"), F.lit(False))),
+        Rule("timeout is not positive", F.exists("timeouts", lambda t: ~F.coalesce(t > 0, F.lit(False)))), Rule("total timeout does not suffice", F.col("total_timeout") < F.col("needed")),
+    ]
+
+
+def resume_rules(tag: str) -> list[Rule]:
+    """Rules of a paper that is taken up again: `recorded_mode, mode, tag, has_complete_tree`."""
+    code = F.col("mode") == "code-dev"
+    return [
+        Rule("mode has changed", F.col("recorded_mode").isNotNull() & (F.col("recorded_mode") != F.col("mode"))), Rule("derivation is stale", code & F.col("tag").isNotNull() & (F.col("tag") != tag)),
+        Rule("complete tree is missing", code & ~F.coalesce("has_complete_tree", F.lit(False))),
+    ]
+
+
+def weight_entries(plans: DataFrame) -> DataFrame:
+    """`plans(tree_id, plan)` variants to `(tree_id, ord, node_id, weight, problem)`: a list under `weights`. A plan without a list is
+    one row; `weight` is null unless it is a whole number. Problems of an entry's place in the tree are `tree.audit_weights`'s."""
+    get = lambda v, path, kind: F.try_variant_get(v, path, kind)
+    rows = plans.select("tree_id", F.posexplode_outer(get("plan", "$.weights", "array<variant>")).alias("ord", "e"))
+    is_object = F.coalesce(F.startswith(F.schema_of_variant("e"), F.lit("OBJECT")), F.lit(False))
+    kind = F.schema_of_variant(get("e", "$.weight", "variant"))
+    node = F.when(is_object & (F.schema_of_variant(get("e", "$.node_id", "variant")) == "STRING"), F.nullif(F.trim(get("e", "$.node_id", "string")), F.lit("")))
+    problem = F.when(F.col("ord").isNull(), "plan has no list").when(~is_object, "entry is no object").when(node.isNull(), "entry has no node")
+    return rows.select("tree_id", F.col("ord").cast("long").alias("ord"), node.alias("node_id"), F.when(kind == "BIGINT", get("e", "$.weight", "double")).alias("weight"), problem.alias("problem"))
+
+
 def folder_audit(entries: DataFrame, expected: dict[str, Iterable[str]]) -> DataFrame:
     """(task_id, folder, name, problem): names that each task's folders miss or have too many of. `entries(task_id, path)`.
     The expected names are a few per folder and travel with the plan."""

@@ -9,7 +9,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import tree
@@ -58,8 +58,8 @@ def node_rules(code_only: bool = False) -> list[Rule]:
     category, fine = F.col("task_category"), F.col("fine_category")
     rules = [
         Rule("id is empty", blank("node_id")),
-        Rule("id is not unique", F.col("copies") > 1),
-        Rule("id is not kebab-case", ~blank("node_id") & ~F.col("node_id").rlike(KEBAB)),
+        Rule("id is not unique", F.col("has_id") & (F.col("copies") > 1)),
+        Rule("id is not kebab-case", F.col("has_id") & ~blank("node_id") & ~F.col("node_id").rlike(KEBAB)),
         Rule("requirements are empty", blank("requirements")),
         Rule("weight is no number", weight.isNull()),
         Rule("weight is negative or not finite", F.isnan(weight) | (weight < 0) | (weight == float("inf"))),
@@ -88,11 +88,14 @@ def effective_violations(nodes: DataFrame) -> DataFrame:
 
 def tree_violations(nodes: DataFrame, code_only: bool = False) -> DataFrame:
     """(tree_id, node_id, severity, rule) over `nodes(tree_id, node_id, parent_id, depth, requirements, weight,
-    task_category, fine_category)`. Rules of the whole tree have no node_id."""
+    task_category, fine_category)`, or those of `flatten_trees`: rows with a fault count as children of their parent and are
+    no nodes. Rules of the whole tree have no node_id."""
     weight = F.col("weight").cast("double")
     sound = F.when(~F.isnan(weight) & (weight >= 0) & (weight < float("inf")), weight)
     children = nodes.filter("parent_id is not null").groupBy("tree_id", F.col("parent_id").alias("node_id")).agg(F.count("*").alias("children"), F.sum(sound).alias("group_weight"))
     copies = nodes.groupBy("tree_id", "node_id").agg(F.count("*").alias("copies"))
+    own = {"has_id": F.lit(True), "fault": F.lit(None).cast("string")}
+    nodes = nodes.withColumns({c: x for c, x in own.items() if c not in nodes.columns}).filter("fault is null")
     full = nodes.join(children, tree.KEY, "left").join(copies, tree.KEY, "left").withColumn("children", F.coalesce("children", F.lit(0)))
     single = violations(full, node_rules(code_only), tree.KEY)
     counted = full.groupBy("tree_id").agg(*(F.count_if((F.col("children") == 0) & (F.col("task_category") == c)).alias(f"c{i}") for i, c in enumerate(tree.CATEGORIES)))
@@ -101,6 +104,39 @@ def tree_violations(nodes: DataFrame, code_only: bool = False) -> DataFrame:
     return single.unionByName(whole)
 
 
+def structure_rules() -> list[Rule]:
+    """Rules of a row of `flatten_trees` on what JSON it comes from."""
+    node, some = F.col("fault").isNull(), lambda c: F.coalesce(F.col(c), F.lit("")) != ""
+    return [
+        *(Rule(f, F.col("fault").eqNullSafe(F.lit(f))) for f in ("tree is no JSON", "root is no object", "node is no object")), Rule("fields are missing", node & some("missing")),
+        Rule("fields are unknown", node & some("extra")), Rule("id is empty", node & ~F.col("has_id")), Rule("sub_tasks is no list", node & ~F.col("listed")),
+    ]
+
+
+def json_tree_violations(flat: DataFrame, code_only: bool = False) -> DataFrame:
+    """(tree_id, node_id, severity, rule) over the rows of `flatten_trees`: structure, nodes and whole trees."""
+    structure = violations(flat, structure_rules(), tree.KEY)
+    return structure.unionByName(tree_violations(flat, code_only).filter("rule <> 'id is empty'"))
+
+
+def tree_report(flat: DataFrame, code_only: bool = False) -> DataFrame:
+    """(tree_id, valid, errors, warnings, nodes, leaves, max_depth) of every tree. Leaves are sound nodes without children."""
+    found = json_tree_violations(flat, code_only).groupBy("tree_id").agg(F.count_if(F.col("severity") == "error").alias("errors"), F.count_if(F.col("severity") == "warning").alias("warnings"))
+    parents = flat.filter("parent_id is not null").select("tree_id", F.col("parent_id").alias("node_id"), F.lit(True).alias("inner")).distinct()
+    sizes = flat.join(parents, tree.KEY, "left").groupBy("tree_id").agg(
+        F.count("*").alias("nodes"), F.count_if(F.col("inner").isNull() & F.col("fault").isNull()).alias("leaves"), F.max("depth").cast("long").alias("max_depth")
+    )
+    out = sizes.join(found, "tree_id", "left").na.fill(0, ["errors", "warnings"])
+    return out.withColumn("valid", F.col("errors") == 0).select("tree_id", "valid", "errors", "warnings", "nodes", "leaves", "max_depth")
+
+
+def first_names(found: DataFrame, rule: str, most: int = 20) -> DataFrame:
+    """(tree_id, names): the first nodes that break a rule, by id, as one text."""
+    place = F.row_number().over(Window.partitionBy("tree_id").orderBy("node_id"))
+    some = found.filter(F.col("rule") == rule).withColumn("place", place).filter(F.col("place") <= most)
+    return some.groupBy("tree_id").agg(F.array_join(F.array_sort(F.collect_list("node_id")), ", ").alias("names"))
+
+
 def addendum_rules(text: Column) -> list[Rule]:
     text = F.coalesce(text, F.lit(""))
     lower = F.lower(text)
@@ -108,19 +144,57 @@ def addendum_rules(text: Column) -> list[Rule]:
     return [Rule("addendum is empty", ~text.rlike(r"(?U)\S")), *topics, Rule("placeholder is left", text.rlike(PLACEHOLDERS)), Rule("addendum is short", F.length(text) < ADDENDUM_LEAST, "warning")]
 
 
-def paper_rules() -> list[Rule]:
-    """Rules of an entry of a paper list with `id, title, pdf_path, paper_pdf, pdf_url, copies`."""
-    blank = lambda c: F.coalesce(F.trim(F.col(c)), F.lit("")) == ""
-    return [
-        Rule("id is not kebab-case", ~F.coalesce(F.col("id").rlike(KEBAB), F.lit(False))), Rule("title is empty", blank("title")),
-        Rule("no PDF source", blank("pdf_path") & blank("paper_pdf") & blank("pdf_url")), Rule("id is not unique", F.col("copies") > 1),
-    ]
+def _filled(v: Column) -> Column:
+    """Whether a variant holds something: no null, false, zero, empty text, list or object."""
+    kind = F.schema_of_variant(v)
+    empty = F.trim(F.to_json(v)).isin('""', "0", "0.0", "false", "null", "[]", "{}")
+    return F.coalesce(v.isNotNull() & (kind != "VOID") & ~empty, F.lit(False))
 
 
-def submission_rules(code_only: bool = False, cap: int = 1_000_000_000) -> list[Rule]:
-    """Rules of a preflight row with boolean facts and `committed_bytes`."""
-    facts = ["exists", "has_readme", "git_available", "is_repository", "root_is_directory", "has_head", "readme_tracked", "tree_clean"] + ([] if code_only else ["has_script", "script_tracked"])
-    return [*(Rule(f"not {f}", ~F.coalesce(F.col(f), F.lit(False))) for f in facts), Rule("too many committed bytes", F.col("committed_bytes") > cap)]
+def paper_entries(papers: DataFrame) -> DataFrame:
+    """`papers(ord, paper)` variants to `(ord, label, id, title, sourced, blacklist_kind, copies)`, ord from 1."""
+    get = lambda path, kind: F.try_variant_get("paper", path, kind)
+    kind = lambda path: F.coalesce(F.schema_of_variant(get(path, "variant")), F.lit("VOID"))
+    text = lambda path: F.when(kind(path) == "STRING", get(path, "string"))
+    sourced = reduce(Column.__or__, (_filled(get(f"$.{k}", "variant")) for k in ("pdf_path", "paper_pdf", "pdf_url")))
+    rows = papers.select("ord", text("$.id").alias("id"), text("$.title").alias("title"), sourced.alias("sourced"), kind("$.blacklist").alias("blacklist_kind"))
+    counts = rows.filter("id is not null").groupBy("id").agg(F.count("*").alias("copies"))
+    label = F.coalesce(F.nullif(F.col("id"), F.lit("")), F.concat(F.lit("entry "), F.col("ord").cast("string")))
+    return rows.join(counts, "id", "left").withColumn("label", label)
+
+
+def paper_rules() -> list[Rule]:
+    """Rules of a row of `paper_entries`."""
+    kebab = F.coalesce(F.col("id").rlike(KEBAB), F.lit(False))
+    return [
+        Rule("id is not kebab-case", ~kebab), Rule("title is empty", ~F.coalesce(F.col("title").rlike(r"(?U)\S"), F.lit(False))), Rule("no PDF source", ~F.col("sourced")),
+        Rule("blacklist is neither text nor list", ~((F.col("blacklist_kind") == "STRING") | (F.col("blacklist_kind") == "VOID") | F.startswith("blacklist_kind", F.lit("ARRAY")))),
+        Rule("id is not unique", kebab & (F.col("copies") > 1)),
+    ]
+
+
+#: Fixed value: files of a package.
+PACKAGE_FILES = ("addendum.md", "blacklist.txt", "config.yaml", "paper.md", "paper.pdf", "rubric.json")
+
+
+def package_violations(files: DataFrame, flatten, code_only: bool = False) -> DataFrame:
+    """(paper_id, severity, rule) over `files(paper_id, name, text)`: files that are missing, and what the tree and the addendum break,
+    under their names. `flatten` makes nodes of `(tree_id, json)`, see `flatten_trees`."""
+    names = files.groupBy("paper_id").agg(F.collect_set("name").alias("names"))
+    absent = names.select("paper_id", F.explode(F.array_except(F.array(*map(F.lit, PACKAGE_FILES)), "names")).alias("name"))
+    absent = absent.select("paper_id", F.lit("error").alias("severity"), F.concat(F.lit("missing "), "name").alias("rule"))
+    trees = flatten(files.filter("name = 'rubric.json'").select(F.col("paper_id").alias("tree_id"), F.col("text").alias("json")))
+    in_tree = json_tree_violations(trees, code_only).select(F.col("tree_id").alias("paper_id"), "severity", F.concat(F.lit("rubric: "), "rule").alias("rule"))
+    addenda = files.filter("name = 'addendum.md'")
+    in_addendum = violations(addenda, addendum_rules(F.col("text")), ["paper_id"]).select("paper_id", "severity", F.concat(F.lit("addendum: "), "rule").alias("rule"))
+    return absent.union(in_tree).union(in_addendum)
+
+
+def report(subjects: DataFrame, found: DataFrame, key: str, fail_on_warning: bool = False) -> DataFrame:
+    """(key, valid, errors, warnings) of every subject; `valid` asks for no warning either, if they are to fail."""
+    counted = found.groupBy(key).agg(F.count_if(F.col("severity") == "error").alias("errors"), F.count_if(F.col("severity") == "warning").alias("warnings"))
+    out = subjects.select(key).distinct().join(counted, key, "left").na.fill(0, ["errors", "warnings"])
+    return out.withColumn("valid", (F.col("errors") == 0) & (F.lit(not fail_on_warning) | (F.col("warnings") == 0)))
 
 
 def text_rules(texts: DataFrame, rules: DataFrame, keys: Sequence[str]) -> DataFrame:

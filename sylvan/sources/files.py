@@ -67,35 +67,61 @@ def page_count(info: Column) -> Column:
     return F.nullif(F.regexp_extract(info, r"(?m)^Pages:\s+(\d+)$", 1), F.lit("")).cast("int")
 
 
-_NODE = "tree_id string, node_id string, parent_id string, ord long, depth int, path string, requirements string, weight double, task_category string, fine_category string, extra string, missing string"
+#: fault: what keeps a row from being a node; has_id: whether the id is the node's own and not its path; listed: whether sub_tasks is a list.
+_NODE = (
+    "tree_id string, node_id string, parent_id string, ord long, depth int, path string, requirements string, weight double, task_category string, fine_category string, extra string, "
+    "missing string, fault string, has_id boolean, listed boolean"
+)
 _FIELDS = ("id", "requirements", "weight", "sub_tasks", "task_category", "finegrained_task_category")
 
 
-def _flatten(tree_id: str, root: object) -> Iterator[tuple]:
-    """Nodes from the root down; children that aren't objects are left out."""
-    waiting = [(root, None, 0, 0, "root")]
+def _row(tree_id: str, path: str, parent: str | None, ord_: int, depth: int, node: object) -> tuple:
+    """A node's row; what is no object is a row with a fault."""
+    if not isinstance(node, dict):
+        return (tree_id, path, parent, ord_, depth, path, *[None] * 6, "root is no object" if parent is None else "node is no object", False, False)
+    number, own = node.get("weight"), node.get("id")
+    number = float(number) if isinstance(number, int | float) and not isinstance(number, bool) else None
+    text = {k: v if isinstance(v, str) else None for k, v in ((k, node.get(k)) for k in _FIELDS)}
+    named = isinstance(own, str) and own.strip() != ""
+    return (
+        tree_id, own if named else path, parent, ord_, depth, path, text["requirements"], number, text["task_category"], text["finegrained_task_category"],
+        ",".join(sorted(set(node) - set(_FIELDS))), ",".join(sorted(set(_FIELDS) - set(node))), None, named, isinstance(node.get("sub_tasks"), list),
+    )
+
+
+def _flatten(tree_id: str, text: str | None) -> Iterator[tuple]:
+    """Nodes from the root down; a text that is no JSON is one row."""
+    try:
+        root = json.loads(text or "")
+    except ValueError:
+        yield (tree_id, "root", None, 0, 0, "root", *[None] * 6, "tree is no JSON", False, False)
+        return
+    waiting: list[tuple] = [(root, None, 0, 0, "root")]
     while waiting:
         node, parent, ord_, depth, path = waiting.pop()
-        if not isinstance(node, dict):
-            continue
-        number = node.get("weight")
-        number = float(number) if isinstance(number, int | float) and not isinstance(number, bool) else None
-        name = node["id"] if isinstance(node.get("id"), str) and node["id"].strip() else path
-        as_text = lambda k, n=node: n[k] if isinstance(n.get(k), str) else None
-        yield (
-            tree_id, name, parent, ord_, depth, path, as_text("requirements"), number, as_text("task_category"), as_text("finegrained_task_category"),
-            ",".join(sorted(set(node) - set(_FIELDS))), ",".join(sorted(set(_FIELDS) - set(node))),
-        )
-        children = node.get("sub_tasks") if isinstance(node.get("sub_tasks"), list) else []
-        waiting += [(c, name, i, depth + 1, f"{path}.sub_tasks[{i}]") for i, c in reversed(list(enumerate(children)))]
+        row = _row(tree_id, path, parent, ord_, depth, node)
+        yield row
+        if row[-1]:
+            waiting += [(c, row[1], i, depth + 1, f"{path}.sub_tasks[{i}]") for i, c in reversed(list(enumerate(node["sub_tasks"])))]
 
 
 def flatten_trees(trees: DataFrame) -> DataFrame:
-    """`trees(tree_id, json)` to an adjacency table; fields that are missing or too many are listed by name."""
+    """`trees(tree_id, json)` to an adjacency table; fields that are missing or too many are listed by name. Texts that don't parse
+    and nodes that are no objects are rows with a `fault`."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            rows = [r for t, j in zip(batch["tree_id"], batch["json"], strict=True) for r in _flatten(t, json.loads(j))]
+            rows = [r for t, j in zip(batch["tree_id"], batch["json"], strict=True) for r in _flatten(t, j)]
             yield pd.DataFrame(rows, columns=[c.split()[0] for c in _NODE.split(", ")])
 
     return trees.select("tree_id", "json").mapInPandas(run, _NODE)
+
+
+def sound_nodes(nodes: DataFrame) -> DataFrame:
+    """The rows of `flatten_trees` that are nodes."""
+    return nodes.filter("fault is null")
+
+
+def normal_tree(nodes: DataFrame) -> DataFrame:
+    """Exactly the fields of the data model, of nodes that are nodes."""
+    return sound_nodes(nodes).select("tree_id", "node_id", "parent_id", "ord", "depth", "requirements", "weight", "task_category", "fine_category")

@@ -9,7 +9,10 @@ ROOT = {"id": "root", "requirements": "r", "weight": 1, "task_category": None, "
 
 
 def test_trees_become_rows(spark):
-    got = {r.node_id: r for r in files.flatten_trees(spark.createDataFrame([("t", json.dumps(ROOT))], "tree_id string, json string")).collect()}
+    flat = files.flatten_trees(spark.createDataFrame([("t", json.dumps(ROOT)), ("u", "[1]"), ("v", "{"), ("w", None)], "tree_id string, json string"))
+    assert {(r.tree_id, r.path, r.fault) for r in flat.filter("fault is not null").collect()} == {("t", "root.sub_tasks[1]", "node is no object"), ("u", "root", "root is no object"), ("v", "root", "tree is no JSON"), ("w", "root", "tree is no JSON")}
+    got = {r.node_id: r for r in files.sound_nodes(flat).collect()}
+    assert files.normal_tree(flat).count() == 3
     assert set(got) == {"root", "a", "b"} and got["a"].weight is None and got["a"].extra == "note" and got["b"].ord == 2 and got["b"].depth == 1
     assert got["b"].missing == "finegrained_task_category,requirements,sub_tasks,task_category,weight" and got["root"].parent_id is None
 
