@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -17,6 +17,21 @@ def canned(calls: DataFrame, answers: DataFrame) -> DataFrame:
     return out.withColumn("answer", F.coalesce("own", "common")).drop("own", "common")
 
 
+def retried(attempts: DataFrame, most: int = 4) -> DataFrame:
+    """`attempts(call_id, attempt, status, answer)`, attempt from 0 and status null where nobody answered, to one row a call: `attempts` that
+    were made, seconds `waited` (1, 2, 4, ... up to 30 after each failure but the last), `answer` and `problem`. A status from 400
+    to 499 other than 429 ends a call at once."""
+    good = F.coalesce(F.col("status").between(200, 299), F.lit(False))
+    final = F.coalesce(F.col("status").between(400, 499) & (F.col("status") != 429), F.lit(False))
+    first = F.min(F.when(good | final, F.col("attempt"))).over(Window.partitionBy("call_id"))
+    made = attempts.filter(F.col("attempt") < most).withColumn("first", first).filter(F.col("first").isNull() | (F.col("attempt") <= F.col("first")))
+    made = made.withColumn("final", final)
+    end = F.max(F.struct("attempt", F.when(good, F.col("answer")).alias("answer"), F.when(good, None).when(final, "refused").otherwise("no answer").alias("problem")))
+    rows = made.groupBy("call_id").agg(F.count("*").alias("attempts"), end.alias("end"), F.sum(F.least(F.lit(30.0), F.pow(F.lit(2.0), "attempt"))).alias("all"), F.max(F.col("attempt")).alias("last"))
+    waited = (F.col("all") - F.least(F.lit(30.0), F.pow(F.lit(2.0), "last"))).cast("long")
+    return rows.select("call_id", "attempts", waited.alias("waited"), F.col("end.answer").alias("answer"), F.col("end.problem").alias("problem"))
+
+
 def ask(calls: DataFrame, client: Callable[[], Callable[[str, str], str]], at_once: int | None = None) -> DataFrame:
     """`calls(call_id, call, prompt)` to `(call_id, answer, error)`. `client()` makes a client in each task; `at_once` bounds the tasks.
     Spark may repeat a task, so clients answer a call_id alike each time, or the result is written before it is read twice."""

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -89,14 +90,17 @@ def publish(spark: SparkSession, rows: DataFrame, target: str, check: Callable[[
     store = path(target).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     if store.exists(path(target)) and not overwrite:
         raise FileExistsError(target)
-    staged = f"{target}.staging"
-    store.delete(path(staged), True)
+    staged, old = (f"{target}.{kind}-{uuid.uuid4().hex[:12]}" for kind in ("staging", "old"))
     rows.write.parquet(staged)
     broken = check(spark.read.parquet(staged)).take(20)
     if broken:
         store.delete(path(staged), True)
         raise ValueError(f"not published: {broken}")
-    store.delete(path(target), True)
+    # the old one stands aside until the new one is there, and comes back if it can't be
+    aside = store.exists(path(target)) and store.rename(path(target), path(old))
     if not store.rename(path(staged), path(target)):
+        if aside:
+            store.rename(path(old), path(target))
         raise OSError(f"cannot rename {staged}")
+    store.delete(path(old), True)
     return spark.read.parquet(target)

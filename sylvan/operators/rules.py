@@ -197,7 +197,8 @@ def report(subjects: DataFrame, found: DataFrame, key: str, fail_on_warning: boo
     return out.withColumn("valid", (F.col("errors") == 0) & (F.lit(not fail_on_warning) | (F.col("warnings") == 0)))
 
 
-def text_rules(texts: DataFrame, rules: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """`rules(file, needle, wanted)` against `texts(file, ..., text)`: needles that are wanted and missing or unwanted and there."""
-    both = texts.join(F.broadcast(rules), "file")
+def text_rules(texts: DataFrame, rules: DataFrame, keys: Sequence[str], needle: Column | None = None) -> DataFrame:
+    """`rules(file, needle, wanted)` against `texts(file, ..., text)`: needles that are wanted and missing or unwanted and there. Rules
+    are a catalogue of some hundred rows. `needle`: the needle as each row of `texts` fills it in."""
+    both = texts.join(F.broadcast(rules), "file").withColumn("needle", F.col("needle") if needle is None else needle)
     return both.filter(F.contains("text", F.col("needle")) != F.col("wanted")).select(*keys, "file", "needle", "wanted")

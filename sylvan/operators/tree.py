@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Fixed values of the data model.
@@ -172,3 +172,32 @@ def batch_statistics(nodes: DataFrame) -> DataFrame:
     return long.groupBy("measure").agg(
         F.sum("v").alias("total"), F.round(F.avg("v"), 6).alias("mean"), F.round(F.median("v"), 6).alias("median"), F.min("v").alias("least"), F.max("v").alias("most")
     )
+
+
+def ranked_weights(nodes: DataFrame, depth: int | None = None) -> DataFrame:
+    """Leaves by falling effective weight, equal ones in order of their ids: `(tree_id, place, node_id, effective)`."""
+    found = leaves(effective_weights(nodes, depth))
+    place = F.row_number().over(Window.partitionBy("tree_id").orderBy(F.round("effective", 12).desc(), "node_id"))
+    return found.select("tree_id", place.alias("place"), "node_id", "effective")
+
+
+def fine_histogram(nodes: DataFrame) -> DataFrame:
+    """Leaves of each fine category, 0 for one without leaves, with its percentage."""
+    names = nodes.sparkSession.createDataFrame([(c,) for c in FINE_CATEGORIES], "fine_category string")
+    counted = leaves(nodes).groupBy("fine_category").agg(F.count("*").alias("n"))
+    total = counted.agg(F.sum("n").alias("total"))
+    out = names.join(counted, "fine_category", "left").withColumn("n", F.coalesce("n", F.lit(0)))
+    return out.crossJoin(total).select("fine_category", "n", F.round(100 * F.try_divide("n", "total"), 6).alias("percent"))
+
+
+def scale_table(nodes: DataFrame) -> DataFrame:
+    """One row a tree: nodes, inner nodes, leaves, branches, depth, children of an inner node, single-child ones."""
+    stats = tree_stats(nodes)
+    inner = F.col("nodes") - F.col("leaves")
+    return stats.select("tree_id", "nodes", inner.alias("inner"), "leaves", "branches", "max_depth", F.round(F.try_divide(F.col("nodes") - 1, inner), 6).alias("children"), "single_child")
+
+
+def flat_weight_sum(nodes: DataFrame) -> DataFrame:
+    """The leaves' own weights added up, negative and missing ones as 0: a diagnosis, no score."""
+    weight = F.greatest(F.coalesce(F.col("weight").cast("double"), F.lit(0.0)), F.lit(0.0))
+    return leaves(nodes).groupBy("tree_id").agg(F.sum(weight).alias("weight_total"), F.array_sort(F.collect_set("task_category")).alias("categories"))

@@ -30,8 +30,8 @@ def test_assembly(spark):
 
 
 def test_gates(spark):
-    schema = "k int, artefacts array<string>, tag string, tree_errors int, addendum_errors int, blocking_issues int, unresolved int, weights_valid boolean, recorded_hash string, actual_hash string, targets int, replace boolean"
-    rows = [(1, ["a", "b"], "t", 0, 0, 0, 0, True, "h", "h", 1, True), (2, ["a"], None, 1, 0, 2, 1, None, "h", "g", 1, False)]
+    schema = "k int, artefacts array<string>, tag string, tree_errors int, addendum_errors int, blocking_issues int, unresolved int, weights_valid boolean, recorded_hash string, actual_hash string, targets int, replace boolean, draft_hash string, pruned_hash string"
+    rows = [(1, ["a", "b"], "t", 0, 0, 0, 0, True, "h", "h", 1, True, "p", "p"), (2, ["a"], None, 1, 0, 2, 1, None, "h", "g", 1, False, "p", "p")]
     got = {(r.k, r.rule) for r in rules.violations(spark.createDataFrame(rows, schema), contracts.gate_rules(["a", "b"], "t"), ["k"]).collect()}
     assert {k for k, _ in got} == {2} and len(got) == 8
 
