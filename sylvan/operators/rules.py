@@ -80,7 +80,7 @@ def node_rules(code_only: bool = False) -> list[Rule]:
 
 def effective_violations(nodes: DataFrame) -> DataFrame:
     """(tree_id, severity, rule) of the rules on effective weights."""
-    effective = tree.leaves(tree.effective_weights(nodes)).groupBy("tree_id").agg(F.sum("effective").alias("total"), F.count_if((F.col("effective") > 0) & (F.col("effective") < 0.001)).alias("tiny"))
+    effective = tree.leaves(tree.effective_weights(nodes, sound_sums=True)).groupBy("tree_id").agg(F.sum("effective").alias("total"), F.count_if((F.col("effective") > 0) & (F.col("effective") < 0.001)).alias("tiny"))
     return violations(
         effective, [Rule("effective weights do not sum to 1", F.abs(F.col("total") - 1) > 1e-8 * F.greatest(F.lit(1.0), F.abs("total"))), Rule("leaf weighs below a thousandth", F.col("tiny") > 0, "warning")], ["tree_id"]
     )

@@ -33,17 +33,30 @@ def leaves(nodes: DataFrame) -> DataFrame:
     return nodes.join(parents, KEY, "left_anti")
 
 
-def sibling_shares(nodes: DataFrame) -> DataFrame:
-    """`share`: the weight over its siblings' sum; 1 for a root, 0 in a group without weight."""
-    sums = nodes.filter("parent_id is not null").groupBy("tree_id", "parent_id").agg(F.sum("weight").alias("group_weight"))
+def _has_paths(nodes: DataFrame) -> bool:
+    return dict(nodes.dtypes).get("path") == "array<string>"
+
+
+def sibling_shares(nodes: DataFrame, sound_sums: bool = False) -> DataFrame:
+    """`share`: the weight over its siblings' sum; 1 for a root, 0 in a group without weight. With `sound_sums` only weights that are
+    finite and not negative are summed."""
+    counted = F.col("weight") if not sound_sums else F.when(~F.isnan(F.col("weight").cast("double")) & (F.col("weight") >= 0) & (F.col("weight") < float("inf")), F.col("weight"))
+    sums = nodes.filter("parent_id is not null").groupBy("tree_id", "parent_id").agg(F.sum(counted).alias("group_weight"))
     share = F.when(F.col("parent_id").isNull(), 1.0).when(F.col("group_weight") > 0, F.col("weight") / F.col("group_weight")).otherwise(0.0)
     return nodes.join(sums, ["tree_id", "parent_id"], "left").withColumn("share", share)
 
 
-def effective_weights(nodes: DataFrame, depth: int | None = None) -> DataFrame:
-    """`effective`: the product of the shares from the root down."""
+def effective_weights(nodes: DataFrame, depth: int | None = None, sound_sums: bool = False) -> DataFrame:
+    """`effective`: the product of the shares from the root down; see `sibling_shares`. Nodes that name their ancestors in `path` are
+    joined with the ancestors' shares once, whatever the depth; only inner nodes, which have children, are joined with."""
+    shared = sibling_shares(nodes, sound_sums)
+    if _has_paths(nodes):
+        inner = nodes.filter("parent_id is not null").select("tree_id", F.col("parent_id").alias("ancestor")).distinct()
+        known = shared.select("tree_id", F.col("node_id").alias("ancestor"), F.col("share").alias("above")).join(inner, ["tree_id", "ancestor"], "left_semi")
+        above = nodes.select(*KEY, F.explode("path").alias("ancestor")).distinct().join(known, ["tree_id", "ancestor"])
+        above = above.groupBy(*KEY).agg(F.product("above").alias("above"))
+        return shared.join(above, KEY, "left").withColumn("effective", F.col("share") * F.coalesce("above", F.lit(1.0))).drop("above")
     depth = depth_of(nodes) if depth is None else depth
-    shared = sibling_shares(nodes)
     above = shared.filter("depth = 0").withColumn("effective", F.lit(1.0))
     levels = [above]
     for d in range(1, depth + 1):
@@ -77,7 +90,7 @@ def tree_scores(nodes: DataFrame, scores: DataFrame, depth: int | None = None) -
 
 def with_paths(nodes: DataFrame) -> DataFrame:
     """`path`: a node's ancestors from the root down, by level; nodes that have it already keep it."""
-    if "path" in nodes.columns:
+    if _has_paths(nodes):
         return nodes
     above = nodes.filter("depth = 0").withColumn("path", F.array().cast("array<string>"))
     levels = [above]

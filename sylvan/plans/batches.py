@@ -136,7 +136,7 @@ _BROKEN = "WITH " + _K + ", v AS (" + _cases("k", {
     "task_id, 'entry is extra', 'environment/paper/x'": "k = 8", "task_id, 'Dockerfile is there', 'environment/Dockerfile'": "k = 9", "task_id, 'instructions differ', ''": "k IN (10, 11)",
     "task_id, 'text is missing', 'instruction.md: for a maximum runtime of 7 days'": "k = 11", "task_id, 'file differs from its template', 'tests/test.sh'": "k IN (12, 24)", "task_id, 'TOML does not parse', 'task.toml'": "k = 13",
     "task_id, 'text is missing', 'task.toml: gpu_count = 1'": "k = 14", "task_id, 'text is forbidden', 'task.toml: LLM_BASE_URL'": "k = 15", "task_id, 'one GPU is asked', 'verifier.environment'": "k = 16", "task_id, 'TOML has no metadata', 'task.toml'": "k = 17",
-    "task_id, 'judge has another mode', ''": "k = 18", "task_id, 'judge has no workers', ''": "k = 19", "task_id, 'judge does not ask leaf by leaf', ''": "k = 20", "task_id, 'rubric: weight is negative or not finite', 'leaf-2'": "k = 21",
+    "task_id, 'judge has another mode', ''": "k = 18", "task_id, 'judge has no workers', ''": "k = 19", "task_id, 'judge does not ask leaf by leaf', ''": "k = 20", "task_id, 'rubric: weight is negative or not finite', 'leaf-2'": "k = 21", "task_id, 'rubric: effective weights do not sum to 1', ''": "k = 21",
     "task_id, 'text is forbidden', 'tests/llm_rubric_judge.py: \"temperature\"'": "k = 22", "task_id, 'file differs from its template', 'tests/llm_rubric_judge.py'": "k IN (22, 23)",
     "task_id, 'text is missing', 'tests/llm_rubric_judge.py: ThreadPoolExecutor'": "k = 23", "task_id, 'text is missing', 'tests/test.sh: \"committed_size_ok\"'": "k = 24", "task_id, 'mode differs', 'task.toml'": "k = 25",
     "task_id, 'resource record is of another version', ''": "k = 26", "task_id, 'GPU tier is another one', 'estimate'": "k = 27", "task_id, 'one GPU is asked', 'estimate'": "k = 28", "task_id, 'GPU tier is another one', 'estimator'": "k = 29",

@@ -70,7 +70,7 @@ _PACKAGE_SQL = "WITH s AS (SELECT 's' || s_suppkey AS paper_id, s_suppkey % 10 A
     {f"paper_id, 'error' AS severity, 'missing {n}' AS rule": f"k = {i}" for i, n in enumerate(rules.PACKAGE_FILES)}
     | {"paper_id, 'error', 'rubric: tree is no JSON'": "k = 6", "paper_id, 'error', 'addendum: addendum is empty'": "k = 7", "paper_id, 'warning', 'addendum: addendum is short'": "k = 7"}
     | {f"paper_id, 'warning', 'addendum: no section on {t}'": "k = 7" for t in rules.TOPICS}
-    | {"paper_id, 'error', 'rubric: weight is negative or not finite'": "k = 9", "paper_id, 'warning', 'rubric: weight is no whole number from 0 to 3'": "k = 9"},
+    | {"paper_id, 'error', 'rubric: weight is negative or not finite'": "k = 9", "paper_id, 'warning', 'rubric: weight is no whole number from 0 to 3'": "k = 9", "paper_id, 'error', 'rubric: effective weights do not sum to 1'": "k = 9"},
 ) + ")"
 
 

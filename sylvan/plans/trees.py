@@ -95,11 +95,11 @@ def sibling_share(spark, sf):
 
 
 def effective_leaf_weight(spark, sf):
-    return tree.leaves(tree.effective_weights(order_tree(spark, sf), 4)).select("node_id", F.round("effective", 12).alias("effective"))
+    return tree.leaves(tree.effective_weights(order_tree(spark, sf, paths=True))).select("node_id", F.round("effective", 12).alias("effective"))
 
 
 def effective_weight_sum_check(spark, sf):
-    total = tree.leaves(tree.effective_weights(order_tree(spark, sf), 4)).groupBy("tree_id").agg(F.sum("effective").alias("total"))
+    total = tree.leaves(tree.effective_weights(order_tree(spark, sf, paths=True))).groupBy("tree_id").agg(F.sum("effective").alias("total"))
     return total.select("tree_id", F.round("total", 6).alias("total"), (F.abs(F.col("total") - 1) <= 1e-8).alias("valid"))
 
 
@@ -207,7 +207,7 @@ def judge_waves(spark, sf):
 
 def faulty_nodes(spark, sf):
     """The order tree with faults by rule: see `rule_violations`'s SQL for the same ones."""
-    t = order_tree(spark, sf).withColumn("fine_category", F.when(F.col("depth") == 4, F.lit("Method Implementation")))
+    t = order_tree(spark, sf, paths=True).withColumn("fine_category", F.when(F.col("depth") == 4, F.lit("Method Implementation")))
     o = F.when(F.col("depth") == 4, F.col("ord"))
     c = F.when(F.col("depth") == 3, F.col("ord"))
     hit = lambda k, n, r: F.coalesce(k % n == r, F.lit(False))
@@ -221,12 +221,7 @@ def faulty_nodes(spark, sf):
 
 
 def rule_violations(spark, sf):
-    return rules.tree_violations(faulty_nodes(spark, sf)).filter("rule not like 'effective%' and rule not like 'leaf weighs%'").groupBy("severity", "rule").agg(F.count("*").alias("n"), F.min("node_id").alias("first_node"))
-
-
-def effective_rule_violations(spark, sf):
-    """The rules on effective weights, which `rule_violations` and its SQL leave out."""
-    return rules.effective_violations(faulty_nodes(spark, sf)).select("tree_id", "severity", "rule")
+    return rules.tree_violations(faulty_nodes(spark, sf)).groupBy("severity", "rule").agg(F.count("*").alias("n"), F.min("node_id").alias("first_node"))
 
 
 _HIT = "(depth = {d} AND ord % {n} = {r})"
@@ -241,6 +236,9 @@ RULE_SQL = f"""WITH {tree_sql()}, f0 AS (
 kids AS (SELECT parent_id AS node_id, count(*) AS children, sum(CASE WHEN weight >= 0 THEN weight END) AS g FROM f WHERE parent_id IS NOT NULL GROUP BY 1),
 copies AS (SELECT node_id, count(*) AS copies FROM f GROUP BY 1),
 x AS (SELECT f.*, coalesce(children, 0) AS children, g, copies FROM f LEFT JOIN kids USING (node_id) LEFT JOIN copies USING (node_id)),
+h AS (SELECT *, CASE WHEN parent_id IS NULL THEN 1.0 WHEN sum(CASE WHEN weight >= 0 THEN weight END) OVER (PARTITION BY parent_id) > 0 THEN weight / sum(CASE WHEN weight >= 0 THEN weight END) OVER (PARTITION BY parent_id) ELSE 0.0 END AS share FROM f),
+e0 AS (SELECT node_id, 1.0 AS e FROM h WHERE depth = 0), {", ".join(f"e{d} AS (SELECT h.node_id, h.share * p.e AS e FROM h JOIN e{d - 1} p ON h.parent_id = p.node_id WHERE depth = {d})" for d in range(1, 5))},
+total AS (SELECT sum(e) AS total, count(*) FILTER (e > 0 AND e < 0.001) AS tiny FROM ({" UNION ALL ".join(f"SELECT * FROM e{d}" for d in range(5))}) WHERE node_id NOT IN (SELECT parent_id FROM f WHERE parent_id IS NOT NULL)),
 v AS (
   SELECT 'error' AS severity, 'id is not unique' AS rule, node_id FROM x WHERE copies > 1
   UNION ALL SELECT 'error', 'id is not kebab-case', node_id FROM x WHERE NOT regexp_full_match(node_id, '[a-z0-9]+(-[a-z0-9]+)*')
@@ -257,7 +255,8 @@ v AS (
   UNION ALL SELECT 'warning', 'inner node has one child', node_id FROM x WHERE children = 1
   UNION ALL SELECT 'error', 'child weights sum to 0', node_id FROM x WHERE children > 0 AND NOT coalesce(g > 0, false)
 )
-SELECT severity, rule, count(*) AS n, min(node_id) AS first_node FROM v GROUP BY ALL"""
+SELECT severity, rule, count(*) AS n, min(node_id) AS first_node FROM v GROUP BY ALL UNION ALL
+SELECT 'error', 'effective weights do not sum to 1', 1, NULL FROM total WHERE abs(total - 1) > 1e-8 * greatest(1, abs(total)) UNION ALL SELECT 'warning', 'leaf weighs below a thousandth', 1, NULL FROM total WHERE tiny > 0"""
 
 
 def weight_plan(spark, sf):
@@ -268,6 +267,7 @@ def weight_plan(spark, sf):
     return _union([
         pick("c_acctbal > 0", own, "CAST(1 + c_custkey * 7 % 3 AS DOUBLE)", 1), pick("c_custkey % 97 = 1", "concat('x', c_custkey)", "2D", 2),
         pick("c_acctbal > 0 AND c_custkey % 89 = 1", own, "3D", 3), pick("c_acctbal <= 0 AND c_custkey % 83 = 1", own, "4D", 4),
+        spark.range(1).selectExpr("'T' AS tree_id", "'root' AS node_id", "2D AS weight", "5L AS ord"), table(spark, sf, "orders").filter("o_orderkey % 7 = 1").selectExpr("'T' AS tree_id", "concat('o', o_orderkey) AS node_id", "2D AS weight", "o_orderkey * 10 + 6 AS ord"),
     ])
 
 
@@ -276,15 +276,16 @@ PLAN = """plan AS (
   UNION ALL SELECT 'x' || c_custkey, 2, c_custkey * 10 + 2 FROM customer WHERE c_custkey % 97 = 1
   UNION ALL SELECT 'c' || c_custkey, 3, c_custkey * 10 + 3 FROM customer WHERE c_acctbal > 0 AND c_custkey % 89 = 1
   UNION ALL SELECT 'c' || c_custkey, 4, c_custkey * 10 + 4 FROM customer WHERE c_acctbal <= 0 AND c_custkey % 83 = 1
+  UNION ALL SELECT 'root', 2, 5 UNION ALL SELECT 'o' || o_orderkey, 2, o_orderkey * 10 + 6 FROM orders WHERE o_orderkey % 7 = 1
 )"""
 
 
 def weight_plan_apply(spark, sf):
-    return tree.apply_weights(order_tree(spark, sf).filter("depth < 4"), weight_plan(spark, sf)).select("node_id", "weight")
+    return tree.apply_weights(order_tree(spark, sf), weight_plan(spark, sf)).select("node_id", "weight")
 
 
 def weight_plan_audit(spark, sf):
-    return tree.audit_weights(order_tree(spark, sf).filter("depth = 3"), weight_plan(spark, sf)).select("node_id", "problem")
+    return tree.audit_weights(order_tree(spark, sf), weight_plan(spark, sf)).select("node_id", "problem")
 
 
 def branch_subtree_zip(spark, sf):
@@ -298,7 +299,7 @@ def branch_subtree_zip(spark, sf):
 
 QUERIES = (
     tree_adjacency, sibling_share, effective_leaf_weight, effective_weight_sum_check, tree_score, tree_score_zero_weight_group, doc_tree_score_missing_zero, code_only_prune, code_only_score,
-    leaf_contexts, tree_stats, category_histogram, depth_histogram, batch_scale_stats, judge_waves, rule_violations, effective_rule_violations, weight_plan_apply, weight_plan_audit, branch_subtree_zip,
+    leaf_contexts, tree_stats, category_histogram, depth_histogram, batch_scale_stats, judge_waves, rule_violations, weight_plan_apply, weight_plan_audit, branch_subtree_zip,
 )
 _SCORED = "SELECT node_id, depth, round(score, 6) AS score FROM scored WHERE depth <= 2"
 _KIDS = "kids AS (SELECT tree_id, parent_id AS node_id, count(*) AS children FROM tree WHERE parent_id IS NOT NULL GROUP BY ALL)"
@@ -327,12 +328,13 @@ SQL = {
     "judge_waves": f"WITH {NATION_TREES} SELECT tree_id, leaves, CAST(ceil(leaves / 100.0) AS BIGINT) AS waves, CAST(ceil(leaves / 100.0) AS BIGINT) * 600 + 604860 AS needed, CAST(ceil(leaves / 100.0) AS BIGINT) * 600 + 604860 <= 606100 AS fits FROM stats",
     "rule_violations": RULE_SQL,
     "weight_plan_apply": f"""WITH {tree_sql()}, {PLAN}, one AS (SELECT node_id, arg_min(weight, ord) AS w FROM plan GROUP BY 1)
-      SELECT node_id, CAST(CASE WHEN depth = 0 THEN 1 WHEN w IN (1, 2, 3) THEN w ELSE weight END AS BIGINT) AS weight FROM tree LEFT JOIN one USING (node_id) WHERE depth < 4""",
-    "weight_plan_audit": f"""WITH {PLAN}, own AS (SELECT 'c' || c_custkey AS node_id FROM customer)
+      SELECT node_id, CAST(CASE WHEN depth = 0 THEN 1 WHEN w IN (1, 2, 3) THEN w ELSE weight END AS BIGINT) AS weight FROM tree LEFT JOIN one USING (node_id)""",
+    "weight_plan_audit": f"""WITH {PLAN}, {tree_sql()}, own AS (SELECT node_id FROM tree)
       SELECT DISTINCT node_id, 'unknown' AS problem FROM plan WHERE node_id NOT IN (SELECT node_id FROM own)
       UNION ALL SELECT node_id, 'missing' FROM own WHERE node_id NOT IN (SELECT node_id FROM plan)
       UNION ALL SELECT node_id, 'repeated' FROM plan GROUP BY node_id HAVING count(*) > 1
-      UNION ALL SELECT DISTINCT node_id, 'invalid' FROM plan WHERE weight NOT IN (1, 2, 3)""",
+      UNION ALL SELECT DISTINCT node_id, 'invalid' FROM plan WHERE weight NOT IN (1, 2, 3)
+      UNION ALL SELECT 'root', 'root'""",
     "branch_subtree_zip": """WITH p AS (SELECT row_number() OVER (ORDER BY r_regionkey) - 1 AS pos, r_regionkey, r_name FROM region),
       m AS (SELECT row_number() OVER (ORDER BY n_regionkey) - 1 AS pos, n_regionkey, arg_min(n_name, n_nationkey) AS n_name FROM nation GROUP BY n_regionkey)
       SELECT pos, r_name AS branch, n_name AS subtree, r_regionkey = n_regionkey AS same_id FROM p FULL JOIN m USING (pos)""",

@@ -3,10 +3,10 @@
 import pytest
 
 from conftest import SF, same_rows
-from sylvan.plans import checks, documents, trees
+from sylvan.plans import batches, checks, documents, stages, trees
 
-SQL = trees.SQL | documents.SQL | checks.SQL
-QUERIES = {f.__name__: f for f in (*trees.QUERIES, *documents.QUERIES, *checks.QUERIES)}
+SQL = trees.SQL | documents.SQL | checks.SQL | batches.SQL | stages.SQL
+QUERIES = {f.__name__: f for f in (*trees.QUERIES, *documents.QUERIES, *checks.QUERIES, *batches.QUERIES, *stages.QUERIES)}
 
 
 @pytest.mark.parametrize("name", sorted(SQL))

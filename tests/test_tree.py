@@ -101,5 +101,8 @@ def test_rules_on_effective_weights(spark, monkeypatch):
     fixture += [row("tiny", "x", "root", 0, 1, 1.0), row("tiny", "y", "root", 1, 1, 1001.0)]
     fixture += [row("nought", "a", "root", 0, 1, 1.0), row("nought", "y", "root", 1, 1, 3.0), row("nought", "x", "a", 0, 2, 0.0)]
     monkeypatch.setattr(trees, "faulty_nodes", lambda *_: spark.createDataFrame(fixture, NODES))
-    got = {tuple(r) for r in {f.__name__: f for f in trees.QUERIES}["effective_rule_violations"](spark, "").collect()}
+    found = trees.rules.effective_violations(trees.faulty_nodes(spark, ""))
+    got = {tuple(r) for r in found.select("tree_id", "severity", "rule").collect()}
+    names = trees.rules.first_names(trees.rules.tree_violations(trees.faulty_nodes(spark, ""), code_only=True), "inner node has one child")
+    assert {tuple(r) for r in names.collect()} == {("nought", "a")}
     assert got == {("tiny", "warning", "leaf weighs below a thousandth"), ("nought", "error", "effective weights do not sum to 1")}
