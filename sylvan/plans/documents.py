@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-import tempfile
-from pathlib import PurePosixPath
+import uuid
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import text
-from ..operators import evidence, packaging, profile, rules, score
-from ..sources.tables import table
+from ..operators import evidence, models, packaging, profile, rules, score
+from ..sources.tables import scratch, table
 
 
 def _files(spark, sf):
@@ -240,10 +240,12 @@ def resource_classify(spark, sf):
 
 
 def model_switch_split(spark, sf):
-    from pyspark.sql import Window
-
-    first = F.row_number().over(Window.partitionBy("source").orderBy("doc_id")) <= 3
-    return table(spark, sf, "documents").select("doc_id", "source", F.when(first, "first").otherwise("second").alias("model"))
+    """The first three documents of each source by one model, all others by another. A rank below four is found where the rows are, so
+    a source of any size sends three of a task."""
+    docs = table(spark, sf, "documents").select("doc_id", "source")
+    place = F.row_number().over(Window.partitionBy("source").orderBy("doc_id"))
+    last = docs.withColumn("place", place).filter("place <= 3").groupBy("source").agg(F.max("doc_id").alias("last"))
+    return docs.join(last, "source").select("doc_id", "source", F.when(F.col("doc_id") <= F.col("last"), "first").otherwise("second").alias("model"))
 
 
 def incremental_skip(spark, sf):
@@ -253,8 +255,7 @@ def incremental_skip(spark, sf):
 
 def staged_publish(spark, sf):
     """Publish the manifest into a folder of its own and read it back."""
-    root = spark.sparkContext.getConf().get("spark.checkpoint.dir") or "file://" + tempfile.mkdtemp(prefix="sylvan-publish-")
-    target = f"{root}/manifest-{PurePosixPath(sf).name}"
+    target = f"{scratch(spark)}/manifest-{uuid.uuid4().hex[:12]}"
     rows = manifest_rows(spark, sf).select(F.get_json_object("value", "$.task_id").alias("task_id"), "value")
     return packaging.publish(spark, rows, target, lambda d: d.groupBy("task_id").count().filter("count > 1"), overwrite=True)
 
@@ -262,18 +263,26 @@ def staged_publish(spark, sf):
 def mock_model_pipeline(spark, sf):
     """Canned answers joined to calls: the paper's own answer, or else the one for all papers."""
     talk = table(spark, sf, "conversations")
-    calls = talk.filter("role = 'user'").select("conv_id", "turn")
-    own = talk.filter("role <> 'user' and conv_id % 2 = 0").select("conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("own"))
-    common = talk.filter("role <> 'user'").groupBy((F.col("turn") - 1).alias("turn")).agg(F.min("text").alias("common"))
-    out = calls.join(own, ["conv_id", "turn"], "left").join(common, "turn", "left")
-    return out.select("conv_id", "turn", F.md5(F.coalesce("own", "common")).alias("answer"))
+    answers = talk.filter("role <> 'user'").select("conv_id", (F.col("turn") - 1).alias("call"), F.col("text").alias("answer"))
+    own = answers.filter("conv_id % 2 = 0").select(F.col("conv_id").alias("paper_id"), "call", "answer")
+    common = answers.groupBy("call").agg(F.min("answer").alias("answer")).select(F.lit(None).cast("long").alias("paper_id"), "call", "answer")
+    out = models.canned(talk.filter("role = 'user'").select(F.col("conv_id").alias("paper_id"), F.col("turn").alias("call")), own.unionByName(common))
+    return out.select(F.col("paper_id").alias("conv_id"), F.col("call").alias("turn"), F.md5("answer").alias("answer"))
+
+
+def author_json_extract(spark, sf):
+    """Events' properties in the forms that an author's answer may have."""
+    k = F.col("event_id") % 5
+    forms = F.when(k == 0, F.concat(F.lit(" \n"), "props")).when(k == 1, F.concat(F.lit("```JSON\n"), "props", F.lit("\n```\n"))).when(k == 2, F.concat(F.lit("it is "), "props", F.lit(" so"))).when(k == 3, F.concat(F.lit("["), "props", F.lit("]"))).otherwise("none")
+    found = table(spark, sf, "events").select("event_id", text.authored_object(forms).alias("v"))
+    return found.select("event_id", F.try_variant_get("v", "$.k", "bigint").alias("k"))
 
 
 QUERIES = (
     evidence_ranking, evidence_budget, evidence_text, truncate_with_marker, chunk_fixed, chunk_by_heading, html_to_markdown, whitespace_normalise, json_extract, url_rewrite, file_kind_profile,
     largest_files, content_digest, fingerprint, duplicate_ids, compound_requirement_warning, unquantified_match_warning, addendum_checks, parse_leaf_scores, reward_record, ordered_distinct,
     blacklist_lines, task_ids, manifest_rows, select_papers, unknown_ids, bundle_priority, set_equality_audit, hash_approval_audit, contract_text_rules, resource_classify, model_switch_split,
-    incremental_skip, staged_publish, mock_model_pipeline,
+    incremental_skip, staged_publish, mock_model_pipeline, author_json_extract,
 )
 _WANTED = "wanted AS (SELECT DISTINCT CASE WHEN doc_id % 9 = 0 THEN -doc_id - 1 ELSE doc_id END AS paper_id FROM labels)"
 _TASK = "'20240101-000000-research-task-' || substr(sha256('20240101-000000:paper-' || doc_id), 1, 6)"
@@ -287,6 +296,7 @@ SQL = {
     "chunk_fixed": """WITH c AS (SELECT doc_id, text, unnest(range(CAST(greatest(1, ceil(length(text) / 900.0)) AS BIGINT))) AS chunk_no FROM documents)
       SELECT doc_id, chunk_no, length(substr(text, chunk_no * 900 + 1, 900)) AS chars, md5(substr(text, chunk_no * 900 + 1, 900)) AS digest FROM c""",
     "whitespace_normalise": """SELECT doc_id, regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(text, '([.,])', '\\1 ' || chr(10) || ' ' || chr(9) || ' ', 'g'), '[ \\t\\r\\f\\v]+', ' ', 'g'), ' *\\n *', chr(10), 'g'), '\\n{3,}', chr(10) || chr(10), 'g'), '^[ \\n]+|[ \\n]+$', '', 'g') AS text FROM documents""",
+    "author_json_extract": "SELECT event_id, CASE WHEN event_id % 5 < 3 THEN CAST(json_extract(props, '$.k') AS BIGINT) END AS k FROM events",
     "json_extract": "SELECT event_id, CASE WHEN event_id % 4 <> 3 THEN CAST(json_extract(props, '$.k') AS BIGINT) END AS k FROM events",
     "url_rewrite": """WITH n AS (SELECT *, '24' || printf('%02d', page_id % 12 + 1) || '.' || printf('%05d', page_id) AS id FROM pages)
       SELECT page_id, CASE WHEN page_id % 11 = 0 THEN url WHEN page_id % 5 IN (0, 1) THEN 'https://render.example.org/html/' || id END AS html_url FROM n""",

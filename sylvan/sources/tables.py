@@ -1,9 +1,19 @@
-"""Tables of a data folder."""
+"""Tables of a data folder, and the folder for what is written on the way."""
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import DataFrame, SparkSession
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
+
+
+def scratch(spark: SparkSession) -> str:
+    """The folder that driver and executors share, spark.checkpoint.dir; a session on one machine may go without."""
+    root = spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not root and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+    return root.rstrip("/") if root else "file://" + tempfile.mkdtemp(prefix="sylvan-")

@@ -47,6 +47,12 @@ def test_json_objects_only(spark):
     rows = [('{"a":1}',), ("[1]",), ("```\n{\"a\":2}\n```",), ("so {\"a\":3} it is",), ("none",), (None,)]
     got = spark.createDataFrame(rows, "t string").select(F.try_variant_get(text.json_object(F.col("t")), "$.a", "int").alias("a")).collect()
     assert [r.a for r in got] == [1, None, 2, 3, None, None]
+    rows = [("```json\n{broken}\n``` {\"a\":4}",), (" ```JSON\n{\"a\":5}\n``` ",), ("[1] {\"a\":6}",), ("[{\"a\":7}]",)]
+    frame = spark.createDataFrame(rows, "t string")
+    own = [[F.try_variant_get(f(F.col("t")), "$.a", "int").alias(n)] for n, f in (("judge", text.json_object), ("author", text.authored_object))]
+    got = frame.select(*own[0], *own[1]).collect()
+    assert [tuple(r) for r in got] == [(None, None), (5, 5), (6, 6), (7, None)]
+    assert [r.t for r in spark.createDataFrame([("ﬁ²",), (None,)], "t string").select(text.nfkc("t").alias("t")).collect()] == ["fi2", None]
 
 
 def test_evidence_order_and_limit(spark):
