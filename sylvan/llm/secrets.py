@@ -20,7 +20,7 @@ PATTERNS = {
     "assign": r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
     "access": r"AKIA[A-Z0-9]{12,}",
     "hex": r"[0-9a-f]{32,}",
-    "weak_id": r"""(client|account|access|tenant|app|key|user)_id["']?\x20*[:=]\x20*["']?([A-Za-z0-9._@-]+)""",
+    "weak_id": r"""((?i:client|account|access|tenant|app|key|user)_?(?i:id))["']?\x20*[:=]\x20*["']?([A-Za-z0-9._@-]+)""",
     "weak_key": r"[A-Za-z0-9+/_=-]{24,}",
     "endpoint": r"https?://[A-Za-z0-9.-]+(:[0-9]+)?(/[A-Za-z0-9._~/%-]*)?",
 }
