@@ -220,9 +220,9 @@ def test_secret_spans_equal_plain_matching(spark):
 
 def test_weak_parts_need_their_complement(spark):
     key, far = "Zz9" * 9, "filler " * 60
-    rows = [(1, f"client_id: alpha77 {key} https://h.example/x"), (2, f"client_id: alpha77 {far}{key}"), (3, key), (4, "https://h.example/x client_id: alpha77")]
+    rows = [(1, f"client_id: alpha77 {key} https://h.example/x"), (2, f"client_id: alpha77 {far}{key}"), (3, key), (4, "https://h.example/x client_id: alpha77"), (5, f"CLIENT_ID={'a' * 4} {key}"), (6, f"clientId: 'beta' {key}")]
     got = {r.doc_id: [s.split(":")[0] for s in r.spans.split(",") if s] for r in secrets.digest(secrets.scan(spark.createDataFrame(rows, "doc_id long, text string"))).collect()}
-    assert got == {1: ["weak_id", "weak_key", "endpoint"], 2: [], 3: [], 4: []}
+    assert got == {1: ["weak_id", "weak_key", "endpoint"], 2: [], 3: [], 4: [], 5: ["weak_id", "weak_key"], 6: ["weak_id", "weak_key"]}
 
 
 def test_redaction_covers_overlapping_spans(spark):
