@@ -7,7 +7,7 @@ log-odds of a label's documents, counted in the training sample; in training, a
 Training takes each document's highest window in turn (a label holds for the document, not for all its windows), and
 ends with a logistic calibration of the documents' highest windows.
 
-The model is fitted on the driver on at most `sample` labelled documents of `sample_bytes` in all, chosen by a hash of doc_id; a
+The model is fitted by one task on at most `sample` labelled documents of `sample_bytes` in all, chosen by a hash of doc_id; a
 document that doesn't fit into what is left of the bytes is passed over, and of several texts of a doc_id one counts. All else
 covers every row.
 Nulls: a null text is empty; an empty text has one window without words and a score of its own. A null label counts as
@@ -16,6 +16,7 @@ scores are the share of label 1, or 0 without labels. Repeated rows are scored a
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -323,9 +324,16 @@ def train(docs: DataFrame, labels: DataFrame, conf: Toxicity = Toxicity()) -> Ne
             left -= r["size"]
             taken.append((r["doc_id"], r["h"], r["toxic"]))
     taken = docs.sparkSession.createDataFrame(taken, "doc_id long, h long, toxic int")
-    picked = own.join(F.broadcast(taken), ["doc_id", "h"]).dropDuplicates(["doc_id"]).select("doc_id", "text", "toxic").toPandas()
-    picked = picked.sort_values("doc_id", kind="stable")
-    return fit(picked["text"].tolist(), picked["toxic"].to_numpy(), conf)
+    picked = own.join(F.broadcast(taken), ["doc_id", "h"]).dropDuplicates(["doc_id"]).select("doc_id", "text", "toxic")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = sorted((row for batch in batches for row in batch.to_pylist()), key=lambda r: r["doc_id"])
+        model = fit([r["text"] for r in rows], np.asarray([r["toxic"] for r in rows]), conf)
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)], pa.binary())], ["model"])
+
+    # the sample is bounded, so one task fits it; the driver holds the model alone
+    model = picked.repartition(1).mapInArrow(run, "model binary").first()
+    return fit([], np.zeros(0), conf) if model is None else pickle.loads(model[0])
 
 
 def scored(docs: DataFrame, model: Network | float, conf: Toxicity = Toxicity(), carry: tuple[str, ...] = ()) -> DataFrame:
