@@ -49,3 +49,11 @@ def ask(calls: DataFrame, client: Callable[[], Callable[[str, str], str]], at_on
 
     rows = calls.select("call_id", "call", "prompt")
     return (rows.repartition(at_once) if at_once else rows).mapInPandas(run, "call_id string, answer string, error string")
+
+
+def canned_or_asked(calls: DataFrame, answers: DataFrame, client: Callable[[], Callable[[str, str], str]], at_once: int | None = None) -> DataFrame:
+    """`calls(call_id, paper_id, call, prompt)` to `(call_id, answer, error)`: a canned answer where there is one, else the client is asked
+    once, without a retry. Canned answers cost no call."""
+    known = canned(calls, answers)
+    told = known.filter("answer is not null").select("call_id", "answer", F.lit(None).cast("string").alias("error"))
+    return told.union(ask(known.filter("answer is null"), client, at_once))

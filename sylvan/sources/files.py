@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Iterator
+from urllib.parse import unquote
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -13,10 +14,15 @@ from ..functions.text import truncated
 
 
 def file_tree(spark: SparkSession, folder: str) -> DataFrame:
-    """All files below a folder as `(path, bytes, content)`, paths relative to it."""
+    """All files below a folder as `(path, bytes, content)`, paths relative to it. The reader passes empty files over, so they come from
+    its listing, which the driver holds anyway."""
+    base = folder.removeprefix("file://").rstrip("/") + "/"
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
-    relative = F.regexp_replace(F.split_part("path", F.lit(folder.removeprefix("file://").rstrip("/") + "/"), F.lit(2)), "^/", "")
-    return files.select(relative.alias("path"), F.col("length").alias("bytes"), "content")
+    relative = F.regexp_replace(F.split_part("path", F.lit(base), F.lit(2)), "^/", "")
+    rows = files.select(relative.alias("path"), F.col("length").alias("bytes"), "content")
+    listed = [(unquote(name).partition(base)[2],) for name in files.inputFiles()]
+    empty = spark.createDataFrame(listed, "path string").join(rows.select("path"), "path", "left_anti")
+    return rows.union(empty.select("path", F.lit(0).cast("long"), F.lit(b"")))
 
 
 def capped_text(content: Column, most: int) -> Column:

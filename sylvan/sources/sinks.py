@@ -48,3 +48,12 @@ def write_files(rows: DataFrame, folder: str, overwrite: bool = False) -> DataFr
 def write_stages(rows: DataFrame, folder: str) -> None:
     """`rows(paper_id, stage, call, answer)` as JSON lines, a folder for each paper and stage."""
     rows.select("paper_id", "stage", "call", "answer").write.mode("overwrite").partitionBy("paper_id", "stage").json(folder)
+
+
+def reward_files(records: DataFrame) -> DataFrame:
+    """`records(submission_id, score, ...)` to `(path, content)` for `write_files`: a record's JSON with its keys in order, and its score alone."""
+    named = sorted(c for c in records.columns if c != "submission_id")
+    files = F.array(
+        F.struct(F.lit("reward.json").alias("name"), pretty_json(F.struct(*named)).alias("text")), F.struct(F.lit("reward.txt").alias("name"), F.concat(F.col("score").cast("string"), F.lit("\n")).alias("text"))
+    )
+    return records.select("submission_id", F.explode(files).alias("f")).select(F.concat_ws("/", "submission_id", "f.name").alias("path"), F.encode("f.text", "utf-8").alias("content"))

@@ -32,7 +32,9 @@ def test_file_trees_and_bytes(spark, tmp_path):
     (tmp_path / "d" / "e").mkdir(parents=True)
     (tmp_path / "d" / "a.txt").write_bytes(b"ok \xff tail")
     (tmp_path / "d" / "e" / "p.pdf").write_bytes(b"%PDF-1.4" + b"x" * 9000 + b"%%EOF\n")
-    got = {r.path: r for r in files.file_tree(spark, f"file://{tmp_path}/d").select("path", "bytes", files.capped_text(F.col("content"), 4).alias("t"), files.is_pdf(F.col("content")).alias("pdf")).collect()}
+    (tmp_path / "d" / "e" / "no thing%.txt").write_bytes(b"")
+    assert {r.path: (r.bytes, bytes(r.content)) for r in files.file_tree(spark, f"file://{tmp_path}/d").filter("bytes = 0").collect()} == {"e/no thing%.txt": (0, b"")}
+    got = {r.path: r for r in files.file_tree(spark, f"file://{tmp_path}/d").filter("bytes > 0").select("path", "bytes", files.capped_text(F.col("content"), 4).alias("t"), files.is_pdf(F.col("content")).alias("pdf")).collect()}
     assert set(got) == {"a.txt", "e/p.pdf"} and got["a.txt"].t.startswith("ok �\n[truncated 5") and not got["a.txt"].pdf and got["e/p.pdf"].pdf
 
 

@@ -29,6 +29,16 @@ def test_pretty_json_and_stages(spark, tmp_path):
     assert {p.name for p in (tmp_path / "stages").rglob("stage=*")} == {"stage=0", "stage=1"}
 
 
+def test_rewards_and_canned_answers(spark):
+    records = spark.createDataFrame([("s", 0.5, 1.0)], "submission_id string, score double, format double")
+    got = {r.path: bytes(r.content).decode() for r in sinks.reward_files(records).collect()}
+    assert got == {"s/reward.json": '{\n  "format": 1.0,\n  "score": 0.5\n}\n', "s/reward.txt": "0.5\n"}
+    calls = spark.createDataFrame([("1", "p", "leaf", "x"), ("2", "q", "leaf", "y")], "call_id string, paper_id string, call string, prompt string")
+    answers = spark.createDataFrame([("p", "leaf", "known")], "paper_id string, call string, answer string")
+    got = models.canned_or_asked(calls, answers, lambda: lambda call, prompt: f"asked {prompt}")
+    assert {r.call_id: (r.answer, r.error) for r in got.collect()} == {"1": ("known", None), "2": ("asked y", None)}
+
+
 def test_publication_replaces_as_a_whole(spark, tmp_path):
     target, ok = f"file://{tmp_path}/t", lambda df: df.filter("id < 0")
     assert packaging.publish(spark, spark.range(3), target, ok).count() == 3
@@ -73,3 +83,52 @@ def test_repairs_end_with_the_first_valid_tree(spark):
     rows = [("a", 0, True), ("a", 1, False), ("b", 0, False), ("b", 1, True), ("b", 2, True), ("c", 0, False), ("c", 1, False), ("c", 2, True)]
     got = {r.paper_id: (r.rounds, r.valid) for r in authoring.repair_rounds(spark.createDataFrame(rows, "paper_id string, round int, valid boolean"), 1).collect()}
     assert got == {"a": (0, True), "b": (1, True), "c": (1, False)}
+
+
+def _package(folder, tree):
+    folder.mkdir(parents=True)
+    for name, content in {"config.yaml": b"x", "paper.pdf": b"%PDF-1 %%EOF", "paper.md": b"text", "blacklist.txt": b"", "rubric.json": tree, "addendum.md": ("Scope. Approved adaptation. Required evidence. Clarification. Out of scope. " + "x" * 300).encode()}.items():
+        (folder / name).write_bytes(content)
+
+
+def test_packages_become_a_batch(spark, tmp_path):
+    from sylvan import drivers
+    from sylvan.plans.batches import _HEAD, _TREE, _held
+
+    for paper in ("a-paper", "b-paper"):
+        _package(tmp_path / "in" / paper, _TREE.encode())
+    root, target = f"file://{tmp_path}/in", f"file://{tmp_path}/out"
+    report, found, valid = drivers.validate(spark, root, ["a-paper", "c-paper"])
+    assert [tuple(r) for r in found.filter("paper_id = 'a-paper'").collect()] == []
+    assert not valid and {(r.paper_id, r.valid) for r in report.collect()} == {("a-paper", True), ("c-paper", False)} and found.filter("rule = 'no package'").count() == 1
+    templates = {"solution/README.md": b"r", "solution/reproduce.sh": b"s", "tests/test.sh": _held("tests/test.sh").encode(), "tests/llm_rubric_judge.py": _held("tests/llm_rubric_judge.py").encode()}
+    text = b"Read /home/paper, write to /home/submission, for a maximum runtime of 7 days on an NVIDIA H200 GPU"
+    manifest = drivers.convert(spark, root, target, "b1", "papers", templates, text)
+    assert manifest.count() == 2 and _HEAD and len(list((tmp_path / "out" / "tasks").iterdir())) == 2
+    with pytest.raises(FileExistsError):
+        drivers.convert(spark, root, target, "b1", "papers", templates, text)
+    with pytest.raises(ValueError, match="instruction.md"):
+        drivers.convert(spark, root, f"file://{tmp_path}/bad", "b1", "papers", templates, b"nothing of it")
+    (tmp_path / "in" / "a-paper" / "rubric.json").write_text("{")
+    with pytest.raises(ValueError, match="tree is no JSON"):
+        drivers.convert(spark, root, target, "b1", "papers", templates, text, overwrite=True)
+    assert sorted(p.name for p in tmp_path.iterdir()) == ["in", "out"]
+
+
+def test_authoring_and_publication(spark, tmp_path):
+    from sylvan import drivers
+
+    papers = spark.createDataFrame([("p", 1, ["x"], False, 0), ("q", 0, [], False, 0)], "paper_id string, chunks int, branches array<string>, asks_addendum boolean, repairs int")
+    answers = spark.createDataFrame([(None, c, json.dumps({"unresolved": [c]})) for c in ("elements-001", "matrix", "addendum", "tree-plan", "weighting", "review")] + [("p", "subtree-x", "{}"), ("q", "weighting", None)], "paper_id string, call string, answer string")
+    results, open_ = drivers.author(spark, papers, answers, f"file://{tmp_path}/made")
+    assert {r.paper_id: r.unresolved for r in open_.collect()}["p"] == ["elements-001", "matrix", "addendum", "tree-plan", "weighting", "review"]
+    assert results.filter("paper_id = 'p'").count() == 7 and (tmp_path / "made").exists()
+    schema = "paper_id string, artefacts array<string>, tag string, tree_errors int, addendum_errors int, blocking_issues int, unresolved int, weights_valid boolean, targets int, replace boolean"
+    drafts = spark.createDataFrame([("p", ["a"], None, 0, 0, 0, 0, True, 0, False), ("q", ["a"], None, 0, 0, 1, 0, True, 0, False)], schema)
+    files = spark.createDataFrame([(p, n, b"{}") for p in "pq" for n in ("rubric.json", "addendum.md")], "paper_id string, name string, content binary")
+    written, held = drivers.publish(spark, drafts, files, f"file://{tmp_path}/pub", "someone", ("a",))
+    assert {r.path for r in written.collect()} == {"p/rubric.json", "p/addendum.md", "p/human_approval.json"} and [(r.paper_id, r.rule) for r in held.collect()] == [("q", "review blocks")]
+    record = json.loads((tmp_path / "pub/p/human_approval.json").read_text())
+    assert record["reviewer"] == "someone" and record["approved_at"].endswith("Z") and len(record["rubric_sha256"]) == 64
+    with pytest.raises(ValueError):
+        drivers.publish(spark, drafts, files, f"file://{tmp_path}/pub", " ", ("a",))
