@@ -161,7 +161,7 @@ def _by_integers(ids: np.ndarray, vectors: np.ndarray, query_ids: np.ndarray, qu
 
 
 _FOUND = "query_id long, vec_id long, score long"
-_TO_SHARDS = "shard string, asks boolean, vec_id long, embedding array<double>, floor long"
+_TO_SHARDS = "shard string, asks boolean, vec_id long, embedding array<{}>, floor long"
 
 
 def _searcher(conf: Search):
@@ -296,17 +296,19 @@ def top_k(vectors: DataFrame, conf: Search = Search()) -> DataFrame:
     """`vectors(vec_id, embedding)` to `(query_id, rank, vec_id, score)`."""
     work = Workspace(vectors.sparkSession, "kdtree")
     bad = F.exists("embedding", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
-    usable = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding"))
+    # single precision stays as it is on the way, and is made double before anything is worked out
+    kind = "float" if dict(vectors.dtypes)["embedding"] == "array<float>" else "double"
+    usable = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast(f"array<{kind}>").alias("embedding"))
     usable = usable.filter(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull() & (F.size("embedding") > 0) & ~bad)
 
     # cells from a bounded sample; one cell needs none
     n = usable.count()
     wanted, cells = min(conf.cells, -(-n // conf.shard)), None
     if wanted > 1:
-        some = [np.floor(conf.scale * np.asarray(r[0])) for r in usable.orderBy(F.xxhash64("vec_id"), "vec_id").select("embedding").limit(conf.sample * wanted).collect()]
+        some = [np.floor(conf.scale * np.asarray(r[0], np.float64)) for r in usable.orderBy(F.xxhash64("vec_id"), "vec_id").select("embedding").limit(conf.sample * wanted).collect()]
         width = Counter(map(len, some)).most_common(1)[0][0]
         cells = Cells(np.asarray([v for v in some if len(v) == width]), wanted)
-    dealt = work.keep(usable.mapInArrow(_dealer(cells, conf), "vec_id long, embedding array<double>, cell long"), "dealt")
+    dealt = work.keep(usable.mapInArrow(_dealer(cells, conf), f"vec_id long, embedding array<{kind}>, cell long"), "dealt")
     dealt = dealt.withColumn("width", F.size("embedding"))
     # a row for each length and cell; lengths are few
     parts = {(r.width, r.cell): -(-r["n"] // conf.shard) for r in dealt.groupBy("width", "cell").agg(F.count("*").alias("n")).collect()}
@@ -330,7 +332,7 @@ def top_k(vectors: DataFrame, conf: Search = Search()) -> DataFrame:
     if sum(parts.values()) > 1:
         kth = home.groupBy("query_id").agg(F.count("*").alias("m"), F.min("score").alias("kth"))
         known = asked.join(kth, asked["vec_id"] == kth["query_id"], "left").withColumn("floor", F.when(F.col("m") >= conf.k, F.col("kth")).otherwise(low))
-        away = known.select("shard", "turn", "vec_id", "embedding", "floor").mapInArrow(_router(boxes, parts, conf), _TO_SHARDS)
+        away = known.select("shard", "turn", "vec_id", "embedding", "floor").mapInArrow(_router(boxes, parts, conf), _TO_SHARDS.format(kind))
         copies = placed.withColumn("turn", F.explode(F.sequence(F.lit(0), F.lit(turns - 1))))
         found = home.union(_searched(to(copies, F.concat_ws(":", "shard", "turn"), False, low).union(away), conf))
     order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
