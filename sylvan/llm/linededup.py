@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .textkit import LOWER, U64, keys, mix, pieces, text_bytes, word_hashes, words
+from .textkit import LOWER, U64, keys, mix, pieces, releasing, text_bytes, word_hashes, words
 from .work import Workspace
 
 
@@ -195,7 +195,7 @@ def repeats(docs: DataFrame, conf: LineDedup = LineDedup()) -> DataFrame:
     `lines` those repeated lines that don't lie within a span of `removed`; h is a hash of the text."""
     work = Workspace(docs.sparkSession, "linededup")
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("h"))
-    every = work.keep(docs.mapInArrow(_units(conf), _UNIT), "units")
+    every = work.keep(docs.mapInArrow(releasing(_units(conf)), _UNIT), "units")
     twice = work.keep(every.groupBy("digest").agg(F.count("*").alias("n")).filter("n > 1").select("digest"), "twice")
     again = work.keep(every.join(twice.hint("merge"), "digest"), "again")
     work.drop(every)
@@ -217,7 +217,7 @@ def repeats(docs: DataFrame, conf: LineDedup = LineDedup()) -> DataFrame:
     wanted = _ends(chains, "at", ("doc_id", "h")).union(_ends(chains, "from_at", ("from_id", "from_h"))).distinct()
     wanted = wanted.groupBy(F.col("doc_id").alias("id"), F.col("h").alias("text_h")).agg(F.collect_list("w").alias("wanted"))
     texts = docs.join(wanted.hint("merge"), F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("h") == F.col("text_h"))).select("doc_id", "h", "text", "wanted")
-    points = work.keep(texts.mapInArrow(_points(conf), _POINT).dropDuplicates(["doc_id", "h", "w", "ahead"]), "points")
+    points = work.keep(texts.mapInArrow(releasing(_points(conf)), _POINT).dropDuplicates(["doc_id", "h", "w", "ahead"]), "points")
     found = chains
     for end in ("start", "stop"):
         found = _with_point(found, points, end, ("doc_id", "h", "at"), f"{end}_near", f"{end}_places")

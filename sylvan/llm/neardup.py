@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .graph import components
-from .textkit import LOWER, U64, keys, mix, pieces, text_bytes, word_hashes, words
+from .textkit import LOWER, U64, keys, mix, pieces, releasing, text_bytes, word_hashes, words
 from .work import Workspace
 
 
@@ -137,7 +137,7 @@ def near_duplicates(docs: DataFrame, conf: NearDup = NearDup()) -> DataFrame:
     candidate edges of the document's class."""
     work = Workspace(docs.sparkSession, "neardup")
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("h"))
-    sketch = work.keep(docs.mapInArrow(_sketcher(conf), "doc_id long, h long, n_shingles long, digest binary, bands array<long>"), "sketch")
+    sketch = work.keep(docs.mapInArrow(releasing(_sketcher(conf)), "doc_id long, h long, n_shingles long, digest binary, bands array<long>"), "sketch")
 
     some = sketch.filter("n_shingles > 0 and doc_id is not null")
     least = F.min(F.struct("doc_id", "h")).alias("least")
@@ -155,7 +155,7 @@ def near_duplicates(docs: DataFrame, conf: NearDup = NearDup()) -> DataFrame:
     # texts of vertices in shared buckets only, one row each; never a broadcast, as these grow with the input
     involved = rows.select(F.col("rep").alias("doc_id"), "h").distinct().hint("merge")
     texts = docs.join(involved, ["doc_id", "h"], "left_semi").dropDuplicates(["doc_id", "h"])
-    sets = work.keep(texts.mapInArrow(_setter(conf), "digest binary, shingles array<long>"), "sets")
+    sets = work.keep(texts.mapInArrow(releasing(_setter(conf)), "digest binary, shingles array<long>"), "sets")
 
     # every bucket is a star around its heaviest member
     hub = F.min(F.struct((-F.col("weight")).alias("light"), "rep", "n", "digest")).alias("h")

@@ -20,6 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .textkit import releasing
 from .work import Workspace
 
 
@@ -150,7 +151,7 @@ def packed(docs: DataFrame, conf: Packing = Packing()) -> DataFrame:
     """`docs(doc_id, text)` to one row a piece."""
     work = Workspace(docs.sparkSession, "packing")
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    ids = work.keep(docs.mapInArrow(_tokenize(conf), "doc_id long, part long, before long, n long, ids binary"), "ids")
+    ids = work.keep(docs.mapInArrow(releasing(_tokenize(conf)), "doc_id long, part long, before long, n long, ids binary"), "ids")
     totals = work.keep(ids.groupBy("part").agg(F.sum("n").alias("total")), "totals")
     earlier = F.coalesce(F.sum("total").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     bases = totals.select("part", earlier.alias("base"))

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -98,3 +99,17 @@ def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, block: i
             part = _BYTE_KEYS[data[at]] * _position_keys(int(length.max()))[within]
             out[a : a + block] = mix(np.add.reduceat(part, first) + length.astype(U64) * U64(0xD6E8FEB86659FD93))
     return out
+
+
+def releasing(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """`run`, and after a task's last batch its freed memory goes back to the system: workers wait for further tasks beside the JVM."""
+
+    def out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        try:
+            ctypes.CDLL(None).malloc_trim(0)
+        except (AttributeError, OSError):  # another C library
+            pass
+
+    return out

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .textkit import LOWER, U64, mix, pieces, text_bytes, word_hashes, words
+from .textkit import LOWER, U64, mix, pieces, releasing, text_bytes, word_hashes, words
 
 #: ASCII other than letters and digits separates words here; other bytes belong to letters.
 BREAK = np.ones(256, bool)
@@ -332,7 +332,7 @@ def train(docs: DataFrame, labels: DataFrame, conf: Toxicity = Toxicity()) -> Ne
         yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)], pa.binary())], ["model"])
 
     # the sample is bounded, so one task fits it; the driver holds the model alone
-    model = picked.repartition(1).mapInArrow(run, "model binary").first()
+    model = picked.repartition(1).mapInArrow(releasing(run), "model binary").first()
     return fit([], np.zeros(0), conf) if model is None else pickle.loads(model[0])
 
 
@@ -352,4 +352,4 @@ def scored(docs: DataFrame, model: Network | float, conf: Toxicity = Toxicity(),
     names = ["doc_id", *carry]
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), *carry, F.col("text").alias("text_"))
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name != "text_")
-    return rows.mapInArrow(run, f"{kinds}, score double, predicted int")
+    return rows.mapInArrow(releasing(run), f"{kinds}, score double, predicted int")
