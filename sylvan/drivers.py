@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions.render import toml
-from .operators import authoring, batch, contracts, packaging, rules
+from .operators import authoring, batch, contracts, packaging, profile, rules
 from .sources import sinks
 from .sources.files import file_tree, flatten_trees
 from .sources.tables import scratch
@@ -75,7 +75,7 @@ def task_files(packages: DataFrame, templates: dict[str, bytes], instructions: b
     task = packaging.task_id(F.lit(name), F.col("paper_id"), label)
     own = packages.withColumn("path", F.coalesce(F.try_element_at(place, F.col("name")), F.when(F.startswith("name", F.lit("assets/")), F.concat(F.lit("environment/paper/"), "name"))))
     own = own.filter("path is not null").select("paper_id", "path", "content")
-    code = contract.mode == "code-dev"
+    code = contracts.code_only_of(contract.mode)
     tagged = {"code_dev_derivation": contract.tag} if contract.tag else {}
     sections = {
         "": {"schema_version": "1.4"}, "metadata": {
@@ -95,8 +95,8 @@ def task_files(packages: DataFrame, templates: dict[str, bytes], instructions: b
     fixed = papers.select("paper_id", F.explode(F.array(*(F.struct(F.lit(p).alias("path"), c.alias("content")) for p, c in made.items()))).alias("f")).select("paper_id", "f.*")
     files = own.union(fixed)
     walked = files.filter(F.split_part("path", F.lit("/"), F.lit(1)).isin("environment", "tests", "solution"))
-    sizes = walked.groupBy("paper_id").agg(F.count("*").alias("files"), F.sum(F.octet_length("content")).cast("long").alias("bytes"))
-    record = batch.resource_record(sizes.withColumns({"accelerator": F.lit(None).cast("string"), "notes": F.lit(None).cast("string")}), contract)
+    own = profile.profile_json(walked.select(F.col("paper_id").alias("set_id"), "path", F.octet_length("content").cast("long").alias("bytes")))
+    record = batch.resource_record(own.select(F.col("set_id").alias("paper_id"), F.col("json").alias("profile"), F.lit(None).cast("string").alias("accelerator"), F.lit(None).cast("string").alias("notes")), contract)
     files = files.union(record.select("paper_id", F.lit("resource_metadata.json"), F.encode("record", "utf-8")))
     return files.select(task.alias("task_id"), "path", "content")
 

@@ -114,7 +114,7 @@ def violations(lines: DataFrame, entries: DataFrame, texts: DataFrame, templates
     toml = _json(texts, "task.toml", toml=True)
     is_object = lambda path: F.startswith(F.schema_of_variant(get(path, "variant")), F.lit("OBJECT"))
     out.append(_found(toml.filter("v is null"), "TOML does not parse", "task.toml"))
-    code, tag = contract.mode == "code-dev", F.lit(contract.tag)
+    code, tag = contracts.code_only_of(contract.mode), F.lit(contract.tag)
     checks = [("TOML has no metadata", "task.toml", is_object("$.metadata"))]
     checks += [("derivation is another one", "task.toml", ~is_object("$.metadata") | get("$.metadata.code_dev_derivation", "string").eqNullSafe(tag))] if code else []
     for section in ("environment", "verifier.environment"):
@@ -137,7 +137,7 @@ def violations(lines: DataFrame, entries: DataFrame, texts: DataFrame, templates
     trees = flatten(texts.filter("path = 'tests/rubric.json'").select(F.col("task_id").alias("tree_id"), F.col("text").alias("json")))
     broken = rules.json_tree_violations(trees, code).filter("severity = 'error'")
     out.append(_found(broken.withColumnRenamed("tree_id", "task_id"), F.concat(F.lit("rubric: "), "rule"), F.coalesce("node_id", F.lit(""))))
-    stored = metadata.select(F.col("task_id").alias("set_id"), get("$.data_profile.file_count", "bigint").alias("files"), get("$.data_profile.total_bytes", "bigint").alias("bytes"))
+    stored = metadata.select(F.col("task_id").alias("set_id"), get("$.data_profile", "variant").alias("profile"))
     walked = files.filter(F.split_part("path", F.lit("/"), F.lit(1)).isin(*profile.SCOPES)).select(F.col("task_id").alias("set_id"), "path", "bytes")
     out.append(_found(contracts.profile_audit(stored, walked).withColumnRenamed("set_id", "task_id"), "data profile differs", ""))
     return reduce(DataFrame.union, out)
@@ -168,9 +168,9 @@ def template_problems(template: DataFrame) -> DataFrame:
 
 
 def resource_record(tasks: DataFrame, contract: Contract = Contract()) -> DataFrame:
-    """`tasks(task_id, accelerator, notes, files, bytes)` with `record`, the JSON of its resource metadata."""
+    """`tasks(task_id, accelerator, notes, profile)`, the JSON of `profile.profile_json`, with `record`, the JSON of its resource metadata."""
     record = F.struct(
-        F.struct(F.col("files").alias("file_count"), F.col("bytes").alias("total_bytes")).alias("data_profile"), F.struct(F.lit(contract.gpu).alias("declared_gpu_tier"), F.lit("declared").alias("method")).alias("estimator"),
+        F.try_parse_json("profile").alias("data_profile"), F.struct(F.lit(contract.gpu).alias("declared_gpu_tier"), F.lit("declared").alias("method")).alias("estimator"),
         F.struct(F.lit(1).alias("gpu_count"), F.lit(True).alias("gpu_required"), F.lit(contract.gpu).alias("gpu_tier"), profile.resource_class(F.col("accelerator"), F.col("notes")).alias("paper_resource")).alias("resource_estimate"),
         F.lit(contract.version).alias("schema_version"),
     )

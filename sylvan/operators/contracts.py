@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .profile import data_profile
+from .profile import comparable, profile_json
 from .rules import KEBAB, Rule
 
 
@@ -105,6 +105,19 @@ def tree_hash(nodes: DataFrame) -> DataFrame:
     return rows.select("tree_id", F.sha2(F.array_join(F.transform("rows", lambda r: r["own"]), ","), 256).alias("sha256"))
 
 
+def missing_outputs(entries: DataFrame, present: DataFrame, names: Iterable[str]) -> DataFrame:
+    """(paper_id, name) of every output that a stage should have left for `entries(paper_id)` and that `present(paper_id, name)` lacks."""
+    wanted = entries.select("paper_id").distinct().withColumn("name", F.explode(F.array(*map(F.lit, names))))
+    return wanted.join(present.select("paper_id", "name"), ["paper_id", "name"], "left_anti")
+
+
+def code_only_of(mode: str) -> bool:
+    """Whether only code counts; another mode than the two is refused."""
+    if mode not in ("regular", "code-dev"):
+        raise ValueError(f"no such mode: {mode!r}")
+    return mode == "code-dev"
+
+
 def option_rules() -> list[Rule]:
     """Rules of a row of options `chunk_chars, workers, paper_workers, overwrite, resume, switch_model, switch_after, papers, batch_id,
     timeouts` (array) and `total_timeout, needed`."""
@@ -171,9 +184,10 @@ def template_audit(entries: DataFrame, templates: DataFrame) -> DataFrame:
 
 
 def profile_audit(stored: DataFrame, files: DataFrame) -> DataFrame:
-    """Sets whose stored `(set_id, files, bytes)` differ from what their files give now."""
-    now = data_profile(files).select("set_id", F.col("files").alias("files_now"), F.col("bytes").alias("bytes_now"))
-    return stored.join(now, "set_id", "full_outer").filter(~(F.col("files").eqNullSafe(F.col("files_now")) & F.col("bytes").eqNullSafe(F.col("bytes_now")))).select("set_id")
+    """Sets whose stored `(set_id, profile)`, a variant, differs from what their files give now, by totals, kinds and scopes."""
+    now = profile_json(files).select("set_id", comparable(F.parse_json("json")).alias("now"))
+    held = stored.select("set_id", comparable(F.col("profile")).alias("held"))
+    return held.join(now, "set_id", "full_outer").filter(~F.col("held").eqNullSafe(F.col("now"))).select("set_id")
 
 
 def open_questions(*answers: DataFrame) -> DataFrame:

@@ -64,3 +64,21 @@ def resource_class(accelerator: Column, notes: Column) -> Column:
     gpu = r"gpu|h200|a100|h100"
     a, both = F.lower(F.coalesce(accelerator, F.lit(""))), F.lower(F.concat_ws(" ", F.coalesce(accelerator, F.lit("")), F.coalesce(notes, F.lit(""))))
     return F.when(F.contains(a, F.lit("cpu")) & ~a.rlike(gpu), "cpu_sufficient").when(both.rlike(gpu), "gpu_relevant").otherwise("gpu_required_likely")
+
+
+#: Fields of a stored profile, as maps of counts or single numbers.
+PROFILE_MAPS = {"kind_counts": "kind_counts", "kind_bytes": "kind_bytes", "scope_file_counts": "scope_counts", "scope_bytes": "scope_bytes"}
+PROFILE_TOTALS = {"file_count": "files", "total_bytes": "bytes"}
+
+
+def profile_json(files: DataFrame) -> DataFrame:
+    """`files(set_id, path, bytes)` to `(set_id, json)`: the profile as it is stored."""
+    named = [F.col(c).alias(n) for n, c in sorted({**PROFILE_MAPS, **PROFILE_TOTALS}.items())]
+    return data_profile(files).select("set_id", F.to_json(F.struct(*named)).alias("json"))
+
+
+def comparable(stored: Column) -> Column:
+    """A stored profile's totals and maps, without zeros and in order, so that equal ones are equal; null where it isn't one."""
+    get = lambda path, kind: F.try_variant_get(stored, path, kind)
+    maps = (F.array_sort(F.map_entries(F.map_filter(get(f"$.{n}", "map<string,bigint>"), lambda k, v: v != 0))).alias(n) for n in PROFILE_MAPS)
+    return F.struct(*maps, *(get(f"$.{n}", "bigint").alias(n) for n in PROFILE_TOTALS))

@@ -49,16 +49,16 @@ def leaf_scores(rows: DataFrame) -> DataFrame:
     )
 
 
-def reward_record(submissions: DataFrame, code_only: bool = False) -> DataFrame:
+def reward_record(submissions: DataFrame, code_only: bool = False, score_names: tuple[str, ...] = ("score", "weighted_score", "reward")) -> DataFrame:
     """`submissions(submission_id, valid, has_readme, has_script, leaves, requests, answered, parsed, score, weight_total, reproduction_ran, reproduction_success)` to the record:
-    an invalid submission scores 0, with all leaves invalid and nothing asked."""
+    an invalid submission scores 0, with all leaves invalid and nothing asked. `score_names`: keys that hold the same score."""
     valid = F.coalesce("valid", F.lit(False))
     formed = F.col("has_readme") if code_only else F.col("has_readme") & F.col("has_script")
     score = F.when(valid, clamped(F.col("score"))).otherwise(0.0)
     ratio = lambda n: F.when(valid, F.coalesce(F.try_divide(n, "requests"), F.lit(0.0))).otherwise(0.0)
     as_double = lambda c: c.cast("double")
     return submissions.select(
-        "submission_id", *(score.alias(n) for n in ("score", "weighted_score", "reward")),
+        "submission_id", *(score.alias(n) for n in score_names),
         F.when(~valid, 0.0).when(formed, 1.0).otherwise(0.25).alias("format"), as_double(valid).alias("submission_present"),
         ratio("answered").alias("judge_available"), ratio("parsed").alias("llm_parse_ok"), as_double(F.col("leaves")).alias("leaf_count"),
         as_double(F.when(valid, F.col("requests") - F.col("parsed")).otherwise(F.col("leaves"))).alias("invalid_leaf_count"),

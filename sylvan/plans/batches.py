@@ -6,7 +6,7 @@ import json
 
 from pyspark.sql import functions as F
 
-from ..operators import batch, packaging
+from ..operators import batch, contracts, packaging, profile
 from ..sources import files
 from ..sources.tables import table
 from .checks import _LEAF, _cases
@@ -26,9 +26,15 @@ _TEXTS = {"instruction.md": _INSTRUCTIONS, "task.toml": _TOML, "tests/judge_conf
 _TEXTS = {f: _TEXTS.get(f, f) for f in batch.FILES}
 _BYTES = {f: len(t) for f, t in _TEXTS.items()}
 _WALKED = [f for f in batch.FILES if "/" in f]
+_kind = lambda f: next((k for k, suffixes in profile.KINDS.items() if f.rpartition(".")[2] in suffixes), "binary")
+_scope = lambda f: profile.SCOPES.get(f.split("/")[0], "package")
+_tally = lambda of, value: {k: sum(value(f) for f in _WALKED if of(f) == k) for k in sorted({of(f) for f in _WALKED})}
 _RECORD = {
     "schema_version": "resource_metadata_v3", "resource_estimate": {"gpu_tier": "H200", "gpu_required": True, "gpu_count": 1}, "estimator": {"declared_gpu_tier": "H200"},
-    "data_profile": {"file_count": len(_WALKED), "total_bytes": sum(_BYTES[f] for f in _WALKED)},
+    "data_profile": {
+        "file_count": len(_WALKED), "total_bytes": sum(_BYTES[f] for f in _WALKED), "kind_counts": _tally(_kind, lambda f: 1), "kind_bytes": _tally(_kind, _BYTES.get), "scope_file_counts": _tally(_scope, lambda f: 1),
+        "scope_bytes": _tally(_scope, _BYTES.get),
+    },
 }
 _TEXTS["resource_metadata.json"] = json.dumps(_RECORD)
 #: k: (path, part of its text, what stands there instead).
@@ -113,7 +119,7 @@ def pinned_instructions(spark, sf):
 
 
 def resource_records(spark, sf):
-    tasks = table(spark, sf, "part").select("p_partkey", F.col("p_partkey").alias("task_id"), F.when(F.col("p_partkey") % 3 == 0, "CPU only").when(F.col("p_partkey") % 3 == 1, "one A100").alias("accelerator"), F.lit(None).cast("string").alias("notes"), F.col("p_size").cast("long").alias("files"), F.lit(7).cast("long").alias("bytes"))
+    tasks = table(spark, sf, "part").select("p_partkey", F.col("p_partkey").alias("task_id"), F.when(F.col("p_partkey") % 3 == 0, "CPU only").when(F.col("p_partkey") % 3 == 1, "one A100").alias("accelerator"), F.lit(None).cast("string").alias("notes"), F.concat(F.lit('{"file_count": '), "p_size", F.lit("}")).alias("profile"))
     v = F.parse_json("record")
     get = lambda p, kind: F.variant_get(v, p, kind)
     return batch.resource_record(tasks).select("p_partkey", get("$.data_profile.file_count", "bigint").alias("file_count"), get("$.resource_estimate.paper_resource", "string").alias("paper_resource"), get("$.estimator.declared_gpu_tier", "string").alias("tier"), get("$.schema_version", "string").alias("version"))
@@ -126,7 +132,24 @@ def converted_files(spark, sf):
     return written.select("task_id", "path", F.md5("text").alias("digest"))
 
 
-QUERIES = (batch_violations, batch_summary, template_guard, pinned_instructions, resource_records, converted_files)
+def stage_outputs_missing(spark, sf):
+    """Outputs of the first stage that suppliers lack: the one that suppkey % 9 names, if there is one."""
+    names = ("assets", "blacklist.txt", "config.yaml", "paper.md", "paper.pdf", "source_provenance.json", "task_metadata.json")
+    papers = table(spark, sf, "supplier").select(F.concat(F.lit("s"), "s_suppkey").alias("paper_id"), (F.col("s_suppkey") % 9).alias("k"))
+    there = papers.select("paper_id", "k", F.posexplode(F.array(*map(F.lit, names))).alias("i", "name")).filter("i <> k and k <> 8")
+    return contracts.missing_outputs(papers, there, names)
+
+
+def profile_differences(spark, sf):
+    """Documents as files of languages; a third of the languages' stored profiles have one kind wrong."""
+    d = table(spark, sf, "documents")
+    files = d.select(F.col("source").alias("set_id"), F.concat_ws("/", F.lit("tests"), F.concat("doc_id", F.when(F.col("doc_id") % 2 == 0, ".md").otherwise(".py"))).alias("path"), F.octet_length("text").cast("long").alias("bytes"))
+    odd = F.length("set_id") % 2 == 1
+    stored = profile.profile_json(files).select("set_id", F.parse_json(F.when(odd, F.replace(F.col("json"), F.lit('"image":0'), F.lit('"image":1'))).otherwise(F.col("json"))).alias("profile"))
+    return contracts.profile_audit(stored, files)
+
+
+QUERIES = (stage_outputs_missing, profile_differences, batch_violations, batch_summary, template_guard, pinned_instructions, resource_records, converted_files)
 _K = "k AS (SELECT 'task-' || s_suppkey AS task_id, 'p-' || s_suppkey AS paper_id, s_suppkey AS ord, s_suppkey % 31 AS k FROM supplier)"
 _BROKEN = "WITH " + _K + ", v AS (" + _cases("k", {
     "CAST(NULL AS VARCHAR) AS task_id, 'manifest line is no object' AS rule, CAST(ord AS VARCHAR) AS detail": "k = 1", "task_id, 'task is not in the manifest', ''": "k = 1", "task_id, 'text is missing', 'task.toml: paper_id = \"\"'": "k = 1",
@@ -143,6 +166,9 @@ _BROKEN = "WITH " + _K + ", v AS (" + _cases("k", {
     "task_id, 'data profile differs', ''": "k IN (6, 7, 8, 9, 30)",
 }) + ")"
 SQL = {
+    "stage_outputs_missing": """WITH s AS (SELECT 's' || s_suppkey AS paper_id, s_suppkey % 9 AS k FROM supplier), n AS (SELECT unnest(range(7)) AS i,
+      unnest(['assets', 'blacklist.txt', 'config.yaml', 'paper.md', 'paper.pdf', 'source_provenance.json', 'task_metadata.json']) AS name) SELECT paper_id, name FROM s, n WHERE i = k OR k = 8""",
+    "profile_differences": "SELECT DISTINCT source AS set_id FROM documents WHERE length(source) % 2 = 1",
     "batch_violations": f"{_BROKEN} SELECT * FROM v",
     "batch_summary": f"{_BROKEN} SELECT (SELECT count(*) FROM v) = 0 AS valid, (SELECT count(*) FROM v) AS violations, count(*) FILTER (k <> 1) + count(*) FILTER (k = 3) AS tasks FROM k",
     "template_guard": "WITH s AS (SELECT 't' || s_suppkey AS template_id, s_suppkey % 8 AS k FROM supplier) " + _cases("s", {

@@ -41,3 +41,16 @@ def test_file_trees_and_bytes(spark, tmp_path):
 def test_first_filled(spark):
     got = spark.createDataFrame([(" ", "${X}", "c"), ("a", "b", None)], "p string, q string, r string").select(files.first_filled("p", "q", "r").alias("v")).collect()
     assert [r.v for r in got] == ["c", "a"]
+
+
+def test_facts_of_tools(spark):
+    from sylvan.operators import contracts
+
+    got = spark.createDataFrame([("Title: x\nPages:   12\nEnd",), ("no Pages: 3",), (None,)], "t string").select(files.page_count(F.col("t")).alias("n")).collect()
+    assert [r.n for r in got] == [12, None, None]
+    assert contracts.code_only_of("code-dev") and not contracts.code_only_of("regular")
+    try:
+        contracts.code_only_of("other")
+    except ValueError:
+        return
+    raise AssertionError("another mode was taken")
