@@ -196,12 +196,15 @@ def repeats(docs: DataFrame, conf: LineDedup = LineDedup()) -> DataFrame:
     work = Workspace(docs.sparkSession, "linededup")
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("h"))
     every = work.keep(docs.mapInArrow(releasing(_units(conf)), _UNIT), "units")
-    twice = work.keep(every.groupBy("digest").agg(F.count("*").alias("n")).filter("n > 1").select("digest"), "twice")
-    again = work.keep(every.join(twice.hint("merge"), "digest"), "again")
+    n = every.count()
+    twice = work.keep(every.groupBy("digest").agg(F.count("*").alias("n")).filter("n > 1").select("digest"), "twice", n)
+    again = work.keep(every.join(twice.hint("merge"), "digest"), "again", n)
+    n = again.count()
     work.drop(every)
-    first = work.keep(again.groupBy("digest").agg(F.min(_rank()).alias("first")), "first")
+    first = work.keep(again.groupBy("digest").agg(F.min(_rank()).alias("first")), "first", n)
     later = again.join(first.hint("merge"), "digest").filter(_rank() != F.col("first"))
-    later = work.keep(later.select("doc_id", "h", "at", "size", "span", F.col("first.doc_id").alias("from_id"), F.col("first.h").alias("from_h"), F.col("first.at").alias("from_at")).distinct(), "later")
+    later = work.keep(later.select("doc_id", "h", "at", "size", "span", F.col("first.doc_id").alias("from_id"), F.col("first.h").alias("from_h"), F.col("first.at").alias("from_at")).distinct(), "later", n)
+    n = later.count()
     for done in (twice, again, first):
         work.drop(done)
 
@@ -213,11 +216,12 @@ def repeats(docs: DataFrame, conf: LineDedup = LineDedup()) -> DataFrame:
     chains = parts.groupBy(F.col("doc_id").alias("id"), F.col("h").alias("text_h"), "chain").agg(F.min(side("from_at")).alias("start"), F.max(side("from_at")).alias("last"))
     # a chain's stop is the word after its last seed, here and there
     stop = F.struct((F.col("last.at") + conf.run).alias("at"), *(f"last.{c}" for c in ("doc_id", "h", "from_id", "from_h")), (F.col("last.from_at") + conf.run).alias("from_at"))
-    chains = work.keep(chains.select("start", stop.alias("stop")), "chains")
+    chains = work.keep(chains.select("start", stop.alias("stop")), "chains", n)
+    n = chains.count()
     wanted = _ends(chains, "at", ("doc_id", "h")).union(_ends(chains, "from_at", ("from_id", "from_h"))).distinct()
     wanted = wanted.groupBy(F.col("doc_id").alias("id"), F.col("h").alias("text_h")).agg(F.collect_list("w").alias("wanted"))
     texts = docs.join(wanted.hint("merge"), F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("h") == F.col("text_h"))).select("doc_id", "h", "text", "wanted")
-    points = work.keep(texts.mapInArrow(releasing(_points(conf)), _POINT).dropDuplicates(["doc_id", "h", "w", "ahead"]), "points")
+    points = work.keep(texts.mapInArrow(releasing(_points(conf)), _POINT).dropDuplicates(["doc_id", "h", "w", "ahead"]), "points", 4 * n, 50_000)
     found = chains
     for end in ("start", "stop"):
         found = _with_point(found, points, end, ("doc_id", "h", "at"), f"{end}_near", f"{end}_places")

@@ -121,7 +121,7 @@ def numbered(rows: DataFrame, work: Workspace) -> DataFrame:
     by_part = rows.groupBy("part", *same).agg(F.count("*").alias("n"))
     earlier = F.sum("n").over(Window.partitionBy(*same).orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
     counts = by_part.withColumn("earlier", earlier).filter("earlier > 0").select("earlier", F.col("part").alias("part_"), *(F.col(c).alias(f"{c}_") for c in same))
-    counts = work.keep(counts, "earlier")
+    counts = work.keep(counts, "earlier", rows.count())
     within = F.row_number().over(Window.partitionBy("part", *same).orderBy(F.lit(0))) - 1
     on = F.col("part") == F.col("part_")
     for c in same:
@@ -147,8 +147,9 @@ def mixed(docs: DataFrame, conf: Mixing = Mixing()) -> DataFrame:
     own = F.col("h") if dict(docs.dtypes).get("h") == "bigint" else F.xxhash64("text")
     sized = docs.select(F.col("doc_id").cast("long").alias("doc_id"), own.alias("h"), "source", word_count().alias("size"), F.spark_partition_id().alias("part"))
     sized = work.keep(sized, "sized")
+    n = sized.count()
     sums = sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n"))
-    plan = work.keep(targets(sums.drop("n"), conf).withColumnRenamed("source", "s").join(sums.select("source", "n"), F.col("s").eqNullSafe(F.col("source"))).drop("s"), "plan")
+    plan = work.keep(targets(sums.drop("n"), conf).withColumnRenamed("source", "s").join(sums.select("source", "n"), F.col("s").eqNullSafe(F.col("source"))).drop("s"), "plan", 1)
     due = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     near = F.when(F.abs(due - F.round(due)) < 1e-12, F.round(due)).otherwise(due)
     blocks = F.ceil(F.col("n") / conf.block)
@@ -162,7 +163,7 @@ def mixed(docs: DataFrame, conf: Mixing = Mixing()) -> DataFrame:
     out, level = [], 0
     while True:
         last = most <= 1
-        step = work.keep(rows.groupBy("source", "block").applyInPandas(_rounder(conf.seed + 2 * level, last), _ROW), f"level{level}")
+        step = work.keep(rows.groupBy("source", "block").applyInPandas(_rounder(conf.seed + 2 * level, last), _ROW), f"level{level}", n // conf.block**level + 1, 50_000)
         out.append(step.filter("done"))
         if last:
             break

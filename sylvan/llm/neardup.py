@@ -138,56 +138,58 @@ def near_duplicates(docs: DataFrame, conf: NearDup = NearDup()) -> DataFrame:
     work = Workspace(docs.sparkSession, "neardup")
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("h"))
     sketch = work.keep(docs.mapInArrow(releasing(_sketcher(conf)), "doc_id long, h long, n_shingles long, digest binary, bands array<long>"), "sketch")
+    n = sketch.count()
 
     some = sketch.filter("n_shingles > 0 and doc_id is not null")
     least = F.min(F.struct("doc_id", "h")).alias("least")
-    classes = work.keep(some.groupBy("digest").agg(least).select("digest", F.col("least.doc_id").alias("rep"), F.col("least.h").alias("h")), "classes")
+    classes = work.keep(some.groupBy("digest").agg(least).select("digest", F.col("least.doc_id").alias("rep"), F.col("least.h").alias("h")), "classes", n)
     # the vertices: one row a class
     same = (some["digest"] == classes["digest"]) & (some["doc_id"] == classes["rep"]) & (some["h"] == classes["h"])
     vertex = some.join(classes, same).select("rep", some["h"], some["digest"], F.col("n_shingles").alias("n"), "bands")
     rows = vertex.select("rep", "h", "digest", "n", F.posexplode("bands").alias("band", "bucket"))
     shared = rows.groupBy("bucket").agg(F.count("*").alias("members")).filter("members > 1")
-    rows = work.keep(rows.join(shared, "bucket").distinct(), "shared")
+    rows = work.keep(rows.join(shared, "bucket").distinct(), "shared", n * conf.bands)
+    m = rows.count()
     weight = rows.groupBy("rep").agg(F.sum("members").alias("weight"))
-    rows, bare = work.keep(rows.join(weight, "rep").drop("members", "band"), "buckets"), rows
+    rows, bare = work.keep(rows.join(weight, "rep").drop("members", "band"), "buckets", m), rows
     work.drop(bare)
 
     # texts of vertices in shared buckets only, one row each; never a broadcast, as these grow with the input
     involved = rows.select(F.col("rep").alias("doc_id"), "h").distinct().hint("merge")
     texts = docs.join(involved, ["doc_id", "h"], "left_semi").dropDuplicates(["doc_id", "h"])
-    sets = work.keep(texts.mapInArrow(releasing(_setter(conf)), "digest binary, shingles array<long>"), "sets")
+    sets = work.keep(texts.mapInArrow(releasing(_setter(conf)), "digest binary, shingles array<long>"), "sets", min(n, m), 20_000)
 
     # every bucket is a star around its heaviest member
     hub = F.min(F.struct((-F.col("weight")).alias("light"), "rep", "n", "digest")).alias("h")
     hubs = rows.groupBy("bucket").agg(hub).select("bucket", F.col("h.rep").alias("hub"), F.col("h.digest").alias("hub_digest"), F.col("h.n").alias("hub_n"), F.col("h.light").alias("light"))
     members = rows.join(hubs, "bucket").filter("hub <> rep").select("hub", "hub_digest", "hub_n", "light", "rep", "digest", "n")
-    members = work.keep(members.distinct(), "members")
+    members = work.keep(members.distinct(), "members", m)
     stars = members.filter(_sized("hub_n", "n", conf))
 
     # a member tries its heaviest hub first
     first = stars.groupBy("rep", "digest").agg(F.min(F.struct("light", "hub", "hub_digest")).alias("h"))
-    first = work.keep(first.select(F.col("h.hub").alias("a"), F.col("h.hub_digest").alias("da"), F.col("rep").alias("b"), F.col("digest").alias("db")), "first")
-    links = work.keep(_confirmed(first, sets, conf), "links")
-    label = components(links, work)
+    first = work.keep(first.select(F.col("h.hub").alias("a"), F.col("h.hub_digest").alias("da"), F.col("rep").alias("b"), F.col("digest").alias("db")), "first", n)
+    links = work.keep(_confirmed(first, sets, conf), "links", n)
+    label = components(links, work, n)
 
     # then the other hubs of members that are still apart from them
     others = stars.select(F.col("hub").alias("a"), F.col("hub_digest").alias("da"), F.col("rep").alias("b"), F.col("digest").alias("db")).join(first, ["a", "b"], "left_anti")
-    apart = work.keep(_labelled(_labelled(others, label, "a", "ca"), label, "b", "cb").filter("ca <> cb").drop("ca", "cb"), "apart")
-    links, label = _more(links, label, apart, sets, conf, work)
+    apart = work.keep(_labelled(_labelled(others, label, "a", "ca"), label, "b", "cb").filter("ca <> cb").drop("ca", "cb"), "apart", m)
+    links, label = _more(links, label, apart, sets, conf, work, m)
 
     # and last, pairs of members of one hub that are still apart
     now = _labelled(members, label, "rep", "component")
     by_part = now.groupBy("hub", "component").agg(F.count("*").alias("m"))
     parts = by_part.groupBy("hub").agg(F.max(F.struct("m", "component")).alias("top"), F.count("*").alias("parts")).filter("parts > 1")
-    parts = work.keep(parts.select("hub", F.col("top.component").alias("main")), "parts")
-    mixed = work.keep(now.join(parts, "hub").withColumn("few", F.col("component") != F.col("main")).drop("main", "light"), "mixed")
+    parts = work.keep(parts.select("hub", F.col("top.component").alias("main")), "parts", n)
+    mixed = work.keep(now.join(parts, "hub").withColumn("few", F.col("component") != F.col("main")).drop("main", "light"), "mixed", m)
     if not mixed.isEmpty():
-        rest = work.keep(_pairs_of_differences(mixed, sets, conf, work), "rest")
-        links, label = _more(links, label, rest, sets, conf, work)
+        rest = work.keep(_pairs_of_differences(mixed, sets, conf, work), "rest", m)
+        links, label = _more(links, label, rest, sets, conf, work, m)
 
     degree = links.select(F.col("a").alias("rep")).union(links.select(F.col("b").alias("rep"))).groupBy("rep").agg(F.count("*").alias("n_links"))
     known = _labelled(classes, label, "rep", "component_id").join(degree, "rep", "left")
-    known = work.keep(known.select("digest", "component_id", F.coalesce("n_links", F.lit(0)).alias("n_links")), "known")
+    known = work.keep(known.select("digest", "component_id", F.coalesce("n_links", F.lit(0)).alias("n_links")), "known", n)
     for done in (sets, rows, members, mixed, first, apart, classes, links, label):
         work.drop(done)
     own = sketch.select("doc_id", "n_shingles", "digest").join(known, "digest", "left")
@@ -208,9 +210,10 @@ def representatives(docs: DataFrame, conf: NearDup = NearDup()) -> DataFrame:
     rows = docs.select(F.struct(*columns).alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text", h.alias("h"))
     order = [F.col("doc_id").asc_nulls_last(), "h"]
     ids = rows.select("doc_id", "h").distinct().repartitionByRange(*order).sortWithinPartitions(*order)
+    n = docs.count()
     ids = work.keep(ids.select(F.col("doc_id").alias("doc_id_"), F.col("h").alias("h_"), F.monotonically_increasing_id().alias("id")), "ids")
     named = rows.join(ids.hint("merge"), F.col("doc_id").eqNullSafe(F.col("doc_id_")) & (F.col("h") == F.col("h_")))
-    named = work.keep(named.dropDuplicates(["id"]).select("id", "row"), "named")
+    named = work.keep(named.dropDuplicates(["id"]).select("id", "row"), "named", n, 10_000)
     found = near_duplicates(named.select(F.col("id").alias("doc_id"), F.col("row.text").alias("text")), conf)
     return named.join(found.filter("kept").select(F.col("doc_id").alias("id")).hint("merge"), "id", "left_semi").select("row.*")
 
@@ -228,17 +231,17 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, conf: NearDup) -> DataFrame:
     return pairs.join(one, "db").join(two, "da").filter(near).select("a", "b")
 
 
-def _more(links: DataFrame, label: DataFrame, pairs: DataFrame, sets: DataFrame, conf: NearDup, work: Workspace) -> tuple[DataFrame, DataFrame]:
-    """The links with those among `pairs`, a written table, and their components."""
+def _more(links: DataFrame, label: DataFrame, pairs: DataFrame, sets: DataFrame, conf: NearDup, work: Workspace, rows: int) -> tuple[DataFrame, DataFrame]:
+    """The links with those among `pairs`, a written table, and their components; `rows`: links, about."""
     if pairs.isEmpty():
         return links, label
-    found = work.keep(_confirmed(pairs, sets, conf), "found")
+    found = work.keep(_confirmed(pairs, sets, conf), "found", rows)
     if found.isEmpty():
         return links, label
-    after = work.keep(links.union(found).distinct(), "links")
+    after = work.keep(links.union(found).distinct(), "links", rows)
     for done in (links, found, label):
         work.drop(done)
-    return after, components(after, work)
+    return after, components(after, work, rows)
 
 
 def _pairs_of_differences(mixed: DataFrame, sets: DataFrame, conf: NearDup, work: Workspace) -> DataFrame:
@@ -252,12 +255,12 @@ def _pairs_of_differences(mixed: DataFrame, sets: DataFrame, conf: NearDup, work
     its = sets.select(F.col("digest").alias("hub_digest"), F.col("shingles").alias("its")).hint("merge")
     differs = F.concat(F.array_except("own", "its"), F.array_except("its", "own"))
     wide = mixed.join(own, "digest").join(its, "hub_digest").select("hub", "rep", "digest", "n", "component", "few", differs.alias("differs"))
-    each = work.keep(wide.select("hub", "rep", "digest", "n", "component", "few", F.size("differs").alias("d"), F.explode("differs").alias("x")), "differences")
+    each = work.keep(wide.select("hub", "rep", "digest", "n", "component", "few", F.size("differs").alias("d"), F.explode("differs").alias("x")), "differences", 100 * mixed.count())
     common = each.groupBy("hub", "x").agg(F.count("*").alias("n_members"), F.count_if("few").alias("n_few")).filter("n_members > 1 and n_few > 0")
     by_member = Window.partitionBy("hub", "digest")
     shared = each.join(common.drop("n_few"), ["hub", "x"])
     place = F.col("d") - F.count("*").over(by_member) + F.row_number().over(by_member.orderBy("n_members", "x"))
-    early = work.keep(shared.withColumn("place", place).filter(f"place <= n * {100 - conf.percent} div {conf.percent} + 1").drop("n_members"), "early")
+    early = work.keep(shared.withColumn("place", place).filter(f"place <= n * {100 - conf.percent} div {conf.percent} + 1").drop("n_members"), "early", each.count(), 50_000)
     work.drop(each)
     one, two = early.filter("few").alias("f"), early.alias("o")
     least = F.expr(f"ceil({conf.percent} * (f.n + o.n) / {100 + conf.percent}) - (f.n + o.n - f.d - o.d) div 2")

@@ -152,7 +152,7 @@ def packed(docs: DataFrame, conf: Packing = Packing()) -> DataFrame:
     work = Workspace(docs.sparkSession, "packing")
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     ids = work.keep(docs.mapInArrow(releasing(_tokenize(conf)), "doc_id long, part long, before long, n long, ids binary"), "ids")
-    totals = work.keep(ids.groupBy("part").agg(F.sum("n").alias("total")), "totals")
+    totals = work.keep(ids.groupBy("part").agg(F.sum("n").alias("total")), "totals", 1)
     earlier = F.coalesce(F.sum("total").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     bases = totals.select("part", earlier.alias("base"))
     if totals.count() <= conf.broadcast:

@@ -227,7 +227,7 @@ def write(pages: DataFrame, folder: str, conf: Warc = Warc(), work: Workspace |
     page = F.col("page_id").cast("long")
     rows = pages.select(page.alias("page_id"), "url", html.alias("html"), (F.col("stamp") if "stamp" in pages.columns else _stamp(page)).alias("stamp"), url_key("url").alias("url_key"), F.sha1(html).alias("digest"))
     same = rows.filter(F.octet_length("html") >= conf.least).groupBy(F.col("digest").alias("same")).agg(F.max("page_id").alias("largest"), F.count("*").alias("n"))
-    same = work.keep(same.filter("n > 1 and largest is not null").drop("n"), "same")
+    same = work.keep(same.filter("n > 1 and largest is not null").drop("n"), "same", pages.count())
     same = F.broadcast(same) if same.count() <= conf.broadcast else same.hint("merge")
     both = rows.join(same, F.col("digest") == F.col("same"), "left")
     own = (F.octet_length("html") < conf.least) | F.col("largest").isNull() | F.coalesce(F.col("page_id") == F.col("largest"), F.lit(False))
@@ -239,7 +239,9 @@ def write(pages: DataFrame, folder: str, conf: Warc = Warc(), work: Workspace |
 def merge(index: DataFrame, conf: Warc = Warc()) -> DataFrame:
     """The runs, a written table, as one index, ordered by URL key, timestamp and page: `part` numbers the ranges, `place` the
     entries of one."""
-    n = max(1, -(-index.count() // conf.run), int(index.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    rows = index.count()
+    # as many ranges as bound a task's entries, and up to the session's number of partitions where each still has some thousands
+    n = max(1, -(-rows // conf.run), min(rows // 10_000, int(index.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
     own = index.withColumn("run", F.concat_ws("-", "run", F.spark_partition_id()))  # a run may be read in several tasks
     return own.repartitionByRange(n, "url_key", "stamp", F.col("page_id").asc_nulls_first(), "archive", "at").mapInArrow(_merger, _MERGED)
 

@@ -41,7 +41,11 @@ class Workspace:
             spark.conf.set(size, BATCH)
         atexit.register(self.clear)
 
-    def keep(self, df: DataFrame, label: str) -> DataFrame:
+    def keep(self, df: DataFrame, label: str, rows: int | None = None, each: int = 500_000) -> DataFrame:
+        """`rows`: about how many there are at most; then no more files are written than hold `each` rows, as a small table in a file for
+        each shuffle partition costs more to create, list and open than to compute."""
+        if rows is not None:
+            df = df.coalesce(max(1, -(-rows // each)))
         self._n += 1
         at = f"{self.path}/{self._n:03d}-{label}"
         df.write.mode("overwrite").parquet(at)
