@@ -43,6 +43,10 @@ class NearDup:
     rows: int = 6
 
 
+#: Rows with texts or sets that one task at most takes at once where it could take more.
+WIDE = 10_000
+
+
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, size: int) -> list[np.ndarray]:
     """Sorted distinct shingle hashes of each row. A row with fewer words has its whole sequence as one shingle."""
     data = LOWER[data]
@@ -157,7 +161,7 @@ def near_duplicates(docs: DataFrame, conf: NearDup = NearDup()) -> DataFrame:
     # texts of vertices in shared buckets only, one row each; never a broadcast, as these grow with the input
     involved = rows.select(F.col("rep").alias("doc_id"), "h").distinct().hint("merge")
     texts = docs.join(involved, ["doc_id", "h"], "left_semi").dropDuplicates(["doc_id", "h"])
-    sets = work.keep(texts.mapInArrow(releasing(_setter(conf)), "digest binary, shingles array<long>"), "sets", min(n, m), 20_000)
+    sets = work.keep(texts.mapInArrow(releasing(_setter(conf)), "digest binary, shingles array<long>"), "sets", min(n, m), WIDE)
 
     # every bucket is a star around its heaviest member
     hub = F.min(F.struct((-F.col("weight")).alias("light"), "rep", "n", "digest")).alias("h")
@@ -169,7 +173,7 @@ def near_duplicates(docs: DataFrame, conf: NearDup = NearDup()) -> DataFrame:
     # a member tries its heaviest hub first
     first = stars.groupBy("rep", "digest").agg(F.min(F.struct("light", "hub", "hub_digest")).alias("h"))
     first = work.keep(first.select(F.col("h.hub").alias("a"), F.col("h.hub_digest").alias("da"), F.col("rep").alias("b"), F.col("digest").alias("db")), "first", n)
-    links = work.keep(_confirmed(first, sets, conf), "links", n)
+    links = work.keep(_confirmed(first, sets, conf), "links", n, WIDE)
     label = components(links, work, n)
 
     # then the other hubs of members that are still apart from them
@@ -213,7 +217,7 @@ def representatives(docs: DataFrame, conf: NearDup = NearDup()) -> DataFrame:
     n = docs.count()
     ids = work.keep(ids.select(F.col("doc_id").alias("doc_id_"), F.col("h").alias("h_"), F.monotonically_increasing_id().alias("id")), "ids")
     named = rows.join(ids.hint("merge"), F.col("doc_id").eqNullSafe(F.col("doc_id_")) & (F.col("h") == F.col("h_")))
-    named = work.keep(named.dropDuplicates(["id"]).select("id", "row"), "named", n, 10_000)
+    named = work.keep(named.dropDuplicates(["id"]).select("id", "row"), "named", n, WIDE)
     found = near_duplicates(named.select(F.col("id").alias("doc_id"), F.col("row.text").alias("text")), conf)
     return named.join(found.filter("kept").select(F.col("doc_id").alias("id")).hint("merge"), "id", "left_semi").select("row.*")
 
@@ -235,7 +239,7 @@ def _more(links: DataFrame, label: DataFrame, pairs: DataFrame, sets: DataFrame,
     """The links with those among `pairs`, a written table, and their components; `rows`: links, about."""
     if pairs.isEmpty():
         return links, label
-    found = work.keep(_confirmed(pairs, sets, conf), "found", rows)
+    found = work.keep(_confirmed(pairs, sets, conf), "found", rows, WIDE)
     if found.isEmpty():
         return links, label
     after = work.keep(links.union(found).distinct(), "links", rows)
