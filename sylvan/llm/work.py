@@ -29,6 +29,12 @@ def shared_root(spark: SparkSession) -> str:
 BATCH = 16 << 20
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    size = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if int(spark.conf.get(size).removesuffix("b")) > BATCH:
+        spark.conf.set(size, BATCH)
+
+
 class Workspace:
     """One run's folder below the shared root. `keep` writes a DataFrame there and reads it back."""
 
@@ -36,9 +42,7 @@ class Workspace:
         self.spark = spark
         self.path = f"{shared_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
         self._n = 0
-        size = "spark.sql.execution.arrow.maxBytesPerBatch"
-        if int(spark.conf.get(size).removesuffix("b")) > BATCH:
-            spark.conf.set(size, BATCH)
+        bounded_batches(spark)
         atexit.register(self.clear)
 
     def keep(self, df: DataFrame, label: str, rows: int | None = None, each: int = 500_000) -> DataFrame:
