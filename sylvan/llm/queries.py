@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fim, jpeg, kdtree, licences, linededup, mixing, neardup, packing, secrets, toxicity, warc
+from . import fim, jpeg, kdtree, licences, linededup, mixing, neardup, packing, secrets, spelling, toxicity, warc
 from .work import table
 
 
@@ -60,10 +60,14 @@ def op12_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fim.digest(fim.transformed(table(spark, sf_dir, "documents")))
 
 
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = (op1_neardup, op2_licences, op3_warc, op4_secrets, op5_toxicity, op6_mixing, op7_linededup, op8_kdtree, op9_jpeg, op10_packing, op12_fim)
+    own = (op1_neardup, op2_licences, op3_warc, op4_secrets, op5_toxicity, op6_mixing, op7_linededup, op8_kdtree, op9_jpeg, op10_packing, op12_fim, op13_spelling)
     return {f.__name__: f for f in own}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_neardup": neardup.SQL, "op2_licences": licences.SQL, "op3_warc": warc.SQL, "op4_secrets": secrets.SQL, "op8_kdtree": kdtree.SQL, "op12_fim": fim.SQL}
+    return {"op1_neardup": neardup.SQL, "op2_licences": licences.SQL, "op3_warc": warc.SQL, "op4_secrets": secrets.SQL, "op8_kdtree": kdtree.SQL, "op12_fim": fim.SQL, "op13_spelling": spelling.SQL}
