@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fim, jpeg, kdtree, licences, linededup, mixing, neardup, packing, secrets, spelling, toxicity, warc
+from . import fim, jpeg, kdtree, licences, linededup, mixing, neardup, packing, pii, secrets, spelling, toxicity, warc
 from .work import table
 
 
@@ -56,6 +56,11 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(table(spark, sf_dir, "documents"))
 
 
+def op11_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return pii.digest(pii.scan(docs, pii.train(docs)))
+
+
 def op12_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fim.digest(fim.transformed(table(spark, sf_dir, "documents")))
 
@@ -65,7 +70,7 @@ def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = (op1_neardup, op2_licences, op3_warc, op4_secrets, op5_toxicity, op6_mixing, op7_linededup, op8_kdtree, op9_jpeg, op10_packing, op12_fim, op13_spelling)
+    own = (op1_neardup, op2_licences, op3_warc, op4_secrets, op5_toxicity, op6_mixing, op7_linededup, op8_kdtree, op9_jpeg, op10_packing, op11_pii, op12_fim, op13_spelling)
     return {f.__name__: f for f in own}
 
 
