@@ -4,14 +4,16 @@ notices by the Dice coefficient of word pairs.
 Lines, blanks and punctuation don't count, so it is all one whether a notice is wrapped, stands alone or inside a longer line.
 A template with m pairs is compared with the windows of m pairs that begin at one of its own pairs (shorter at the end of the
 text). Size bounds decide first: with b distinct pairs in the template, a Dice coefficient of at least d needs d / (2 - d) * b
-of them in the text, so a text with fewer known pairs is compared with no window of that template. Of each template's
-windows the nearest counts, the first of equal ones. A window that overlaps one of another template gives way if the other has
+of them in the text, so a text with fewer known pairs is compared with no window of that template. Every occurrence of a
+template counts: a window gives way to a nearer one of the same template that begins less than half the template's length from it (of equals to the earlier one). A window that overlaps one of another template gives way if the other has
 more in common, less the pairs that only the window or only the template has; so a whole text wins over a sentence of it
-(of equals the nearer wins, then the earlier in the list). A template that occurs several times in a text is
-found once, at its nearest place.
+(of equals the nearer wins, then the earlier in the list).
+
+A window looks at its own pairs alone, as at most m hits follow its first one within it, and windows of other templates are looked for among the
+few that can stand so near; so the work is the words times a template's length, however often a notice occurs.
 
 Everything happens within a row: nothing is shuffled and nothing leaves the JVM. Nulls: a null text is empty and has no licence; a
-null doc_id keeps its row. Repeated rows give repeated rows. Further columns are ignored."""
+null doc_id keeps its row. Repeated rows give repeated rows. An empty table gives no rows. Further columns are ignored."""
 
 from __future__ import annotations
 
@@ -138,6 +140,7 @@ def matches(text: Column, conf: Licences = Licences()) -> Column:
     templates = ", ".join(
         f"named_struct('place', {i}, 'licence', '{name}', 'm', {m}, 'b', {len(own)}, 'pairs', array({_quoted(own)}))" for i, (name, m, own) in enumerate(TEMPLATES)
     )
+    enough = lambda t, n: n * (200 - d) >= t["b"] * d
     in_step = lambda column, step: F.transform(F.array(column), step)[0]  # noqa: E731  a value that is used more than once
 
     def found(p: Column) -> Column:
@@ -146,31 +149,46 @@ def matches(text: Column, conf: Licences = Licences()) -> Column:
 
     def nearest(p: Column, hits: Column) -> Column:
         kinds = F.array_distinct(F.transform(hits, lambda x: x["p"]))
-        enough = lambda t, n: n * (200 - d) >= t["b"] * d
         some = in_step(kinds, lambda k: F.filter(F.expr(f"array({templates})"), lambda t: enough(t, F.size(k)) & enough(t, F.size(F.array_intersect(k, t["pairs"])))))
-        return F.filter(F.transform(some, lambda t: in_step(F.filter(hits, lambda x: F.array_contains(t["pairs"], x["p"])), lambda own: best(p, t, own))), lambda x: x.isNotNull())
-
-    def best(p: Column, t: Column, own: Column) -> Column:
-        def window(s: Column) -> Column:
-            inside = F.array_distinct(F.transform(F.filter(own, lambda y: (y["i"] >= s["i"]) & (y["i"] < s["i"] + t["m"])), lambda y: y["p"]))
-            whole = F.slice(p, s["i"] + 1, t["m"])
-            sizes = F.struct(F.size(inside).alias("common"), (F.size(F.array_distinct(whole)) + t["b"]).alias("total"), F.size(whole).alias("n"))
-            return in_step(sizes, lambda z: F.when(
-                z["common"] * 200 >= z["total"] * d,
-                F.struct((z["common"] / z["total"]).alias("half"), (-s["i"]).alias("first"), (-t["place"]).alias("order"), t["licence"].alias("licence"),
-                    s["i"].cast("long").alias("start"), (s["i"] + z["n"] + 1).cast("long").alias("stop"), z["common"].alias("common"), z["total"].alias("total")),
+        return F.flatten(F.transform(some, lambda t: in_step(F.filter(hits, lambda x: F.array_contains(t["pairs"], x["p"])), lambda own: occurrences(windows(p, t, own), t))))
+
+    def windows(p: Column, t: Column, own: Column) -> Column:
+        """The windows that are near enough, in order of their start."""
+
+        def window(s: Column, k: Column) -> Column:
+            inside = F.array_distinct(F.transform(F.filter(F.slice(own, k + 1, t["m"]), lambda y: y["i"] < s["i"] + t["m"]), lambda y: y["p"]))
+            return in_step(F.size(inside), lambda common: F.when(enough(t, common), in_step(F.slice(p, s["i"] + 1, t["m"]), lambda whole: sized(s, common, whole))))
+
+        def sized(s: Column, common: Column, whole: Column) -> Column:
+            return in_step(F.size(F.array_distinct(whole)) + t["b"], lambda total: F.when(
+                common * 200 >= total * d,
+                F.struct((common / total).alias("half"), (-t["place"]).alias("order"), t["licence"].alias("licence"), s["i"].cast("long").alias("start"),
+                    (s["i"] + F.size(whole) + 1).cast("long").alias("stop"), common.alias("common"), total.alias("total"), t["m"].alias("m")),
             ))
 
-        return F.array_max(F.filter(F.transform(own, window), lambda x: x.isNotNull()))
+        return F.filter(F.transform(own, window), lambda x: x.isNotNull())
 
-    def clear(all_: Column) -> Column:
+    def occurrences(near: Column, t: Column) -> Column:
+        better = lambda y, x: (y["half"] > x["half"]) | (y["half"] == x["half"]) & (y["start"] < x["start"])
+        close = lambda y, x: F.abs(y["start"] - x["start"]) * 2 < t["m"]
+        half = F.floor(t["m"] / 2).cast("int") + 1
+        beside = lambda all_, k: F.slice(all_, F.greatest(k - half, F.lit(0)) + 1, 2 * half + 1)
+        return in_step(near, lambda all_: F.filter(all_, lambda x, k: ~F.exists(beside(all_, k), lambda y: better(y, x) & close(y, x))))
+
+    def clear(found_: Column) -> Column:
         worth = lambda z: F.struct(3 * z["common"] - z["total"], z["half"], z["order"])
         over = lambda y, x: (y["start"] < x["stop"]) & (x["start"] < y["stop"])
-        kept = F.filter(all_, lambda x: ~F.exists(all_, lambda y: (worth(y) > worth(x)) & over(y, x)))
-        return F.array_sort(F.transform(kept, lambda x: F.struct(*(x[c].alias(c) for c in ("start", "stop", "licence", "common", "total")))))
+        by_start = F.array_sort(F.transform(found_, lambda x: F.struct(x["start"].alias("start"), x["stop"].alias("stop"), *(x[c].alias(c) for c in ("licence", "common", "total", "half", "order", "m")))))
+        # windows of one template begin at least half its length apart, so no more than these begin within the length of another
+        longest, least = (lambda all_: F.array_max(F.transform(all_, lambda x: x["stop"] - x["start"]))), (lambda all_: F.array_min(F.transform(all_, lambda x: x["m"])))
+        reach = lambda all_: F.size(F.array_distinct(F.transform(all_, lambda x: x["order"]))) * (F.floor(2 * longest(all_) / least(all_)).cast("int") + 2)
+        beside = lambda all_, k, r: F.slice(all_, F.greatest(k - r, F.lit(0)) + 1, 2 * r + 1)
+        kept = lambda all_, r: F.filter(all_, lambda x, k: ~F.exists(beside(all_, k, r), lambda y: (worth(y) > worth(x)) & over(y, x)))
+        chosen = in_step(by_start, lambda all_: in_step(reach(all_), lambda r: kept(all_, r)))
+        return F.transform(chosen, lambda x: F.struct(*(x[c].alias(c) for c in ("start", "stop", "licence", "common", "total"))))
 
     none = F.array().cast("array<struct<start:bigint,stop:bigint,licence:string,common:int,total:int>>")
-    return F.coalesce(in_step(in_step(pairs, found), lambda x: F.when(x.isNotNull(), clear(x))), none)
+    return F.coalesce(in_step(in_step(pairs, found), lambda x: F.when(F.size(x) > 0, clear(x))), none)
 
 
 def scan(docs: DataFrame, conf: Licences = Licences()) -> DataFrame:
@@ -199,8 +217,12 @@ c AS (
   GROUP BY ALL HAVING common * 120 >= s.b * 80
 ),
 d AS (SELECT c.*, len(list_distinct(p[i + 1:i + m])) + b AS total, len(p[i + 1:i + m]) AS n FROM c JOIN p USING (doc_id)),
-r AS (SELECT *, i AS start, i + n + 1 AS stop, common / total AS half, 3 * common - total AS worth, row_number() OVER (PARTITION BY doc_id, place ORDER BY common / total DESC, i) AS r FROM d WHERE common * 200 >= total * 80),
-best AS (SELECT * FROM r WHERE r = 1),
+r AS (SELECT *, i AS start, i + n + 1 AS stop, common / total AS half, 3 * common - total AS worth FROM d WHERE common * 200 >= total * 80),
+best AS (
+  SELECT * FROM r x WHERE NOT EXISTS (
+    SELECT 1 FROM r y WHERE y.doc_id = x.doc_id AND y.place = x.place AND 2 * abs(y.i - x.i) < x.m AND (y.half > x.half OR y.half = x.half AND y.i < x.i)
+  )
+),
 k AS (
   SELECT * FROM best x WHERE NOT EXISTS (
     SELECT 1 FROM best y WHERE y.doc_id = x.doc_id AND y.start < x.stop AND x.start < y.stop 
