@@ -79,7 +79,7 @@ def task_files(packages: DataFrame, templates: dict[str, bytes], instructions: b
     tagged = {"code_dev_derivation": contract.tag} if contract.tag else {}
     sections = {
         "": {"schema_version": "1.4"}, "metadata": {
-            "construction_format": "native_rollout_task_v1", "paper_id": F.col("paper_id"), "native_task_id": F.col("paper_id"), "reference_solution_available": False, "scoring_method": "llm_rubric_judge",
+            "source_native_contract": "paperbench_authored_task_v1", "resource_metadata_version": contract.version, "gpu_tier": contract.gpu, "construction_format": "native_rollout_task_v1", "paper_id": F.col("paper_id"), "native_task_id": F.col("paper_id"), "reference_solution_available": False, "scoring_method": "llm_rubric_judge",
             "rubric_mode": contract.mode, "code_only": code, "gpu_count": 1, **tagged,
         },
         "environment": {"workdir": "/home", "gpus": 1}, "verifier": {"environment_mode": "separate"}, "verifier.environment": {"workdir": "/tests", "gpus": 1},

@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.text import strict_json
 from . import models
 
 #: Names of the calls, and stages by the order in which they follow each other.
@@ -39,7 +40,7 @@ def in_order(results: DataFrame) -> DataFrame:
 
 def joined_lists(results: DataFrame, field: str) -> DataFrame:
     """`field`, a list of texts in each answer's JSON, of all answers of a paper one after the other."""
-    own = F.coalesce(F.try_variant_get(F.try_parse_json("answer"), f"$.{field}", "array<string>"), F.array().cast("array<string>"))
+    own = F.coalesce(F.try_variant_get(strict_json(F.col("answer")), f"$.{field}", "array<string>"), F.array().cast("array<string>"))
     rows = results.select("paper_id", "stage", "ord", own.alias("found"))
     listed = F.array_sort(F.collect_list(F.struct("stage", "ord", "found")))
     return rows.groupBy("paper_id").agg(F.flatten(F.transform(listed, lambda x: x["found"])).alias(field))

@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import toml_as_json
+from ..functions.text import strict_json, toml_as_json
 from . import contracts, packaging, profile, rules
 
 #: What a task's folders hold, and which of its files may be run.
@@ -25,16 +25,20 @@ FOLDERS = {
 FILES = tuple(f"{folder}/{name}".lstrip("/") for folder, names in FOLDERS.items() for name in names if name not in ("tests", "solution", "environment", "assets"))
 EXECUTABLES = ("tests/test.sh", "tests/llm_rubric_judge.py", "solution/reproduce.sh")
 DOCKERFILES = ("environment/Dockerfile", "tests/Dockerfile")
-#: Texts that a file must hold (True) or must not (False); `{paper_id}` is the task's.
+#: Texts that a file must hold (True) or must not (False); `{paper_id}` is the task's, `{gpu}` and `{version}` the contract's.
 FRAGMENTS = [
     ("instruction.md", "/home/paper", True), ("instruction.md", "/home/submission", True),
-    ("task.toml", 'schema_version = "1.4"', True), ("task.toml", 'artifacts = ["/home/submission"]', True), ("task.toml", 'construction_format = "native_rollout_task_v1"', True),
+    ("task.toml", 'schema_version = "1.4"', True), ("task.toml", 'artifacts = ["/home/submission"]', True), ("task.toml", 'source_native_contract = "paperbench_authored_task_v1"', True), ("task.toml", 'construction_format = "native_rollout_task_v1"', True),
     ("task.toml", 'paper_id = "{paper_id}"', True), ("task.toml", 'native_task_id = "{paper_id}"', True), ("task.toml", "reference_solution_available = false", True),
-    ("task.toml", 'scoring_method = "llm_rubric_judge"', True), ("task.toml", "gpu_count = 1", True), ("task.toml", 'environment_mode = "separate"', True), ("task.toml", 'workdir = "/tests"', True),
+    ("task.toml", 'scoring_method = "llm_rubric_judge"', True), ("task.toml", 'resource_metadata_version = "{version}"', True), ("task.toml", 'gpu_tier = "{gpu}"', True), ("task.toml", "gpu_count = 1", True), ("task.toml", 'environment_mode = "separate"', True), ("task.toml", 'workdir = "/tests"', True),
     ("task.toml", 'workdir = "/home"', True), ("task.toml", "LLM_API_KEY", False), ("task.toml", "LLM_BASE_URL", False),
+    ("task.toml", 'JUDGE_LLM_API_KEY = "${', False), ("task.toml", 'JUDGE_LLM_BASE_URL = "${', False),
+    ("tests/llm_rubric_judge.py", "def score_rubric_tree(", True), ("tests/llm_rubric_judge.py", "def grade_leaf_requests(", True),
+    ("tests/llm_rubric_judge.py", 'parser.add_argument("--submission-validation", type=Path, required=True)', True), ("tests/llm_rubric_judge.py", 'parser_invalid_reason = "leaf score must be exactly 0 or 1"', True),
     ("tests/llm_rubric_judge.py", 'api_key = env_value("JUDGE_LLM_API_KEY")', True), ("tests/llm_rubric_judge.py", 'base_url = env_value("JUDGE_LLM_BASE_URL")', True),
     ("tests/llm_rubric_judge.py", "ThreadPoolExecutor", True), ("tests/llm_rubric_judge.py", '"temperature"', False), ("tests/llm_rubric_judge.py", "'temperature'", False),
     ("tests/test.sh", "MAX_COMMITTED_BYTES = 1_000_000_000", True), ("tests/test.sh", '"tracked_worktree_clean"', True), ("tests/test.sh", '"committed_size_ok"', True),
+    ("tests/test.sh", 'git -C "${CLEAN_SUBMISSION_DIR}" clean -fd', True), ("tests/test.sh", '--submission-validation "${LOGS_DIR}/preflight.json"', True), ("tests/test.sh", '--submission-dir "${CLEAN_SUBMISSION_DIR}"', True),
 ]
 MODE_FRAGMENTS = {
     "regular": [("instruction.md", "for a maximum runtime of 7 days", True), ("instruction.md", "NVIDIA H200 GPU", True), ("instruction.md", "NVIDIA A10 GPU", False), ("task.toml", 'rubric_mode = "regular"', True), ("task.toml", "code_only = false", True)],
@@ -55,7 +59,7 @@ class Contract:
 
 def manifest_rows(lines: DataFrame) -> DataFrame:
     """`lines(ord, line)` to `(ord, task_id, paper_id, problem)`."""
-    rows = lines.withColumn("v", F.try_parse_json("line"))
+    rows = lines.withColumn("v", strict_json(F.col("line")))
     is_object = F.coalesce(F.startswith(F.schema_of_variant("v"), F.lit("OBJECT")), F.lit(False))
     own = F.array_sort(F.map_keys(F.try_variant_get("v", "$", "map<string,variant>")))
     problem = F.when(~is_object, "manifest line is no object").when(own != F.array(*map(F.lit, sorted(packaging.MANIFEST_KEYS))), "manifest keys differ")
@@ -76,7 +80,7 @@ def _over(rows: DataFrame, checks: list[tuple[str, str, Column]]) -> DataFrame:
 
 def _json(texts: DataFrame, path: str, toml: bool = False) -> DataFrame:
     text = toml_as_json("text") if toml else F.col("text")
-    return texts.filter(F.col("path") == path).select("task_id", F.try_parse_json(text).alias("v"))
+    return texts.filter(F.col("path") == path).select("task_id", strict_json(text).alias("v"))
 
 
 def violations(lines: DataFrame, entries: DataFrame, texts: DataFrame, templates: DataFrame, instructions_sha256: str, flatten: Callable[[DataFrame], DataFrame], contract: Contract = Contract()) -> DataFrame:
@@ -104,7 +108,8 @@ def violations(lines: DataFrame, entries: DataFrame, texts: DataFrame, templates
     out.append(_found(contracts.mode_audit(entries, EXECUTABLES), "mode differs", F.col("path")))
 
     # texts that must or must not be there
-    pinned = [*FRAGMENTS, *MODE_FRAGMENTS[contract.mode], *contract.fragments]
+    own = {"{gpu}": contract.gpu, "{version}": contract.version}
+    pinned = [(file, reduce(lambda t, k: t.replace(k, own[k]), own, needle), wanted) for file, needle, wanted in (*FRAGMENTS, *MODE_FRAGMENTS[contract.mode], *contract.fragments)]
     needles = entries.sparkSession.createDataFrame(pinned, "file string, needle string, wanted boolean")
     with_paper = texts.withColumnRenamed("path", "file").join(named.dropDuplicates(["task_id"]).select("task_id", "paper_id"), "task_id", "left")
     broken = rules.text_rules(with_paper, needles, ["task_id"], F.replace(F.col("needle"), F.lit("{paper_id}"), F.coalesce("paper_id", F.lit(""))))
@@ -162,7 +167,7 @@ def template_problems(template: DataFrame) -> DataFrame:
     needed = ("solution/README.md", "solution/reproduce.sh", "tests/judge_config.json", "tests/llm_rubric_judge.py", "tests/test.sh")
     every = template.select("template_id").distinct().withColumn("path", F.explode(F.array(*map(F.lit, needed))))
     absent = every.join(template.select("template_id", "path"), ["template_id", "path"], "left_anti").select("template_id", F.concat(F.lit("missing "), "path").alias("problem"))
-    title = F.try_variant_get(F.try_parse_json("text"), "$.title", "string")
+    title = F.try_variant_get(strict_json(F.col("text")), "$.title", "string")
     untitled = template.filter((F.col("path") == "tests/judge_config.json") & (F.coalesce(title, F.lit("")) == "")).select("template_id", F.lit("judge has no title").alias("problem"))
     return absent.union(untitled)
 

@@ -127,7 +127,7 @@ def option_rules() -> list[Rule]:
         Rule("chunk is too small", least("chunk_chars", 10_000)), Rule("no worker", least("workers", 1)), Rule("no worker for papers", least("paper_workers", 1)),
         Rule("overwrite and resume exclude each other", F.col("overwrite") & F.col("resume")), Rule("half of a model switch", switch != F.col("switch_after").isNotNull()),
         Rule("switch does not split the list", switch & ~F.coalesce((F.col("switch_after") > 0) & (F.col("switch_after") < F.col("papers")), F.lit(True))),
-        Rule("batch id is not of its form", ~F.coalesce(F.col("batch_id").rlike(r"^[A-Za-z0-9][A-Za-z0-9_-]*$"), F.lit(False))),
+        Rule("batch id is not of its form", ~F.coalesce(F.col("batch_id").rlike(r"^[0-9]{8}-[0-9]{6}$"), F.lit(False))),
         Rule("timeout is not positive", F.exists("timeouts", lambda t: ~F.coalesce(t > 0, F.lit(False)))), Rule("total timeout does not suffice", F.col("total_timeout") < F.col("needed")),
     ]
 

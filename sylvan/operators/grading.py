@@ -20,17 +20,11 @@ def excerpts(rows: DataFrame, parts: dict[str, int]) -> DataFrame:
     return rows.withColumns({name: truncated(F.col(name), most) for name, most in parts.items()})
 
 
-def leaf_weight(weight: Column) -> Column:
-    """A weight as the judge counts it: what is no number, negative or not finite is 0."""
-    number = F.coalesce(weight.try_cast("double"), F.lit(0.0))
-    return F.when(F.isnan(number) | (number < 0), 0.0).otherwise(number)
-
-
 def compact_leaves(nodes: DataFrame, code_only: bool = False) -> DataFrame:
     """`(tree_id, leaf_id, requirements, weight, task_category)` of the leaves that are asked."""
     found = tree.leaves(nodes)
     found = found.filter(F.col("task_category") == tree.CATEGORIES[0]) if code_only else found
-    return found.select("tree_id", F.coalesce("node_id", F.lit("")).alias("leaf_id"), F.coalesce("requirements", F.lit("")).alias("requirements"), leaf_weight(F.col("weight")).alias("weight"), "task_category")
+    return found.select("tree_id", F.coalesce("node_id", F.lit("")).alias("leaf_id"), F.coalesce("requirements", F.lit("")).alias("requirements"), tree.sound_weight(F.col("weight")).alias("weight"), "task_category")
 
 
 def mode_guidance(code_only: Column) -> Column:
@@ -59,21 +53,22 @@ def graded(submissions: DataFrame, nodes: DataFrame, answers: DataFrame, code_on
     """Leaves and records of submissions: `submissions(submission_id, tree_id, valid, has_readme, has_script, failed, reproduction_ran,
     reproduction_success)`, `nodes` as in `tree`, `answers(submission_id, leaf_id, response, error)`.
 
-    An invalid submission is asked nothing; an answer that failed or doesn't hold its leaf's score counts 0 and reaches no
-    other leaf; `failed` tells that grading as a whole broke off, then the score is 0 and all leaves are invalid."""
+    An invalid submission is asked nothing; an answer that failed, holds no JSON object or neither a list nor its leaf is none; one without its leaf's
+    score counts 0, and none reaches another leaf: entries of others are passed over; `failed` tells that grading as a whole broke off, then the score is 0 and all leaves are invalid."""
     nodes = tree.prune_to(nodes) if code_only else nodes
     leaves = compact_leaves(nodes, code_only)
     sizes = leaves.groupBy("tree_id").agg(F.count("*").alias("leaves"), F.sum("weight").alias("weight_total"))
     whole = F.coalesce("valid", F.lit(False)) & ~F.coalesce("failed", F.lit(False))
     asked = submissions.filter(whole).select("submission_id", "tree_id").join(leaves, "tree_id").join(answers, ["submission_id", "leaf_id"], "left")
     key = F.concat_ws("\x1f", "submission_id", "leaf_id")
-    told = asked.filter("error is null and response is not null")
-    parsed = score.response_rows(told.select("leaf_id", F.col("submission_id").alias("ord"), "response"))
+    asked = asked.withColumn("told", F.col("error").isNull() & F.coalesce(score.readable(F.col("response"), F.col("leaf_id")), F.lit(False)))
+    told = asked.filter("told")
+    parsed = score.response_rows(told.select("leaf_id", F.col("submission_id").alias("ord"), "response")).filter("found_id = leaf_id")
     # one answer a leaf and submission: the submission stands in for the order, and the pair for the leaf
     parsed = parsed.select(F.concat_ws("\x1f", "ord", "leaf_id").alias("leaf_id"), F.lit(0).alias("ord"), "pos", F.concat_ws("\x1f", "ord", "found_id").alias("found_id"), "score")
     values = score.leaf_scores(parsed).select(F.col("leaf_id").alias("key"), "score", "invalid")
     rows = asked.withColumn("key", key).join(values, "key", "left")
-    available = F.col("error").isNull() & F.col("response").isNotNull()
+    available = F.col("told")
     rows = rows.select("submission_id", "tree_id", "leaf_id", F.coalesce("score", F.lit(0.0)).alias("score"), available.alias("judge_available"), (available & F.coalesce(F.col("invalid") == 0, F.lit(False))).alias("llm_parse_ok"))
     own = submissions.filter(whole).select("submission_id", "tree_id").join(nodes, "tree_id").drop("tree_id").withColumnRenamed("submission_id", "tree_id")
     total = tree.tree_scores(own, rows.select(F.col("submission_id").alias("tree_id"), F.col("leaf_id").alias("node_id"), "score")).filter("depth = 0")

@@ -19,19 +19,29 @@ def clamped(x: Column) -> Column:
     return F.when(F.isnan(x), 0.0).otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), x)))
 
 
+def _parts(v: Column, leaf_id: Column) -> tuple[Column, Column, Column]:
+    """What a response's object can be to a leaf: a list of entries, the leaf's own entry, or a map that holds it; each null if it isn't."""
+    get = lambda path, kind: F.try_variant_get(v, path, kind)
+    listed = F.coalesce(get("$.leaves", "array<variant>"), get("$.items", "array<variant>"))
+    own = F.when(F.coalesce(F.nullif(get("$.leaf_id", "string"), F.lit("")), get("$.id", "string")) == leaf_id, F.array(v))
+    by_id = F.try_element_at(get("$", "map<string,variant>"), leaf_id)
+    return listed, own, F.when(F.startswith(F.schema_of_variant(by_id), F.lit("OBJECT")), F.array(by_id))
+
+
+def readable(response: Column, leaf_id: Column) -> Column:
+    """Whether a response holds a list of entries or one for the leaf."""
+    return F.coalesce(*_parts(json_object(response), leaf_id)).isNotNull()
+
+
 def response_rows(responses: DataFrame) -> DataFrame:
     """`responses(leaf_id, ord, response)` to `(leaf_id, ord, pos, found_id, score, rationale)`, one row a scored leaf that
     a response holds: a list under `leaves` or `items`, the object itself, or a map by leaf id. Any other response is one
     row, with whatever id it has."""
     with_object = responses.withColumn("v", json_object(F.col("response")))
-    get = lambda path, kind: F.try_variant_get("v", path, kind)
-    listed = F.coalesce(get("$.leaves", "array<variant>"), get("$.items", "array<variant>"))
-    own = F.when(F.coalesce(get("$.leaf_id", "string"), get("$.id", "string")) == F.col("leaf_id"), F.array("v"))
-    by_id = F.try_element_at(get("$", "map<string,variant>"), F.col("leaf_id"))
-    mapped = F.when(by_id.isNotNull(), F.array(by_id))
+    listed, own, mapped = _parts(F.col("v"), F.col("leaf_id"))
     rows = with_object.select("leaf_id", "ord", (listed.isNull() & own.isNull() & mapped.isNotNull()).alias("keyed"), F.posexplode(F.coalesce(listed, own, mapped, F.array("v"))).alias("pos", "x"))
     field = lambda name, kind: F.try_variant_get("x", f"$.{name}", kind)
-    found = F.coalesce(field("leaf_id", "string"), field("id", "string"), F.when(F.col("keyed"), F.col("leaf_id")))
+    found = F.coalesce(F.nullif(field("leaf_id", "string"), F.lit("")), field("id", "string"), F.when(F.col("keyed"), F.col("leaf_id")))
     number = F.schema_of_variant(field("score", "variant")).rlike("^(BIGINT|DOUBLE|DECIMAL)")
     score = F.when(number, field("score", "double"))
     return rows.select("leaf_id", "ord", "pos", found.alias("found_id"), score.alias("score"), F.substring(field("rationale", "string"), 1, RATIONALE).alias("rationale"))

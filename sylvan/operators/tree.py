@@ -37,6 +37,12 @@ def _has_paths(nodes: DataFrame) -> bool:
     return dict(nodes.dtypes).get("path") == "array<string>"
 
 
+def sound_weight(weight: Column) -> Column:
+    """A weight as a judge counts it: what is no number or negative is 0."""
+    number = F.coalesce(weight.try_cast("double"), F.lit(0.0))
+    return F.when(F.isnan(number) | (number < 0), 0.0).otherwise(number)
+
+
 def sibling_shares(nodes: DataFrame, sound_sums: bool = False) -> DataFrame:
     """`share`: the weight over its siblings' sum; 1 for a root, 0 in a group without weight. With `sound_sums` only weights that are
     finite and not negative are summed."""
@@ -69,18 +75,18 @@ def effective_weights(nodes: DataFrame, depth: int | None = None, sound_sums: bo
 def tree_scores(nodes: DataFrame, scores: DataFrame, depth: int | None = None) -> DataFrame:
     """Weighted means from the leaves up: `(tree_id, node_id, depth, score)` of every node.
 
-    `scores(tree_id, node_id, score)`; a leaf without a score has 0. A group without weight scores 0 but keeps its own
+    `scores(tree_id, node_id, score)`; a leaf without a score has 0. Weights count as in `sound_weight`. A group without weight scores 0 but keeps its own
     weight in its parent."""
     depth = depth_of(nodes) if depth is None else depth
     own = nodes.join(scores.select(*KEY, F.col("score").alias("own")), KEY, "left")
-    below, levels = None, []
+    counted, below, levels = sound_weight(F.col("weight")), None, []
     for d in range(depth, -1, -1):
         level = own.filter(F.col("depth") == d)
         if below is None:
             scored = level.withColumn("score", F.coalesce("own", F.lit(0.0)))
         else:
             means = below.groupBy("tree_id", F.col("parent_id").alias("node_id")).agg(
-                F.coalesce(F.try_divide(F.sum(F.col("weight") * F.col("score")), F.sum("weight")), F.lit(0.0)).alias("mean")
+                F.coalesce(F.try_divide(F.sum(counted * F.col("score")), F.sum(counted)), F.lit(0.0)).alias("mean")
             )
             scored = level.join(means, KEY, "left").withColumn("score", F.coalesce("mean", "own", F.lit(0.0))).drop("mean")
         below = scored

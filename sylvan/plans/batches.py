@@ -1,4 +1,4 @@
-"""Queries over packaged batches: a task for each supplier, with a fault by suppkey % 31, so that SQL can say what must be found."""
+"""Queries over packaged batches: a task for each supplier, with a fault by suppkey % 38, so that SQL can say what must be found."""
 
 from __future__ import annotations
 
@@ -12,9 +12,46 @@ from ..sources.tables import table
 from .checks import _LEAF, _cases
 
 _INSTRUCTIONS = "Read /home/paper and write to /home/submission; it runs for a maximum runtime of 7 days on an NVIDIA H200 GPU."
-_HEAD = [x for f, x, wanted in [*batch.FRAGMENTS, *batch.MODE_FRAGMENTS["regular"]] if f == "task.toml" and wanted and "workdir" not in x]
-_TOML = "\n".join([*_HEAD, "[metadata]", 'kind = "x"', "[environment]", 'workdir = "/home"', "gpus = 1", 'gpu_types = ["H200"]', "[verifier.environment]", 'workdir = "/tests"', "gpus = 1", 'gpu_types = ["H200"]', ""])
-_held = lambda name: "\n".join(x for f, x, wanted in batch.FRAGMENTS if f == name and wanted)
+#: A task without a fault, written by hand: what the contract asks of its files is not read from the catalogue that is tested on it.
+_HEAD = """schema_version = "1.4"
+artifacts = ["/home/submission"]
+source_native_contract = "paperbench_authored_task_v1"
+construction_format = "native_rollout_task_v1"
+paper_id = "{paper_id}"
+native_task_id = "{paper_id}"
+reference_solution_available = false
+scoring_method = "llm_rubric_judge"
+rubric_mode = "regular"
+code_only = false
+resource_metadata_version = "resource_metadata_v3"
+gpu_tier = "H200"
+gpu_count = 1
+environment_mode = "separate"
+"""
+_TOML = _HEAD + """[metadata]
+kind = "x"
+[environment]
+workdir = "/home"
+gpus = 1
+gpu_types = ["H200"]
+[verifier.environment]
+workdir = "/tests"
+gpus = 1
+gpu_types = ["H200"]
+"""
+_JUDGE_PY = """from concurrent.futures import ThreadPoolExecutor
+api_key = env_value("JUDGE_LLM_API_KEY")
+base_url = env_value("JUDGE_LLM_BASE_URL")
+parser.add_argument("--submission-validation", type=Path, required=True)
+def score_rubric_tree(): ...
+def grade_leaf_requests(): ...
+parser_invalid_reason = "leaf score must be exactly 0 or 1"
+"""
+_TEST_SH = """MAX_COMMITTED_BYTES = 1_000_000_000
+git -C "${CLEAN_SUBMISSION_DIR}" clean -fd
+echo "tracked_worktree_clean" "committed_size_ok"
+judge --submission-validation "${LOGS_DIR}/preflight.json" --submission-dir "${CLEAN_SUBMISSION_DIR}"
+"""
 _TREE = (
     '{"id": "root", "requirements": "r", "weight": 1, "sub_tasks": ['
     + ", ".join(_LEAF.format(id=f"leaf-{n}", cat=c) for n, c in enumerate(("Code Development", "Code Execution", "Result Analysis")))
@@ -22,7 +59,7 @@ _TREE = (
 )
 _JUDGE = {"rubric_mode": "regular", "code_only": False, "request_mode": "per_leaf", "max_workers": 100}
 #: Texts of a task without a fault; others hold their own name.
-_TEXTS = {"instruction.md": _INSTRUCTIONS, "task.toml": _TOML, "tests/judge_config.json": json.dumps(_JUDGE), "tests/rubric.json": _TREE, "tests/llm_rubric_judge.py": _held("tests/llm_rubric_judge.py"), "tests/test.sh": _held("tests/test.sh")}
+_TEXTS = {"instruction.md": _INSTRUCTIONS, "task.toml": _TOML, "tests/judge_config.json": json.dumps(_JUDGE), "tests/rubric.json": _TREE, "tests/llm_rubric_judge.py": _JUDGE_PY, "tests/test.sh": _TEST_SH}
 _TEXTS = {f: _TEXTS.get(f, f) for f in batch.FILES}
 _BYTES = {f: len(t) for f, t in _TEXTS.items()}
 _WALKED = [f for f in batch.FILES if "/" in f]
@@ -42,16 +79,18 @@ _EDITS = {
     10: ("instruction.md", "Read", "Do read"), 11: ("instruction.md", "7 days", "9 days"), 12: ("tests/test.sh", "MAX", "# MAX"), 13: ("task.toml", "[metadata]", "[metadata"), 14: ("task.toml", "gpu_count = 1", "gpu_count = 2"),
     15: ("task.toml", "[metadata]", "# LLM_BASE_URL\n[metadata]"), 16: ("task.toml", "[verifier.environment]\nworkdir = \"/tests\"\ngpus = 1", "[verifier.environment]\nworkdir = \"/tests\"\ngpus = 2"), 17: ("task.toml", "[metadata]", "[other]"),
     18: ("tests/judge_config.json", "regular", "code-dev"), 19: ("tests/judge_config.json", "100", "0"), 20: ("tests/judge_config.json", "per_leaf", "all"),
-    21: ("tests/rubric.json", '"weight": 1, "sub_tasks": [], "task_category": "Result', '"weight": -1, "sub_tasks": [], "task_category": "Result'), 22: ("tests/llm_rubric_judge.py", "ThreadPoolExecutor", "ThreadPoolExecutor(\"temperature\")"),
+    21: ("tests/rubric.json", '"weight": 1, "sub_tasks": [], "task_category": "Result', '"weight": -1, "sub_tasks": [], "task_category": "Result'), 22: ("tests/llm_rubric_judge.py", "ThreadPoolExecutor\n", "ThreadPoolExecutor, \"temperature\"\n"),
     23: ("tests/llm_rubric_judge.py", "ThreadPoolExecutor", "Thread"), 24: ("tests/test.sh", '"committed_size_ok"', "x"), 26: ("resource_metadata.json", "_v3", "_v2"), 27: ("resource_metadata.json", '"gpu_tier": "H200"', '"gpu_tier": "A10"'),
     28: ("resource_metadata.json", "true", "false"), 29: ("resource_metadata.json", '"declared_gpu_tier": "H200"', '"declared_gpu_tier": "A10"'), 30: ("resource_metadata.json", '"file_count": ', '"file_count": 1'),
+    31: ("task.toml", "source_native_contract", "native_contract"), 32: ("task.toml", 'gpu_tier = "H200"', 'gpu_tier = "A10"'), 33: ("tests/llm_rubric_judge.py", "def score_rubric_tree(", "def other("), 34: ("tests/llm_rubric_judge.py", "exactly 0 or 1", "0 or 1"),
+    35: ("tests/test.sh", "clean -fd", "clean -n"), 36: ("tests/test.sh", "--submission-dir", "--folder"), 37: ("tests/judge_config.json", "}", "} and {}"),
 }
 _DROPPED = {7: "solution/README.md"}
 _ADDED = {5: "notes.txt", 6: "tests/x.py", 8: "environment/paper/x", 9: "environment/Dockerfile"}
 
 
 def _tasks(spark, sf):
-    return table(spark, sf, "supplier").select((F.col("s_suppkey") % 31).cast("int").alias("k"), F.concat(F.lit("task-"), "s_suppkey").alias("task_id"), F.concat(F.lit("p-"), "s_suppkey").alias("paper_id"), F.col("s_suppkey").alias("ord"))
+    return table(spark, sf, "supplier").select((F.col("s_suppkey") % 38).cast("int").alias("k"), F.concat(F.lit("task-"), "s_suppkey").alias("task_id"), F.concat(F.lit("p-"), "s_suppkey").alias("paper_id"), F.col("s_suppkey").alias("ord"))
 
 
 def batch_tables(spark, sf):
@@ -150,19 +189,23 @@ def profile_differences(spark, sf):
 
 
 QUERIES = (stage_outputs_missing, profile_differences, batch_violations, batch_summary, template_guard, pinned_instructions, resource_records, converted_files)
-_K = "k AS (SELECT 'task-' || s_suppkey AS task_id, 'p-' || s_suppkey AS paper_id, s_suppkey AS ord, s_suppkey % 31 AS k FROM supplier)"
+_K = "k AS (SELECT 'task-' || s_suppkey AS task_id, 'p-' || s_suppkey AS paper_id, s_suppkey AS ord, s_suppkey % 38 AS k FROM supplier)"
 _BROKEN = "WITH " + _K + ", v AS (" + _cases("k", {
     "CAST(NULL AS VARCHAR) AS task_id, 'manifest line is no object' AS rule, CAST(ord AS VARCHAR) AS detail": "k = 1", "task_id, 'task is not in the manifest', ''": "k = 1", "task_id, 'text is missing', 'task.toml: paper_id = \"\"'": "k = 1",
     "task_id, 'text is missing', 'task.toml: native_task_id = \"\"'": "k = 1",
     "task_id, 'manifest keys differ', CAST(ord AS VARCHAR)": "k = 2", "task_id, 'task id is not unique', ''": "k = 3", "task_id, 'task has no folder', ''": "k = 4",
     "task_id, 'entry is extra', 'notes.txt'": "k = 5", "task_id, 'entry is extra', 'tests/x.py'": "k = 6", "task_id, 'entry is missing', 'solution/README.md'": "k = 7", "task_id, 'required file is missing', 'solution/README.md'": "k = 7",
     "task_id, 'entry is extra', 'environment/paper/x'": "k = 8", "task_id, 'Dockerfile is there', 'environment/Dockerfile'": "k = 9", "task_id, 'instructions differ', ''": "k IN (10, 11)",
-    "task_id, 'text is missing', 'instruction.md: for a maximum runtime of 7 days'": "k = 11", "task_id, 'file differs from its template', 'tests/test.sh'": "k IN (12, 24)", "task_id, 'TOML does not parse', 'task.toml'": "k = 13",
+    "task_id, 'text is missing', 'instruction.md: for a maximum runtime of 7 days'": "k = 11", "task_id, 'file differs from its template', 'tests/test.sh'": "k IN (12, 24, 35, 36)", "task_id, 'TOML does not parse', 'task.toml'": "k = 13",
     "task_id, 'text is missing', 'task.toml: gpu_count = 1'": "k = 14", "task_id, 'text is forbidden', 'task.toml: LLM_BASE_URL'": "k = 15", "task_id, 'one GPU is asked', 'verifier.environment'": "k = 16", "task_id, 'TOML has no metadata', 'task.toml'": "k = 17",
-    "task_id, 'judge has another mode', ''": "k = 18", "task_id, 'judge has no workers', ''": "k = 19", "task_id, 'judge does not ask leaf by leaf', ''": "k = 20", "task_id, 'rubric: weight is negative or not finite', 'leaf-2'": "k = 21", "task_id, 'rubric: effective weights do not sum to 1', ''": "k = 21",
-    "task_id, 'text is forbidden', 'tests/llm_rubric_judge.py: \"temperature\"'": "k = 22", "task_id, 'file differs from its template', 'tests/llm_rubric_judge.py'": "k IN (22, 23)",
+    "task_id, 'judge has another mode', ''": "k IN (18, 37)", "task_id, 'judge has no workers', ''": "k IN (19, 37)", "task_id, 'judge does not ask leaf by leaf', ''": "k IN (20, 37)", "task_id, 'rubric: weight is negative or not finite', 'leaf-2'": "k = 21", "task_id, 'rubric: effective weights do not sum to 1', ''": "k = 21",
+    "task_id, 'text is forbidden', 'tests/llm_rubric_judge.py: \"temperature\"'": "k = 22", "task_id, 'file differs from its template', 'tests/llm_rubric_judge.py'": "k IN (22, 23, 33, 34)",
     "task_id, 'text is missing', 'tests/llm_rubric_judge.py: ThreadPoolExecutor'": "k = 23", "task_id, 'text is missing', 'tests/test.sh: \"committed_size_ok\"'": "k = 24", "task_id, 'mode differs', 'task.toml'": "k = 25",
     "task_id, 'resource record is of another version', ''": "k = 26", "task_id, 'GPU tier is another one', 'estimate'": "k = 27", "task_id, 'one GPU is asked', 'estimate'": "k = 28", "task_id, 'GPU tier is another one', 'estimator'": "k = 29",
+    "task_id, 'text is missing', 'task.toml: source_native_contract = \"paperbench_authored_task_v1\"'": "k = 31", "task_id, 'text is missing', 'task.toml: gpu_tier = \"H200\"'": "k = 32",
+    "task_id, 'text is missing', 'tests/llm_rubric_judge.py: def score_rubric_tree('": "k = 33", "task_id, 'text is missing', 'tests/llm_rubric_judge.py: parser_invalid_reason = \"leaf score must be exactly 0 or 1\"'": "k = 34",
+    "task_id, 'text is missing', 'tests/test.sh: git -C \"${CLEAN_SUBMISSION_DIR}\" clean -fd'": "k = 35", "task_id, 'text is missing', 'tests/test.sh: --submission-dir \"${CLEAN_SUBMISSION_DIR}\"'": "k = 36",
+    "task_id, 'judge grades other code', ''": "k = 37", 
     "task_id, 'data profile differs', ''": "k IN (6, 7, 8, 9, 30)",
 }) + ")"
 SQL = {

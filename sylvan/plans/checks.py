@@ -200,7 +200,7 @@ def option_checks(spark, sf):
     rows = table(spark, sf, "part").select(
         k, F.when(k % 11 == 1, 9999).otherwise(10_000).alias("chunk_chars"), F.when(k % 11 == 2, 0).otherwise(1).alias("workers"), F.when(k % 11 != 3, F.lit(2)).alias("paper_workers"), (k % 11 == 4).alias("overwrite"),
         (k % 22 == 4).alias("resume"), F.when(k % 11 > 4, F.lit("m")).alias("switch_model"), F.when((k % 11 > 5), k % 11 - 6).cast("long").alias("switch_after"), F.lit(4).alias("papers"),
-        F.when(k % 13 == 1, F.lit("a b")).otherwise("20260101-x").alias("batch_id"), F.array(F.lit(5), k % 13 - 2).alias("timeouts"), F.lit(100).alias("total_timeout"), (k % 17 + 90).alias("needed"),
+        F.when(k % 13 == 1, F.lit("a b")).otherwise("20260101-120000").alias("batch_id"), F.array(F.lit(5), k % 13 - 2).alias("timeouts"), F.lit(100).alias("total_timeout"), (k % 17 + 90).alias("needed"),
     )
     return rules.violations(rows, contracts.option_rules(), ["p_partkey"]).select("p_partkey", "rule")
 

@@ -135,9 +135,11 @@ def _grading(spark, sf):
     leaves = c.select(own("c_nationkey"), F.concat(F.lit("c"), "c_custkey"), F.lit("root"), F.lit(1), (1 + F.col("c_custkey") % 3).cast("long"), F.col("c_mktsegment"), category)
     k = F.col("n_nationkey")
     submissions = n.select(F.concat(F.lit("s"), k).alias("submission_id"), own("n_nationkey").alias("tree_id"), (k % 4 != 1).alias("valid"), (k % 5 != 1).alias("has_readme"), (k % 3 != 1).alias("has_script"), (k % 7 == 5).alias("failed"), (k % 2 == 0).alias("reproduction_ran"), (k % 4 == 0).alias("reproduction_success"))
-    j, leaf = F.col("c_custkey") % 6, F.concat(F.lit("c"), "c_custkey")
+    j, leaf = F.col("c_custkey") % 10, F.concat(F.lit("c"), "c_custkey")
     say = lambda name, value: F.concat(F.lit('{"leaf_id": "'), name, F.lit(f'", "score": {value}}}'))
     response = F.when(j == 0, say(leaf, "1")).when(j == 1, say(leaf, "0")).when(j == 2, say(leaf, "0.5")).when(j == 3, say(F.lit("x"), "1")).when(j == 4, F.lit("no JSON"))
+    both = lambda *entries: F.concat(F.lit('{"leaves": ['), F.concat_ws(", ", *entries), F.lit("]}"))
+    response = response.when(j == 6, both(say(F.lit("x"), "0"), say(leaf, "1"))).when(j == 7, both(say(F.lit("x"), "1"))).when(j == 8, F.concat(say(leaf, "1"), F.lit(" and "), say(leaf, "0"))).when(j == 9, both(say(leaf, "1"), say(leaf, "0")))
     answers = c.filter(F.col("c_custkey") % 12 != 11).select(F.concat(F.lit("s"), "c_nationkey").alias("submission_id"), leaf.alias("leaf_id"), response.alias("response"), F.when(j == 5, "late").alias("error"))
     return submissions, root.union(leaves), answers
 
@@ -211,8 +213,8 @@ _ANSWERED = _CALLS + """, got AS (
     CASE WHEN call = 'matrix' THEN ['m', 'n'] WHEN call = 'review' THEN [] ELSE ['q' || CAST(substr(call, 9) AS BIGINT)] END AS found FROM calls WHERE call IN ('matrix', 'review') OR stage = 4
 )"""
 _GRADED = """l AS (
-  SELECT 's' || c_nationkey AS submission_id, c_nationkey AS k, 'c' || c_custkey AS leaf_id, c_custkey % 6 AS j, c_custkey % 12 <> 11 AS there, CAST(1 + c_custkey % 3 AS DOUBLE) AS w, c_custkey % 3 = 0 AS code FROM customer
-), q AS (SELECT *, CASE WHEN j = 0 AND there THEN 1.0 ELSE 0.0 END AS score, there AND j < 5 AS ok, there AND j IN (0, 1) AS parsed FROM l)"""
+  SELECT 's' || c_nationkey AS submission_id, c_nationkey AS k, 'c' || c_custkey AS leaf_id, c_custkey % 10 AS j, c_custkey % 12 <> 11 AS there, CAST(1 + c_custkey % 3 AS DOUBLE) AS w, c_custkey % 3 = 0 AS code FROM customer
+), q AS (SELECT *, CASE WHEN j IN (0, 6, 9) AND there THEN 1.0 ELSE 0.0 END AS score, there AND j IN (0, 1, 2, 6, 7, 9) AS ok, there AND j IN (0, 1, 6) AS parsed FROM l)"""
 SQL = {
     "source_resolution": """WITH p AS (SELECT page_id, CASE WHEN page_id % 3 = 0 THEN 'local/' || page_id END AS l, CASE WHEN page_id % 5 <> 0 THEN trim(url) END AS u FROM pages),
       r AS (SELECT *, CASE WHEN l IS NOT NULL THEN CASE WHEN page_id % 7 = 0 THEN 'local source is missing' END WHEN u IS NULL THEN 'no source' WHEN page_id % 4 = 0 THEN 'offline forbids a download' END AS problem FROM p)

@@ -118,6 +118,12 @@ def tree_score_zero_weight_group(spark, sf):
     return _rounded(tree.tree_scores(order_tree(spark, sf, ZERO), order_scores(spark, sf), 4), 2)
 
 
+def tree_score_odd_weights(spark, sf):
+    """A quarter of the nodes of every level has a negative weight, a quarter none; both count as 0."""
+    odd = F.when((F.col("depth") > 0) & (F.col("ord") % 4 == 1), -F.col("weight")).when((F.col("depth") == 0) | (F.col("ord") % 4 != 2), F.col("weight"))
+    return _rounded(tree.tree_scores(order_tree(spark, sf).withColumn("weight", odd), order_scores(spark, sf), 4), 3)
+
+
 def document_tree(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", "lang", "source")
     row = lambda node, parent, depth, w: (F.lit("D").alias("tree_id"), node.alias("node_id"), parent.alias("parent_id"), F.lit(depth).alias("depth"), w.cast("long").alias("weight"))
@@ -298,7 +304,7 @@ def branch_subtree_zip(spark, sf):
 
 
 QUERIES = (
-    tree_adjacency, sibling_share, effective_leaf_weight, effective_weight_sum_check, tree_score, tree_score_zero_weight_group, doc_tree_score_missing_zero, code_only_prune, code_only_score,
+    tree_adjacency, sibling_share, effective_leaf_weight, effective_weight_sum_check, tree_score, tree_score_zero_weight_group, tree_score_odd_weights, doc_tree_score_missing_zero, code_only_prune, code_only_score,
     leaf_contexts, tree_stats, category_histogram, depth_histogram, batch_scale_stats, judge_waves, rule_violations, weight_plan_apply, weight_plan_audit, branch_subtree_zip,
 )
 _SCORED = "SELECT node_id, depth, round(score, 6) AS score FROM scored WHERE depth <= 2"
@@ -309,6 +315,8 @@ SQL = {
     "effective_leaf_weight": f"WITH {tree_sql()}, {effective_sql(4)}, {LEAVES.format(t='eff')} SELECT node_id, round(effective, 12) AS effective FROM leaves",
     "effective_weight_sum_check": f"WITH {tree_sql()}, {effective_sql(4)}, {LEAVES.format(t='eff')} SELECT tree_id, round(sum(effective), 6) AS total, abs(sum(effective) - 1) <= 1e-8 AS valid FROM leaves GROUP BY tree_id",
     "tree_score": f"WITH {tree_sql()}, {score_sql(4, ORDER_SCORES)} {_SCORED}",
+    "tree_score_odd_weights": f"""WITH {tree_sql()}, odd AS (SELECT * REPLACE (CASE WHEN depth > 0 AND ord % 4 IN (1, 2) THEN 0 ELSE weight END AS weight) FROM tree), {score_sql(4, ORDER_SCORES, "odd")}
+      SELECT node_id, depth, round(score, 6) AS score FROM scored WHERE depth <= 3""",
     "tree_score_zero_weight_group": f"WITH {tree_sql(ZERO)}, {score_sql(4, ORDER_SCORES)} {_SCORED}",
     "doc_tree_score_missing_zero": f"WITH {DOC_TREE}, {score_sql(3, 'SELECT DISTINCT ' + repr('D') + ' AS tree_id, CAST(doc_id AS VARCHAR) AS node_id, CAST(quality AS DOUBLE) AS score FROM labels')} {_SCORED}",
     "code_only_prune": f"WITH {tree_sql()}, {PRUNED} SELECT node_id, parent_id, depth, weight, task_category FROM pruned",

@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.text import truncated
+from ..functions.text import strict_json, truncated
 
 
 def file_tree(spark: SparkSession, folder: str) -> DataFrame:
@@ -33,12 +33,12 @@ def capped_text(content: Column, most: int) -> Column:
 def json_documents(spark: SparkSession, path: str) -> DataFrame:
     """`(path, value)`: one variant a file, null where it doesn't parse."""
     whole = spark.read.text(path, wholetext=True)
-    return whole.select(F.col("_metadata.file_path").alias("path"), F.try_parse_json("value").alias("value"))
+    return whole.select(F.col("_metadata.file_path").alias("path"), strict_json(F.col("value")).alias("value"))
 
 
 def json_lines(spark: SparkSession, path: str, keys: tuple[str, ...] | None = None) -> DataFrame:
     """`(line, value, error)`: each line's object; an error where it isn't one, or where its keys aren't exactly `keys`."""
-    rows = spark.read.text(path).filter(F.trim("value") != "").select(F.col("value").alias("line"), F.try_parse_json("value").alias("value"))
+    rows = spark.read.text(path).filter(F.trim("value") != "").select(F.col("value").alias("line"), strict_json(F.col("value")).alias("value"))
     is_object = F.coalesce(F.schema_of_variant("value").startswith("OBJECT"), F.lit(False))
     error = F.when(~is_object, F.lit("no object"))
     if keys is not None:

@@ -93,7 +93,7 @@ def _package(folder, tree):
 
 def test_packages_become_a_batch(spark, tmp_path):
     from sylvan import drivers
-    from sylvan.plans.batches import _HEAD, _TREE, _held
+    from sylvan.plans.batches import _HEAD, _JUDGE_PY, _TEST_SH, _TREE
 
     for paper in ("a-paper", "b-paper"):
         _package(tmp_path / "in" / paper, _TREE.encode())
@@ -101,7 +101,7 @@ def test_packages_become_a_batch(spark, tmp_path):
     report, found, valid = drivers.validate(spark, root, ["a-paper", "c-paper"])
     assert [tuple(r) for r in found.filter("paper_id = 'a-paper'").collect()] == []
     assert not valid and {(r.paper_id, r.valid) for r in report.collect()} == {("a-paper", True), ("c-paper", False)} and found.filter("rule = 'no package'").count() == 1
-    templates = {"solution/README.md": b"r", "solution/reproduce.sh": b"s", "tests/test.sh": _held("tests/test.sh").encode(), "tests/llm_rubric_judge.py": _held("tests/llm_rubric_judge.py").encode()}
+    templates = {"solution/README.md": b"r", "solution/reproduce.sh": b"s", "tests/test.sh": _TEST_SH.encode(), "tests/llm_rubric_judge.py": _JUDGE_PY.encode()}
     text = b"Read /home/paper, write to /home/submission, for a maximum runtime of 7 days on an NVIDIA H200 GPU"
     manifest = drivers.convert(spark, root, target, "b1", "papers", templates, text)
     assert manifest.count() == 2 and _HEAD and len(list((tmp_path / "out" / "tasks").iterdir())) == 2

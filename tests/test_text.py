@@ -82,3 +82,21 @@ def test_publish_is_all_or_nothing(spark, tmp_path):
 def test_safe_name(spark):
     got = spark.range(1).select(packaging.safe_name(F.lit("--a b/c..d--")).alias("n")).first().n
     assert got == re.sub(r"[^a-zA-Z0-9._-]+", "-", "--a b/c..d--").strip("-")
+
+
+def test_strict_json_is_the_whole_text(spark):
+    import json
+
+    from sylvan.functions.text import strict_json
+
+    good = ['{"a": 1}', ' {"a": "}{]["} \n', '[1, {"b": "\\"}"}]', '{"a": {"b": [1, [2]]}}', '"x y"', "12.5", "true", "null", '{"k": "\\\\"}', "[]", "{}", '{"s": NaN, "t": [-Infinity, 1]}']
+    bad = ['{"a":1} and {"b":2}', '{"a":1} junk', '{"a":1}{"b":2}', '{"a":1}"', '{"a":1}"}', "[1] [2]", "1 2", '{"a":1}]', "{", "", "x", '{"task_id":"x"}, 1', '{"a":1}\\"']
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(good + bad)], "i int, t string").select("i", "t", F.to_json(strict_json(F.col("t"))).alias("v"), strict_json(F.col("t")).isNull().alias("none"))
+    for r in rows.collect():
+        if r.i < len(good):
+            want = json.loads(r.t.replace("NaN", "null").replace("-Infinity", "null"))
+            assert not r.none and json.loads(r.v) == want, r.t
+        else:
+            assert r.none, r.t
+            with pytest.raises(ValueError):
+                json.loads(r.t)
