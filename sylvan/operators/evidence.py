@@ -59,7 +59,8 @@ def snippets(files: DataFrame, budget: Budget = Budget()) -> DataFrame:
     before = Window.partitionBy("submission_id").orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
     used = F.coalesce(F.sum(F.coalesce(F.length("cut"), F.lit(0))).over(before), F.lit(0))
     # what would be cut after the budget is used up adds to the sum, but nothing after it counts either way
-    return ranked(files, budget).withColumn("cut", cut).withColumn("used", used).withColumn("snippet", F.when(F.col("used") < budget.total, F.col("cut"))).drop("cut", "text")
+    # what is cut off goes before anything is sorted or moved
+    return ranked(files.withColumn("cut", cut).drop("text"), budget).withColumn("used", used).withColumn("snippet", F.when(F.col("used") < budget.total, F.col("cut"))).drop("cut")
 
 
 def evidence_text(files: DataFrame, budget: Budget = Budget()) -> DataFrame:

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -53,10 +57,29 @@ def digests(files: DataFrame) -> DataFrame:
 
 
 def fingerprint(files: DataFrame, digits: int = 40) -> DataFrame:
-    """`files(set_id, label, content)` to a digest over the labelled contents in order of label."""
-    part = F.concat(F.encode("label", "utf-8"), F.lit(b"\0"), F.col("content").cast("binary"), F.lit(b"\0"))
-    joined = F.aggregate(F.array_sort(F.collect_list(F.struct("label", part.alias("part")))), F.lit(b""), lambda s, x: F.concat(s, x["part"]))
-    return files.groupBy("set_id").agg(F.substring(F.sha2(joined, 256), 1, digits).alias("fingerprint"))
+    """`files(set_id, label, content)` to a digest over the labelled contents in order of label, of equal labels by content. A set's rows pass one after
+    the other through the digest, so no more than a batch of contents is held, however large a set is."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, state, ids, done = None, None, [], []
+        for batch in batches:
+            for set_id, label, content in zip(*(batch.column(c) for c in ("set_id", "label", "content")), strict=True):
+                set_id = set_id.as_py()
+                if state is None or set_id != now:
+                    if state is not None:
+                        ids.append(now)
+                        done.append(state.hexdigest()[:digits])
+                    now, state = set_id, hashlib.sha256()
+                state.update((label.as_py() or "").encode() + b"\0")
+                state.update(memoryview(content.as_buffer()) if content.is_valid else b"")
+                state.update(b"\0")
+        if state is not None:
+            ids.append(now)
+            done.append(state.hexdigest()[:digits])
+        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.string()), pa.array(done, pa.string())], ["set_id", "fingerprint"])
+
+    rows = files.select(F.col("set_id").cast("string").alias("set_id"), "label", F.col("content").cast("binary").alias("content"))
+    return rows.repartition("set_id").sortWithinPartitions("set_id", "label", F.sha2("content", 256)).mapInArrow(run, "set_id string, fingerprint string")
 
 
 def resource_class(accelerator: Column, notes: Column) -> Column:

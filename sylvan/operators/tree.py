@@ -137,6 +137,26 @@ def leaf_contexts(nodes: DataFrame, separator: str = " > ") -> DataFrame:
     return ends.join(joined, KEY, "left").withColumn("context", context).drop("c")
 
 
+def as_json(nodes: DataFrame, depth: int | None = None) -> DataFrame:
+    """`(tree_id, json)`: each tree as nested JSON, put together level by level from the deepest; children in order of `ord`."""
+    depth = depth_of(nodes) if depth is None else depth
+    quoted = lambda c: F.regexp_replace(F.to_json(F.array(c)), r"(?s)^\[(.*)\]$", "$1")
+    number = F.col("weight").cast("double")
+    weight = F.when(number == F.floor(number), F.floor(number).cast("string")).otherwise(number.cast("string"))
+    below, roots = None, None
+    for d in range(depth, -1, -1):
+        level = nodes.filter(F.col("depth") == d)
+        level = level.withColumn("kids", F.lit("")) if below is None else level.join(below, KEY, "left")
+        text = F.concat(
+            F.lit('{"id": '), quoted(F.col("node_id")), F.lit(', "requirements": '), quoted(F.col("requirements")), F.lit(', "weight": '), F.coalesce(weight, F.lit("null")), F.lit(', "sub_tasks": ['), F.coalesce("kids", F.lit("")),
+            F.lit('], "task_category": '), quoted(F.col("task_category")), F.lit(', "finegrained_task_category": '), quoted(F.col("fine_category")), F.lit("}"),
+        )
+        own = level.withColumn("json", text)
+        below = own.filter("parent_id IS NOT NULL").groupBy("tree_id", F.col("parent_id").alias("node_id")).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("ord", "json"))), lambda x: x["json"]), ", ").alias("kids"))
+        roots = own.filter("parent_id IS NULL").select("tree_id", "json")
+    return roots
+
+
 def tree_stats(nodes: DataFrame) -> DataFrame:
     """Counts of one tree each: nodes, leaves, greatest depth, top branches and single-child parents."""
     children = nodes.filter("parent_id is not null").groupBy("tree_id", F.col("parent_id").alias("node_id")).agg(F.count("*").alias("children"))
