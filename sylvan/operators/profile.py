@@ -8,6 +8,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from .evidence import suffix
 
@@ -76,10 +77,11 @@ def fingerprint(files: DataFrame, digits: int = 40) -> DataFrame:
         if state is not None:
             ids.append(now)
             done.append(state.hexdigest()[:digits])
-        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.string()), pa.array(done, pa.string())], ["set_id", "fingerprint"])
+        yield pa.RecordBatch.from_arrays([pa.array(ids, kind), pa.array(done, pa.string())], ["set_id", "fingerprint"])
 
-    rows = files.select(F.col("set_id").cast("string").alias("set_id"), "label", F.col("content").cast("binary").alias("content"))
-    return rows.repartition("set_id").sortWithinPartitions("set_id", "label", F.sha2("content", 256)).mapInArrow(run, "set_id string, fingerprint string")
+    rows = files.select("set_id", "label", F.col("content").cast("binary").alias("content"))
+    kind = to_arrow_type(rows.schema["set_id"].dataType)
+    return rows.repartition("set_id").sortWithinPartitions("set_id", "label", F.sha2("content", 256)).mapInArrow(run, f"set_id {rows.schema['set_id'].dataType.simpleString()}, fingerprint string")
 
 
 def resource_class(accelerator: Column, notes: Column) -> Column:

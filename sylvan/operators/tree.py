@@ -43,33 +43,47 @@ def sound_weight(weight: Column) -> Column:
     return F.when(F.isnan(number) | (number < 0), 0.0).otherwise(number)
 
 
+def _group_weights(nodes: DataFrame, sound_sums: bool) -> DataFrame:
+    """`(tree_id, parent_id, group_weight)`, combined before the shuffle."""
+    counted = F.col("weight") if not sound_sums else F.when(~F.isnan(F.col("weight").cast("double")) & (F.col("weight") >= 0) & (F.col("weight") < float("inf")), F.col("weight"))
+    return nodes.filter("parent_id is not null").groupBy("tree_id", "parent_id").agg(F.sum(counted).alias("group_weight"))
+
+
 def sibling_shares(nodes: DataFrame, sound_sums: bool = False) -> DataFrame:
     """`share`: the weight over its siblings' sum; 1 for a root, 0 in a group without weight. With `sound_sums` only weights that are
     finite and not negative are summed."""
-    counted = F.col("weight") if not sound_sums else F.when(~F.isnan(F.col("weight").cast("double")) & (F.col("weight") >= 0) & (F.col("weight") < float("inf")), F.col("weight"))
-    sums = nodes.filter("parent_id is not null").groupBy("tree_id", "parent_id").agg(F.sum(counted).alias("group_weight"))
     share = F.when(F.col("parent_id").isNull(), 1.0).when(F.col("group_weight") > 0, F.col("weight") / F.col("group_weight")).otherwise(0.0)
-    return nodes.join(sums, ["tree_id", "parent_id"], "left").withColumn("share", share)
+    return nodes.join(_group_weights(nodes, sound_sums), ["tree_id", "parent_id"], "left").withColumn("share", share)
+
+
+def descended(inner: DataFrame, depth: int, first: dict[str, Column], then: dict[str, Column]) -> DataFrame:
+    """Values that inner nodes take from above, level by level: `first` at the roots, `then` below, whose columns can name a parent's value as `above_<name>`.
+    Only inner nodes are joined, each with its own parent, so no ancestor is a key of all that is below it. Gives KEY and the values."""
+    level = inner.filter("depth = 0").select(*KEY, *(c.alias(n) for n, c in first.items()))
+    levels = [level]
+    for d in range(1, depth):
+        above = level.select("tree_id", F.col("node_id").alias("parent_id"), *(F.col(n).alias(f"above_{n}") for n in first))
+        level = inner.filter(F.col("depth") == d).join(above, ["tree_id", "parent_id"]).select(*KEY, *(c.alias(n) for n, c in then.items()))
+        levels.append(level)
+    return reduce(DataFrame.unionByName, levels)
+
+
+def _parents(nodes: DataFrame) -> DataFrame:
+    return nodes.filter("parent_id is not null").select("tree_id", F.col("parent_id").alias("node_id")).distinct()
 
 
 def effective_weights(nodes: DataFrame, depth: int | None = None, sound_sums: bool = False) -> DataFrame:
-    """`effective`: the product of the shares from the root down; see `sibling_shares`. Nodes that name their ancestors in `path` are
-    joined with the ancestors' shares once, whatever the depth; only inner nodes, which have children, are joined with."""
-    shared = sibling_shares(nodes, sound_sums)
-    if _has_paths(nodes):
-        inner = nodes.filter("parent_id is not null").select("tree_id", F.col("parent_id").alias("ancestor")).distinct()
-        known = shared.select("tree_id", F.col("node_id").alias("ancestor"), F.col("share").alias("above")).join(inner, ["tree_id", "ancestor"], "left_semi")
-        above = nodes.select(*KEY, F.explode("path").alias("ancestor")).distinct().join(known, ["tree_id", "ancestor"])
-        above = above.groupBy(*KEY).agg(F.product("above").alias("above"))
-        return shared.join(above, KEY, "left").withColumn("effective", F.col("share") * F.coalesce("above", F.lit(1.0))).drop("above")
+    """`effective`: the product of the shares from the root down; see `sibling_shares`. The products of inner nodes come down level by level, and every node
+    is joined once, with its parent's."""
     depth = depth_of(nodes) if depth is None else depth
-    above = shared.filter("depth = 0").withColumn("effective", F.lit(1.0))
-    levels = [above]
-    for d in range(1, depth + 1):
-        parent = above.select("tree_id", F.col("node_id").alias("parent_id"), F.col("effective").alias("above"))
-        above = shared.filter(F.col("depth") == d).join(parent, ["tree_id", "parent_id"]).withColumn("effective", F.col("above") * F.col("share")).drop("above")
-        levels.append(above)
-    return reduce(DataFrame.unionByName, levels)
+    sums = _group_weights(nodes, sound_sums).withColumnRenamed("parent_id", "node_id")
+    inner = nodes.select(*KEY, "parent_id", "depth", "weight").join(sums, KEY)
+    share = lambda group: F.when(F.col(group) > 0, F.col("weight") / F.col(group)).otherwise(0.0)
+    known = {"group_weight": F.col("group_weight"), "effective": F.lit(1.0)}
+    above = descended(inner, depth, known, known | {"effective": F.col("above_effective") * share("above_group_weight")})
+    both = nodes.join(above.select("tree_id", F.col("node_id").alias("parent_id"), "group_weight", F.col("effective").alias("above")), ["tree_id", "parent_id"], "left")
+    both = both.withColumn("share", F.when(F.col("parent_id").isNull(), 1.0).otherwise(share("group_weight")))
+    return both.withColumn("effective", F.col("share") * F.coalesce("above", F.lit(1.0))).drop("above")
 
 
 def tree_scores(nodes: DataFrame, scores: DataFrame, depth: int | None = None) -> DataFrame:
@@ -94,47 +108,42 @@ def tree_scores(nodes: DataFrame, scores: DataFrame, depth: int | None = None) -
     return reduce(DataFrame.unionByName, levels)
 
 
-def with_paths(nodes: DataFrame) -> DataFrame:
-    """`path`: a node's ancestors from the root down, by level; nodes that have it already keep it."""
+def with_paths(nodes: DataFrame, depth: int | None = None) -> DataFrame:
+    """`path`: a node's ancestors from the root down; nodes that have it already keep it. Inner nodes hand theirs down, and every node is joined once."""
     if _has_paths(nodes):
         return nodes
-    above = nodes.filter("depth = 0").withColumn("path", F.array().cast("array<string>"))
-    levels = [above]
-    for d in range(1, depth_of(nodes) + 1):
-        parent = above.select("tree_id", F.col("node_id").alias("parent_id"), F.concat("path", F.array("node_id")).alias("path"))
-        above = nodes.filter(F.col("depth") == d).join(parent, ["tree_id", "parent_id"])
-        levels.append(above)
-    return reduce(DataFrame.unionByName, levels)
+    inner = nodes.select(*KEY, "parent_id", "depth").join(_parents(nodes), KEY, "left_semi")
+    none = F.array().cast("array<string>")
+    known = descended(inner, depth_of(nodes) if depth is None else depth, {"path": none}, {"path": F.concat("above_path", F.array("parent_id"))})
+    above = known.select("tree_id", F.col("node_id").alias("parent_id"), F.concat("path", F.array("node_id")).alias("path"))
+    return nodes.drop("path").join(above, ["tree_id", "parent_id"], "left").withColumn("path", F.coalesce("path", none))
 
 
-def prune_to(nodes: DataFrame, category: str = CATEGORIES[0]) -> DataFrame:
+def prune_to(nodes: DataFrame, category: str = CATEGORIES[0], depth: int | None = None) -> DataFrame:
     """The leaves of a category and exactly their ancestors; weights stay, internal categories go. A tree of which
     nothing is left keeps its root as a leaf of that category, without a fine category.
 
     Leaves name their ancestors by path, so one explode, combined before the shuffle, finds all that stays."""
-    nodes = with_paths(nodes)
+    nodes = with_paths(nodes, depth)
     wanted = leaves(nodes).filter(F.col("task_category") == category)
     named = wanted.select("tree_id", F.explode(F.concat(F.transform("path", lambda p: F.struct(p.alias("node_id"), F.lit(False).alias("is_leaf"))), F.array(F.struct("node_id", F.lit(True).alias("is_leaf"))))).alias("x"))
     kept = named.select("tree_id", "x.*").groupBy(*KEY).agg(F.max("is_leaf").alias("is_leaf"))
-    alive = kept.select(F.col("tree_id").alias("alive")).distinct()
-    out = nodes.join(kept, KEY, "left").join(alive, F.col("tree_id") == F.col("alive"), "left")
-    emptied = F.col("alive").isNull() & (F.col("depth") == 0)
+    out = nodes.join(kept, KEY, "left")
+    emptied = F.col("is_leaf").isNull() & (F.col("depth") == 0)  # whatever is kept of a tree keeps its root
     out = out.filter(F.col("is_leaf").isNotNull() | emptied)
     cleared = {"task_category": F.when(F.col("is_leaf") | emptied, F.lit(category))}
     if "fine_category" in nodes.columns:
         cleared["fine_category"] = F.when(F.col("is_leaf") & ~emptied, F.col("fine_category"))
-    return out.withColumns(cleared).drop("is_leaf", "alive")
+    return out.withColumn("emptied", emptied).withColumns(cleared).drop("is_leaf", "emptied")
 
 
-def leaf_contexts(nodes: DataFrame, separator: str = " > ") -> DataFrame:
+def leaf_contexts(nodes: DataFrame, separator: str = " > ", depth: int | None = None) -> DataFrame:
     """Each leaf with its ancestors' requirements from the root down, blank ones left out."""
-    nodes = with_paths(nodes)
-    ends = leaves(nodes)
-    texts = nodes.select("tree_id", F.col("node_id").alias("ancestor"), F.col("requirements").alias("text")).filter(F.trim("text") != "")
-    chain = ends.select(*KEY, F.posexplode("path").alias("pos", "ancestor")).join(texts, ["tree_id", "ancestor"])
-    joined = chain.groupBy(*KEY).agg(F.array_sort(F.collect_list(F.struct("pos", "text"))).alias("c"))
-    context = F.coalesce(F.array_join(F.transform("c", lambda x: x["text"]), separator), F.lit(""))
-    return ends.join(joined, KEY, "left").withColumn("context", context).drop("c")
+    inner = nodes.select(*KEY, "parent_id", "depth", "requirements").join(_parents(nodes), KEY, "left_semi")
+    own = F.when(F.trim("requirements") != "", F.col("requirements"))
+    known = descended(inner, depth_of(nodes) if depth is None else depth, {"context": own}, {"context": F.nullif(F.concat_ws(separator, "above_context", own), F.lit(""))})
+    above = known.select("tree_id", F.col("node_id").alias("parent_id"), "context")
+    return leaves(nodes).join(above, ["tree_id", "parent_id"], "left").withColumn("context", F.coalesce("context", F.lit("")))
 
 
 def as_json(nodes: DataFrame, depth: int | None = None) -> DataFrame:

@@ -95,11 +95,11 @@ def sibling_share(spark, sf):
 
 
 def effective_leaf_weight(spark, sf):
-    return tree.leaves(tree.effective_weights(order_tree(spark, sf, paths=True))).select("node_id", F.round("effective", 12).alias("effective"))
+    return tree.leaves(tree.effective_weights(order_tree(spark, sf), 4)).select("node_id", F.round("effective", 12).alias("effective"))
 
 
 def effective_weight_sum_check(spark, sf):
-    total = tree.leaves(tree.effective_weights(order_tree(spark, sf, paths=True))).groupBy("tree_id").agg(F.sum("effective").alias("total"))
+    total = tree.leaves(tree.effective_weights(order_tree(spark, sf), 4)).groupBy("tree_id").agg(F.sum("effective").alias("total"))
     return total.select("tree_id", F.round("total", 6).alias("total"), (F.abs(F.col("total") - 1) <= 1e-8).alias("valid"))
 
 
@@ -162,7 +162,7 @@ def code_only_score(spark, sf):
 
 
 def leaf_contexts(spark, sf):
-    return tree.leaf_contexts(order_tree(spark, sf, paths=True)).select("node_id", "context")
+    return tree.leaf_contexts(order_tree(spark, sf), depth=4).select("node_id", "context")
 
 
 def tree_stats(spark, sf):
@@ -213,7 +213,7 @@ def judge_waves(spark, sf):
 
 def faulty_nodes(spark, sf):
     """The order tree with faults by rule: see `rule_violations`'s SQL for the same ones."""
-    t = order_tree(spark, sf, paths=True).withColumn("fine_category", F.when(F.col("depth") == 4, F.lit("Method Implementation")))
+    t = order_tree(spark, sf).withColumn("fine_category", F.when(F.col("depth") == 4, F.lit("Method Implementation")))
     o = F.when(F.col("depth") == 4, F.col("ord"))
     c = F.when(F.col("depth") == 3, F.col("ord"))
     hit = lambda k, n, r: F.coalesce(k % n == r, F.lit(False))
