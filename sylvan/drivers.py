@@ -13,8 +13,9 @@ from pyspark.sql import functions as F
 from .functions.render import toml
 from .operators import authoring, batch, contracts, packaging, profile, rules
 from .sources import sinks
-from .sources.files import file_tree, flatten_trees
+from .sources.files import file_modes, file_tree, flatten_trees
 from .sources.tables import scratch
+from .sources.versions import Versions
 
 
 def package_folder(spark: SparkSession, root: str, ids: list[str] | None = None) -> DataFrame:
@@ -102,14 +103,13 @@ def task_files(packages: DataFrame, templates: dict[str, bytes], instructions: b
 
 
 def convert(spark: SparkSession, root: str, target: str, name: str, label: str, templates: dict[str, bytes], instructions: bytes, contract: batch.Contract = batch.Contract(), overwrite: bool = False) -> DataFrame:
-    """Packages below `root` as a batch at `target`: built beside it, read back, validated, and renamed only if nothing is broken.
-    Gives the manifest. Stores that know no modes are taken to have the right ones."""
+    """Packages below `root` as the next version of the batch at `target` (see `sources.versions`): built in a folder of its own, read back with the modes that
+    files have there, validated, and put only if nothing is broken and nobody else has put one. Gives the manifest. Where a store has no modes, none are checked."""
     import hashlib
 
-    jvm = spark.sparkContext._jvm
-    path = lambda p: jvm.org.apache.hadoop.fs.Path(p)
-    store = path(target).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if store.exists(path(target)) and not overwrite:
+    versions = Versions(spark, target)
+    before, there = versions.current()
+    if there and not overwrite:
         raise FileExistsError(target)
     report, found, valid = validate(spark, root, code_only=contract.mode == "code-dev")
     if not valid:
@@ -117,30 +117,27 @@ def convert(spark: SparkSession, root: str, target: str, name: str, label: str,
     packages = package_folder(spark, root)
     order = F.row_number().over(packaging.Window.orderBy("paper_id"))
     manifest = packaging.manifest(report.select("paper_id", order.alias("source_index")), name, label, "tasks")
-    staged, old = (f"{target}.{kind}-{uuid.uuid4().hex[:12]}" for kind in ("staging", "old"))
+    staged = versions.stage()
     built = task_files(packages, templates, instructions, name, label, contract).select(F.concat(F.lit("tasks/"), "task_id", F.lit("/"), "path").alias("path"), "content")
     lines = packaging.as_json_lines(manifest.orderBy("paper_id"))
-    written = _kept(spark, sinks.write_files(built, staged), "written")
+    inside = F.regexp_replace("path", "^tasks/[^/]+/", "")
+    written = _kept(spark, sinks.write_files(built.withColumn("mode", F.when(inside.isin(*batch.EXECUTABLES), "755").otherwise("644")), staged), "written")
     lines.coalesce(1).write.text(f"{staged}/manifest")
 
     back = file_tree(spark, f"{staged}/tasks").select(F.split_part("path", F.lit("/"), F.lit(1)).alias("task_id"), F.regexp_replace("path", "^[^/]+/", "").alias("path"), "bytes", "content")
-    mode = F.when(F.col("path").isin(*batch.EXECUTABLES), "755").otherwise("644")
-    files = back.select("task_id", "path", F.lit(False).alias("is_folder"), mode.alias("mode"), "bytes", F.sha2("content", 256).alias("sha256"))
+    plain = back.select("task_id", "path", F.lit(False).alias("is_folder"), "bytes", F.sha2("content", 256).alias("sha256"))
     parts = F.split("path", "/")
     above = F.transform(F.sequence(F.lit(1), F.size(parts) - 1), lambda i: F.array_join(F.slice(parts, F.lit(1), i), "/"))
-    folders = files.filter(F.contains("path", F.lit("/"))).select("task_id", F.explode(above).alias("path")).distinct()
-    entries = files.union(folders.select("task_id", "path", F.lit(True), F.lit("755"), F.lit(0).cast("long"), F.lit(None).cast("string")))
+    folders = plain.filter(F.contains("path", F.lit("/"))).select("task_id", F.explode(above).alias("path")).distinct()
+    every = plain.union(folders.select("task_id", "path", F.lit(True), F.lit(0).cast("long"), F.lit(None).cast("string"))).withColumn("place", F.concat_ws("/", "task_id", "path"))
+    modes = file_modes(every.select(F.col("place").alias("path")), f"{staged}/tasks").withColumnRenamed("path", "place")
+    entries = every.join(modes, "place").select("task_id", "path", "is_folder", "mode", "bytes", "sha256")
     pinned = spark.createDataFrame([(p, hashlib.sha256(c).hexdigest()) for p, c in templates.items() if p in batch.EXECUTABLES], "path string, sha256 string")
     texts = back.filter(F.col("path").rlike(r"\.(toml|md|json|py|sh)$")).select("task_id", "path", F.make_valid_utf8(F.col("content").cast("string")).alias("text"))
     numbered = spark.read.text(f"{staged}/manifest").select(F.monotonically_increasing_id().alias("ord"), F.col("value").alias("line"))
     broken = batch.violations(numbered, entries, texts, pinned, hashlib.sha256(instructions).hexdigest(), flatten_trees, contract).take(20)
     if broken or written.count() != back.count():
-        store.delete(path(staged), True)
+        versions.store.delete(versions._path(staged), True)
         raise ValueError(f"not converted: {[tuple(r) for r in broken]}")
-    aside = store.exists(path(target)) and store.rename(path(target), path(old))
-    if not store.rename(path(staged), path(target)):
-        if aside:
-            store.rename(path(old), path(target))
-        raise OSError(f"cannot rename {staged}")
-    store.delete(path(old), True)
-    return spark.read.text(f"{target}/manifest")
+    versions.put(staged, before)
+    return spark.read.text(f"{staged}/manifest")

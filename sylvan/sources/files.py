@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import json
+import os
 from collections.abc import Iterator
 from urllib.parse import unquote
 
 import pandas as pd
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,6 +27,18 @@ def file_tree(spark: SparkSession, folder: str) -> DataFrame:
     return rows.union(empty.select("path", F.lit(0).cast("long"), F.lit(b"")))
 
 
+def file_modes(paths: DataFrame, folder: str) -> DataFrame:
+    """`paths(path)` below `folder` to `(path, mode)`, the permissions in octal as a task finds them; null where the store has none."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        store, root = fs.FileSystem.from_uri(folder)
+        local = isinstance(store, fs.LocalFileSystem)
+        for batch in batches:
+            yield batch.assign(mode=[f"{os.stat(f'{root}/{p}').st_mode & 0o777:o}" if local else None for p in batch["path"]])
+
+    return paths.select("path").mapInPandas(run, "path string, mode string")
+
+
 def capped_text(content: Column, most: int) -> Column:
     """Bytes as text, invalid ones replaced, cut to `most` characters with a note."""
     return truncated(F.make_valid_utf8(F.coalesce(content.cast("string"), F.lit(""))), most)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import os
 import uuid
 from collections.abc import Iterator
 
@@ -19,14 +20,14 @@ def pretty_json(value: Column, sort: bool = False) -> Column:
 
 
 def write_files(rows: DataFrame, folder: str, overwrite: bool = False) -> DataFrame:
-    """`rows(path, content)`, paths relative to `folder`, as files: each is written beside its place and renamed, so a task that is lost or
+    """`rows(path, content)`, paths relative to `folder`, as files, with an octal `mode` if rows have one and the store knows modes: each is written beside its place and renamed, so a task that is lost or
     run twice leaves whole files only. Gives `(path, bytes, sha256)`; nothing is written until that is read, so keep it as a table."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, root = fs.FileSystem.from_uri(folder)
         for batch in batches:
             out = []
-            for path, content in zip(batch.column("path").to_pylist(), batch.column("content").to_pylist(), strict=True):
+            for path, content, mode in zip(*(batch.column(c).to_pylist() for c in ("path", "content", "mode")), strict=True):
                 content = content or b""
                 to = f"{root}/{path}"
                 if not overwrite and store.get_file_info(to).type != fs.FileType.NotFound:
@@ -38,11 +39,14 @@ def write_files(rows: DataFrame, folder: str, overwrite: bool = False) -> DataFr
                     beside = f"{to}.{uuid.uuid4().hex[:12]}"
                     with store.open_output_stream(beside) as f:
                         f.write(content)
+                    if mode and isinstance(store, fs.LocalFileSystem):
+                        os.chmod(beside, int(mode, 8))
                     store.move(beside, to)
                 out.append((path, len(content), hashlib.sha256(content).hexdigest()))
             yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], t) for k, t in enumerate((pa.string(), pa.int64(), pa.string()))], ["path", "bytes", "sha256"])
 
-    return rows.select("path", F.col("content").cast("binary").alias("content")).mapInArrow(run, "path string, bytes long, sha256 string")
+    mode = F.col("mode") if "mode" in rows.columns else F.lit(None).cast("string")
+    return rows.select("path", F.col("content").cast("binary").alias("content"), mode.alias("mode")).mapInArrow(run, "path string, bytes long, sha256 string")
 
 
 def write_stages(rows: DataFrame, folder: str) -> None:

@@ -93,6 +93,7 @@ def _package(folder, tree):
 
 def test_packages_become_a_batch(spark, tmp_path):
     from sylvan import drivers
+    from sylvan.sources.versions import Versions
     from sylvan.plans.batches import _HEAD, _JUDGE_PY, _TEST_SH, _TREE
 
     for paper in ("a-paper", "b-paper"):
@@ -104,7 +105,9 @@ def test_packages_become_a_batch(spark, tmp_path):
     templates = {"solution/README.md": b"r", "solution/reproduce.sh": b"s", "tests/test.sh": _TEST_SH.encode(), "tests/llm_rubric_judge.py": _JUDGE_PY.encode()}
     text = b"Read /home/paper, write to /home/submission, for a maximum runtime of 7 days on an NVIDIA H200 GPU"
     manifest = drivers.convert(spark, root, target, "b1", "papers", templates, text)
-    assert manifest.count() == 2 and _HEAD and len(list((tmp_path / "out" / "tasks").iterdir())) == 2
+    number, at = Versions(spark, target).current()
+    tasks = list((tmp_path / "out" / at.rpartition("/")[2] / "tasks").iterdir())
+    assert manifest.count() == 2 and _HEAD and number == 1 and len(tasks) == 2 and {oct((t / "tests/test.sh").stat().st_mode)[-3:] for t in tasks} == {"755"} and {oct((t / "task.toml").stat().st_mode)[-3:] for t in tasks} == {"644"}
     with pytest.raises(FileExistsError):
         drivers.convert(spark, root, target, "b1", "papers", templates, text)
     with pytest.raises(ValueError, match="instruction.md"):
@@ -112,7 +115,7 @@ def test_packages_become_a_batch(spark, tmp_path):
     (tmp_path / "in" / "a-paper" / "rubric.json").write_text("{")
     with pytest.raises(ValueError, match="tree is no JSON"):
         drivers.convert(spark, root, target, "b1", "papers", templates, text, overwrite=True)
-    assert sorted(p.name for p in tmp_path.iterdir()) == ["in", "out"]
+    assert Versions(spark, target).current() == (1, at) and len(list((tmp_path / "out").iterdir())) == 2 and not list((tmp_path / "bad").glob("v-*"))
 
 
 def test_authoring_and_publication(spark, tmp_path):
@@ -132,3 +135,36 @@ def test_authoring_and_publication(spark, tmp_path):
     assert record["reviewer"] == "someone" and record["approved_at"].endswith("Z") and len(record["rubric_sha256"]) == 64
     with pytest.raises(ValueError):
         drivers.publish(spark, drafts, files, f"file://{tmp_path}/pub", " ", ("a",))
+
+
+def test_a_writer_that_dies_leaves_the_old_version_or_the_new_one(spark, tmp_path, monkeypatch):
+    from sylvan.sources.versions import Conflict, Versions
+
+    versions = Versions(spark, f"file://{tmp_path}/batch")
+    assert versions.current() == (0, None)
+
+    def content(n):
+        at = versions.stage()
+        spark.createDataFrame([(n,)], "n int").write.parquet(at)
+        return at
+
+    seen = lambda: spark.read.parquet(versions.current()[1]).first().n
+    assert versions.put(content(1), 0) == 1 and seen() == 1
+    staged = content(2)  # dies before it puts
+    assert seen() == 1
+    with monkeypatch.context() as patch:  # dies between writing the pointer and its place
+        patch.setattr(Versions, "_rename", lambda *_: (_ for _ in ()).throw(KeyboardInterrupt))
+        with pytest.raises(KeyboardInterrupt):
+            versions.put(staged, 1)
+    assert seen() == 1 and versions.current()[0] == 1
+    assert versions.put(staged, 1) == 2 and seen() == 2
+    late = content(3)
+    with pytest.raises(Conflict):
+        versions.put(late, 1)
+    with monkeypatch.context() as patch:  # another writer comes first after the check
+        patch.setattr(Versions, "current", lambda self: (1, "old"))
+        with pytest.raises(Conflict):
+            versions.put(late, 1)
+    assert seen() == 2 and not [p for p in (tmp_path / "batch/_versions").iterdir() if late in p.name]
+    versions.clear()
+    assert seen() == 2 and len(list((tmp_path / "batch").glob("v-*"))) == 1
