@@ -7,8 +7,8 @@ blocks (192 bytes), which also makes each such segment independent: the reader d
 batch in step, one symbol of each at a time, for any Huffman tables, components and restart interval; progressive and
 arithmetic coding are refused. The byte count is in a comment segment.
 
-Nulls: a null text is empty; an empty text is one unit of blanks. Equal texts have equal values, whatever the row.
-Further columns are ignored."""
+Nulls: a null text is empty; an empty text is one unit of blanks. Equal texts have equal values, whatever the row: a null doc_id keeps its row, repeated rows give repeated rows.
+Further columns are ignored. An empty table gives no rows."""
 
 from __future__ import annotations
 

@@ -16,7 +16,7 @@ each `block` queries of the whole run. Only each shard's k best of a query leave
 Vectors that are null or hold null or non-finite components take no part. Vectors are compared with those of their own
 length. Ties go to the smaller vec_id. Rows without a vec_id take no part. Repeated rows of one vec_id are candidates
 each, and never of a query with that vec_id. Products of 2**53 and more are worked out in integers of any size, vector by
-vector; scores beyond a long are held to its range. Further columns are ignored."""
+vector; scores beyond a long are held to its range. Further columns are ignored. An empty table gives no rows."""
 
 from __future__ import annotations
 

@@ -16,7 +16,7 @@ shuffled once, to the places where chains begin and end; those are at most a doc
 A to Z are lower-cased, white space within a unit doesn't count. Offsets count code points, ends are exclusive; spans of
 `removed` are disjoint. Nulls: a null text is empty and has no units; a document without a doc_id is one of its own, told by
 its text, and comes last in rank. Repeated rows of one doc_id and text are one document and report the same spans; texts that share a
-doc_id are documents each. Further columns are ignored."""
+doc_id are documents each. Further columns are ignored. An empty table gives no rows."""
 
 from __future__ import annotations
 

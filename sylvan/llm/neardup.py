@@ -14,7 +14,7 @@ rare shingle, so that the pairs follow the links and not the square of the group
 
 Nulls: a null text is empty; empty documents have no shingles and no links. A row with a null doc_id keeps its
 n_shingles, has a null component_id and is not kept. Repeated rows give repeated rows. Rows that share a doc_id but not
-a text each report the component of their own text. Further columns are ignored."""
+a text each report the component of their own text. Further columns are ignored. An empty table gives no rows."""
 
 from __future__ import annotations
 

@@ -6,7 +6,7 @@ That interval join runs as range frames over one document's parts in order of th
 parts; a weak part that overlaps a base span is that secret already and takes no part.
 
 Offsets count code points, ends are exclusive. Nulls: a null text is empty and has no spans; a null doc_id stays a row of
-its own. Repeated rows give repeated rows. Further columns are ignored."""
+its own. Repeated rows give repeated rows. Further columns are ignored. An empty table gives no rows."""
 
 from __future__ import annotations
 

@@ -12,7 +12,7 @@ document that doesn't fit into what is left of the bytes is passed over, and of
 covers every row.
 Nulls: a null text is empty; an empty text has one window without words and a score of its own. A null label counts as
 no label; of several labels of a doc_id the greatest counts. A null doc_id is never held out. Without a label of each kind all
-scores are the share of label 1, or 0 without labels. Repeated rows are scored alike. Further columns are ignored."""
+scores are the share of label 1, or 0 without labels. Repeated rows are scored alike. Further columns are ignored. An empty table gives no rows."""
 
 from __future__ import annotations
 
