@@ -7,6 +7,8 @@ import re
 import zlib
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -153,3 +155,48 @@ def test_part_of_a_query_equals_sql(spark, duck, name):
     columns = [c[0] for c in found.description]
     want = sorted(tuple(int(v) if isinstance(v, float) else v for v in row) for row in found.fetchall())
     assert sorted(tuple(r) for r in queries.queries()[name](spark, SF).select(*map(F.col, columns)).collect()) == want
+
+
+def test_toxicity_scores_are_those_of_a_plain_forward_pass():
+    """Word by word and window by window, in plain loops: the network's log-odds, the highest window and the calibration."""
+    from sylvan.llm import toxicity
+    from sylvan.llm.textkit import text_bytes
+
+    rng = np.random.default_rng(3)
+    names = [f"word{i}" for i in range(60)]
+    texts = [" ".join(rng.choice(names, n)) for n in rng.integers(0, 90, 40)] + ["", "vile"]
+    labels = np.array([float("word7 " in t + " ") for t in texts])
+    conf = toxicity.Toxicity(rounds=1, passes=1)
+    net = toxicity.fit(texts, labels, conf)
+    sigmoid = lambda x: 1 / (1 + np.exp(-x))
+
+    def direction(rows, way):
+        p, h, state, out = net.weights, conf.hidden, np.zeros(conf.hidden), []
+        for x in rows:
+            lifted, back = x @ p["W" + way] + p["b" + way], state @ p["U" + way]
+            z, r = sigmoid(lifted[:h] + back[:h]), sigmoid(lifted[h : 2 * h] + back[h : 2 * h])
+            state = z * state + (1 - z) * np.tanh(lifted[2 * h :] + r * back[2 * h :])
+            out.append(state)
+        return out
+
+    def plain(text):
+        data, offsets = text_bytes(pa.array([text], pa.large_string()))
+        bucket, grams, per, place, count = toxicity.vocabulary(data, offsets, conf)
+        cut, rows = np.cumsum(per) - per, []
+        for i, b in enumerate(bucket):
+            own = grams[cut[i] : cut[i] + per[i]]
+            rows.append(np.concatenate([[net.word_evidence[b], net.gram_evidence[own].max()], net.words[b], net.grams[own].mean(0)]).astype(np.float64))
+        words, best = [rows[i] for i in place], -np.inf
+        for at in range(0, max(1, len(words) - conf.window + conf.step), conf.step):
+            some = words[at : at + conf.window]
+            if not some:
+                best = max(best, float(net.weights["c"][0]))
+                continue
+            states = [np.concatenate(pair) for pair in zip(direction(some, "f"), direction(some[::-1], "b")[::-1], strict=True)]
+            score = np.array([np.tanh(s @ net.weights["A"]) @ net.weights["v"] for s in states])
+            share = np.exp(score - score.max())
+            best = max(best, float((share / share.sum()) @ np.array(states) @ net.weights["w"] + net.weights["c"][0]))
+        return sigmoid(net.scale[0] * best + net.scale[1])
+
+    data, offsets = text_bytes(pa.array(texts, pa.large_string()))
+    assert net.score(data, offsets) == pytest.approx([plain(t) for t in texts], abs=1e-4)
