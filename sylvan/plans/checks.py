@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions.text import strict_json
 from ..operators import contracts, rules, submission
 from ..sources import files
 from ..sources.tables import table
@@ -226,8 +227,18 @@ def pruned_tree_hashes(spark, sf):
     return both.select("tree_id", (F.col("p") == F.col("d")).alias("same"))
 
 
+def whole_json(spark, sf):
+    """Orders as JSON texts by o_orderkey % 8: only those that are one object from end to end have a key."""
+    key = F.col("o_orderkey")
+    body = F.concat(F.lit('{"k": '), key, F.lit(', "s": "}{ \\\\\\" ]", "n": [{"k": 0}]}'))
+    k = key % 8
+    told = F.when(k == 1, F.concat(body, F.lit(" and "), body)).when(k == 2, F.concat(body, F.lit(" x"))).when(k == 3, F.concat(F.lit("["), body, F.lit("]"))).when(k == 4, F.concat(F.lit(" "), body, F.lit("\n")))
+    told = told.when(k == 5, F.concat(body, body)).when(k == 6, F.concat(body, F.lit("}"))).when(k == 7, F.replace(body, F.lit('"n": [{'), F.lit('"n": [NaN, {'))).otherwise(body)
+    return table(spark, sf, "orders").select("o_orderkey", F.try_variant_get(strict_json(told), "$.k", "bigint").alias("k"))
+
+
 QUERIES = (
-    json_tree_nodes, structure_violations, json_tree_report, package_violations, package_report, paper_list_violations, submission_preflight, submission_preflight_code_only, submission_violations,
+    whole_json,     json_tree_nodes, structure_violations, json_tree_report, package_violations, package_report, paper_list_violations, submission_preflight, submission_preflight_code_only, submission_violations,
     plan_violations, assembly_problems, weight_plan_entries, publish_gate, publishable, conversion_gate, option_checks, resume_checks, pruned_tree_hashes,
 )
 _T = "t AS (SELECT 'c' || c_custkey AS tree_id, c_custkey, c_custkey % 12 AS k FROM customer)"
@@ -238,6 +249,7 @@ _GATE = _cases("p", {
 })
 _P = "p AS (SELECT p_partkey AS paper_id, p_partkey AS k FROM part)"
 SQL = {
+    "whole_json": "SELECT o_orderkey, CASE WHEN o_orderkey % 8 IN (0, 4, 7) THEN o_orderkey END AS k FROM orders",
     "json_tree_nodes": f"""WITH {_T} SELECT tree_id, 'tree-' || c_custkey AS node_id, CAST(NULL AS VARCHAR) AS parent_id, CAST(0 AS BIGINT) AS ord, 0 AS depth, CAST(1 AS DOUBLE) AS weight, CAST(NULL AS VARCHAR) AS task_category FROM t WHERE k NOT IN (1, 7)
       UNION ALL SELECT tree_id, CASE WHEN k = 5 THEN 'root.sub_tasks[0]' ELSE 'leaf-' || c_custkey || '-1' END, 'tree-' || c_custkey, 0, 1, CASE WHEN k <> 4 THEN 1 END, 'Code Development' FROM t WHERE k NOT IN (1, 2, 7)
       UNION ALL SELECT tree_id, 'leaf-' || c_custkey || '-2', 'tree-' || c_custkey, 1, 1, 1, 'Code Development' FROM t WHERE k NOT IN (1, 7)""",
