@@ -5,16 +5,14 @@ broken."""
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .functions.render import toml
-from .operators import authoring, batch, contracts, packaging, profile, rules
+from . import conversion
+from .operators import authoring, batch, contracts, packaging, rules, tree
 from .sources import sinks
-from .sources.files import file_modes, file_tree, flatten_trees
-from .sources.tables import scratch
+from .sources.files import file_tree, flatten_trees, normal_tree
+from .sources.tables import kept
 from .sources.versions import Versions
 
 
@@ -24,22 +22,16 @@ def package_folder(spark: SparkSession, root: str, ids: list[str] | None = None)
     return files.filter(F.col("paper_id").isin(*ids)) if ids else files
 
 
-def _kept(spark: SparkSession, rows: DataFrame, name: str) -> DataFrame:
-    at = f"{scratch(spark)}/{name}-{uuid.uuid4().hex[:12]}"
-    rows.write.parquet(at)
-    return spark.read.parquet(at)
-
-
 def validate(spark: SparkSession, root: str, ids: list[str] | None = None, code_only: bool = False, fail_on_warning: bool = False) -> tuple[DataFrame, DataFrame, bool]:
     """(report, violations, whether all is valid) of the packages below `root`. Ids without a package are not valid."""
     files = package_folder(spark, root, ids).withColumn("text", F.make_valid_utf8(F.when(~F.endswith("name", F.lit(".pdf")), F.col("content").cast("string"))))
-    found = _kept(spark, rules.package_violations(files, flatten_trees, code_only), "violations")
+    found = kept(spark, rules.package_violations(files, flatten_trees, code_only), "violations")
     subjects = files.select("paper_id").distinct()
     if ids:
         subjects = spark.createDataFrame([(i,) for i in ids], "paper_id string")
         absent = subjects.join(files.select("paper_id").distinct(), "paper_id", "left_anti").select("paper_id", F.lit("error").alias("severity"), F.lit("no package").alias("rule"))
         found = found.union(absent)
-    report = _kept(spark, rules.report(subjects, found, "paper_id", fail_on_warning), "report")
+    report = kept(spark, rules.report(subjects, found, "paper_id", fail_on_warning), "report")
     return report, found, report.filter("not valid").isEmpty()
 
 
@@ -50,7 +42,7 @@ def author(spark: SparkSession, papers: DataFrame, answers: DataFrame, folder: s
     told = authoring.answered(authoring.call_plan(papers), answers)
     stop = told.filter("answer is null").groupBy("paper_id").agg(F.min("stage").alias("stop"))
     done = told.join(stop, "paper_id", "left").filter("answer is not null and (stop is null or stage < stop)").drop("stop")
-    done = _kept(spark, done, "answers")
+    done = kept(spark, done, "answers")
     sinks.write_stages(done, folder)
     return authoring.in_order(done), authoring.joined_lists(done, "unresolved")
 
@@ -60,84 +52,31 @@ def publish(spark: SparkSession, drafts: DataFrame, files: DataFrame, folder: st
     its approval: (what was written, what held others back). A reviewer's name is needed."""
     if not reviewer.strip():
         raise ValueError("a reviewer is needed")
-    held = _kept(spark, rules.violations(drafts, contracts.gate_rules(artefacts, tag), ["paper_id"]), "held")
+    held = kept(spark, rules.violations(drafts, contracts.gate_rules(artefacts, tag), ["paper_id"]), "held")
     ready = drafts.join(held, "paper_id", "left_anti").select("paper_id")
     own = files.join(ready, "paper_id", "left_semi")
     text = lambda name: F.max(F.when(F.col("name") == name, F.col("content").cast("string")))
     records = authoring.approvals(own.groupBy("paper_id").agg(text("rubric.json").alias("rubric"), text("addendum.md").alias("addendum")).withColumns({"reviewer": F.lit(reviewer), "approved_at": F.to_utc_timestamp(F.current_timestamp(), F.current_timezone())}))
     every = own.select(F.concat_ws("/", "paper_id", "name").alias("path"), "content").union(records.select(F.concat(F.col("paper_id"), F.lit("/human_approval.json")), F.encode("record", "utf-8")))
-    return _kept(spark, sinks.write_files(every, folder, overwrite=replace), "written"), held
-
-
-def task_files(packages: DataFrame, templates: dict[str, bytes], instructions: bytes, name: str, label: str, contract: batch.Contract) -> DataFrame:
-    """`(task_id, path, content)` of a task for each package of `packages(paper_id, name, content)`."""
-    paper = {n: f"environment/paper/{n}" for n in ("paper.pdf", "paper.md", "addendum.md", "blacklist.txt")} | {"rubric.json": "tests/rubric.json"}
-    place = F.create_map(*(F.lit(x) for pair in paper.items() for x in pair))
-    task = packaging.task_id(F.lit(name), F.col("paper_id"), label)
-    own = packages.withColumn("path", F.coalesce(F.try_element_at(place, F.col("name")), F.when(F.startswith("name", F.lit("assets/")), F.concat(F.lit("environment/paper/"), "name"))))
-    own = own.filter("path is not null").select("paper_id", "path", "content")
-    code = contracts.code_only_of(contract.mode)
-    tagged = {"code_dev_derivation": contract.tag} if contract.tag else {}
-    sections = {
-        "": {"schema_version": "1.4"}, "metadata": {
-            "source_native_contract": "paperbench_authored_task_v1", "resource_metadata_version": contract.version, "gpu_tier": contract.gpu, "construction_format": "native_rollout_task_v1", "paper_id": F.col("paper_id"), "native_task_id": F.col("paper_id"), "reference_solution_available": False, "scoring_method": "llm_rubric_judge",
-            "rubric_mode": contract.mode, "code_only": code, "gpu_count": 1, **tagged,
-        },
-        "environment": {"workdir": "/home", "gpus": 1}, "verifier": {"environment_mode": "separate"}, "verifier.environment": {"workdir": "/tests", "gpus": 1},
-    }
-    # lists are not among the renderer's values
-    text = toml(sections)
-    for before, line in ((r'schema_version = "1\.4"', 'artifacts = ["/home/submission"]'), (r"(?m)^gpus = 1$", f'gpu_types = ["{contract.gpu}"]')):
-        text = F.regexp_replace(text, f"({before})", f"$1\n{line}")
-    judge = F.to_json(F.struct(F.lit(contract.mode).alias("rubric_mode"), F.lit(code).alias("code_only"), F.lit("per_leaf").alias("request_mode"), F.lit(100).alias("max_workers"), F.col("paper_id"), *(F.lit(v).alias(k) for k, v in tagged.items())))
-    made = {"task.toml": F.encode(text, "utf-8"), "tests/judge_config.json": F.encode(judge, "utf-8"), "instruction.md": F.lit(instructions), "tests/judge.addendum.md": F.lit(b""), "environment/paper/assets/index.txt": F.lit(b"")}
-    made |= {path: F.lit(content) for path, content in templates.items()}
-    papers = packages.select("paper_id").distinct()
-    fixed = papers.select("paper_id", F.explode(F.array(*(F.struct(F.lit(p).alias("path"), c.alias("content")) for p, c in made.items()))).alias("f")).select("paper_id", "f.*")
-    files = own.union(fixed)
-    walked = files.filter(F.split_part("path", F.lit("/"), F.lit(1)).isin("environment", "tests", "solution"))
-    own = profile.profile_json(walked.select(F.col("paper_id").alias("set_id"), "path", F.octet_length("content").cast("long").alias("bytes")))
-    record = batch.resource_record(own.select(F.col("set_id").alias("paper_id"), F.col("json").alias("profile"), F.lit(None).cast("string").alias("accelerator"), F.lit(None).cast("string").alias("notes")), contract)
-    files = files.union(record.select("paper_id", F.lit("resource_metadata.json"), F.encode("record", "utf-8")))
-    return files.select(task.alias("task_id"), "path", "content")
+    return kept(spark, sinks.write_files(every, folder, overwrite=replace), "written"), held
 
 
 def convert(spark: SparkSession, root: str, target: str, name: str, label: str, templates: dict[str, bytes], instructions: bytes, contract: batch.Contract = batch.Contract(), overwrite: bool = False) -> DataFrame:
-    """Packages below `root` as the next version of the batch at `target` (see `sources.versions`): built in a folder of its own, read back with the modes that
-    files have there, validated, and put only if nothing is broken and nobody else has put one. Gives the manifest. Where a store has no modes, none are checked."""
-    import hashlib
-
-    versions = Versions(spark, target)
-    before, there = versions.current()
-    if there and not overwrite:
+    """Whole packages below `root`, a folder each, as the next version of the batch `name` at `target` (see `conversion.put`); a package's id is its title. Gives the manifest's lines. Projects with lists of papers, drafts and
+    approvals go through `conversion.convert`."""
+    if Versions(spark, target).current()[1] and not overwrite:
         raise FileExistsError(target)
     report, found, valid = validate(spark, root, code_only=contract.mode == "code-dev")
     if not valid:
         raise ValueError(f"not converted: {[tuple(r) for r in found.filter(F.col('severity') == 'error').take(20)]}")
-    packages = package_folder(spark, root)
+    files = package_folder(spark, root).withColumn("bytes", F.octet_length("content").cast("long"))
+    text = lambda name: F.max(F.when(F.col("name") == name, F.make_valid_utf8(F.col("content").cast("string"))))
+    texts = files.filter(F.col("name").isin("rubric.json", "addendum.md", "judge.addendum.md")).groupBy("paper_id").agg(text("rubric.json").alias("json"), text("addendum.md").alias("addendum"), text("judge.addendum.md").alias("judge_addendum"))
+    texts = kept(spark, texts, "texts")
+    leaves = tree.leaves(normal_tree(flatten_trees(texts.select(F.col("paper_id").alias("tree_id"), "json")))).groupBy(F.col("tree_id").alias("paper_id")).agg(F.count("*").alias("leaves"))
+    bundles = texts.join(leaves, "paper_id", "left").withColumns({"title": F.col("paper_id"), "metadata": F.lit(None).cast("string")})
+    conf = conversion.Conversion(name, label, contract)
+    built = conversion.task_files(spark, bundles, files, templates, instructions, conf)
     order = F.row_number().over(packaging.Window.orderBy("paper_id"))
     manifest = packaging.manifest(report.select("paper_id", order.alias("source_index")), name, label, "tasks")
-    staged = versions.stage()
-    built = task_files(packages, templates, instructions, name, label, contract).select(F.concat(F.lit("tasks/"), "task_id", F.lit("/"), "path").alias("path"), "content")
-    lines = packaging.as_json_lines(manifest.orderBy("paper_id"))
-    inside = F.regexp_replace("path", "^tasks/[^/]+/", "")
-    written = _kept(spark, sinks.write_files(built.withColumn("mode", F.when(inside.isin(*batch.EXECUTABLES), "755").otherwise("644")), staged), "written")
-    lines.coalesce(1).write.text(f"{staged}/manifest")
-
-    back = file_tree(spark, f"{staged}/tasks").select(F.split_part("path", F.lit("/"), F.lit(1)).alias("task_id"), F.regexp_replace("path", "^[^/]+/", "").alias("path"), "bytes", "content")
-    plain = back.select("task_id", "path", F.lit(False).alias("is_folder"), "bytes", F.sha2("content", 256).alias("sha256"))
-    parts = F.split("path", "/")
-    above = F.transform(F.sequence(F.lit(1), F.size(parts) - 1), lambda i: F.array_join(F.slice(parts, F.lit(1), i), "/"))
-    folders = plain.filter(F.contains("path", F.lit("/"))).select("task_id", F.explode(above).alias("path")).distinct()
-    every = plain.union(folders.select("task_id", "path", F.lit(True), F.lit(0).cast("long"), F.lit(None).cast("string"))).withColumn("place", F.concat_ws("/", "task_id", "path"))
-    modes = file_modes(every.select(F.col("place").alias("path")), f"{staged}/tasks").withColumnRenamed("path", "place")
-    entries = every.join(modes, "place").select("task_id", "path", "is_folder", "mode", "bytes", "sha256")
-    pinned = spark.createDataFrame([(p, hashlib.sha256(c).hexdigest()) for p, c in templates.items() if p in batch.EXECUTABLES], "path string, sha256 string")
-    texts = back.filter(F.col("path").rlike(r"\.(toml|md|json|py|sh)$")).select("task_id", "path", F.make_valid_utf8(F.col("content").cast("string")).alias("text"))
-    numbered = spark.read.text(f"{staged}/manifest").select(F.monotonically_increasing_id().alias("ord"), F.col("value").alias("line"))
-    broken = batch.violations(numbered, entries, texts, pinned, hashlib.sha256(instructions).hexdigest(), flatten_trees, contract).take(20)
-    if broken or written.count() != back.count():
-        versions.store.delete(versions._path(staged), True)
-        raise ValueError(f"not converted: {[tuple(r) for r in broken]}")
-    versions.put(staged, before)
-    return spark.read.text(f"{staged}/manifest")
+    return conversion.put(spark, target, built, manifest, templates, instructions, contract, overwrite)

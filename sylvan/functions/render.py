@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -11,16 +13,40 @@ def quoted(text: Column) -> Column:
     return F.regexp_replace(F.to_json(F.struct(F.coalesce(text, F.lit("")).alias("x"))), r'^\{"x":|\}$', "")
 
 
-def _value(value: Column | str | int | float | bool) -> Column:
+@dataclass(frozen=True)
+class Listed:
+    """A column of arrays of strings, rendered as a list."""
+
+    items: Column
+
+
+@dataclass(frozen=True)
+class Plain:
+    """A column of numbers or booleans, rendered without quotes; null is 0."""
+
+    value: Column
+
+
+Value = Column | Listed | Plain | str | int | float | bool | list
+
+
+def _value(value: Value) -> Column:
     if isinstance(value, bool):
         return F.lit(str(value).lower())
     if isinstance(value, int | float):
         return F.lit(str(value))
+    if isinstance(value, list):
+        return F.concat(F.lit("["), F.concat_ws(", ", *map(_value, value)), F.lit("]"))
+    if isinstance(value, Listed):
+        items = F.coalesce(value.items, F.array().cast("array<string>"))
+        return F.concat(F.lit("["), F.array_join(F.transform(items, quoted), ", "), F.lit("]"))
+    if isinstance(value, Plain):
+        return F.coalesce(value.value.cast("string"), F.lit("0"))
     return quoted(F.lit(value) if isinstance(value, str) else value)
 
 
-def toml(sections: dict[str, dict[str, Column | str | int | float | bool]]) -> Column:
-    """A TOML text; a section named by an empty string stands at the top. Columns are strings."""
+def toml(sections: dict[str, dict[str, Value]]) -> Column:
+    """A TOML text; a section named by an empty string stands at the top. Plain columns are strings."""
     parts: list[Column] = []
     for name, fields in sections.items():
         head = [F.lit(f"[{name}]")] if name else []
@@ -28,7 +54,7 @@ def toml(sections: dict[str, dict[str, Column | str | int | float | bool]]) -> C
     return F.concat(F.concat_ws("\n\n", *parts), F.lit("\n"))
 
 
-def yaml(fields: dict[str, Column | str | int | float | bool]) -> Column:
+def yaml(fields: dict[str, Value]) -> Column:
     return F.concat(F.concat_ws("\n", *(F.concat(F.lit(f"{k}: "), _value(v)) for k, v in fields.items())), F.lit("\n"))
 
 

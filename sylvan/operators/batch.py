@@ -48,13 +48,15 @@ MODE_FRAGMENTS = {
 
 @dataclass(frozen=True)
 class Contract:
-    """mode: regular or code-dev. fragments: further texts of files, as FRAGMENTS. tag: the derivation that a code-dev task names."""
+    """mode: regular or code-dev. fragments: further texts of files, as FRAGMENTS. tag: the derivation that a code-dev task names. estimator: the name
+    of the rules that estimate what a task needs."""
 
     mode: str = "regular"
     gpu: str = "H200"
     version: str = "resource_metadata_v3"
     fragments: tuple[tuple[str, str, bool], ...] = ()
     tag: str | None = None
+    estimator: str = "rules-v1"
 
 
 def manifest_rows(lines: DataFrame) -> DataFrame:
@@ -172,14 +174,36 @@ def template_problems(template: DataFrame) -> DataFrame:
     return absent.union(untitled)
 
 
-def resource_record(tasks: DataFrame, contract: Contract = Contract()) -> DataFrame:
-    """`tasks(task_id, accelerator, notes, profile)`, the JSON of `profile.profile_json`, with `record`, the JSON of its resource metadata."""
-    record = F.struct(
-        F.try_parse_json("profile").alias("data_profile"), F.struct(F.lit(contract.gpu).alias("declared_gpu_tier"), F.lit("declared").alias("method")).alias("estimator"),
-        F.struct(F.lit(1).alias("gpu_count"), F.lit(True).alias("gpu_required"), F.lit(contract.gpu).alias("gpu_tier"), profile.resource_class(F.col("accelerator"), F.col("notes")).alias("paper_resource")).alias("resource_estimate"),
-        F.lit(contract.version).alias("schema_version"),
-    )
-    return tasks.withColumn("record", F.to_json(record))
+#: Video memory in GB that a class of machine is taken to need, as (least, typical, most).
+MEMORY = {"cpu_sufficient": (1.0, 2.0, 6.0), "gpu_relevant": (2.0, 8.0, 20.0), "gpu_required_likely": (2.0, 8.0, 20.0)}
+#: What every estimate says.
+TIME_TIER, CONFIDENCE = "under_6h", 0.75
+
+
+def memory(resource: Column) -> Column:
+    """(min, typical, max) of a class."""
+    found = F.create_map(*(x for k, (least, typical, most) in MEMORY.items() for x in (F.lit(k), F.struct(F.lit(least).alias("min"), F.lit(typical).alias("typical"), F.lit(most).alias("max")))))
+    return F.try_element_at(found, resource)
+
+
+def resource_record(tasks: DataFrame, contract: Contract = Contract(), created: Column | None = None) -> DataFrame:
+    """`tasks(task_id, accelerator, notes, profile)`, profile a JSON text, with `resource`, its class, and `record`, the JSON of its resource metadata: the profile, an estimate that is declared by
+    rules and not measured, and who estimated. `created`: a time stamp that the record carries."""
+    tasks = tasks.withColumn("resource", profile.resource_class(F.col("accelerator"), F.col("notes")))
+    reason = F.concat(F.lit("Declared by rules on the paper's own metadata; it is classed as "), "resource", F.lit(f". Grading uses one {contract.gpu} GPU, as the task does."))
+    estimate = {
+        "attempts": F.lit(1), "confidence": F.lit(CONFIDENCE), "estimated_vram_gb": memory(F.col("resource")), "gpu_count": F.lit(1), "gpu_required": F.lit(True), "gpu_tier": F.lit(contract.gpu),
+        "reason": reason, "training_time_tier": F.lit(TIME_TIER),
+    }
+    estimator = {
+        "declared_gpu_tier": F.lit(contract.gpu), "declared_max_gpus": F.lit(1), "model": F.lit(contract.estimator), "operator": F.lit("declared"), "prompt_version": F.lit(contract.version),
+        "validation_history": F.array(F.array().cast("array<string>")),
+    }
+    named = lambda fields: F.struct(*(c.alias(n) for n, c in fields.items()))
+    record = {"data_profile": F.try_parse_json("profile"), "estimator": named(estimator), "resource_estimate": named(estimate), "schema_version": F.lit(contract.version)}
+    if created is not None:
+        record["created_at"] = created
+    return tasks.withColumn("record", F.to_json(named(record)))
 
 
 def convert(bundles: DataFrame, batch: str, label: str, rules_broken: DataFrame) -> tuple[DataFrame, DataFrame]:

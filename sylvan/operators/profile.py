@@ -6,7 +6,7 @@ import hashlib
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
@@ -102,6 +102,26 @@ def profile_json(files: DataFrame) -> DataFrame:
     return data_profile(files).select("set_id", F.to_json(F.struct(*named)).alias("json"))
 
 
+def largest_by_set(files: DataFrame, n: int = 10) -> DataFrame:
+    """`files(set_id, path, bytes)` to `(set_id, place, path, bytes)`: the `n` largest of each set, equal ones by path. Spark keeps
+    `n` rows a set and task before it shuffles."""
+    place = F.row_number().over(Window.partitionBy("set_id").orderBy(F.col("bytes").desc(), "path"))
+    return files.select("set_id", place.alias("place"), "path", "bytes").filter(F.col("place") <= n)
+
+
+def whole_profile_json(files: DataFrame) -> DataFrame:
+    """`files(set_id, path, bytes)` to `(set_id, json, bytes, files, kinds)`: the stored profile with the kinds that occur, in order of report, and the ten
+    largest files by kind, scope and size."""
+    top = largest_by_set(files).withColumn("row", F.struct("place", kind(F.col("path")).alias("kind"), scope(F.col("path")).alias("scope"), "bytes"))
+    largest_files = F.transform(F.array_sort(F.collect_list("row")), lambda r: F.struct(r["kind"].alias("kind"), r["scope"].alias("scope"), r["bytes"].alias("bytes")))
+    rows = data_profile(files).join(top.groupBy("set_id").agg(largest_files.alias("largest_files")), "set_id")
+    kinds = F.filter(F.array(*map(F.lit, KINDS)), lambda k: F.element_at("kind_counts", k) > 0)
+    present = lambda c: F.map_filter(c, lambda k, _: F.array_contains("kinds", k))
+    rows = rows.withColumn("kinds", kinds).withColumns({"kind_counts": present("kind_counts"), "kind_bytes": present("kind_bytes")})
+    named = {n: F.col(c) for n, c in {**PROFILE_MAPS, **PROFILE_TOTALS}.items()} | {"data_kinds": F.col("kinds"), "table_shapes": F.array().cast("array<string>"), "largest_files": F.col("largest_files")}
+    return rows.select("set_id", F.to_json(F.struct(*(c.alias(n) for n, c in sorted(named.items())))).alias("json"), "bytes", "files", "kinds")
+
+
 def comparable(stored: Column) -> Column:
     """A stored profile's totals and maps, without zeros and in order, so that equal ones are equal; null where it isn't one."""
     get = lambda path, kind: F.try_variant_get(stored, path, kind)

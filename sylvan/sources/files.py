@@ -27,16 +27,23 @@ def file_tree(spark: SparkSession, folder: str) -> DataFrame:
     return rows.union(empty.select("path", F.lit(0).cast("long"), F.lit(b"")))
 
 
-def file_modes(paths: DataFrame, folder: str) -> DataFrame:
-    """`paths(path)` below `folder` to `(path, mode)`, the permissions in octal as a task finds them; null where the store has none."""
+def folder_listing(folders: DataFrame, above: str) -> DataFrame:
+    """`folders(task_id)` below `above` to `(task_id, path, is_folder, mode, bytes)` of all that they hold, as tasks find it; modes in octal, null where the store has none."""
+    schema = "task_id string, path string, is_folder boolean, mode string, bytes long"
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        store, root = fs.FileSystem.from_uri(folder)
+        store, root = fs.FileSystem.from_uri(above)
         local = isinstance(store, fs.LocalFileSystem)
         for batch in batches:
-            yield batch.assign(mode=[f"{os.stat(f'{root}/{p}').st_mode & 0o777:o}" if local else None for p in batch["path"]])
-
-    return paths.select("path").mapInPandas(run, "path string, mode string")
+            for folder in batch["task_id"]:
+                rows = []
+                for entry in store.get_file_info(fs.FileSelector(f"{root}/{folder}", recursive=True, allow_not_found=True)):
+                    is_folder = entry.type == fs.FileType.Directory
+                    mode = f"{os.stat(entry.path).st_mode & 0o777:o}" if local else None
+                    rows.append((folder, entry.path.partition(f"{root}/{folder}/")[2], is_folder, mode, 0 if is_folder else entry.size))
+                yield pd.DataFrame(rows, columns=["task_id", "path", "is_folder", "mode", "bytes"])
+
+    return folders.select("task_id").mapInPandas(run, schema)
 
 
 def capped_text(content: Column, most: int) -> Column:

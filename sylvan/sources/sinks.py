@@ -21,7 +21,7 @@ def pretty_json(value: Column, sort: bool = False) -> Column:
 
 def write_files(rows: DataFrame, folder: str, overwrite: bool = False) -> DataFrame:
     """`rows(path, content)`, paths relative to `folder`, as files, with an octal `mode` if rows have one and the store knows modes: each is written beside its place and renamed, so a task that is lost or
-    run twice leaves whole files only. Gives `(path, bytes, sha256)`; nothing is written until that is read, so keep it as a table."""
+    run twice leaves whole files only. A path that ends in a slash is a folder; folders above files with a mode are 755. Gives `(path, bytes, sha256)`; nothing is written until that is read, so keep it as a table."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, root = fs.FileSystem.from_uri(folder)
@@ -30,18 +30,24 @@ def write_files(rows: DataFrame, folder: str, overwrite: bool = False) -> DataFr
             for path, content, mode in zip(*(batch.column(c).to_pylist() for c in ("path", "content", "mode")), strict=True):
                 content = content or b""
                 to = f"{root}/{path}"
-                if not overwrite and store.get_file_info(to).type != fs.FileType.NotFound:
+                above = to.rpartition("/")[0]
+                if path.endswith("/"):
+                    store.create_dir(above, recursive=True)
+                elif not overwrite and store.get_file_info(to).type != fs.FileType.NotFound:
                     with store.open_input_stream(to) as f:
                         if f.read() != content:
                             raise FileExistsError(path)
                 else:
-                    store.create_dir(to.rpartition("/")[0], recursive=True)
+                    store.create_dir(above, recursive=True)
                     beside = f"{to}.{uuid.uuid4().hex[:12]}"
                     with store.open_output_stream(beside) as f:
                         f.write(content)
                     if mode and isinstance(store, fs.LocalFileSystem):
                         os.chmod(beside, int(mode, 8))
                     store.move(beside, to)
+                while mode and isinstance(store, fs.LocalFileSystem) and len(above) > len(root):
+                    os.chmod(above, 0o755)
+                    above = above.rpartition("/")[0]
                 out.append((path, len(content), hashlib.sha256(content).hexdigest()))
             yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], t) for k, t in enumerate((pa.string(), pa.int64(), pa.string()))], ["path", "bytes", "sha256"])
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -17,3 +18,10 @@ def scratch(spark: SparkSession) -> str:
     if not root and not spark.sparkContext.master.startswith("local"):
         raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
     return root.rstrip("/") if root else "file://" + tempfile.mkdtemp(prefix="sylvan-")
+
+
+def kept(spark: SparkSession, rows: DataFrame, name: str) -> DataFrame:
+    """`rows`, written to the shared folder and read again."""
+    at = f"{scratch(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    rows.write.parquet(at)
+    return spark.read.schema(rows.schema).parquet(at)
