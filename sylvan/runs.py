@@ -13,17 +13,21 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .functions.text import authored_object, heading_chunks
+from .conversion import project_files
+from .functions.text import authored_object, heading_chunks, strict_json
 from .operators import contracts, evidence, grading, models, rules, tree
+from .release import FOLDER, NEEDED
 from .sources import sinks
 from .sources.files import flatten_trees, normal_tree
+from .sources.tables import kept as kept_table
 
 
 @dataclass(frozen=True)
 class Authoring:
-    """mode: regular, or code-dev, where the complete tree is authored first and cut down last. repairs: rounds for trees that aren't sound."""
+    """mode: regular, or code-dev, where the complete tree is authored first and cut down last, by the derivation `tag`. repairs: rounds for trees that aren't sound."""
 
     mode: str = "regular"
+    tag: str | None = None
     chunk: int = 50_000
     repairs: int = 1
     target: str = "40-120"
@@ -205,23 +209,68 @@ def author(spark: SparkSession, papers: DataFrame, guide: str, asker: models.Ask
     named = lambda rows, path, text: rows.select("paper_id", F.lit(path).alias("path") if isinstance(path, str) else path.alias("path"), F.coalesce(text, F.lit("null")).alias("text"))
     json = F.col("json")
     as_lists = every.groupBy("paper_id").agg(F.concat(F.lit("["), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("at", "question"))), lambda x: x["question"]), ", "), F.lit("]")).alias("json"))
-    provenance = F.to_json(F.struct("paper_id", F.lit(conf.mode).alias("rubric_mode"), F.lit("regular").alias("authoring_mode"), F.sha2("text", 256).alias("paper_md_sha256"), F.sha2("metadata", 256).alias("task_metadata_sha256"), F.sha2(F.lit(guide), 256).alias("guide_sha256"), F.lit("draft-needs-human-review").alias("status")))
+    whole = tree.as_json(complete).withColumnRenamed("tree_id", "paper_id")
+    derived = {"code_dev_derivation": F.lit(conf.tag), "full_rubric_sha256": F.sha2("json", 256)} if code else {}
+    sourced = run.papers.join(whole, "paper_id", "left") if code else run.papers
+    provenance = F.to_json(F.struct("paper_id", *(c.alias(n) for n, c in derived.items()), F.lit(conf.mode).alias("rubric_mode"), F.lit("regular").alias("authoring_mode"), F.sha2("text", 256).alias("paper_md_sha256"), F.sha2("metadata", 256).alias("task_metadata_sha256"), F.sha2(F.lit(guide), 256).alias("guide_sha256"), F.lit("draft-needs-human-review").alias("status")))
     ends = lambda text: F.concat(F.regexp_replace(text, r"(?U)\s+$", ""), F.lit("\n"))
     out = [
         named(known, "paper_elements.json", F.concat(F.lit('{"chunks": '), "elements", F.lit("}"))), named(matrix, "contribution_evidence_matrix.json", json), named(known, "addendum.draft.md", ends(F.col("addendum"))), named(addendum, "addendum_generation.json", json),
         named(plan, "rubric_tree_plan.json", json), named(grown, F.concat(F.lit("rubric_subtrees/"), F.expr("substring(call, 9)"), F.lit(".json")), json), named(unweighted, "rubric_tree_unweighted.json", json), named(weighting, "rubric_weight_plan.json", json),
         named(known.join(audit.withColumnRenamed("tree_id", "paper_id"), "paper_id", "left"), "rubric_weight_application.json", F.coalesce("application", F.lit("[]"))), named(drafts, "rubric.draft.json", json), named(review, "quality_review.json", json),
-        named(known.join(as_lists, "paper_id", "left"), "unresolved_questions.json", F.coalesce(json, F.lit("[]"))), named(report, "validation_report.json", F.to_json(F.struct(*report.columns))), named(run.papers, "authoring_provenance.json", provenance),
+        named(known.join(as_lists, "paper_id", "left"), "unresolved_questions.json", F.coalesce(json, F.lit("[]"))), named(report, "validation_report.json", F.to_json(F.struct(*report.columns))), named(sourced, "authoring_provenance.json", provenance),
         named(hidden, "judge_addendum_generation.json", json), named(hidden, "judge.addendum.draft.md", ends(_get("json", "$.judge_addendum_markdown", "string"))),
     ]
     if code:
-        out.append(named(tree.as_json(complete).withColumnRenamed("tree_id", "paper_id"), "rubric.full.draft.json", json))
+        out.append(named(whole, "rubric.full.draft.json", json))
     files = out[0]
     for rows in out[1:]:
         files = files.unionByName(rows)
     return {"files": run.kept(run.going(files), "files"), "reports": run.going(report), "unresolved": run.going(every).orderBy("paper_id", "at").select("paper_id", "question"), "stopped": run.stopped}
 
 
+def unauthored(files: DataFrame, guide: str, conf: Authoring = Authoring()) -> DataFrame:
+    """`files` as of `conversion.project_files` to `(paper_id, metadata, text, started, current)`: papers with what is authored from them, whether a draft has been begun, and whether it is whole and made from what the paper, its
+    metadata, the guide and the options are now."""
+    at = lambda place, name: (F.col("place") == place) & (F.col("name") == name)
+    pick = lambda place, name: F.max(F.when(at(place, name), F.make_valid_utf8(F.col("content").cast("string"))))
+    names = [FOLDER + n for n in NEEDED.values()]
+    few = files.filter(at("paper_sources", "paper.md") | at("design", "task_metadata.json") | ((F.col("place") == "design") & F.col("name").isin(*names)))
+    rows = few.groupBy("paper_id").agg(
+        pick("paper_sources", "paper.md").alias("text"), F.coalesce(pick("design", "task_metadata.json"), F.lit("{}")).alias("metadata"), pick("design", FOLDER + NEEDED["provenance"]).alias("provenance"),
+        F.count_if((F.col("place") == "design") & F.col("name").isin(*names)).alias("there"),
+    ).withColumn("v", strict_json(F.col("provenance")))
+    made_from = {"paper_md_sha256": F.sha2("text", 256), "task_metadata_sha256": F.sha2("metadata", 256), "guide_sha256": F.sha2(F.lit(guide), 256), "rubric_mode": F.lit(conf.mode), "code_dev_derivation": F.lit(conf.tag if contracts.code_only_of(conf.mode) else None).cast("string")}
+    same = [F.try_variant_get("v", f"$.{n}", "string").eqNullSafe(c) for n, c in made_from.items()]
+    current = F.col("there") == len(names)
+    for s in same:
+        current = current & s
+    return rows.select("paper_id", "metadata", "text", (F.col("there") > 0).alias("started"), current.alias("current"))
+
+
+def author_project(spark: SparkSession, root: str, ids: list[str], guide: str, asker: models.Asker, conf: Authoring = Authoring(), existing: str = "refuse") -> dict[str, DataFrame]:
+    """Drafts for papers of the project at `root`, written below `design/<paper>/rubric_authoring`, which `release.release` publishes. `existing` drafts are refused, made again (`overwrite`), or made again where they
+    are not whole or one of their inputs has changed (`changed`). Gives what `author` gives, with `written(path, bytes, sha256)`. A paper without text stops."""
+    if existing not in ("refuse", "overwrite", "changed"):
+        raise ValueError(f"no such choice: {existing!r}")
+    wanted = spark.createDataFrame([(i,) for i in dict.fromkeys(ids)], "paper_id string")
+    rows = kept_table(spark, wanted.join(unauthored(project_files(spark, root, wanted), guide, conf), "paper_id", "left"), "to-author")
+    if existing == "refuse":
+        begun = [r.paper_id for r in rows.filter("started").orderBy("paper_id").take(20)]
+        if begun:
+            raise FileExistsError(f"drafts are there: {begun}")
+    if existing == "changed":
+        rows = rows.filter("NOT coalesce(current, false)")
+    unread = rows.filter("text IS NULL").select("paper_id", F.lit("paper").alias("call"), F.lit("no text").alias("problem"))
+    made = author(spark, rows.filter("text IS NOT NULL").select("paper_id", "metadata", "text"), guide, asker, f"{root}/_runs", conf)
+    files = made["files"].select(F.concat(F.lit("design/"), "paper_id", F.lit(f"/{FOLDER}"), "path").alias("path"), F.encode("text", "utf-8").alias("content"))
+    # the provenance comes last: a draft that breaks off is not current
+    last = F.endswith("path", F.lit("/" + NEEDED["provenance"]))
+    written = kept_table(spark, sinks.write_files(files.filter(~last), root, overwrite=True), "drafts")
+    written = written.union(kept_table(spark, sinks.write_files(files.filter(last), root, overwrite=True), "provenance"))
+    return made | {"written": written, "stopped": made["stopped"].union(unread)}
+
+
 def grade(spark: SparkSession, submissions: DataFrame, nodes: DataFrame, files: DataFrame, papers: DataFrame, runs: DataFrame, asker: models.Asker, folder: str, code_only: bool = False) -> dict[str, DataFrame]:
     """Submissions graded from their files to their rewards: `submissions` as in `grading.graded` with `paper_id` and `title`, `files(submission_id, executed, path, bytes, text)`, `papers(paper_id, paper_md, addendum, blacklist, judge_addendum)`,
     `runs(submission_id, exit_code, stdout, stderr, file_manifest)`. Each leaf is asked by itself; answers go to a ledger below `folder`, and the rewards to files of it. Gives `leaves`,
