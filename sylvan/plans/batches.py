@@ -6,6 +6,8 @@ import json
 
 from pyspark.sql import functions as F
 
+from .. import conversion
+from ..functions.text import strict_json, toml_as_json
 from ..operators import batch, contracts, packaging, profile
 from ..sources import files
 from ..sources.tables import table
@@ -161,7 +163,53 @@ def resource_records(spark, sf):
     tasks = table(spark, sf, "part").select("p_partkey", F.col("p_partkey").alias("task_id"), F.when(F.col("p_partkey") % 3 == 0, "CPU only").when(F.col("p_partkey") % 3 == 1, "one A100").alias("accelerator"), F.lit(None).cast("string").alias("notes"), F.concat(F.lit('{"file_count": '), "p_size", F.lit("}")).alias("profile"))
     v = F.parse_json("record")
     get = lambda p, kind: F.variant_get(v, p, kind)
-    return batch.resource_record(tasks).select("p_partkey", get("$.data_profile.file_count", "bigint").alias("file_count"), get("$.resource_estimate.paper_resource", "string").alias("paper_resource"), get("$.estimator.declared_gpu_tier", "string").alias("tier"), get("$.schema_version", "string").alias("version"))
+    estimate = lambda name, kind: get(f"$.resource_estimate.{name}", kind)
+    return batch.resource_record(tasks).select(
+        "p_partkey", get("$.data_profile.file_count", "bigint").alias("file_count"), F.col("resource").alias("paper_resource"), F.contains(estimate("reason", "string"), F.col("resource")).alias("reasoned"), get("$.estimator.declared_gpu_tier", "string").alias("tier"),
+        get("$.schema_version", "string").alias("version"), *(estimate(f"estimated_vram_gb.{n}", "double").alias(f"vram_{n}") for n in ("min", "typical", "max")), estimate("training_time_tier", "string").alias("time_tier"), estimate("confidence", "double").alias("confidence"),
+    )
+
+
+def task_configurations(spark, sf):
+    """The configuration of a task for each part, read back as TOML; every seventh name has quotes and a backslash."""
+    k = F.col("p_partkey")
+    title = F.when(k % 7 == 0, F.concat(F.lit('a "b" \\ '), "p_name")).otherwise(F.col("p_name"))
+    kinds = F.when(k % 3 == 0, F.array().cast("array<string>")).when(k % 3 == 1, F.array(F.lit("text"))).otherwise(F.array(F.lit("json"), F.lit("image")))
+    rows = table(spark, sf, "part").select(k, F.concat(F.lit("p-"), k).alias("paper_id"), F.concat(F.lit("task-"), k).alias("task_id"), title.alias("title"), F.col("p_size").alias("leaves"), F.when(k % 2 == 0, "cpu_sufficient").otherwise("gpu_relevant").alias("resource"), (k * 10).alias("bytes"), k.alias("files"), kinds.alias("kinds"))
+    conf = conversion.Conversion("20260101-120000", contract=batch.Contract(mode="code-dev", tag="v1"), request=900)
+    texts = rows.select("p_partkey", conversion.configuration(conf, "c0").alias("text")).withColumn("v", strict_json(toml_as_json("text")))
+    get = lambda path, kind="string": F.try_variant_get("v", path, kind)
+    return texts.select(
+        "p_partkey", get("$.task.name").alias("name"), get("$.task.description").alias("description"), F.array_join(get("$.task.keywords", "array<string>"), ",").alias("keywords"), F.array_join(get("$.metadata.data_kinds", "array<string>"), ",").alias("kinds"),
+        get("$.metadata.rubric_leaf_count", "bigint").alias("leaves"), get("$.metadata.data_total_bytes", "bigint").alias("bytes"), get("$.metadata.estimated_vram_gb_typical", "bigint").alias("vram"), get("$.metadata.code_dev_derivation").alias("tag"),
+        get("$.metadata.code_only", "boolean").alias("code_only"), F.array_join(get("$.artifacts", "array<string>"), ",").alias("artifacts"), get("$.verifier.env.JUDGE_TIMEOUT_SEC").alias("wait"), get("$.verifier.environment.workdir").alias("workdir"),
+    )
+
+
+def chosen_bundles(spark, sf):
+    """Project folders of all suppliers: by suppkey % 6, nothing, a draft, half a draft, a published pair, both, and a published pair of code alone with a regular draft; chosen for code alone, with and without approval."""
+    k = F.col("s_suppkey") % 6
+    file = lambda place, name, when, text: F.when(when, F.struct(F.lit(place).alias("place"), F.lit(name).alias("name"), F.encode(text, "utf-8").alias("content")))
+    own = lambda what: F.concat(F.lit(what), F.col("s_suppkey").cast("string"))
+    held = [
+        file("design", "rubric_authoring/rubric.draft.json", k.isin(1, 2, 4, 5), own("draft ")), file("design", "rubric_authoring/addendum.draft.md", k.isin(1, 4, 5), F.lit("a")),
+        file("design", "rubric_authoring/authoring_provenance.json", k == 1, F.lit('{"rubric_mode": "code-dev", "code_dev_derivation": "v1"}')), file("paper_sources", "rubric.json", k >= 3, own("published ")), file("paper_sources", "addendum.md", k >= 3, F.lit("a")),
+        file("design", "rubric_authoring/human_approval.json", k == 5, F.lit('{"rubric_mode": "code-dev"}')), file("paper_sources", "paper.md", F.lit(True), F.lit("p")),
+    ]
+    files = table(spark, sf, "supplier").select(F.concat(F.lit("s-"), "s_suppkey").alias("paper_id"), F.explode(F.array_compact(F.array(*held))).alias("f")).select("paper_id", "f.*")
+    found = conversion.candidates(files)
+    out = [conversion.chosen(found, conversion.Conversion("b", contract=batch.Contract(mode=mode, tag="v1"), approved=approved)).select("paper_id", F.lit(mode).alias("asked"), F.lit(approved).alias("approved"), "state", "mode", "tag", "rubric") for mode in ("regular", "code-dev") for approved in (False, True)]
+    return out[0].union(out[1]).union(out[2]).union(out[3])
+
+
+def set_largest_files(spark, sf):
+    """The ten largest documents of each source, as files of two kinds, by the profile that is stored with a task."""
+    d = table(spark, sf, "documents")
+    files = d.select(F.col("source").alias("set_id"), F.concat(F.when(F.col("doc_id") % 2 == 0, "tests/").otherwise("environment/"), F.format_string("%012d", "doc_id"), F.when(F.col("doc_id") % 3 == 0, ".md").otherwise(".py")).alias("path"), F.octet_length("text").cast("long").alias("bytes"))
+    stored = profile.whole_profile_json(files)
+    row = "struct<kind: string, scope: string, bytes: bigint>"
+    largest = F.try_variant_get(F.parse_json("json"), "$.largest_files", f"array<{row}>")
+    return stored.select("set_id", F.array_join("kinds", ",").alias("kinds"), "files", F.posexplode(largest).alias("place", "f")).select("set_id", "kinds", "files", "place", "f.kind", "f.scope", F.col("f.bytes").alias("bytes"))
 
 
 def converted_files(spark, sf):
@@ -188,7 +236,7 @@ def profile_differences(spark, sf):
     return contracts.profile_audit(stored, files)
 
 
-QUERIES = (stage_outputs_missing, profile_differences, batch_violations, batch_summary, template_guard, pinned_instructions, resource_records, converted_files)
+QUERIES = (stage_outputs_missing, profile_differences, batch_violations, batch_summary, template_guard, pinned_instructions, resource_records, converted_files, task_configurations, chosen_bundles, set_largest_files)
 _K = "k AS (SELECT 'task-' || s_suppkey AS task_id, 'p-' || s_suppkey AS paper_id, s_suppkey AS ord, s_suppkey % 38 AS k FROM supplier)"
 _BROKEN = "WITH " + _K + ", v AS (" + _cases("k", {
     "CAST(NULL AS VARCHAR) AS task_id, 'manifest line is no object' AS rule, CAST(ord AS VARCHAR) AS detail": "k = 1", "task_id, 'task is not in the manifest', ''": "k = 1", "task_id, 'text is missing', 'task.toml: paper_id = \"\"'": "k = 1",
@@ -219,7 +267,21 @@ SQL = {
         "template_id, 'missing tests/llm_rubric_judge.py'": "k = 3", "template_id, 'missing tests/test.sh'": "k = 4", "template_id, 'judge has no title'": "k IN (6, 7)",
     }),
     "pinned_instructions": "SELECT 't' || s_suppkey AS path, CASE WHEN s_suppkey % 5 = 1 THEN 'template is not the pinned one' END AS problem, CASE WHEN s_suppkey % 5 <> 1 THEN 'an NVIDIA H200 GPU is there' END AS text FROM supplier",
-    "resource_records": """SELECT p_partkey, CAST(p_size AS BIGINT) AS file_count, CASE p_partkey % 3 WHEN 0 THEN 'cpu_sufficient' WHEN 1 THEN 'gpu_relevant' ELSE 'gpu_required_likely' END AS paper_resource,
-      'H200' AS tier, 'resource_metadata_v3' AS version FROM part""",
+    "resource_records": """WITH r AS (SELECT p_partkey, p_size, CASE p_partkey % 3 WHEN 0 THEN 'cpu_sufficient' WHEN 1 THEN 'gpu_relevant' ELSE 'gpu_required_likely' END AS paper_resource FROM part)
+      SELECT p_partkey, CAST(p_size AS BIGINT) AS file_count, paper_resource, TRUE AS reasoned, 'H200' AS tier, 'resource_metadata_v3' AS version, CASE WHEN paper_resource LIKE 'cpu%' THEN 1.0::DOUBLE ELSE 2.0 END AS vram_min,
+      CASE WHEN paper_resource LIKE 'cpu%' THEN 2.0::DOUBLE ELSE 8.0 END AS vram_typical, CASE WHEN paper_resource LIKE 'cpu%' THEN 6.0::DOUBLE ELSE 20.0 END AS vram_max, 'under_6h' AS time_tier, 0.75::DOUBLE AS confidence FROM r""",
+    "task_configurations": r"""SELECT p_partkey, 'papers/task-' || p_partkey AS name, 'Implement the core methods of ' || CASE WHEN p_partkey % 7 = 0 THEN 'a "b" \ ' ELSE '' END || p_name AS description,
+      'p-' || p_partkey || ',paper-reproduction,papers,research' AS keywords, CASE p_partkey % 3 WHEN 0 THEN '' WHEN 1 THEN 'text' ELSE 'json,image' END AS kinds, CAST(p_size AS BIGINT) AS leaves, CAST(p_partkey * 10 AS BIGINT) AS bytes,
+      CAST(CASE WHEN p_partkey % 2 = 0 THEN 2 ELSE 8 END AS BIGINT) AS vram, 'v1' AS tag, TRUE AS code_only, '/home/submission' AS artifacts, '900' AS wait, '/tests' AS workdir FROM part""",
+    "chosen_bundles": """WITH s AS (SELECT s_suppkey AS n, s_suppkey % 6 AS k FROM supplier), b AS (
+        SELECT n, 'published' AS state, 1 AS rank, CASE WHEN k = 5 THEN 'code-dev' ELSE 'regular' END AS mode, CAST(NULL AS VARCHAR) AS tag, 'published ' || n AS rubric FROM s WHERE k >= 3
+        UNION ALL SELECT n, 'draft', 2, CASE WHEN k = 1 THEN 'code-dev' ELSE 'regular' END, CASE WHEN k = 1 THEN 'v1' END, 'draft ' || n FROM s WHERE k IN (1, 4, 5)),
+      q AS (SELECT * FROM (VALUES ('regular'), ('code-dev')) m(asked), (VALUES (TRUE), (FALSE)) a(approved))
+      SELECT 's-' || n AS paper_id, asked, approved, state, mode, tag, rubric FROM b, q WHERE (mode = asked OR (asked = 'code-dev' AND mode = 'regular')) AND (NOT approved OR state = 'published')
+      QUALIFY row_number() OVER (PARTITION BY n, asked, approved ORDER BY rank) = 1""",
+    "set_largest_files": """WITH f AS (SELECT source AS set_id, CASE WHEN doc_id % 2 = 0 THEN 'tests/' ELSE 'environment/' END || lpad(CAST(doc_id AS VARCHAR), 12, '0') AS path, CASE WHEN doc_id % 3 = 0 THEN 'text' ELSE 'code' END AS kind,
+        CASE WHEN doc_id % 2 = 0 THEN 'hidden_or_solution' ELSE 'visible' END AS scope, CAST(strlen(text) AS BIGINT) AS bytes FROM documents),
+      t AS (SELECT set_id, concat_ws(',', CASE WHEN bool_or(kind = 'text') THEN 'text' END, CASE WHEN bool_or(kind = 'code') THEN 'code' END) AS kinds, count(*) AS files FROM f GROUP BY 1)
+      SELECT set_id, kinds, files, CAST(row_number() OVER w - 1 AS INTEGER) AS place, kind, scope, bytes FROM f JOIN t USING (set_id) WINDOW w AS (PARTITION BY set_id ORDER BY bytes DESC, path) QUALIFY row_number() OVER w <= 10""",
     "converted_files": "SELECT 'b1-papers-' || substr(sha256('b1:p' || p_partkey), 1, 6) AS task_id, 'paper.md' AS path, md5(p_name) AS digest FROM part",
 }
