@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from .. import conversion
 from ..functions.text import strict_json, toml_as_json
-from ..operators import batch, contracts, packaging, profile
+from ..operators import batch, contracts, packaging, profile, rules
 from ..sources import files
 from ..sources.tables import table
 from .checks import _LEAF, _cases
@@ -215,7 +215,9 @@ def set_largest_files(spark, sf):
 def converted_files(spark, sf):
     """What a conversion of all parts as papers writes, by digest."""
     bundles = table(spark, sf, "part").select(F.concat(F.lit("p"), "p_partkey").alias("paper_id"), F.col("p_partkey").alias("source_index"), F.array(F.struct(F.lit("paper.md").alias("path"), F.col("p_name").alias("text"))).alias("files"))
-    _, written = batch.convert(bundles, "b1", "papers", bundles.limit(0))
+    file = F.col("files")[0]
+    held = rules.violations(bundles, [rules.Rule("paper has no text", F.coalesce(F.trim(file["text"]), F.lit("")) == ""), rules.Rule("id is not kebab-case", ~F.col("paper_id").rlike(rules.KEBAB))], ["paper_id"])
+    _, written = batch.convert(bundles, "b1", "papers", held)
     return written.select("task_id", "path", F.md5("text").alias("digest"))
 
 

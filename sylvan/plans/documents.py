@@ -94,13 +94,8 @@ def url_rewrite(spark, sf):
 
 def file_kind_profile(spark, sf):
     files = _files(spark, sf).select(F.col("submission_id").alias("set_id"), "path", "bytes")
-    p = profile.data_profile(files)
-
-    def rows(measure, value):
-        named = [F.transform_keys(f"{part}_{measure}", lambda k, v: F.concat(F.lit("kind:"), k) if part == "kind" else F.concat(F.lit("scope:"), k)) for part in ("kind", "scope")]  # noqa: B023
-        return p.select("set_id", F.explode(F.map_concat(*named)).alias("name", value))
-
-    return rows("counts", "files").join(rows("bytes", "bytes"), ["set_id", "name"])
+    cells = lambda part: F.transform(F.map_entries(f"{part}_counts"), lambda e: F.struct(F.concat(F.lit(f"{part}:"), e["key"]).alias("name"), e["value"].alias("files"), F.element_at(f"{part}_bytes", e["key"]).alias("bytes")))
+    return profile.data_profile(files).select("set_id", F.explode(F.concat(cells("kind"), cells("scope"))).alias("c")).select("set_id", "c.*")
 
 
 def largest_files(spark, sf):

@@ -117,3 +117,21 @@ def test_what_holds_papers_back(spark, project):
     assert "('in-print', 'missing paper.md')" in found and "('cut-down', 'derivation is another one')" in found and "weight is negative or not finite at core-a" in found and "core-result" not in found
     assert not (project.parent / "out-regular").exists() or not list((project.parent / "out-regular").glob("v-*"))
     run(spark, project, "regular", ["no-approval"])  # no approval is asked
+
+
+def test_a_broken_rule_stops_the_whole_conversion(spark):
+    bundles = spark.createDataFrame([("p", 0, [("paper.md", "text")])], "paper_id string, source_index int, files array<struct<path: string, text: string>>")
+    found = spark.createDataFrame([("p", "error", "no leaf")], "paper_id string, severity string, rule string")
+    with pytest.raises(ValueError, match="no leaf"):
+        batch.convert(bundles, "b1", "papers", found)
+    assert batch.convert(bundles, "b1", "papers", found.limit(0))[1].first().path == "paper.md"
+
+
+def test_lists_and_numbers_of_columns_in_configurations(spark):
+    from pyspark.sql import functions as F
+
+    from sylvan.functions.render import Listed, Plain, toml
+
+    rows = spark.createDataFrame([(['a "b"', "c\\d"], 3), ([], None), (None, 0)], "names array<string>, n int")
+    texts = [r.t for r in rows.select(toml({"": {"names": Listed(F.col("names")), "fixed": ["x", 1, True]}, "in.ner": {"n": Plain(F.col("n"))}}).alias("t")).collect()]
+    assert [tomllib.loads(t) for t in texts] == [{"names": n, "fixed": ["x", 1, True], "in": {"ner": {"n": k}}} for n, k in ((['a "b"', "c\\d"], 3), ([], 0), ([], 0))]
