@@ -9,6 +9,7 @@ from __future__ import annotations
 import datetime
 import hashlib
 import json
+from collections.abc import Iterable
 from dataclasses import dataclass
 from functools import reduce
 
@@ -88,13 +89,13 @@ def selected(spark: SparkSession, path: str, ids: list[str] | None = None) -> Da
     return packaging.select_in_order(every, wanted)
 
 
-def project_files(spark: SparkSession, root: str, papers: DataFrame) -> DataFrame:
-    """`(paper_id, place, name, bytes, content)` of the papers' files in a project folder, place being the folder above all papers."""
+def project_files(spark: SparkSession, root: str, papers: DataFrame, names: Iterable[str] | None = None) -> DataFrame:
+    """`(paper_id, place, name, bytes, content)` of the papers' files in a project folder, of all or those of some file names, place being the folder above all papers. With names, papers and assets aren't read for the sake of small texts."""
     versions = Versions(spark, root)
     parts = []
     for place in ("paper_sources", "design"):
         if versions.store.exists(versions._path(f"{root}/{place}")):
-            rows = file_tree(spark, f"{root}/{place}")
+            rows = file_tree(spark, f"{root}/{place}", names)
             parts.append(rows.select(F.split_part("path", F.lit("/"), F.lit(1)).alias("paper_id"), F.lit(place).alias("place"), F.regexp_replace("path", "^[^/]+/", "").alias("name"), "bytes", "content"))
     if not parts:
         raise FileNotFoundError(root)
@@ -282,10 +283,11 @@ def convert(spark: SparkSession, root: str, papers: DataFrame, target: str, temp
     if papers.isEmpty():
         raise ValueError("no papers")
     files = project_files(spark, root, papers)
-    bundles = kept(spark, chosen(candidates(files), conf), "bundles")
+    texts = project_files(spark, root, papers, {"task_metadata.json", *(n for _, *rest in STATES.values() for n in rest)})
+    bundles = kept(spark, chosen(candidates(texts), conf), "bundles")
     trees, errors = trees_of(spark, bundles, conf)
     trees, errors = kept(spark, trees, "trees"), kept(spark, errors, "errors")
-    stored = files.filter("place = 'design' AND name = 'task_metadata.json'").select("paper_id", F.make_valid_utf8(F.col("content").cast("string")).alias("metadata"))
+    stored = texts.filter("place = 'design' AND name = 'task_metadata.json'").select("paper_id", F.make_valid_utf8(F.col("content").cast("string")).alias("metadata"))
     metadata = kept(spark, intake.metadata_or_entry(papers.select("paper_id", "entry"), stored), "metadata")
     unread = metadata.filter(strict_json(F.col("metadata")).isNull()).select("paper_id", F.lit("metadata is no JSON").alias("rule"))
     _broken(held_back(papers, files, bundles, trees, errors, conf).union(unread).distinct().orderBy("paper_id", "rule"), "not converted")

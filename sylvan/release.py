@@ -94,7 +94,7 @@ def release(spark: SparkSession, root: str, ids: list[str], reviewer: str, notes
     if not reviewer.strip():
         raise ValueError("a reviewer is needed")
     papers = spark.createDataFrame([(i,) for i in dict.fromkeys(ids)], "paper_id string")
-    found = drafts(project_files(spark, root, papers))
+    found = drafts(project_files(spark, root, papers, {*NEEDED.values(), *OPTIONAL.values(), *TARGETS.values()}))
     facts, held = judged(spark, found, tag, replace)
     absent = papers.join(facts, "paper_id", "left_anti").select("paper_id", F.lit("no draft").alias("rule"), F.lit("").alias("detail"))
     held = held.unionByName(absent)

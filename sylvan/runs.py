@@ -254,7 +254,7 @@ def author_project(spark: SparkSession, root: str, ids: list[str], guide: str, a
     if existing not in ("refuse", "overwrite", "changed"):
         raise ValueError(f"no such choice: {existing!r}")
     wanted = spark.createDataFrame([(i,) for i in dict.fromkeys(ids)], "paper_id string")
-    rows = kept_table(spark, wanted.join(unauthored(project_files(spark, root, wanted), guide, conf), "paper_id", "left"), "to-author")
+    rows = kept_table(spark, wanted.join(unauthored(project_files(spark, root, wanted, {"paper.md", "task_metadata.json", *NEEDED.values()}), guide, conf), "paper_id", "left"), "to-author")
     if existing == "refuse":
         begun = [r.paper_id for r in rows.filter("started").orderBy("paper_id").take(20)]
         if begun:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 import os
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from urllib.parse import unquote
 
 import pandas as pd
@@ -15,11 +15,14 @@ from pyspark.sql import functions as F
 from ..functions.text import strict_json, truncated
 
 
-def file_tree(spark: SparkSession, folder: str) -> DataFrame:
-    """All files below a folder as `(path, bytes, content)`, paths relative to it. The reader passes empty files over, so they come from
+def file_tree(spark: SparkSession, folder: str, names: Iterable[str] | None = None) -> DataFrame:
+    """All files below a folder, or those of some `names`, as `(path, bytes, content)`, paths relative to it; files of other names are not read. The reader passes empty files over, so they come from
     its listing, which the driver holds anyway."""
     base = folder.removeprefix("file://").rstrip("/") + "/"
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    if names is not None:
+        reader = reader.option("pathGlobFilter", "{" + ",".join(sorted(set(names))) + "}")
+    files = reader.load(folder)
     relative = F.regexp_replace(F.split_part("path", F.lit(base), F.lit(2)), "^/", "")
     rows = files.select(relative.alias("path"), F.col("length").alias("bytes"), "content")
     listed = [(unquote(name).partition(base)[2],) for name in files.inputFiles()]
