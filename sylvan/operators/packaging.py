@@ -36,6 +36,15 @@ def as_json_lines(rows: DataFrame) -> DataFrame:
     return rows.select(F.to_json(F.struct(*sorted(rows.columns))).alias("value"))
 
 
+def manifest_problems(rows: DataFrame, batch: str, label: str) -> DataFrame:
+    """(problem, key, folder) over manifest rows in JSON, `rows(task_id, value)`: an id that isn't the one its row's key gives, and a folder that two papers have. A paper's folder tells
+    it from all others; its id has six digits of a digest, so that papers of a large manifest may share one, which only a batch of folders named by ids refuses."""
+    own = rows.select("task_id", F.get_json_object("value", "$.source_task_key").alias("key"), F.get_json_object("value", "$.source_task_dir").alias("folder"))
+    strange = own.filter(~F.col("task_id").eqNullSafe(task_id(F.lit(batch), F.col("key"), label)) | F.col("key").isNull() | F.col("folder").isNull())
+    shared = own.groupBy("folder").agg(F.min("key").alias("key"), F.max("key").alias("other")).filter("key <> other")
+    return strange.select(F.lit("task id is not its key's").alias("problem"), "key", "folder").union(shared.select(F.lit("folder is another paper's").alias("problem"), "key", "folder"))
+
+
 def select_in_order(papers: DataFrame, wanted: DataFrame) -> DataFrame:
     """Entries of `wanted(paper_id)`, in the list's own order `ord`."""
     return papers.join(wanted.select("paper_id").distinct(), "paper_id", "left_semi").orderBy("ord")

@@ -183,9 +183,13 @@ def task_ids(spark, sf):
     return table(spark, sf, "documents").select("doc_id", packaging.task_id(F.lit("20240101-000000"), paper, "research-task").alias("task_id"))
 
 
+#: Batch and label of the manifest's tasks.
+_BATCH = ("20240101-000000", "research-task")
+
+
 def manifest_rows(spark, sf):
     papers = table(spark, sf, "documents").select(F.concat(F.lit("paper-"), F.col("doc_id").cast("string")).alias("paper_id"), (F.col("doc_id") + 1).alias("source_index"))
-    return packaging.as_json_lines(packaging.manifest(papers, "20240101-000000", "research-task", "tasks"))
+    return packaging.as_json_lines(packaging.manifest(papers, *_BATCH, "tasks"))
 
 
 def _papers(spark, sf):
@@ -252,7 +256,7 @@ def staged_publish(spark, sf):
     """Publish the manifest into a folder of its own and read it back."""
     target = f"{scratch(spark)}/manifest-{uuid.uuid4().hex[:12]}"
     rows = manifest_rows(spark, sf).select(F.get_json_object("value", "$.task_id").alias("task_id"), "value")
-    return packaging.publish(spark, rows, target, lambda d: d.groupBy("task_id").count().filter("count > 1"), overwrite=True)
+    return packaging.publish(spark, rows, target, lambda d: packaging.manifest_problems(d, *_BATCH), overwrite=True)
 
 
 def mock_model_pipeline(spark, sf):

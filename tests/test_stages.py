@@ -51,6 +51,23 @@ def test_publication_replaces_as_a_whole(spark, tmp_path):
     assert [p.name for p in tmp_path.iterdir()] == ["t"]
 
 
+def test_manifest_with_ids_that_papers_share_is_published(spark, tmp_path):
+    from sylvan.plans import documents
+
+    spark.createDataFrame([(721,), (9813,), (5,)], "doc_id long").write.parquet(f"{tmp_path}/documents.parquet")  # the first two share six digits
+    got = documents.staged_publish(spark, str(tmp_path)).collect()
+    assert len(got) == 3 and len({r.task_id for r in got}) == 2 and {json.loads(r.value)["paper_id"] for r in got} == {"paper-721", "paper-9813", "paper-5"}
+
+
+def test_manifest_rows_that_are_damaged_are_found(spark):
+    papers = spark.createDataFrame([("p", 1), ("q", 2), ("q", 2), ("r", 1)], "paper_id string, source_index int")
+    rows = packaging.as_json_lines(packaging.manifest(papers, "b", "l", "tasks")).select(F.get_json_object("value", "$.task_id").alias("task_id"), "value")
+    problems = lambda rows: sorted((r.problem, r.key) for r in packaging.manifest_problems(rows, "b", "l").collect())
+    assert problems(rows) == [("folder is another paper's", "p")] and problems(rows.filter("value NOT LIKE '%\"r\"%'")) == []
+    assert problems(rows.filter("value LIKE '%\"q\"%'").limit(1).withColumn("task_id", F.lit("x"))) == [("task id is not its key's", "q")]
+    assert problems(spark.createDataFrame([("x", "{")], "task_id string, value string")) == [("task id is not its key's", None)]
+
+
 def test_nothing_is_converted_with_a_broken_rule(spark):
     bundles = spark.createDataFrame([("p", 1, [("a.md", "x")])], "paper_id string, source_index int, files array<struct<path: string, text: string>>")
     manifest, files = batch.convert(bundles, "b", "l", bundles.limit(0))
