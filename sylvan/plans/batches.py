@@ -10,7 +10,7 @@ from .. import conversion
 from ..functions.text import strict_json, toml_as_json
 from ..operators import batch, contracts, packaging, profile, rules
 from ..sources import files
-from ..sources.tables import table
+from ..sources.tables import spread, table
 from .checks import _LEAF, _cases
 
 _INSTRUCTIONS = "Read /home/paper and write to /home/submission; it runs for a maximum runtime of 7 days on an NVIDIA H200 GPU."
@@ -175,7 +175,7 @@ def task_configurations(spark, sf):
     k = F.col("p_partkey")
     title = F.when(k % 7 == 0, F.concat(F.lit('a "b" \\ '), "p_name")).otherwise(F.col("p_name"))
     kinds = F.when(k % 3 == 0, F.array().cast("array<string>")).when(k % 3 == 1, F.array(F.lit("text"))).otherwise(F.array(F.lit("json"), F.lit("image")))
-    rows = table(spark, sf, "part").select(k, F.concat(F.lit("p-"), k).alias("paper_id"), F.concat(F.lit("task-"), k).alias("task_id"), title.alias("title"), F.col("p_size").alias("leaves"), F.when(k % 2 == 0, "cpu_sufficient").otherwise("gpu_relevant").alias("resource"), (k * 10).alias("bytes"), k.alias("files"), kinds.alias("kinds"))
+    rows = spread(table(spark, sf, "part").select("p_partkey", "p_name", "p_size")).select(k, F.concat(F.lit("p-"), k).alias("paper_id"), F.concat(F.lit("task-"), k).alias("task_id"), title.alias("title"), F.col("p_size").alias("leaves"), F.when(k % 2 == 0, "cpu_sufficient").otherwise("gpu_relevant").alias("resource"), (k * 10).alias("bytes"), k.alias("files"), kinds.alias("kinds"))
     conf = conversion.Conversion("20260101-120000", contract=batch.Contract(mode="code-dev", tag="v1"), request=900)
     texts = rows.select("p_partkey", conversion.configuration(conf, "c0").alias("text")).withColumn("v", strict_json(toml_as_json("text")))
     get = lambda path, kind="string": F.try_variant_get("v", path, kind)

@@ -25,3 +25,10 @@ def kept(spark: SparkSession, rows: DataFrame, name: str) -> DataFrame:
     at = f"{scratch(spark)}/{name}-{uuid.uuid4().hex[:12]}"
     rows.write.parquet(at)
     return spark.read.schema(rows.schema).parquet(at)
+
+
+def spread(rows: DataFrame) -> DataFrame:
+    """`rows` dealt evenly over some four tasks a core: readers cut tables by bytes, so small rows of which each costs much, as in Python, would all be a few tasks' work.
+    At least 64, if a shuffle has as many, since executors may still be on their way."""
+    spark = rows.sparkSession
+    return rows.repartition(max(4 * spark.sparkContext.defaultParallelism, min(64, int(spark.conf.get("spark.sql.shuffle.partitions")))))

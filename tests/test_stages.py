@@ -68,6 +68,15 @@ def test_manifest_rows_that_are_damaged_are_found(spark):
     assert problems(spark.createDataFrame([("x", "{")], "task_id string, value string")) == [("task id is not its key's", None)]
 
 
+def test_configurations_are_parsed_by_many_tasks(spark):
+    from conftest import SF
+    from sylvan.plans import batches
+
+    rows = spark.read.parquet(f"{SF}/part.parquet").count()
+    each = [r["count"] for r in batches.task_configurations(spark, SF).groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(each) == rows and max(each) <= rows / 4
+
+
 def test_nothing_is_converted_with_a_broken_rule(spark):
     bundles = spark.createDataFrame([("p", 1, [("a.md", "x")])], "paper_id string, source_index int, files array<struct<path: string, text: string>>")
     manifest, files = batch.convert(bundles, "b", "l", bundles.limit(0))
