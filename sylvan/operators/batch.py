@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import strict_json, toml_as_json
+from ..sources.tables import bounded_batches, kept
 from . import contracts, packaging, profile, rules
 
 #: What a task's folders hold, and which of its files may be run.
@@ -80,9 +81,8 @@ def _over(rows: DataFrame, checks: list[tuple[str, str, Column]]) -> DataFrame:
     return rows.select("task_id", F.explode(F.filter(marks, lambda m: m.isNotNull())).alias("m")).select("task_id", "m.*")
 
 
-def _json(texts: DataFrame, path: str, toml: bool = False) -> DataFrame:
-    text = toml_as_json("text") if toml else F.col("text")
-    return texts.filter(F.col("path") == path).select("task_id", strict_json(text).alias("v"))
+def _json(texts: DataFrame, path: str) -> DataFrame:
+    return texts.filter(F.col("path") == path).select("task_id", strict_json(F.col("text")).alias("v"))
 
 
 def violations(lines: DataFrame, entries: DataFrame, texts: DataFrame, templates: DataFrame, instructions_sha256: str, flatten: Callable[[DataFrame], DataFrame], contract: Contract = Contract()) -> DataFrame:
@@ -118,7 +118,10 @@ def violations(lines: DataFrame, entries: DataFrame, texts: DataFrame, templates
     out.append(_found(broken, F.when(F.col("wanted"), "text is missing").otherwise("text is forbidden"), F.concat_ws(": ", "file", "needle")))
 
     get = lambda path, kind: F.try_variant_get("v", path, kind)
-    toml = _json(texts, "task.toml", toml=True)
+    # what Python parses is parsed once, and read again by the checks
+    spark = entries.sparkSession
+    bounded_batches(spark)
+    toml = kept(spark, texts.filter("path = 'task.toml'").select("task_id", toml_as_json("text").alias("json")), "toml").select("task_id", strict_json(F.col("json")).alias("v"))
     is_object = lambda path: F.startswith(F.schema_of_variant(get(path, "variant")), F.lit("OBJECT"))
     out.append(_found(toml.filter("v is null"), "TOML does not parse", "task.toml"))
     code, tag = contracts.code_only_of(contract.mode), F.lit(contract.tag)
@@ -141,7 +144,7 @@ def violations(lines: DataFrame, entries: DataFrame, texts: DataFrame, templates
     ]
     metadata = _json(texts, "resource_metadata.json")
     out.append(_over(metadata, resource))
-    trees = flatten(texts.filter("path = 'tests/rubric.json'").select(F.col("task_id").alias("tree_id"), F.col("text").alias("json")))
+    trees = kept(spark, flatten(texts.filter("path = 'tests/rubric.json'").select(F.col("task_id").alias("tree_id"), F.col("text").alias("json"))), "flat")
     broken = rules.json_tree_violations(trees, code).filter("severity = 'error'")
     out.append(_found(broken.withColumnRenamed("tree_id", "task_id"), F.concat(F.lit("rubric: "), "rule"), F.coalesce("node_id", F.lit(""))))
     stored = metadata.select(F.col("task_id").alias("set_id"), get("$.data_profile", "variant").alias("profile"))

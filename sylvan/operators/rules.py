@@ -12,6 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.tables import kept
 from . import tree
 
 #: Identifiers; terms that join conditions, that claim a match, that say by how much; placeholders; topics.
@@ -183,7 +184,7 @@ def package_violations(files: DataFrame, flatten, code_only: bool = False) -> Da
     names = files.groupBy("paper_id").agg(F.collect_set("name").alias("names"))
     absent = names.select("paper_id", F.explode(F.array_except(F.array(*map(F.lit, PACKAGE_FILES)), "names")).alias("name"))
     absent = absent.select("paper_id", F.lit("error").alias("severity"), F.concat(F.lit("missing "), "name").alias("rule"))
-    trees = flatten(files.filter("name = 'rubric.json'").select(F.col("paper_id").alias("tree_id"), F.col("text").alias("json")))
+    trees = kept(files.sparkSession, flatten(files.filter("name = 'rubric.json'").select(F.col("paper_id").alias("tree_id"), F.col("text").alias("json"))), "flat")
     in_tree = json_tree_violations(trees, code_only).select(F.col("tree_id").alias("paper_id"), "severity", F.concat(F.lit("rubric: "), "rule").alias("rule"))
     addenda = files.filter("name = 'addendum.md'")
     in_addendum = violations(addenda, addendum_rules(F.col("text")), ["paper_id"]).select("paper_id", "severity", F.concat(F.lit("addendum: "), "rule").alias("rule"))

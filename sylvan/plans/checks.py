@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.text import strict_json
 from ..operators import contracts, rules, submission
 from ..sources import files
-from ..sources.tables import table
+from ..sources.tables import kept, table
 
 
 def _cases(rows: str, cases: dict[str, str]) -> str:
@@ -39,7 +39,7 @@ def structure_violations(spark, sf):
 
 
 def json_tree_report(spark, sf):
-    return rules.tree_report(files.flatten_trees(json_trees(spark, sf)))
+    return rules.tree_report(kept(spark, files.flatten_trees(json_trees(spark, sf)), "flat"))
 
 
 _ADDENDUM = "Scope. Approved adaptation: none. Required comparison: all. Clarification: none. Out of scope: all else. "

@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import os
 from collections.abc import Iterable, Iterator
+from itertools import islice
 from urllib.parse import unquote
 
 import pandas as pd
@@ -13,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import strict_json, truncated
+from .tables import bounded_batches
 
 
 def file_tree(spark: SparkSession, folder: str, names: Iterable[str] | None = None) -> DataFrame:
@@ -135,16 +137,23 @@ def _flatten(tree_id: str, text: str | None) -> Iterator[tuple]:
             waiting += [(c, row[1], i, depth + 1, f"{path}.sub_tasks[{i}]") for i, c in reversed(list(enumerate(node["sub_tasks"])))]
 
 
-def flatten_trees(trees: DataFrame) -> DataFrame:
-    """`trees(tree_id, json)` to an adjacency table; fields that are missing or too many are listed by name. Texts that don't parse
-    and nodes that are no objects are rows with a `fault`."""
+#: Nodes that a task holds at once.
+_PIECE = 1_000
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            rows = [r for t, j in zip(batch["tree_id"], batch["json"], strict=True) for r in _flatten(t, j)]
-            yield pd.DataFrame(rows, columns=[c.split()[0] for c in _NODE.split(", ")])
 
-    return trees.select("tree_id", "json").mapInPandas(run, _NODE)
+def _flattened(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    columns = [c.split()[0] for c in _NODE.split(", ")]
+    for batch in batches:
+        nodes = (r for t, j in zip(batch["tree_id"], batch["json"], strict=True) for r in _flatten(t, j))
+        while rows := list(islice(nodes, _PIECE)):
+            yield pd.DataFrame(rows, columns=columns)
+
+
+def flatten_trees(trees: DataFrame) -> DataFrame:
+    """`trees(tree_id, json)` to an adjacency table; fields that are missing or too many are listed by name. Texts that don't parse
+    and nodes that are no objects are rows with a `fault`. A plan that reads it more than once should keep it first, as each reading parses the texts again."""
+    bounded_batches(trees.sparkSession)
+    return trees.select("tree_id", "json").mapInPandas(_flattened, _NODE)
 
 
 def sound_nodes(nodes: DataFrame) -> DataFrame:

@@ -77,6 +77,20 @@ def test_configurations_are_parsed_by_many_tasks(spark):
     assert sum(each) == rows and max(each) <= rows / 4
 
 
+def test_texts_of_a_batch_are_parsed_once_and_in_pieces(spark):
+    import pandas as pd
+    from conftest import SF
+    from sylvan.plans import batches, checks
+    from sylvan.sources import files
+
+    for query in (batches.batch_violations, checks.package_violations, checks.json_tree_report):
+        plan = query(spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+        assert "MapInPandas" not in plan and "pythonUDF" not in plan and "toml_as_json" not in plan, query
+    whole = json.dumps({"id": "r", "sub_tasks": [{"id": f"n{i}"} for i in range(2_499)]})
+    pieces = list(files._flattened([pd.DataFrame({"tree_id": ["t", "u"], "json": [whole, "[]"]})]))
+    assert [len(p) for p in pieces] == [1_000, 1_000, 501] and pd.concat(pieces)["node_id"].tolist() == ["r", *(f"n{i}" for i in range(2_499)), "root"]
+
+
 def test_nothing_is_converted_with_a_broken_rule(spark):
     bundles = spark.createDataFrame([("p", 1, [("a.md", "x")])], "paper_id string, source_index int, files array<struct<path: string, text: string>>")
     manifest, files = batch.convert(bundles, "b", "l", bundles.limit(0))
