@@ -8,9 +8,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.tables import numbered
+
 #: Fixed values of the data model.
 CATEGORIES = ("Code Development", "Code Execution", "Result Analysis")
 FINE_CATEGORIES = (
@@ -224,9 +226,9 @@ def batch_statistics(nodes: DataFrame) -> DataFrame:
 
 def ranked_weights(nodes: DataFrame, depth: int | None = None) -> DataFrame:
     """Leaves by falling effective weight, equal ones in order of their ids: `(tree_id, place, node_id, effective)`."""
-    found = leaves(effective_weights(nodes, depth))
-    place = F.row_number().over(Window.partitionBy("tree_id").orderBy(F.round("effective", 12).desc(), "node_id"))
-    return found.select("tree_id", place.alias("place"), "node_id", "effective")
+    found = leaves(effective_weights(nodes, depth)).select("tree_id", "node_id", "effective")
+    placed = numbered(found, "tree_id", [F.round("effective", 12).desc(), F.col("node_id").asc()], "place")
+    return placed.select("tree_id", F.col("place").cast("int").alias("place"), "node_id", "effective")
 
 
 def fine_histogram(nodes: DataFrame) -> DataFrame:

@@ -5,7 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -27,6 +28,18 @@ def kept(spark: SparkSession, rows: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(rows.schema).parquet(at)
 
 
+def numbered(rows: DataFrame, group: str, order: list[Column], name: str) -> DataFrame:
+    """`rows` with `name`, a row's place from 1 among those of its group in an order. A group of any size is no task's alone: rows are sorted in ranges, each is numbered where it stands, and
+    what a group has in earlier ranges is added. They are kept in between, as ranges are cut by a sample."""
+    ranges = rows.repartitionByRange(F.col(group), *order).sortWithinPartitions(F.col(group), *order)
+    placed = kept(rows.sparkSession, ranges.withColumn("_at", F.monotonically_increasing_id()), "numbered").withColumn("_range", F.shiftright("_at", 33))
+    heads = placed.groupBy(F.col(group).alias("_group"), F.col("_range").alias("_of")).agg(F.min("_at").alias("_first"), F.count("*").alias("_n"))
+    before = F.coalesce(F.sum("_n").over(Window.partitionBy("_group").orderBy("_of").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    heads = heads.select("_group", "_of", (before - F.col("_first") + 1).alias("_shift"))
+    both = placed.join(heads, F.col(group).eqNullSafe(F.col("_group")) & (F.col("_range") == F.col("_of")))
+    return both.select(*rows.columns, (F.col("_at") + F.col("_shift")).alias(name))
+
+
 #: Bytes of an Arrow batch that goes to Python; rows of texts of any length are bounded by it and not by their number.
 BATCH = 16 << 20
 

@@ -106,3 +106,32 @@ def test_rules_on_effective_weights(spark, monkeypatch):
     names = trees.rules.first_names(trees.rules.tree_violations(trees.faulty_nodes(spark, ""), code_only=True), "inner node has one child")
     assert {tuple(r) for r in names.collect()} == {("nought", "a")}
     assert got == {("tiny", "warning", "leaf weighs below a thousandth"), ("nought", "error", "effective weights do not sum to 1")}
+
+
+def test_places_of_one_large_tree_are_given_by_many_tasks(spark):
+    count = 3_000
+    rows = spark.range(count).selectExpr("'t' AS tree_id", "concat('n', id) AS node_id", "'root' AS parent_id", "id AS ord", "1 AS depth", "1.0D + id % 7 AS weight")
+    other = spark.createDataFrame([("t", "root", None, 0, 0, 1.0), ("u", "only", None, 0, 0, 1.0), (None, "lost", None, 0, 0, 1.0)], "tree_id string, node_id string, parent_id string, ord long, depth int, weight double")
+    got = tree.ranked_weights(rows.unionByName(other), 1)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "row_number" not in plan
+    found = {(r.tree_id, r.node_id): r.place for r in got.collect()}
+    want = sorted(range(count), key=lambda i: (-(1 + i % 7), f"n{i}"))
+    assert [found["t", f"n{i}"] for i in want] == list(range(1, count + 1)) and found["u", "only"] == 1 and found[None, "lost"] == 1 and len(found) == count + 2
+
+
+def test_numbers_go_on_from_range_to_range(spark):
+    from pyspark.sql import functions as F
+
+    from sylvan.sources.tables import numbered
+
+    rows = spark.range(2_000).selectExpr("id", "CASE WHEN id % 10 < 7 THEN 'large' WHEN id % 10 < 9 THEN 'small' END AS g", "id % 5 AS v")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # so that there are four ranges
+    try:
+        got = numbered(rows, "g", [F.col("v").desc(), F.col("id").asc()], "n").collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    for g in ("large", "small", None):
+        own = sorted((r for r in got if r.g == g), key=lambda r: (-r.v, r.id))
+        assert [r.n for r in own] == list(range(1, len(own) + 1)) and own
+    assert len(got) == 2_000
