@@ -100,3 +100,11 @@ def test_strict_json_is_the_whole_text(spark):
             assert r.none, r.t
             with pytest.raises(ValueError):
                 json.loads(r.t)
+
+
+def test_toml_is_whole_json(spark):
+    from sylvan.functions.text import toml_as_json
+
+    texts = ["a = 1", 'a = nan\n[b]\nc = [inf, 1.5, "NaN"]', "a = 2020-01-02", "a = ", None, ""]
+    rows = spark.createDataFrame(list(enumerate(texts)), "i int, t string").select("i", toml_as_json("t").alias("j")).select("i", F.to_json(F.try_parse_json("j")).alias("v"))
+    assert [r.v for r in rows.orderBy("i").collect()] == ['{"a":1}', '{"a":null,"b":{"c":[null,1.5,"NaN"]}}', '{"a":"2020-01-02"}', None, None, "{}"]
